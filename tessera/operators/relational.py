@@ -83,9 +83,9 @@ def code_lookup(df: DataFrame, codes: DataFrame, code_col: str, codes_key: str,
     The code table is broadcast only after checking it holds at most ``max_codes``
     rows; beyond that the join is left to a shuffle.
     """
-    small = codes.select(F.col(codes_key).alias("__code"), F.col(label_col).alias(label_col))
+    small = codes.select(F.col(codes_key).alias("__lookup_key"), F.col(label_col).alias(label_col))
     small = broadcast_if_bounded(small, max_codes)
-    return df.join(small, F.col(code_col) == F.col("__code"), "left").drop("__code")
+    return df.join(small, F.col(code_col) == F.col("__lookup_key"), "left").drop("__lookup_key")
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -175,3 +175,5 @@ r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY incident_id ORDER BY distance, s
 SELECT incident_id, CAST(rn AS INTEGER) AS neighbor_rank, station_id, round(distance, 9) AS distance
 FROM r WHERE rn <= 3""",
 }
+ORACLE_SQL["top_k_in_group_sql"] = ORACLE_SQL["top_k_in_group"]
+ORACLE_SQL["yearly_income_udf"] = ORACLE_SQL["yearly_income"]

@@ -27,7 +27,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm_value(v):
-    if v is None:
+    if v is None or (not isinstance(v, (list, tuple, dict)) and pd.isna(v)):
         return None
     if isinstance(v, float):
         if math.isnan(v):
