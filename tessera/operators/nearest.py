@@ -113,16 +113,22 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
                 c.alias("c"), (F.size(F.filter(F.col("__sc"), lambda o: o["d"] < c["d"])) + 1).alias("rk")))
         else:
             ranked = F.transform(F.slice(F.col("__sc"), 1, k_eff), lambda c, i: F.struct(c.alias("c"), (i + 1).alias("rk")))
-        done = j.filter("__ok").select(*point_cols, F.explode(ranked).alias("__m"))
-        sel = [*[F.col(c) for c in point_cols], *[F.col(f"__m.c.r.{c}").alias(c) for c in site_cols],
-               F.col("__m.c.d").alias(distance_col)]
+        # One pass per round: the round's answers (or, for uncertified points, just the
+        # point) are written to the checkpoint folder and both branches read them back.
+        res = j.select(*point_cols, "__ok", F.when(F.col("__ok"), ranked).alias("__ranked"))
+        last = rnd == max_rounds - 1
+        if not last:
+            res = res.checkpoint(eager=True)
+        done = res.filter("__ok").select(*point_cols, F.explode("__ranked").alias("__m"))
+        m = F.col("__m")
+        sel = [*[F.col(c) for c in point_cols], *[m["c"]["r"][c].alias(c) for c in site_cols],
+               m["c"]["d"].alias(distance_col)]
         if rank_col:
-            sel.append(F.col("__m.rk").cast("int").alias(rank_col))
+            sel.append(m["rk"].cast("int").alias(rank_col))
         parts.append(done.select(*sel))
-        left = j.filter(~F.col("__ok")).select(*point_cols)
-        if rnd == max_rounds - 1:
+        if last:
             break
-        left = left.checkpoint(eager=True)
+        left = res.filter(~F.col("__ok")).select(*point_cols)
         if left.isEmpty():
             break
         remaining = left

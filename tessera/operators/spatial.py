@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geometry import edges_bbox, polygon_edges, within
+from ..session import ensure_checkpoint_dir
 from .strategy import with_strategy
 
 FAN = 4
@@ -147,7 +148,12 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x: str = "x", y: str =
     clash = (set(points.columns) & set(prepared.columns)) - ({point_key} if point_key else set())
     if clash:
         raise ValueError(f"points and polygons share column names {sorted(clash)}; rename one side")
-    spec = spec or plan_grid(prepared, cell_size, max_cells, max_broadcast_bytes=max_broadcast_bytes)
+    if spec is None:
+        # The polygon side is bounded; write it once to the checkpoint folder so the
+        # sizing job and the join read it instead of recomputing its lineage twice.
+        ensure_checkpoint_dir(prepared.sparkSession)
+        prepared = prepared.checkpoint(eager=True)
+        spec = plan_grid(prepared, cell_size, max_cells, max_broadcast_bytes=max_broadcast_bytes)
     cells = polygon_cells(prepared, spec, max_cells)
     if strategy:
         cells = with_strategy(cells, strategy)
