@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.cleaning import format_currency
+from ..operators.strategy import broadcast_if_bounded
 from ..sources.ingest import clean_income
 
 # Coordinate hashing constants and offsets (shared with the SQL oracle).
@@ -91,7 +92,7 @@ def census_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     cust = table(spark, sf_dir, "customer")
-    base = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    base = (nation.join(broadcast_if_bounded(region, 100_000), nation.n_regionkey == region.r_regionkey)
             .select("n_nationkey", "n_name", "r_name")
             .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(7)))))
     n, k = F.col("n_nationkey"), F.col("k")

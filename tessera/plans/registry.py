@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.cleaning import INCIDENT_TS_FORMAT, format_currency, parse_currency
 from ..functions.geometry import planar_distance, sphere_distance, ring_area
 from ..operators.dissolve import dissolve
-from ..operators.nearest import nearest
 from ..operators.relational import code_lookup, word_count
 from ..operators.spatial import spatial_join
+from ..operators.strategy import broadcast_if_bounded
 from ..session import scratch_path
 from ..sources import ingest
 from . import city_model as cm
@@ -26,6 +26,7 @@ from . import reports
 CITY = "AMERICA"          # region playing the city of the reports
 DEPARTMENT = "NATION_1"   # nation playing "Dep A" in the course exercises
 CELL = 10.0               # grid side for the census geometry (block size)
+DIMENSION_ROWS = 100_000  # dimension tables (nation, region) are broadcast only up to this many rows
 
 
 # --- Spark side ---------------------------------------------------------------------
@@ -47,7 +48,7 @@ def _precinct_incidents(spark, d):
     cust = cm.table(spark, d, "customer").select("c_custkey", "c_nationkey")
     nation = cm.table(spark, d, "nation").select("n_nationkey", "n_name")
     return (inc.join(cust, inc.cust == cust.c_custkey)
-            .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(broadcast_if_bounded(nation, DIMENSION_ROWS), F.col("c_nationkey") == F.col("n_nationkey"))
             .select("occurred", F.col("n_name").alias("area_name"), "status"))
 
 
@@ -101,8 +102,8 @@ def q_geojson_features(spark, d):
     feature = F.format_string('{"type":"Feature","properties":%s,"geometry":{"type":"%s","coordinates":%s}}',
                               F.to_json(F.struct("block_id", "COMM", "CITY", "ZCTA10", "HOUSING10", "POP_2010")),
                               geom["type"], geom["c"])
-    per_comm = blocks.groupBy("COMM").agg(F.concat_ws(",", F.collect_list(feature)).alias("fs"))
-    lines = per_comm.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), "fs", F.lit("]}")).alias("value"))
+    # One FeatureCollection per line (one feature each): splittable, and nothing is grouped.
+    lines = blocks.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), feature, F.lit("]}")).alias("value"))
     path = scratch_path(spark, "blocks-geojson")
     lines.write.mode("overwrite").text(path)
     props = spark.createDataFrame([], _BLOCK_PROPS).schema
@@ -117,7 +118,7 @@ def q_geojson_features(spark, d):
 def q_csv_roundtrip(spark, d):
     s = cm.table(spark, d, "supplier")
     n = cm.table(spark, d, "nation")
-    src = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).select(
+    src = s.join(broadcast_if_bounded(n, DIMENSION_ROWS), s.s_nationkey == n.n_nationkey).select(
         "s_suppkey", "s_name", "s_acctbal", F.concat_ws(", ", "s_name", "n_name").alias("location"))
     path = scratch_path(spark, "supplier-csv")
     ingest.write_csv(src, path, header=True)

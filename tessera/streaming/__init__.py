@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysed workload reads every input as a batch table and has no streaming
+operator (no readStream/writeStream, watermark or state).  The library's
+stateless operators are DataFrame -> DataFrame and also apply to a streaming
+DataFrame; nothing streaming-specific is provided.
+"""
