@@ -59,22 +59,26 @@ def _floor_div(c: Column, side: float) -> Column:
     return F.floor(c / F.lit(side))
 
 
-def _ncells(side: float) -> Column:
-    return ((_floor_div(F.col("x_max"), side) - _floor_div(F.col("x_min"), side) + 1)
-            * (_floor_div(F.col("y_max"), side) - _floor_div(F.col("y_min"), side) + 1))
+def _dbl(v: float) -> str:
+    """A double literal for SQL text (a bare ``10.0`` would be a decimal)."""
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+def _ncells_sql(side: str) -> str:
+    return (f"((floor(x_max / {side}) - floor(x_min / {side}) + 1)"
+            f" * (floor(y_max / {side}) - floor(y_min / {side}) + 1))")
 
 
 def _level_expr(cell_size: float, max_cells: int, max_level: int) -> Column:
-    opts = [F.when(_ncells(cell_size * FAN ** lv) <= max_cells, F.lit(lv)) for lv in range(max_level)]
-    return F.coalesce(*opts, F.lit(max_level))
+    # Built as one SQL expression: a single call instead of hundreds of column builders.
+    opts = [f"CASE WHEN {_ncells_sql(_dbl(cell_size * FAN ** lv))} <= {int(max_cells)} THEN {lv} END"
+            for lv in range(max_level)]
+    return F.expr(f"coalesce({', '.join(opts)}, {int(max_level)})")
 
 
-def _side_expr(level: Column, spec_size: float, levels) -> Column:
-    expr = None
-    for lv in levels:
-        s = F.lit(spec_size * FAN ** lv)
-        expr = F.when(level == lv, s) if expr is None else expr.when(level == lv, s)
-    return expr
+def _side_sql(level: str, spec_size: float, levels) -> str:
+    whens = " ".join(f"WHEN {lv} THEN {_dbl(spec_size * FAN ** lv)}" for lv in levels)
+    return f"(CASE {level} {whens} END)"
 
 
 def plan_grid(prepared: DataFrame, cell_size: float | None = None, max_cells: int = 16,
@@ -88,12 +92,7 @@ def plan_grid(prepared: DataFrame, cell_size: float | None = None, max_cells: in
             cell_size = 1.0
     lvl = _level_expr(cell_size, max_cells, max_level)
     sized = prepared.select(lvl.alias("lvl"), F.size("edges").alias("ne"), "x_min", "x_max", "y_min", "y_max")
-    levels = list(range(max_level + 1))
-    sized = sized.withColumn("nc", (
-        (F.floor(F.col("x_max") / _side_expr(F.col("lvl"), cell_size, levels))
-         - F.floor(F.col("x_min") / _side_expr(F.col("lvl"), cell_size, levels)) + 1)
-        * (F.floor(F.col("y_max") / _side_expr(F.col("lvl"), cell_size, levels))
-           - F.floor(F.col("y_min") / _side_expr(F.col("lvl"), cell_size, levels)) + 1)))
+    sized = sized.withColumn("nc", F.expr(_ncells_sql(_side_sql("lvl", cell_size, range(max_level + 1)))))
     row = sized.agg(
         F.sort_array(F.collect_set("lvl")).alias("levels"),
         F.sum("nc").alias("rows"),
@@ -107,13 +106,13 @@ def plan_grid(prepared: DataFrame, cell_size: float | None = None, max_cells: in
 
 def polygon_cells(prepared: DataFrame, spec: GridSpec, max_cells: int = 16, max_level: int = 16) -> DataFrame:
     """One row per (polygon, covering cell) with ``__lvl, __gx, __gy``."""
-    lvl = _level_expr(spec.cell_size, max_cells, max_level)
-    df = prepared.withColumn("__lvl", lvl)
-    side = _side_expr(F.col("__lvl"), spec.cell_size, spec.levels)
-    gx = F.sequence(F.floor(F.col("x_min") / side), F.floor(F.col("x_max") / side))
-    gy = F.sequence(F.floor(F.col("y_min") / side), F.floor(F.col("y_max") / side))
-    cells = F.flatten(F.transform(gx, lambda i: F.transform(gy, lambda j: F.struct(i.alias("gx"), j.alias("gy")))))
-    out = df.withColumn("__cell", F.explode(cells))
+    df = prepared.withColumn("__lvl", _level_expr(spec.cell_size, max_cells, max_level))
+    side = _side_sql("__lvl", spec.cell_size, spec.levels)
+    cells = F.expr(
+        f"explode(flatten(transform(sequence(floor(x_min / {side}), floor(x_max / {side})), "
+        f"i -> transform(sequence(floor(y_min / {side}), floor(y_max / {side})), "
+        f"j -> named_struct('gx', i, 'gy', j)))))")
+    out = df.withColumn("__cell", cells)
     return out.withColumns({"__gx": F.col("__cell.gx"), "__gy": F.col("__cell.gy")}).drop("__cell")
 
 
