@@ -41,7 +41,7 @@ def dissolve(df: DataFrame, by, geometry: str = "geometry", edges: str = "edges"
     odd = und.groupBy(*keys, "__p", "__q").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") % 2 == 1)
     edge = F.struct(F.col("__p.x").alias("x1"), F.col("__p.y").alias("y1"),
                     F.col("__q.x").alias("x2"), F.col("__q.y").alias("y2"))
-    geom = odd.groupBy(*keys).agg(F.array_sort(F.collect_list(edge)).alias(edges))
+    geom = odd.groupBy(*keys).agg(F.sort_array(F.collect_list(edge)).alias(edges))
     if aggs:
         attrs = df.groupBy(*keys).agg(*aggs)
         out = attrs.join(geom, keys, "left")

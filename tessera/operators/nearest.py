@@ -82,7 +82,10 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
     if cell_size is None:
         w, h = float(st["x1"] - st["x0"]), float(st["y1"] - st["y0"])
         area = w * h
-        cell_size = math.sqrt(area / n_sites) if area > 0 else max(w, h, 1.0) / math.sqrt(n_sites)
+        # About k sites per cell: the 3x3 block holds ~9k candidates, enough that few
+        # points (evenly spread sites) need a second round, while the in-row work stays small.
+        per_site = math.sqrt(area / n_sites) if area > 0 else max(w, h, 1.0) / math.sqrt(n_sites)
+        cell_size = per_site * math.sqrt(k_eff)
         cell_size = cell_size if cell_size > 0 else 1.0
     site_bytes = 96 + 16 * len(site_cols)
 
@@ -98,30 +101,64 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
         pts = remaining.withColumns({"__pcx": cx, "__pcy": cy})
         j = pts.join(nb, (F.col("__pcx") == F.col("__ncx")) & (F.col("__pcy") == F.col("__ncy")), "left")
         cands = F.coalesce(F.col("__cands"), F.array().cast(nb.schema["__cands"].dataType))
-        scored = F.array_sort(F.transform(cands, lambda c: F.struct(
-            planar_distance(px, py, c["__sx"], c["__sy"]).alias("d"), c["__tie"].alias("t"), c["__row"].alias("r"))))
+        # One narrow (d, tie, index) entry per candidate; the site row is fetched only for
+        # the chosen few.  Lambda bodies reference only their own variables, literals and
+        # join-output columns: an outer *expression* used inside a lambda would be inlined
+        # by the optimizer and re-evaluated for every element.
+        scored = F.transform(cands, lambda c, i: F.struct(
+            planar_distance(px, py, c["__sx"], c["__sy"]).alias("d"), c["__tie"].alias("t"), i.alias("i")))
         j = j.withColumn("__sc", scored)
-        kth = F.element_at(F.col("__sc"), k_eff)["d"]
+        n_c = F.size(F.col("__sc"))
+        entry_type = j.schema["__sc"].dataType.elementType
+        out_type = f"array<struct<c:{entry_type.simpleString()},rk:int>>"
+        if k_eff == 1 and ties:
+            # running minimum and every entry tied with it, in one pass
+            init = F.struct(F.lit(None).cast("double").alias("m"), F.array().cast(out_type).alias("a"))
+
+            def step(acc, z):
+                one = F.array(F.struct(z.alias("c"), F.lit(1).alias("rk")))
+                return (F.when(acc["m"].isNull() | (z["d"] < acc["m"]), F.struct(z["d"].alias("m"), one.alias("a")))
+                        .when(z["d"] == acc["m"], F.struct(acc["m"].alias("m"), F.concat(acc["a"], one).alias("a")))
+                        .otherwise(acc))
+
+            best = F.aggregate("__sc", init, step)
+            j = j.withColumn("__best", best)
+            kth = F.col("__best.m")
+            ranked = F.col("__best.a")
+        else:
+            j = j.withColumn("__o", F.sort_array("__sc"))
+            kth = F.try_element_at("__o", F.lit(k_eff))["d"]
+            if ties:
+                init = F.struct(F.lit(0).alias("p"), F.lit(None).cast("double").alias("ld"), F.lit(0).alias("lr"),
+                                F.array().cast(out_type).alias("a"))
+
+                def step(acc, z):
+                    p = acc["p"] + 1
+                    rk = F.when(z["d"] == acc["ld"], acc["lr"]).otherwise(p)
+                    a = F.when(rk <= k_eff, F.concat(acc["a"], F.array(F.struct(z.alias("c"), rk.alias("rk"))))) \
+                        .otherwise(acc["a"])
+                    return F.struct(p.alias("p"), z["d"].alias("ld"), rk.alias("lr"), a.alias("a"))
+
+                ranked = F.aggregate("__o", init, step)["a"]
+            else:
+                ranked = F.transform(F.slice("__o", 1, k_eff), lambda z, n: F.struct(z.alias("c"), (n + 1).alias("rk")))
+        j = j.withColumn("__kth", kth)
         bdist = F.least(px - (F.col("__pcx") - 1) * F.lit(side), (F.col("__pcx") + 2) * F.lit(side) - px,
                         py - (F.col("__pcy") - 1) * F.lit(side), (F.col("__pcy") + 2) * F.lit(side) - py)
-        n_c = F.size(F.col("__sc"))
-        certified = (n_c >= k_eff) & ((n_c == n_sites) | (kth < bdist - F.lit(1e-9 * side)))
+        certified = (n_c >= k_eff) & ((n_c == n_sites) | (F.col("__kth") < bdist - F.lit(1e-9 * side)))
         j = j.withColumn("__ok", F.coalesce(certified, F.lit(False)))
-        if ties:
-            chosen = F.filter(F.col("__sc"), lambda c: c["d"] <= kth)
-            ranked = F.transform(chosen, lambda c: F.struct(
-                c.alias("c"), (F.size(F.filter(F.col("__sc"), lambda o: o["d"] < c["d"])) + 1).alias("rk")))
-        else:
-            ranked = F.transform(F.slice(F.col("__sc"), 1, k_eff), lambda c, i: F.struct(c.alias("c"), (i + 1).alias("rk")))
         # One pass per round: the round's answers (or, for uncertified points, just the
         # point) are written to the checkpoint folder and both branches read them back.
-        res = j.select(*point_cols, "__ok", F.when(F.col("__ok"), ranked).alias("__ranked"))
+        j = j.withColumn("__picked", F.when(F.col("__ok"), ranked))
+        res = j.select(*point_cols, "__ok", F.transform("__picked", lambda e: F.struct(
+            e["c"].alias("c"), e["rk"].alias("rk"),
+            F.element_at(F.col("__cands"), e["c"]["i"] + 1)["__row"].alias("site"))).alias("__ranked"))
         last = rnd == max_rounds - 1
         if not last:
             res = res.checkpoint(eager=True)
         done = res.filter("__ok").select(*point_cols, F.explode("__ranked").alias("__m"))
         m = F.col("__m")
-        sel = [*[F.col(c) for c in point_cols], *[m["c"]["r"][c].alias(c) for c in site_cols],
+        sel = [*[F.col(c) for c in point_cols], *[m["site"][c].alias(c) for c in site_cols],
                m["c"]["d"].alias(distance_col)]
         if rank_col:
             sel.append(m["rk"].cast("int").alias(rank_col))
