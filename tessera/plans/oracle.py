@@ -176,4 +176,20 @@ SELECT incident_id, CAST(rn AS INTEGER) AS neighbor_rank, station_id, round(dist
 FROM r WHERE rn <= 3""",
 }
 ORACLE_SQL["top_k_in_group_sql"] = ORACLE_SQL["top_k_in_group"]
+ORACLE_SQL["closed_rate_rank_rowwise"] = _CLOSED.replace(
+    "WHEN status NOT IN ('O', 'P')", "WHEN status IS NULL OR status NOT IN ('O', 'P')")
+ORACLE_SQL["top_bottom_incidents"] = _q3_ctes("AMERICA") + f""",
+{_CODES},
+top AS (SELECT COMM, 'top' AS side FROM q3 ORDER BY income_per_capita DESC NULLS LAST, COMM LIMIT 3),
+bottom AS (SELECT COMM, 'bottom' AS side FROM q3 ORDER BY income_per_capita ASC NULLS FIRST, COMM LIMIT 3),
+chosen AS (SELECT * FROM top UNION ALL SELECT * FROM bottom)
+SELECT loc.incident_id, chosen.side, chosen.COMM, codes.label AS descent
+FROM loc JOIN nation nn ON loc.n = nn.n_nationkey JOIN chosen ON chosen.COMM = nn.n_name
+LEFT JOIN codes ON loc.code = codes.code"""
+ORACLE_SQL["nearest_station_knn"] = f"""WITH {_PTS}, {_STATIONS},
+d AS (SELECT incident_id, station_id, division, sqrt((sx - x) * (sx - x) + (sy - y) * (sy - y)) AS distance
+      FROM pts CROSS JOIN st),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY incident_id ORDER BY distance, station_id) AS rn FROM d)
+SELECT division, COUNT(*) AS crime_count, round(AVG(distance), 9) AS average_distance
+FROM r WHERE rn = 1 GROUP BY division"""
 ORACLE_SQL["yearly_income_udf"] = ORACLE_SQL["yearly_income"]

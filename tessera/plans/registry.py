@@ -60,6 +60,12 @@ def q_closed_rate_rank(spark, d):
                                       status_col="status", open_values=_OPEN, rank="case_rank")
 
 
+def q_closed_rate_rank_rowwise(spark, d):
+    return reports.closed_case_report(_precinct_incidents(spark, d), date_col="occurred", area_col="area_name",
+                                      status_col="status", open_values=_OPEN, null_is_closed=True,
+                                      rank="case_rank")
+
+
 def q_closed_rate_rank_sql(spark, d):
     _precinct_incidents(spark, d).createOrReplaceTempView("tessera_incidents")
     return reports.closed_case_report_sql(spark, "tessera_incidents", date_col="occurred", area_col="area_name",
@@ -255,12 +261,28 @@ def q_top_bottom_profile(spark, d):
         .withColumnRenamed("count", "crime_count")
 
 
+def q_top_bottom_incidents(spark, d):
+    ranking = _q3(spark, d)
+    return reports.descent_profile_rows(ranking, cm.incidents(spark, d), cm.census_blocks(spark, d),
+                                        cm.priority_codes(spark), 3, x="lon", y="lat", code_col="code",
+                                        codes_key="code", label_col="label", keep=("incident_id",),
+                                        cell_size=CELL) \
+        .select("incident_id", "side", "COMM", F.col("label").alias("descent"))
+
+
 def q_nearest_station(spark, d):
     return reports.nearest_station_report(cm.incidents(spark, d), cm.stations(spark, d), key="incident_id",
                                           x="lon", y="lat", station_x="sx", station_y="sy", division="division") \
         .select("division", "crime_count", F.round("average_distance", 9).alias("average_distance"))
 
 
+def q_nearest_station_knn(spark, d):
+    return reports.knn_station_report(cm.incidents(spark, d), cm.stations(spark, d), key="incident_id", x="lon",
+                                      y="lat", station_x="sx", station_y="sy", station_key="station_id",
+                                      division="division") \
+        .select("division", "crime_count", F.round("average_distance", 9).alias("average_distance"))
+
+
 def q_nearest_k(spark, d):
     st = cm.stations(spark, d).select("station_id", "sx", "sy")
     out = reports.k_nearest_stations(cm.incidents(spark, d), st, 3, key="incident_id", x="lon", y="lat",
@@ -273,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "age_bucket_count_lineitem": q_age_bucket_count_lineitem,
     "closed_rate_rank": q_closed_rate_rank,
     "closed_rate_rank_sql": q_closed_rate_rank_sql,
+    "closed_rate_rank_rowwise": q_closed_rate_rank_rowwise,
     "closed_rate_rank_parquet": q_closed_rate_rank_parquet,
     "currency_clean": q_currency_clean,
     "ts_parse": q_ts_parse,
@@ -298,6 +321,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "income_crime_per_capita_merge": q_income_crime_per_capita_merge,
     "income_crime_per_capita_shuffle_hash": q_income_crime_per_capita_shuffle_hash,
     "top_bottom_profile": q_top_bottom_profile,
+    "top_bottom_incidents": q_top_bottom_incidents,
     "nearest_station": q_nearest_station,
+    "nearest_station_knn": q_nearest_station_knn,
     "nearest_k": q_nearest_k,
 }
