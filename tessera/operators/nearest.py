@@ -1,17 +1,29 @@
 """Nearest and k-nearest site per point (planar), exact, with ties.
 
-Each round ``j`` lays a grid of side ``s * 3**j`` over the sites and builds, per cell,
-the list of sites in the 3x3 block around it (each site is copied into 9 cells).  A
-point joins the one row of its own cell, so it never fans out into candidate pairs,
-and picks its best sites with array functions inside the row.  The answer is
-*certified* when the k-th distance is below the distance from the point to the edge
-of the 3x3 block (any site outside is at least that far), or when the block holds
-every site.  Uncertified points -- sparse areas, far-away points -- go to the next,
-coarser round; their set is written to the checkpoint folder so each round starts
-from a short lineage.  Rounds stop as soon as no point is left.
-
-The neighbourhood table is broadcast only when its estimated size is under
-``max_broadcast_bytes``; beyond that both sides shuffle on the cell key.
+Sites are first reduced to distinct *locations* carrying their multiplicity (and, for
+k-nearest, the k best site rows at that spot), so a pile of sites at one place is one
+entry.  Then:
+
+* **Fast path** (no shuffle of the points).  A grid of side ``s`` (about k locations
+  per cell) is laid over the locations; every cell gets the list of locations in the
+  3x3 block around it, built only from cells holding at most ``max_cell_sites``
+  locations.  A point joins the one row of its own cell and picks its best entries
+  in-row.  The answer is *certified* when the k-th distance is below the distance
+  from the point to the edge of the block (anything outside is at least that far) and
+  the block touches no dense cell -- or when the block holds every site.
+* **Pyramid search** for the rest (far points, holes, points next to dense cells).
+  Location counts are kept for a pyramid of cells (side ``s * 2**level``), with finer
+  levels below 0 only where a level-0 cell is dense; a cell is a *leaf* at level 0 or
+  below once it holds at most ``max_cell_sites`` locations.  Each point starts from the few top cells and
+  walks down: per round it bounds its k-th distance by the cells it is sure about
+  (largest distance to the nearest cells holding k sites), drops every cell farther
+  than that bound, and splits the remaining non-leaf cells into their children.  When
+  only leaves remain it fetches their locations and picks exactly.  Every list a point
+  holds is bounded by the geometry of the pruned cells, and no cell list is larger
+  than ``max_cell_sites``.
+
+The point side is never broadcast; site-side tables are broadcast only under a byte
+limit, and every round's state is written to the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -21,156 +33,345 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.geometry import planar_distance
 from ..session import ensure_checkpoint_dir
+from .strategy import broadcast_if_bounded
 
 _OFFSETS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+_CHILDREN = [(dx, dy) for dx in (0, 1) for dy in (0, 1)]
 
 
-def _neighbourhoods(sites: DataFrame, side: float) -> DataFrame:
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _OFFSETS])
-    cells = sites.select(F.floor(F.col("__site.__sx") / F.lit(side)).alias("cx"),
-                         F.floor(F.col("__site.__sy") / F.lit(side)).alias("cy"), "__site")
-    rep = cells.select(F.explode(offsets).alias("o"), "cx", "cy", "__site")
-    rep = rep.select((F.col("cx") + F.col("o.dx")).alias("__ncx"), (F.col("cy") + F.col("o.dy")).alias("__ncy"), "__site")
-    return rep.groupBy("__ncx", "__ncy").agg(F.collect_list("__site").alias("__cands"))
+def _dist(px: Column, py: Column, qx: Column, qy: Column) -> Column:
+    dx = qx - px
+    dy = qy - py
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def _select(frame: DataFrame, cands: str, px: Column, py: Column, k: int, ties: bool) -> DataFrame:
+    """Add ``__pick`` (chosen entries with rank), ``__kth`` (k-th distance, counting
+    multiplicity) and ``__tot`` (sites among the candidates) from a candidate list.
+
+    Lambda bodies use only their own variables, literals and join-output columns, and
+    every intermediate array used twice is its own column, so nothing is re-evaluated
+    per element or per reference.
+    """
+    c_ = F.col(cands)
+    frame = frame.withColumn("__tot", F.aggregate(c_, F.lit(0).cast("long"), lambda a, c: a + c["__m"]))
+    if ties and k == 1:
+        # distances once, a native minimum, then the tied entries by a zipped filter
+        frame = frame.withColumn("__d", F.transform(c_, lambda c: _dist(px, py, c["__sx"], c["__sy"])))
+        frame = frame.withColumn("__kth", F.array_min("__d"))
+        zipped = F.arrays_zip(F.col("__d").alias("d"), c_.alias("c"),
+                              F.array_repeat("__kth", F.size("__d")).alias("m"))
+        pick = F.transform(F.filter(zipped, lambda e: e["d"] == e["m"]), lambda e: F.struct(
+            e["d"].alias("d"), e["c"]["__sx"].alias("sx"), e["c"]["__sy"].alias("sy"),
+            F.lit(1).cast("long").alias("rk")))
+        return frame.withColumn("__pick", pick).drop("__d")
+    if ties:
+        # rank semantics: sorted by distance, rank = 1 + sites strictly closer
+        scored = F.sort_array(F.transform(c_, lambda c: F.struct(
+            _dist(px, py, c["__sx"], c["__sy"]).alias("d"), c["__sx"].alias("sx"), c["__sy"].alias("sy"),
+            c["__m"].alias("m"))))
+        init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("ld"),
+                        F.lit(0).cast("long").alias("lr"), F.lit(None).cast("double").alias("kth"),
+                        F.array().cast("array<struct<d:double,sx:double,sy:double,rk:bigint>>").alias("a"))
+
+        def step(acc, z):
+            rk = F.when(z["d"] == acc["ld"], acc["lr"]).otherwise(acc["cum"] + 1)
+            cum = acc["cum"] + z["m"]
+            kth = F.when(acc["kth"].isNull() & (cum >= k), z["d"]).otherwise(acc["kth"])
+            pick = F.struct(z["d"].alias("d"), z["sx"].alias("sx"), z["sy"].alias("sy"), rk.alias("rk"))
+            a = F.when(rk <= k, F.concat(acc["a"], F.array(pick))).otherwise(acc["a"])
+            return F.struct(cum.alias("cum"), z["d"].alias("ld"), rk.alias("lr"), kth.alias("kth"), a.alias("a"))
+
+        frame = frame.withColumn("__res", F.aggregate(scored, init, step))
+        return frame.withColumns({"__pick": F.col("__res.a"), "__kth": F.col("__res.kth")}).drop("__res")
+    # Row-number semantics.  Rank locations by compact (d, first tie key, index) keys; the
+    # global top k entries all come from the first k locations in that order, so only
+    # those are expanded into their site rows and re-sorted (exact also when several
+    # locations tie on distance).
+    keys = F.sort_array(F.transform(c_, lambda c, i: F.struct(
+        _dist(px, py, c["__sx"], c["__sy"]).alias("d"), c["__firstk"][0]["t"].alias("t"), i.alias("ci"))))
+    expanded = F.sort_array(F.flatten(F.transform(F.slice(keys, 1, k), lambda e: F.transform(
+        F.element_at(c_, e["ci"] + 1)["__firstk"],
+        lambda f: F.struct(e["d"].alias("d"), f["t"].alias("t"), f["r"].alias("r"))))))
+    frame = frame.withColumn("__exp", expanded)
+    chosen = F.transform(F.slice("__exp", 1, k), lambda e, i: F.struct(
+        e["d"].alias("d"), e["t"].alias("t"), e["r"].alias("r"), (i + 1).cast("long").alias("rk")))
+    return frame.withColumns({"__pick": chosen, "__kth": F.try_element_at("__exp", F.lit(k))["d"]}).drop("__exp")
+
+
+def _near(px: Column, py: Column, x0: Column, y0: Column, side: Column) -> Column:
+    """Smallest distance from a point to the square [x0, x0+side] x [y0, y0+side]."""
+    gx = F.greatest(x0 - px, F.lit(0.0), px - (x0 + side))
+    gy = F.greatest(y0 - py, F.lit(0.0), py - (y0 + side))
+    return F.sqrt(gx * gx + gy * gy)
+
+
+def _far(px: Column, py: Column, x0: Column, y0: Column, side: Column) -> Column:
+    """Largest distance from a point to the same square."""
+    fx = F.greatest(F.abs(px - x0), F.abs(px - (x0 + side)))
+    fy = F.greatest(F.abs(py - y0), F.abs(py - (y0 + side)))
+    return F.sqrt(fx * fx + fy * fy)
 
 
 def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, site_y: str, k: int = 1,
             ties: bool = True, site_order: str | None = None, distance_col: str = "distance",
-            rank_col: str | None = None, cell_size: float | None = None, max_rounds: int = 48,
-            max_broadcast_bytes: int = 256 << 20, compete_by: str | None = None) -> DataFrame:
+            rank_col: str | None = None, cell_size: float | None = None, max_cell_sites: int = 1024,
+            max_broadcast_bytes: int = 256 << 20, compete_by: str | None = None,
+            small_sites: int = 4096) -> DataFrame:
     """Join every point with its ``k`` nearest sites.
 
-    ``ties=True``: rank semantics -- every site whose distance is within the k
-    smallest distinct ranks is kept (``RANK() <= k``); with ``k=1`` all equally near
-    sites are returned.  ``ties=False``: exactly ``min(k, #sites)`` sites, ordered by
-    distance then ``site_order`` (``ROW_NUMBER() <= k``).
+    ``ties=True``: rank semantics -- every site whose rank (1 + number of strictly closer
+    sites) is at most k (``RANK() <= k``); with ``k=1`` all equally near sites.
+    ``ties=False``: exactly ``min(k, #sites)`` sites ordered by distance, then
+    ``site_order``, then the site row (``ROW_NUMBER() <= k``).
 
     Points or sites with a NULL or NaN coordinate are left out.  ``compete_by``
-    reproduces a window partitioned by a non-unique point key: rows sharing the key
-    keep only the pairs at the key's smallest distance (k=1, ties=True only).
+    reproduces a window partitioned by a non-unique point key: rows sharing the key keep
+    only the pairs at the key's smallest distance.  When the site set has at most
+    ``small_sites`` distinct locations (checked), points the fast path cannot certify
+    are answered against one list of all locations instead of the pyramid search.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    ensure_checkpoint_dir(points.sparkSession)
-    site_cols = sites.columns
-    clash = set(points.columns) & set(site_cols)
+    spark = points.sparkSession
+    ensure_checkpoint_dir(spark)
+    site_cols, point_cols = sites.columns, points.columns
+    clash = set(point_cols) & set(site_cols)
     if clash:
         raise ValueError(f"points and sites share column names {sorted(clash)}; rename one side")
+    M = int(max_cell_sites)
 
     def valid(c: str) -> Column:
         return F.col(c).isNotNull() & ~F.isnan(F.col(c))
 
-    sites = sites.filter(valid(site_x) & valid(site_y))
     tie = F.col(site_order) if site_order else F.lit(None).cast("long")
-    packed = sites.select(F.struct(
+    S = sites.filter(valid(site_x) & valid(site_y)).select(
         F.col(site_x).cast("double").alias("__sx"), F.col(site_y).cast("double").alias("__sy"),
-        tie.alias("__tie"), F.struct(*[F.col(c) for c in site_cols]).alias("__row"),
-    ).alias("__site"))
-    st = sites.agg(F.count(F.lit(1)).alias("n"), F.min(site_x).alias("x0"), F.max(site_x).alias("x1"),
-                   F.min(site_y).alias("y0"), F.max(site_y).alias("y1")).first()
+        tie.alias("__tie"), F.struct(*[F.col(c) for c in site_cols]).alias("__row"))
+    st = S.agg(F.count(F.lit(1)).alias("n"), F.min("__sx").alias("x0"), F.max("__sx").alias("x1"),
+               F.min("__sy").alias("y0"), F.max("__sy").alias("y1")).first()
     n_sites = int(st["n"])
-    point_cols = points.columns
-    out_schema_cols = point_cols + site_cols + [distance_col] + ([rank_col] if rank_col else [])
+    out_cols = point_cols + site_cols + [distance_col] + ([rank_col] if rank_col else [])
     if n_sites == 0:
         empty = points.join(sites, F.lit(False), "inner").withColumn(distance_col, F.lit(None).cast("double"))
         if rank_col:
             empty = empty.withColumn(rank_col, F.lit(None).cast("int"))
-        return empty.select(*out_schema_cols)
+        return empty.select(*out_cols)
     k_eff = min(k, n_sites)
+
+    # --- distinct locations -------------------------------------------------------------
+    locs = S.groupBy("__sx", "__sy").agg(F.count(F.lit(1)).alias("__m"))
+    if not ties:
+        # the k best rows per location; row_number <= k gets a partial group limit before
+        # the shuffle, so a location holding many sites never gathers them in one task
+        w = Window.partitionBy("__sx", "__sy").orderBy(F.col("__tie").asc_nulls_last(), F.col("__row"))
+        best = (S.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k_eff)
+                .groupBy("__sx", "__sy")
+                .agg(F.sort_array(F.collect_list(F.struct(F.col("__tie").alias("t"), F.col("__row").alias("r"))))
+                     .alias("__firstk")))
+        locs = locs.join(best, ["__sx", "__sy"])
+    locs = locs.checkpoint(eager=True)
+    n_locs = locs.count()
+    loc_fields = ["__sx", "__sy", "__m"] + ([] if ties else ["__firstk"])
+    entry = F.struct(*[F.col(c) for c in loc_fields]).alias("__loc")
+    row_bytes = 64 + (0 if ties else k_eff * (32 + 16 * len(site_cols)))
+
     if cell_size is None:
-        w, h = float(st["x1"] - st["x0"]), float(st["y1"] - st["y0"])
-        area = w * h
-        # About k sites per cell: the 3x3 block holds ~9k candidates, enough that few
-        # points (evenly spread sites) need a second round, while the in-row work stays small.
-        per_site = math.sqrt(area / n_sites) if area > 0 else max(w, h, 1.0) / math.sqrt(n_sites)
-        cell_size = per_site * math.sqrt(k_eff)
-        cell_size = cell_size if cell_size > 0 else 1.0
-    site_bytes = 96 + 16 * len(site_cols)
-
-    remaining = points.filter(valid(x) & valid(y))
-    parts = []
-    for rnd in range(max_rounds):
-        side = cell_size * (3 ** rnd)
-        nb = _neighbourhoods(packed, side)
-        if 9 * n_sites * site_bytes <= max_broadcast_bytes:
-            nb = F.broadcast(nb)
-        px, py = F.col(x).cast("double"), F.col(y).cast("double")
-        cx, cy = F.floor(px / F.lit(side)), F.floor(py / F.lit(side))
-        pts = remaining.withColumns({"__pcx": cx, "__pcy": cy})
-        j = pts.join(nb, (F.col("__pcx") == F.col("__ncx")) & (F.col("__pcy") == F.col("__ncy")), "left")
-        cands = F.coalesce(F.col("__cands"), F.array().cast(nb.schema["__cands"].dataType))
-        # One narrow (d, tie, index) entry per candidate; the site row is fetched only for
-        # the chosen few.  Lambda bodies reference only their own variables, literals and
-        # join-output columns: an outer *expression* used inside a lambda would be inlined
-        # by the optimizer and re-evaluated for every element.
-        scored = F.transform(cands, lambda c, i: F.struct(
-            planar_distance(px, py, c["__sx"], c["__sy"]).alias("d"), c["__tie"].alias("t"), i.alias("i")))
-        j = j.withColumn("__sc", scored)
-        n_c = F.size(F.col("__sc"))
-        entry_type = j.schema["__sc"].dataType.elementType
-        out_type = f"array<struct<c:{entry_type.simpleString()},rk:int>>"
-        if k_eff == 1 and ties:
-            # running minimum and every entry tied with it, in one pass
-            init = F.struct(F.lit(None).cast("double").alias("m"), F.array().cast(out_type).alias("a"))
-
-            def step(acc, z):
-                one = F.array(F.struct(z.alias("c"), F.lit(1).alias("rk")))
-                return (F.when(acc["m"].isNull() | (z["d"] < acc["m"]), F.struct(z["d"].alias("m"), one.alias("a")))
-                        .when(z["d"] == acc["m"], F.struct(acc["m"].alias("m"), F.concat(acc["a"], one).alias("a")))
-                        .otherwise(acc))
-
-            best = F.aggregate("__sc", init, step)
-            j = j.withColumn("__best", best)
-            kth = F.col("__best.m")
-            ranked = F.col("__best.a")
+        w_, h_ = float(st["x1"] - st["x0"]), float(st["y1"] - st["y0"])
+        area = w_ * h_
+        per = math.sqrt(area / n_locs) if area > 0 else max(w_, h_, 1.0) / math.sqrt(n_locs)
+        # k=1: ~2.25 locations per cell (a single unsorted pass per point; under 0.1% of
+        # evenly spread points miss certification); k>1: ~k per cell, keeping the per-point
+        # sort short while few points miss
+        factor = 1.5 if k_eff == 1 else math.sqrt(k_eff)
+        cell_size = factor * per if per > 0 else 1.0
+    s0 = float(cell_size)
+
+    def cell_at(side: float):
+        return F.floor(F.col("__sx") / F.lit(side)), F.floor(F.col("__sy") / F.lit(side))
+
+    c0x, c0y = cell_at(s0)
+    cnt0 = locs.groupBy(c0x.alias("cx"), c0y.alias("cy")).agg(F.count(F.lit(1)).alias("c"))
+    dense0 = cnt0.filter(F.col("c") > M).select("cx", "cy")
+    n_dense = dense0.count()
+
+    # --- fast path -----------------------------------------------------------------------
+    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _OFFSETS])
+    lc0 = locs.select(c0x.alias("cx"), c0y.alias("cy"), entry)
+    if n_dense:
+        lc0 = lc0.join(broadcast_if_bounded(dense0, 1_000_000), ["cx", "cy"], "left_anti")
+    nb = (lc0.select(F.explode(offsets).alias("o"), "cx", "cy", "__loc")
+          .select((F.col("cx") + F.col("o.dx")).alias("__ncx"), (F.col("cy") + F.col("o.dy")).alias("__ncy"), "__loc")
+          .groupBy("__ncx", "__ncy").agg(F.collect_list("__loc").alias("__cands"))
+          .withColumn("__dense", F.lit(False)))
+    if n_dense:
+        marks = (dense0.select(F.explode(offsets).alias("o"), "cx", "cy")
+                 .select((F.col("cx") + F.col("o.dx")).alias("__ncx"), (F.col("cy") + F.col("o.dy")).alias("__ncy"))
+                 .distinct().withColumn("__hot", F.lit(True)))
+        nb = nb.join(marks, ["__ncx", "__ncy"], "full_outer").select(
+            "__ncx", "__ncy", "__cands", F.coalesce("__hot", "__dense", F.lit(False)).alias("__dense"))
+    if 9 * n_locs * row_bytes <= max_broadcast_bytes:
+        nb = F.broadcast(nb)
+
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    pts = points.filter(valid(x) & valid(y)).withColumns({"__pcx": F.floor(px / F.lit(s0)),
+                                                          "__pcy": F.floor(py / F.lit(s0))})
+    j = pts.join(nb, (F.col("__pcx") == F.col("__ncx")) & (F.col("__pcy") == F.col("__ncy")), "left")
+    cands_type = f"array<{locs.select(entry).schema[0].dataType.simpleString()}>"
+    j = j.withColumn("__c", F.coalesce(F.col("__cands"), F.array().cast(cands_type)))
+    j = _select(j, "__c", px, py, k_eff, ties)
+    bdist = F.least(px - (F.col("__pcx") - 1) * F.lit(s0), (F.col("__pcx") + 2) * F.lit(s0) - px,
+                    py - (F.col("__pcy") - 1) * F.lit(s0), (F.col("__pcy") + 2) * F.lit(s0) - py)
+    ok = ((F.col("__tot") == n_sites)
+          | (~F.coalesce(F.col("__dense"), F.lit(False)) & (F.col("__tot") >= k_eff)
+             & (F.col("__kth") < bdist - F.lit(1e-9 * s0))))
+    res = j.select(*point_cols, F.coalesce(ok, F.lit(False)).alias("__ok"), "__pick").checkpoint(eager=True)
+    parts = [res.filter("__ok").select(*point_cols, "__pick")]
+    left = res.filter(~F.col("__ok")).select(*point_cols)
+    if not left.isEmpty():
+        if n_locs <= small_sites:
+            # a proven-small site set: every location in one list, joined on a constant key
+            every = locs.agg(F.collect_list(entry).alias("__c")).withColumn("__one", F.lit(1))
+            rest = left.withColumn("__one", F.lit(1)).join(F.broadcast(every), "__one").drop("__one")
+            parts.append(_select(rest, "__c", px, py, k_eff, ties).select(*point_cols, "__pick"))
         else:
-            j = j.withColumn("__o", F.sort_array("__sc"))
-            kth = F.try_element_at("__o", F.lit(k_eff))["d"]
-            if ties:
-                init = F.struct(F.lit(0).alias("p"), F.lit(None).cast("double").alias("ld"), F.lit(0).alias("lr"),
-                                F.array().cast(out_type).alias("a"))
-
-                def step(acc, z):
-                    p = acc["p"] + 1
-                    rk = F.when(z["d"] == acc["ld"], acc["lr"]).otherwise(p)
-                    a = F.when(rk <= k_eff, F.concat(acc["a"], F.array(F.struct(z.alias("c"), rk.alias("rk"))))) \
-                        .otherwise(acc["a"])
-                    return F.struct(p.alias("p"), z["d"].alias("ld"), rk.alias("lr"), a.alias("a"))
-
-                ranked = F.aggregate("__o", init, step)["a"]
-            else:
-                ranked = F.transform(F.slice("__o", 1, k_eff), lambda z, n: F.struct(z.alias("c"), (n + 1).alias("rk")))
-        j = j.withColumn("__kth", kth)
-        bdist = F.least(px - (F.col("__pcx") - 1) * F.lit(side), (F.col("__pcx") + 2) * F.lit(side) - px,
-                        py - (F.col("__pcy") - 1) * F.lit(side), (F.col("__pcy") + 2) * F.lit(side) - py)
-        certified = (n_c >= k_eff) & ((n_c == n_sites) | (F.col("__kth") < bdist - F.lit(1e-9 * side)))
-        j = j.withColumn("__ok", F.coalesce(certified, F.lit(False)))
-        # One pass per round: the round's answers (or, for uncertified points, just the
-        # point) are written to the checkpoint folder and both branches read them back.
-        j = j.withColumn("__picked", F.when(F.col("__ok"), ranked))
-        res = j.select(*point_cols, "__ok", F.transform("__picked", lambda e: F.struct(
-            e["c"].alias("c"), e["rk"].alias("rk"),
-            F.element_at(F.col("__cands"), e["c"]["i"] + 1)["__row"].alias("site"))).alias("__ranked"))
-        last = rnd == max_rounds - 1
-        if not last:
-            res = res.checkpoint(eager=True)
-        done = res.filter("__ok").select(*point_cols, F.explode("__ranked").alias("__m"))
-        m = F.col("__m")
-        sel = [*[F.col(c) for c in point_cols], *[m["site"][c].alias(c) for c in site_cols],
-               m["c"]["d"].alias(distance_col)]
-        if rank_col:
-            sel.append(m["rk"].cast("int").alias(rank_col))
-        parts.append(done.select(*sel))
-        if last:
-            break
-        left = res.filter(~F.col("__ok")).select(*point_cols)
-        if left.isEmpty():
-            break
-        remaining = left
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+            parts.append(_pyramid_search(left, locs, x, y, s0, st, k_eff, ties, M, n_dense, dense0, cell_at,
+                                         entry, cands_type, point_cols, max_broadcast_bytes))
+    picked = reduce(lambda a, b: a.unionByName(b), parts)
+    out = _expand(picked, S, point_cols, site_cols, ties, distance_col, rank_col, n_sites, max_broadcast_bytes)
     if compete_by:
         w = Window.partitionBy(compete_by)
-        out = out.withColumn("__best", F.min(distance_col).over(w)).filter(F.col(distance_col) == F.col("__best")).drop("__best")
+        out = (out.withColumn("__best", F.min(distance_col).over(w))
+               .filter(F.col(distance_col) == F.col("__best")).drop("__best"))
     return out
+
+
+def _expand(picked: DataFrame, S: DataFrame, point_cols, site_cols, ties, distance_col, rank_col, n_sites,
+            max_broadcast_bytes) -> DataFrame:
+    """(point, chosen entries) -> one row per (point, site)."""
+    m = F.col("__m")
+    rows = picked.select(*point_cols, F.explode("__pick").alias("__m"))
+    if ties:
+        # every site standing at a chosen location is a tied answer
+        pairs = rows.select(*point_cols, m["sx"].alias("__sx"), m["sy"].alias("__sy"), m["d"].alias("__d"),
+                            m["rk"].cast("int").alias("__rk"))
+        site_side = S.select("__sx", "__sy", "__row")
+        if n_sites * (64 + 32 * len(site_cols)) <= max_broadcast_bytes:
+            site_side = F.broadcast(site_side)
+        rows = pairs.join(site_side, ["__sx", "__sy"])
+    else:
+        rows = rows.select(*point_cols, m["r"].alias("__row"), m["d"].alias("__d"), m["rk"].cast("int").alias("__rk"))
+    sel = [*[F.col(c) for c in point_cols], *[F.col("__row")[c].alias(c) for c in site_cols],
+           F.col("__d").alias(distance_col)]
+    if rank_col:
+        sel.append(F.col("__rk").alias(rank_col))
+    return rows.select(*sel)
+
+
+def _pyramid_search(left: DataFrame, locs: DataFrame, x: str, y: str, s0: float, st, k: int, ties: bool,
+                    M: int, n_dense: int, dense0: DataFrame, cell_at, entry, cands_type: str, point_cols,
+                    max_broadcast_bytes: int) -> DataFrame:
+    """Exact answers for the points the fast path could not certify (see module doc)."""
+    extent = max(float(st["x1"] - st["x0"]), float(st["y1"] - st["y0"]), s0)
+    top = max(0, math.ceil(math.log2(extent / s0)) + 1)
+    # finest level: below 0 only inside dense level-0 cells, until no cell is dense there
+    lo = 0
+    dense_locs = None
+    if n_dense:
+        c0x, c0y = cell_at(s0)
+        dense_locs = (locs.withColumns({"cx": c0x, "cy": c0y})
+                      .join(broadcast_if_bounded(dense0, 1_000_000), ["cx", "cy"], "left_semi")
+                      .drop("cx", "cy").checkpoint(eager=True))
+        while lo > -60:
+            lo -= 1
+            sx_, sy_ = cell_at(s0 * 2.0 ** lo)
+            worst = dense_locs.groupBy(sx_.alias("a"), sy_.alias("b")).count().agg(F.max("count")).first()[0]
+            if worst is None or worst <= M:
+                break
+
+    def exploded(frame: DataFrame, levels) -> DataFrame:
+        keys = F.array(*[F.struct(F.lit(lv).alias("l"), cell_at(s0 * 2.0 ** lv)[0].alias("cx"),
+                                  cell_at(s0 * 2.0 ** lv)[1].alias("cy")) for lv in levels])
+        return frame.select(F.explode(keys).alias("__k"), entry).select(
+            F.col("__k.l").alias("lvl"), F.col("__k.cx").alias("cx"), F.col("__k.cy").alias("cy"), "__loc")
+
+    counted = exploded(locs, list(range(0, top + 1)))
+    if lo < 0:
+        counted = counted.unionByName(exploded(dense_locs, list(range(lo, 0))))
+    pyramid = (counted.groupBy("lvl", "cx", "cy").agg(F.count(F.lit(1)).alias("cnt"))
+               .withColumn("leaf", ((F.col("lvl") <= 0) & (F.col("cnt") <= M)) | (F.col("lvl") == lo))
+               .checkpoint(eager=True))
+    n_cells = pyramid.count()
+    cell_type = "array<struct<lvl:int,cx:bigint,cy:bigint,cnt:bigint,leaf:boolean>>"
+    # Start from the finest level >= 0 whose non-empty cells number at most 64: that
+    # set covers every site, so starting there is exact, and it saves the coarse rounds.
+    per_level = {r["lvl"]: r["count"] for r in pyramid.groupBy("lvl").count().collect()}
+    first = min([lv for lv, n in per_level.items() if lv >= 0 and n <= 64] or [top])
+    tops = pyramid.filter(F.col("lvl") == first).collect()   # at most 64 cells (or the 2x2 top)
+    start = F.array(*[F.struct(F.lit(r["lvl"]).cast("int").alias("lvl"), F.lit(r["cx"]).cast("long").alias("cx"),
+                               F.lit(r["cy"]).cast("long").alias("cy"), F.lit(r["cnt"]).cast("long").alias("cnt"),
+                               F.lit(r["leaf"]).alias("leaf")) for r in tops]).cast(cell_type)
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    state = left.withColumn("__pk", F.monotonically_increasing_id()).withColumn("__cells", start)
+    state = state.checkpoint(eager=True)
+
+    def prune(frame: DataFrame) -> DataFrame:
+        # Bound: order cells by their farthest point; the first ones that hold >= k sites
+        # give an upper bound on the k-th distance; cells entirely beyond it cannot matter.
+        boxes = F.transform("__cells", lambda c: F.struct(
+            c.alias("c"), (F.pow(F.lit(2.0), c["lvl"]) * F.lit(s0)).alias("s")))
+        scored = F.sort_array(F.transform(boxes, lambda z: F.struct(
+            _far(px, py, z["c"]["cx"] * z["s"], z["c"]["cy"] * z["s"], z["s"]).alias("far"),
+            _near(px, py, z["c"]["cx"] * z["s"], z["c"]["cy"] * z["s"], z["s"]).alias("near"),
+            z["c"].alias("c"))))
+        frame = frame.withColumn("__sc", scored)
+        init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("u"))
+        bound = F.aggregate("__sc", init, lambda a, z: F.struct(
+            (a["cum"] + z["c"]["cnt"]).alias("cum"),
+            F.when(a["u"].isNull() & (a["cum"] + z["c"]["cnt"] >= k), z["far"]).otherwise(a["u"]).alias("u")))
+        frame = frame.withColumn("__u", bound["u"])
+        # the bound rides along in the array, so the lambda reads only its own variables
+        paired = F.arrays_zip(F.col("__sc").alias("z"), F.array_repeat("__u", F.size("__sc")).alias("u"))
+        kept = F.transform(F.filter(paired, lambda e: e["z"]["near"] <= e["u"]), lambda e: e["z"]["c"])
+        return frame.withColumn("__cells", kept).drop("__sc", "__u")
+
+    kids = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _CHILDREN])
+    pyr = F.broadcast(pyramid) if n_cells * 48 <= max_broadcast_bytes else pyramid
+    for _ in range(first - lo + 2):
+        state = prune(state)
+        state = state.withColumn("__open", F.exists("__cells", lambda c: ~c["leaf"])).checkpoint(eager=True)
+        open_rows = state.filter("__open")
+        if open_rows.isEmpty():
+            break
+        wanted = (open_rows.select("__pk", F.explode(F.filter("__cells", lambda c: ~c["leaf"])).alias("p"))
+                  .select("__pk", F.explode(kids).alias("o"), "p")
+                  .select("__pk", (F.col("p.lvl") - 1).alias("lvl"), (F.col("p.cx") * 2 + F.col("o.dx")).alias("cx"),
+                          (F.col("p.cy") * 2 + F.col("o.dy")).alias("cy")))
+        children = (wanted.join(pyr, ["lvl", "cx", "cy"])
+                    .groupBy("__pk").agg(F.collect_list(F.struct(
+                        F.col("lvl").cast("int").alias("lvl"), "cx", "cy", "cnt", "leaf")).alias("__kids")))
+        state = (state.join(children, "__pk", "left")
+                 .withColumn("__cells", F.concat(F.filter("__cells", lambda c: c["leaf"]),
+                                                 F.coalesce("__kids", F.array().cast(cell_type))))
+                 .drop("__kids", "__open"))
+    state = state.drop("__open")
+
+    # fetch the locations of the remaining leaves and choose exactly
+    need = state.select("__pk", F.explode("__cells").alias("c")).select(
+        "__pk", F.col("c.lvl").alias("lvl"), F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy"))
+    need = need.checkpoint(eager=True)
+    used = sorted({r[0] for r in need.select("lvl").distinct().collect()})   # at most top - lo + 1 values
+    pos = [lv for lv in used if lv >= 0]
+    neg = [lv for lv in used if lv < 0]
+    src = exploded(locs, pos) if pos else None
+    if neg:
+        extra = exploded(dense_locs, neg)
+        src = extra if src is None else src.unionByName(extra)
+    cells_needed = broadcast_if_bounded(need.select("lvl", "cx", "cy").distinct(), max(1, max_broadcast_bytes // 64))
+    fetched = (src.join(cells_needed, ["lvl", "cx", "cy"], "left_semi")
+               .join(need, ["lvl", "cx", "cy"])
+               .groupBy("__pk").agg(F.collect_list("__loc").alias("__c")))
+    done = state.join(fetched, "__pk", "left").withColumn(
+        "__c", F.coalesce(F.col("__c"), F.array().cast(cands_type)))
+    return _select(done, "__c", px, py, k, ties).select(*point_cols, "__pick")

@@ -23,7 +23,11 @@ def _frames(spark, points, sites):
     return p, s
 
 
-def test_nearest_matches_brute_force_clustered_and_far(spark):
+import pytest
+
+
+@pytest.mark.parametrize("small_sites", [0, 4096])   # 0 forces the pyramid search
+def test_nearest_matches_brute_force_clustered_and_far(spark, small_sites):
     rng = random.Random(5)
     sites = [(i, rng.gauss(50, 3), rng.gauss(50, 3)) for i in range(40)] + [(100 + i, rng.uniform(0, 500), 0.0)
                                                                            for i in range(3)]
@@ -31,7 +35,8 @@ def test_nearest_matches_brute_force_clustered_and_far(spark):
     p, s = _frames(spark, points, sites)
     for k, ties in ((1, True), (3, False), (3, True)):
         got = sorted((r["pid"], r["sid"]) for r in
-                     nearest(p, s, "x", "y", "sx", "sy", k=k, ties=ties, site_order="sid").collect())
+                     nearest(p, s, "x", "y", "sx", "sy", k=k, ties=ties, site_order="sid",
+                             small_sites=small_sites).collect())
         assert got == brute(points, sites, k, ties), (k, ties)
 
 
@@ -39,8 +44,9 @@ def test_nearest_ties_duplicates_and_k_beyond_sites(spark):
     sites = [(1, 0.0, 0.0), (2, 2.0, 0.0), (3, 2.0, 0.0)]  # two stations at one place
     points = [(10, 1.0, 0.0), (11, 2.5, 0.0), (12, None, 1.0)]
     p, s = _frames(spark, points, sites)
-    got = sorted((r["pid"], r["sid"]) for r in nearest(p, s, "x", "y", "sx", "sy").collect())
-    assert got == [(10, 1), (10, 2), (10, 3), (11, 2), (11, 3)]
+    for small in (0, 4096):
+        got = sorted((r["pid"], r["sid"]) for r in nearest(p, s, "x", "y", "sx", "sy", small_sites=small).collect())
+        assert got == [(10, 1), (10, 2), (10, 3), (11, 2), (11, 3)]
     k5 = nearest(p, s, "x", "y", "sx", "sy", k=5, ties=False, site_order="sid", rank_col="rk").collect()
     assert sorted((r["pid"], r["rk"], r["sid"]) for r in k5) == [(10, 1, 1), (10, 2, 2), (10, 3, 3),
                                                                  (11, 1, 2), (11, 2, 3), (11, 3, 1)]
@@ -63,3 +69,21 @@ def test_nearest_station_report(spark):
     out = {r["division"]: (r["crime_count"], r["average_distance"]) for r in
            reports.nearest_station_report(crimes, stations).collect()}
     assert out == {"HARBOR": (3, 1.0), "PACIFIC": (1, 1.0)}
+
+
+@pytest.mark.parametrize("small_sites", [0, 4096])
+def test_dense_cluster_and_stacked_sites_match_brute_force(spark, small_sites):
+    rng = random.Random(9)
+    # a dense cluster far above the per-cell bound, a stack of sites at one spot, scattered rest
+    sites = [(i, 50 + rng.uniform(-0.01, 0.01), 50 + rng.uniform(-0.01, 0.01)) for i in range(300)]
+    sites += [(1000 + i, 20.0, 80.0) for i in range(60)]
+    sites += [(2000 + i, rng.uniform(0, 100), rng.uniform(0, 100)) for i in range(40)]
+    points = [(j, rng.uniform(-50, 150), rng.uniform(-50, 150)) for j in range(300)]
+    points += [(5000 + j, 50 + rng.uniform(-0.02, 0.02), 50 + rng.uniform(-0.02, 0.02)) for j in range(100)]
+    points += [(6000, 20.0, 80.0), (6001, 20.5, 80.0)]
+    p, s = _frames(spark, points, sites)
+    for k, ties in ((1, True), (2, False), (3, True)):
+        got = sorted((r["pid"], r["sid"]) for r in nearest(p, s, "x", "y", "sx", "sy", k=k, ties=ties,
+                                                          site_order="sid", max_cell_sites=8,
+                                                          small_sites=small_sites).collect())
+        assert got == brute(points, sites, k, ties), (k, ties)
