@@ -241,9 +241,11 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
     picked = reduce(lambda a, b: a.unionByName(b), parts)
     out = _expand(picked, S, point_cols, site_cols, ties, distance_col, rank_col, n_sites, max_broadcast_bytes)
     if compete_by:
-        w = Window.partitionBy(compete_by)
-        out = (out.withColumn("__best", F.min(distance_col).over(w))
-               .filter(F.col(distance_col) == F.col("__best")).drop("__best"))
+        # rows sharing the key keep the pairs at the key's smallest distance: a partial
+        # aggregate per key, joined back (a hot key is split by AQE, never sorted whole)
+        best = out.groupBy(compete_by).agg(F.min(distance_col).alias("__best"))
+        out = (out.join(best, compete_by).filter(F.col(distance_col) == F.col("__best"))
+               .drop("__best").select(*out_cols))
     return out
 
 
