@@ -117,8 +117,7 @@ def _far(px: Column, py: Column, x0: Column, y0: Column, side: Column) -> Column
 def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, site_y: str, k: int = 1,
             ties: bool = True, site_order: str | None = None, distance_col: str = "distance",
             rank_col: str | None = None, cell_size: float | None = None, max_cell_sites: int = 1024,
-            max_broadcast_bytes: int = 256 << 20, compete_by: str | None = None,
-            small_sites: int = 4096) -> DataFrame:
+            max_broadcast_bytes: int = 256 << 20, compete_by: str | None = None) -> DataFrame:
     """Join every point with its ``k`` nearest sites.
 
     ``ties=True``: rank semantics -- every site whose rank (1 + number of strictly closer
@@ -128,9 +127,7 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
 
     Points or sites with a NULL or NaN coordinate are left out.  ``compete_by``
     reproduces a window partitioned by a non-unique point key: rows sharing the key keep
-    only the pairs at the key's smallest distance.  When the site set has at most
-    ``small_sites`` distinct locations (checked), points the fast path cannot certify
-    are answered against one list of all locations instead of the pyramid search.
+    only the pairs at the key's smallest distance.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -230,14 +227,8 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
     parts = [res.filter("__ok").select(*point_cols, "__pick")]
     left = res.filter(~F.col("__ok")).select(*point_cols)
     if not left.isEmpty():
-        if n_locs <= small_sites:
-            # a proven-small site set: every location in one list, joined on a constant key
-            every = locs.agg(F.collect_list(entry).alias("__c")).withColumn("__one", F.lit(1))
-            rest = left.withColumn("__one", F.lit(1)).join(F.broadcast(every), "__one").drop("__one")
-            parts.append(_select(rest, "__c", px, py, k_eff, ties).select(*point_cols, "__pick"))
-        else:
-            parts.append(_pyramid_search(left, locs, x, y, s0, st, k_eff, ties, M, n_dense, dense0, cell_at,
-                                         entry, cands_type, point_cols, max_broadcast_bytes))
+        parts.append(_pyramid_search(left, locs, x, y, s0, st, k_eff, ties, M, n_dense, dense0, cell_at,
+                                     entry, cands_type, point_cols, max_broadcast_bytes))
     picked = reduce(lambda a, b: a.unionByName(b), parts)
     out = _expand(picked, S, point_cols, site_cols, ties, distance_col, rank_col, n_sites, max_broadcast_bytes)
     if compete_by:

@@ -26,8 +26,8 @@ def _frames(spark, points, sites):
 import pytest
 
 
-@pytest.mark.parametrize("small_sites", [0, 4096])   # 0 forces the pyramid search
-def test_nearest_matches_brute_force_clustered_and_far(spark, small_sites):
+@pytest.mark.parametrize("cell", [None, 0.5])   # a small cell sends many points to the pyramid
+def test_nearest_matches_brute_force_clustered_and_far(spark, cell):
     rng = random.Random(5)
     sites = [(i, rng.gauss(50, 3), rng.gauss(50, 3)) for i in range(40)] + [(100 + i, rng.uniform(0, 500), 0.0)
                                                                            for i in range(3)]
@@ -36,7 +36,7 @@ def test_nearest_matches_brute_force_clustered_and_far(spark, small_sites):
     for k, ties in ((1, True), (3, False), (3, True)):
         got = sorted((r["pid"], r["sid"]) for r in
                      nearest(p, s, "x", "y", "sx", "sy", k=k, ties=ties, site_order="sid",
-                             small_sites=small_sites).collect())
+                             cell_size=cell).collect())
         assert got == brute(points, sites, k, ties), (k, ties)
 
 
@@ -44,8 +44,8 @@ def test_nearest_ties_duplicates_and_k_beyond_sites(spark):
     sites = [(1, 0.0, 0.0), (2, 2.0, 0.0), (3, 2.0, 0.0)]  # two stations at one place
     points = [(10, 1.0, 0.0), (11, 2.5, 0.0), (12, None, 1.0)]
     p, s = _frames(spark, points, sites)
-    for small in (0, 4096):
-        got = sorted((r["pid"], r["sid"]) for r in nearest(p, s, "x", "y", "sx", "sy", small_sites=small).collect())
+    for cell in (None, 0.1):
+        got = sorted((r["pid"], r["sid"]) for r in nearest(p, s, "x", "y", "sx", "sy", cell_size=cell).collect())
         assert got == [(10, 1), (10, 2), (10, 3), (11, 2), (11, 3)]
     k5 = nearest(p, s, "x", "y", "sx", "sy", k=5, ties=False, site_order="sid", rank_col="rk").collect()
     assert sorted((r["pid"], r["rk"], r["sid"]) for r in k5) == [(10, 1, 1), (10, 2, 2), (10, 3, 3),
@@ -71,8 +71,7 @@ def test_nearest_station_report(spark):
     assert out == {"HARBOR": (3, 1.0), "PACIFIC": (1, 1.0)}
 
 
-@pytest.mark.parametrize("small_sites", [0, 4096])
-def test_dense_cluster_and_stacked_sites_match_brute_force(spark, small_sites):
+def test_dense_cluster_and_stacked_sites_match_brute_force(spark):
     rng = random.Random(9)
     # a dense cluster far above the per-cell bound, a stack of sites at one spot, scattered rest
     sites = [(i, 50 + rng.uniform(-0.01, 0.01), 50 + rng.uniform(-0.01, 0.01)) for i in range(300)]
@@ -84,6 +83,5 @@ def test_dense_cluster_and_stacked_sites_match_brute_force(spark, small_sites):
     p, s = _frames(spark, points, sites)
     for k, ties in ((1, True), (2, False), (3, True)):
         got = sorted((r["pid"], r["sid"]) for r in nearest(p, s, "x", "y", "sx", "sy", k=k, ties=ties,
-                                                          site_order="sid", max_cell_sites=8,
-                                                          small_sites=small_sites).collect())
+                                                          site_order="sid", max_cell_sites=8).collect())
         assert got == brute(points, sites, k, ties), (k, ties)
