@@ -131,7 +131,7 @@ def _point_cells(points: DataFrame, x: str, y: str, spec: GridSpec) -> DataFrame
 
 def spatial_join(points: DataFrame, polygons: DataFrame, x: str = "x", y: str = "y", how: str = "inner",
                  cell_size: float | None = None, strategy: str | None = None, max_cells: int = 16,
-                 point_key: str | None = None, keep_edges: bool = False, spec: GridSpec | None = None,
+                 keep_edges: bool = False, spec: GridSpec | None = None,
                  max_broadcast_bytes: int = 256 << 20) -> DataFrame:
     """Pair each point with every polygon that contains it.
 
@@ -144,7 +144,7 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x: str = "x", y: str =
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     prepared = polygons if {"edges", "x_min"}.issubset(polygons.columns) else prepare_polygons(polygons)
-    clash = (set(points.columns) & set(prepared.columns)) - ({point_key} if point_key else set())
+    clash = set(points.columns) & set(prepared.columns)
     if clash:
         raise ValueError(f"points and polygons share column names {sorted(clash)}; rename one side")
     if spec is None:
@@ -172,13 +172,32 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x: str = "x", y: str =
         pts = _point_cells(points, x, y, spec)
         return pts.join(cells, cond(pts), how).drop(*drop)
 
-    # Left join over several levels: a point meets one cell per level, so unmatched
-    # points are found by an anti join on a point key after the inner join.
-    if point_key is None:
-        point_key = "__row_id"
-        points = points.withColumn(point_key, F.monotonically_increasing_id()).checkpoint()
-    pts = _point_cells(points, x, y, spec)
-    matched = pts.join(cells, cond(pts), "inner").drop(*drop)
-    unmatched = points.join(matched.select(point_key).distinct(), point_key, "left_anti")
-    out = matched.unionByName(unmatched, allowMissingColumns=True)
-    return out.drop("__row_id") if point_key == "__row_id" else out
+    # Left join over several levels, without a point key: per level, each point meets the
+    # list of polygons of its one cell (a left join that keeps one row per point), keeps
+    # the ones that contain it, and the concatenation is exploded with explode_outer --
+    # one row per match, or one NULL row when nothing matched.
+    poly_cols = [c for c in prepared.columns if c not in ("x_min", "x_max", "y_min", "y_max")] + \
+        ["x_min", "x_max", "y_min", "y_max"]
+    out = points
+    hit_cols = []
+    px, py = F.col(x), F.col(y)
+    for lv in spec.levels:
+        side = spec.side(lv)
+        per_cell = (cells.filter(F.col("__lvl") == lv)
+                    .groupBy(F.col("__gx").alias(f"__gx{lv}"), F.col("__gy").alias(f"__gy{lv}"))
+                    .agg(F.collect_list(F.struct(*[F.col(c) for c in poly_cols])).alias(f"__pl{lv}")))
+        if strategy:
+            per_cell = with_strategy(per_cell, strategy)
+        elif spec.broadcast:
+            per_cell = F.broadcast(per_cell)
+        out = out.withColumns({f"__px{lv}": _floor_div(px, side), f"__py{lv}": _floor_div(py, side)})
+        out = out.join(per_cell, (F.col(f"__px{lv}") == F.col(f"__gx{lv}"))
+                       & (F.col(f"__py{lv}") == F.col(f"__gy{lv}")), "left")
+        hits = F.filter(F.coalesce(F.col(f"__pl{lv}"), F.array().cast(per_cell.schema[f"__pl{lv}"].dataType)),
+                        lambda p: (px >= p["x_min"]) & (px <= p["x_max"]) & (py >= p["y_min"]) & (py <= p["y_max"])
+                        & within(px, py, p["edges"]))
+        out = out.withColumn(f"__hit{lv}", hits).drop(f"__px{lv}", f"__py{lv}", f"__gx{lv}", f"__gy{lv}", f"__pl{lv}")
+        hit_cols.append(f"__hit{lv}")
+    out = out.withColumn("__hit", F.explode_outer(F.concat(*[F.col(c) for c in hit_cols]))).drop(*hit_cols)
+    keep = [c for c in poly_cols if c not in drop]
+    return out.select(*points.columns, *[F.col("__hit")[c].alias(c) for c in keep])

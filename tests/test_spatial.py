@@ -97,9 +97,9 @@ def test_left_join_keeps_unmatched(spark):
     for j, x, y in pts:
         hits = [i for i, g in polys if py_inside(x, y, g)]
         expect += [(j, i) for i in hits] or [(j, -1)]
-    for key in (None, "id"):
+    for cell in (2.0, 50.0):   # several grid levels, then a single level
         got = sorted((r["id"], -1 if r["pid"] is None else r["pid"])
-                     for r in spatial_join(qdf, pdf, "x", "y", how="left", cell_size=2.0, point_key=key).collect())
+                     for r in spatial_join(qdf, pdf, "x", "y", how="left", cell_size=cell).collect())
         assert got == sorted(expect)
 
 
