@@ -176,6 +176,8 @@ SELECT incident_id, CAST(rn AS INTEGER) AS neighbor_rank, station_id, round(dist
 FROM r WHERE rn <= 3""",
 }
 ORACLE_SQL["top_k_in_group_sql"] = ORACLE_SQL["top_k_in_group"]
+ORACLE_SQL["closed_rate_rank_csv"] = _CLOSED
+ORACLE_SQL["income_crime_per_capita_geojson"] = _Q3
 ORACLE_SQL["closed_rate_rank_rowwise"] = _CLOSED.replace(
     "WHEN status NOT IN ('O', 'P')", "WHEN status IS NULL OR status NOT IN ('O', 'P')")
 ORACLE_SQL["top_bottom_incidents"] = _q3_ctes("AMERICA") + f""",

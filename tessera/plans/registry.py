@@ -99,7 +99,8 @@ def q_ts_parse(spark, d):
 _BLOCK_PROPS = "block_id long, COMM string, CITY string, ZCTA10 string, HOUSING10 long, POP_2010 long"
 
 
-def q_geojson_features(spark, d):
+def _blocks_via_geojson(spark, d):
+    """Census blocks written as GeoJSON (one FeatureCollection per line) and read back."""
     blocks = cm.census_blocks(spark, d)
     # Triangles t=0 are written as Polygon, t=1 as a one-part MultiPolygon.
     is_poly = (F.col("block_id") % 2) == 0
@@ -113,7 +114,11 @@ def q_geojson_features(spark, d):
     path = scratch_path(spark, "blocks-geojson")
     lines.write.mode("overwrite").text(path)
     props = spark.createDataFrame([], _BLOCK_PROPS).schema
-    back = ingest.read_geojson(spark, path, props, multi_line=False)
+    return ingest.read_geojson(spark, path, props, multi_line=False)
+
+
+def q_geojson_features(spark, d):
+    back = _blocks_via_geojson(spark, d)
     return back.select("block_id", "COMM", "CITY", "ZCTA10", "POP_2010", "geometry_type",
                        F.size(F.flatten(F.flatten("geometry"))).alias("n_vertices"),
                        ring_area("geometry").alias("area"),
@@ -121,6 +126,25 @@ def q_geojson_features(spark, d):
                        F.array_min(F.transform(F.flatten(F.flatten("geometry")), lambda p: p[1])).alias("y_min"))
 
 
+def q_income_crime_per_capita_geojson(spark, d):
+    blocks = _blocks_via_geojson(spark, d).drop("geometry_type")
+    return reports.income_crime_report(blocks, cm.income(spark, d), cm.incidents(spark, d), CITY, x="lon", y="lat",
+                                       cell_size=2 * CELL)
+
+
+def q_closed_rate_rank_csv(spark, d):
+    # the incident file as it ships: CSV with a header, 12-hour timestamp text and an
+    # "AREA " column whose name ends in a space; read with inferred types, then cleaned
+    raw = _precinct_incidents(spark, d).select(
+        F.date_format("occurred", INCIDENT_TS_FORMAT).alias("DATE OCC"), F.col("area_name").alias("AREA "),
+        F.col("status").alias("Status Desc"))
+    path = scratch_path(spark, "incidents-csv")
+    ingest.write_csv(raw, path, header=True)
+    crimes = ingest.clean_incidents(ingest.read_csv(spark, path), ts_columns=("DATE OCC", "Date Rptd"))
+    return reports.closed_case_report(crimes, date_col="DATE OCC", area_col="AREA", status_col="Status Desc",
+                                      open_values=_OPEN, rank="case_rank")
+
+
 def q_csv_roundtrip(spark, d):
     s = cm.table(spark, d, "supplier")
     n = cm.table(spark, d, "nation")
@@ -297,6 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "closed_rate_rank_sql": q_closed_rate_rank_sql,
     "closed_rate_rank_rowwise": q_closed_rate_rank_rowwise,
     "closed_rate_rank_parquet": q_closed_rate_rank_parquet,
+    "closed_rate_rank_csv": q_closed_rate_rank_csv,
     "currency_clean": q_currency_clean,
     "ts_parse": q_ts_parse,
     "geojson_features": q_geojson_features,
@@ -317,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dissolve_communities": q_dissolve_communities,
     "dissolve_within": q_dissolve_within,
     "income_crime_per_capita": q_income_crime_per_capita,
+    "income_crime_per_capita_geojson": q_income_crime_per_capita_geojson,
     "income_crime_per_capita_broadcast": q_income_crime_per_capita_broadcast,
     "income_crime_per_capita_merge": q_income_crime_per_capita_merge,
     "income_crime_per_capita_shuffle_hash": q_income_crime_per_capita_shuffle_hash,
