@@ -14,7 +14,8 @@ entry.  Then:
 * **Pyramid search** for the rest (far points, holes, points next to dense cells).
   Location counts are kept for a pyramid of cells (side ``s * 2**level``), with finer
   levels below 0 only where a level-0 cell is dense; a cell is a *leaf* at level 0 or
-  below once it holds at most ``max_cell_sites`` locations.  Each point starts from the few top cells and
+  below once it holds at most ``max_cell_sites`` locations.  Each point starts from the coarsest complete
+  set of at most 64 cells and
   walks down: per round it bounds its k-th distance by the cells it is sure about
   (largest distance to the nearest cells holding k sites), drops every cell farther
   than that bound, and splits the remaining non-leaf cells into their children.  When
@@ -331,23 +332,26 @@ def _pyramid_search(left: DataFrame, locs: DataFrame, x: str, y: str, s0: float,
 
     kids = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _CHILDREN])
     pyr = F.broadcast(pyramid) if n_cells * 48 <= max_broadcast_bytes else pyramid
+
+    # One written step per round: prune, then split the surviving non-leaf cells.  The
+    # loop ends after a round in which no point had a non-leaf cell left.
     for _ in range(first - lo + 2):
-        state = prune(state)
-        state = state.withColumn("__open", F.exists("__cells", lambda c: ~c["leaf"])).checkpoint(eager=True)
-        open_rows = state.filter("__open")
-        if open_rows.isEmpty():
-            break
-        wanted = (open_rows.select("__pk", F.explode(F.filter("__cells", lambda c: ~c["leaf"])).alias("p"))
+        pruned = prune(state).withColumn("__open", F.exists("__cells", lambda c: ~c["leaf"]))
+        wanted = (pruned.filter("__open")
+                  .select("__pk", F.explode(F.filter("__cells", lambda c: ~c["leaf"])).alias("p"))
                   .select("__pk", F.explode(kids).alias("o"), "p")
                   .select("__pk", (F.col("p.lvl") - 1).alias("lvl"), (F.col("p.cx") * 2 + F.col("o.dx")).alias("cx"),
                           (F.col("p.cy") * 2 + F.col("o.dy")).alias("cy")))
         children = (wanted.join(pyr, ["lvl", "cx", "cy"])
                     .groupBy("__pk").agg(F.collect_list(F.struct(
                         F.col("lvl").cast("int").alias("lvl"), "cx", "cy", "cnt", "leaf")).alias("__kids")))
-        state = (state.join(children, "__pk", "left")
+        state = (pruned.join(children, "__pk", "left")
                  .withColumn("__cells", F.concat(F.filter("__cells", lambda c: c["leaf"]),
                                                  F.coalesce("__kids", F.array().cast(cell_type))))
-                 .drop("__kids", "__open"))
+                 .drop("__kids").checkpoint(eager=True))
+        if state.filter("__open").isEmpty():
+            break
+        state = state.drop("__open")
     state = state.drop("__open")
 
     # fetch the locations of the remaining leaves and choose exactly
