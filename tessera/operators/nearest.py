@@ -14,14 +14,13 @@ entry.  Then:
 * **Pyramid search** for the rest (far points, holes, points next to dense cells).
   Location counts are kept for a pyramid of cells (side ``s * 2**level``), with finer
   levels below 0 only where a level-0 cell is dense; a cell is a *leaf* at level 0 or
-  below once it holds at most ``max_cell_sites`` locations.  Each point starts from the coarsest complete
-  set of at most 64 cells and
-  walks down: per round it bounds its k-th distance by the cells it is sure about
-  (largest distance to the nearest cells holding k sites), drops every cell farther
-  than that bound, and splits the remaining non-leaf cells into their children.  When
-  only leaves remain it fetches their locations and picks exactly.  Every list a point
-  holds is bounded by the geometry of the pruned cells, and no cell list is larger
-  than ``max_cell_sites``.
+  below once it holds at most ``max_cell_sites`` locations.  Each point starts from the
+  coarsest complete set of at most 64 cells and walks down: per round it bounds its
+  k-th distance by the cells it is sure about (largest distance to the nearest cells
+  holding k sites), drops every cell farther than that bound, and splits the remaining
+  non-leaf cells into their children.  When only leaves remain it fetches their
+  locations and picks exactly.  Every list a point holds is bounded by the geometry of
+  the pruned cells, and no cell list is larger than ``max_cell_sites``.
 
 The point side is never broadcast; site-side tables are broadcast only under a byte
 limit, and every round's state is written to the checkpoint folder.
