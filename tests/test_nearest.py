@@ -85,3 +85,14 @@ def test_dense_cluster_and_stacked_sites_match_brute_force(spark):
         got = sorted((r["pid"], r["sid"]) for r in nearest(p, s, "x", "y", "sx", "sy", k=k, ties=ties,
                                                           site_order="sid", max_cell_sites=8).collect())
         assert got == brute(points, sites, k, ties), (k, ties)
+
+
+def test_nearest_without_broadcast(spark):
+    rng = random.Random(33)
+    sites = [(i, rng.uniform(0, 100), rng.uniform(0, 100)) for i in range(120)]
+    points = [(j, rng.uniform(-20, 120), rng.uniform(-20, 120)) for j in range(400)]
+    p, s = _frames(spark, points, sites)
+    got = sorted((r["pid"], r["sid"]) for r in
+                 nearest(p, s, "x", "y", "sx", "sy", k=2, ties=False, site_order="sid", cell_size=3.0,
+                         max_broadcast_bytes=0).collect())
+    assert got == brute(points, sites, 2, False)

@@ -148,3 +148,17 @@ def test_dissolve_membership_matches_any_block(spark):
     blocks = spark.createDataFrame(rows, "comm string, geometry array<array<array<array<double>>>>")
     via_blocks = sorted((r["id"], r["comm"]) for r in spatial_join(qdf, blocks, "x", "y").collect())
     assert via_union == via_blocks
+
+
+def test_shuffle_path_beyond_broadcast_limit(spark):
+    # max_broadcast_bytes=0: the cell table is not broadcast; both sides shuffle on the cell key
+    rng = random.Random(21)
+    polys = _random_polygons(rng, 30)
+    pts = [(j, rng.uniform(0, 100), rng.uniform(0, 100)) for j in range(800)]
+    pdf = spark.createDataFrame(polys, "pid int, geometry array<array<array<array<double>>>>")
+    qdf = spark.createDataFrame(pts, "id int, x double, y double")
+    expect = sorted((j, i) for j, x, y in pts for i, g in polys if py_inside(x, y, g))
+    joined = spatial_join(qdf, pdf, "x", "y", cell_size=2.0, max_broadcast_bytes=0)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan or "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert sorted((r["id"], r["pid"]) for r in joined.collect()) == expect
