@@ -30,10 +30,10 @@ def test_csv_quoted_commas_and_bom(spark, tmp_dir):
     p = os.path.join(tmp_dir, "income.csv")
     with open(p, "w", encoding="utf-8") as f:
         f.write('"Zip Code","Community","Estimated Median Income"\n')
-        f.write('90001,"Los Angeles (South Los Angeles), Florence-Graham","$33,887"\n')
+        f.write('90001,"Riverside (North Side, Old Town), Hillcrest","$33,887"\n')
     inc = ingest.clean_income(ingest.read_csv(spark, p))
     row = inc.collect()[0]
-    assert row["Community"].endswith("Florence-Graham") and row["Estimated Median Income"] == 33887
+    assert row["Community"].endswith("Hillcrest") and row["Estimated Median Income"] == 33887
     b = os.path.join(tmp_dir, "stations.csv")
     with open(b, "wb") as f:
         f.write("﻿X,Y,FID,DIVISION\n-118.28,33.75,1,HARBOR\n".encode("utf-8"))
