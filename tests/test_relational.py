@@ -77,16 +77,16 @@ def test_word_count_lines_and_spaces(spark):
 
 
 def test_course_exercises(spark):
-    emp = spark.createDataFrame([(1, "George R", 2000.0, 1, 500.0), (2, "Ann", 1500.0, 2, 0.0),
+    emp = spark.createDataFrame([(1, "Mara K", 2000.0, 1, 500.0), (2, "Ann", 1500.0, 2, 0.0),
                                  (3, "Bo", 3000.0, 1, 100.0), (4, "Cy", 1000.0, 1, 50.0)],
                                 "id int, name string, salary double, dep_id int, bonus double")
     dep = spark.createDataFrame([(1, "Dep A"), (2, "Dep B")], "id int, name string")
     assert [r["id"] for r in reports.bottom_paid(emp, 2).collect()] == [4, 2]
-    assert [r["name"] for r in reports.top_paid_in_department(emp, dep, "Dep A", 2).collect()] == ["Bo", "George R"]
+    assert [r["name"] for r in reports.top_paid_in_department(emp, dep, "Dep A", 2).collect()] == ["Bo", "Mara K"]
     emp.createOrReplaceTempView("t_emp")
     dep.createOrReplaceTempView("t_dep")
     assert [r["name"] for r in reports.top_paid_in_department_sql(spark, "t_emp", "t_dep", "Dep A", 2).collect()] \
-        == ["Bo", "George R"]
+        == ["Bo", "Mara K"]
     a = {r["name"]: r["yearly"] for r in reports.yearly_income(emp).collect()}
     b = {r["name"]: r["yearly"] for r in reports.yearly_income_pandas(emp).collect()}
-    assert a == b and a["George R"] == 14 * 2000 + 500
+    assert a == b and a["Mara K"] == 14 * 2000 + 500
