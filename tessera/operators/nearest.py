@@ -289,7 +289,16 @@ def _pyramid_search(left: DataFrame, locs: DataFrame, x: str, y: str, s0: float,
         return frame.select(F.explode(keys).alias("__k"), entry).select(
             F.col("__k.l").alias("lvl"), F.col("__k.cx").alias("cx"), F.col("__k.cy").alias("cy"), "__loc")
 
-    counted = exploded(locs, list(range(0, top + 1)))
+    # Start level: the finest level >= 0 whose grid over the sites' bounding box has at
+    # most 64 cells, so the start set is bounded by construction and every site lies in
+    # it; only levels up to there are counted.
+    def grid_cells(level: int) -> int:
+        side = s0 * 2.0 ** level
+        return ((math.floor(st["x1"] / side) - math.floor(st["x0"] / side) + 1)
+                * (math.floor(st["y1"] / side) - math.floor(st["y0"] / side) + 1))
+
+    first = next(lv for lv in range(0, top + 64) if grid_cells(lv) <= 64)
+    counted = exploded(locs, list(range(0, first + 1)))
     if lo < 0:
         counted = counted.unionByName(exploded(dense_locs, list(range(lo, 0))))
     pyramid = (counted.groupBy("lvl", "cx", "cy").agg(F.count(F.lit(1)).alias("cnt"))
@@ -297,11 +306,7 @@ def _pyramid_search(left: DataFrame, locs: DataFrame, x: str, y: str, s0: float,
                .checkpoint(eager=True))
     n_cells = pyramid.count()
     cell_type = "array<struct<lvl:int,cx:bigint,cy:bigint,cnt:bigint,leaf:boolean>>"
-    # Start from the finest level >= 0 whose non-empty cells number at most 64: that
-    # set covers every site, so starting there is exact, and it saves the coarse rounds.
-    per_level = {r["lvl"]: r["count"] for r in pyramid.groupBy("lvl").count().collect()}
-    first = min([lv for lv, n in per_level.items() if lv >= 0 and n <= 64] or [top])
-    tops = pyramid.filter(F.col("lvl") == first).collect()   # at most 64 cells (or the 2x2 top)
+    tops = pyramid.filter(F.col("lvl") == first).collect()   # at most 64 cells
     start = F.array(*[F.struct(F.lit(r["lvl"]).cast("int").alias("lvl"), F.lit(r["cx"]).cast("long").alias("cx"),
                                F.lit(r["cy"]).cast("long").alias("cy"), F.lit(r["cnt"]).cast("long").alias("cnt"),
                                F.lit(r["leaf"]).alias("leaf")) for r in tops]).cast(cell_type)
@@ -357,7 +362,7 @@ def _pyramid_search(left: DataFrame, locs: DataFrame, x: str, y: str, s0: float,
     need = state.select("__pk", F.explode("__cells").alias("c")).select(
         "__pk", F.col("c.lvl").alias("lvl"), F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy"))
     need = need.checkpoint(eager=True)
-    used = sorted({r[0] for r in need.select("lvl").distinct().collect()})   # at most top - lo + 1 values
+    used = sorted({r[0] for r in need.select("lvl").distinct().collect()})   # at most first - lo + 1 values
     pos = [lv for lv in used if lv >= 0]
     neg = [lv for lv in used if lv < 0]
     src = exploded(locs, pos) if pos else None
