@@ -278,6 +278,13 @@ def q_income_crime_per_capita_shuffle_hash(spark, d):
 
 
 def q_top_bottom_profile(spark, d):
+    return reports.descent_profile_one_pass(cm.census_blocks(spark, d), cm.income(spark, d), cm.incidents(spark, d),
+                                            cm.priority_codes(spark), CITY, 3, x="lon", y="lat", code_col="code",
+                                            codes_key="code", label_col="label", cell_size=CELL) \
+        .withColumnRenamed("count", "crime_count")
+
+
+def q_top_bottom_profile_two_pass(spark, d):
     ranking = _q3(spark, d)
     return reports.descent_profile_report(ranking, cm.incidents(spark, d), cm.census_blocks(spark, d),
                                           cm.priority_codes(spark), 3, x="lon", y="lat", code_col="code",
@@ -347,6 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "income_crime_per_capita_merge": q_income_crime_per_capita_merge,
     "income_crime_per_capita_shuffle_hash": q_income_crime_per_capita_shuffle_hash,
     "top_bottom_profile": q_top_bottom_profile,
+    "top_bottom_profile_two_pass": q_top_bottom_profile_two_pass,
     "top_bottom_incidents": q_top_bottom_incidents,
     "nearest_station": q_nearest_station,
     "nearest_station_knn": q_nearest_station_knn,
