@@ -177,6 +177,9 @@ FROM r WHERE rn <= 3""",
 }
 ORACLE_SQL["top_k_in_group_sql"] = ORACLE_SQL["top_k_in_group"]
 ORACLE_SQL["closed_rate_rank_csv"] = _CLOSED
+ORACLE_SQL["dissolved_community_count"] = f"""WITH {_BLOCKS}
+SELECT COUNT(DISTINCT comm) AS n_communities, CAST(SUM(pop) AS BIGINT) AS population
+FROM blocks WHERE city = 'AMERICA'"""
 ORACLE_SQL["top_bottom_profile_two_pass"] = ORACLE_SQL["top_bottom_profile"]
 ORACLE_SQL["income_crime_per_capita_geojson"] = _Q3
 ORACLE_SQL["closed_rate_rank_rowwise"] = _CLOSED.replace(

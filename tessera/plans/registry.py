@@ -247,6 +247,13 @@ def q_dissolve_communities(spark, d):
                       "x_min", "x_max", "y_min", "y_max")
 
 
+def q_dissolved_community_count(spark, d):
+    # the city's blocks dissolved per community, then a whole-table count
+    blocks = cm.census_blocks(spark, d).filter(F.col("CITY") == CITY)
+    comms = dissolve(blocks, "COMM", aggs=[F.sum("POP_2010").alias("population")])
+    return comms.agg(F.count(F.lit(1)).alias("n_communities"), F.sum("population").alias("population"))
+
+
 def q_dissolve_within(spark, d):
     blocks = cm.census_blocks(spark, d)
     comms = dissolve(blocks, "COMM")
@@ -348,6 +355,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "points_in_blocks_left": q_points_in_blocks_left,
     "dissolve_communities": q_dissolve_communities,
     "dissolve_within": q_dissolve_within,
+    "dissolved_community_count": q_dissolved_community_count,
     "income_crime_per_capita": q_income_crime_per_capita,
     "income_crime_per_capita_geojson": q_income_crime_per_capita_geojson,
     "income_crime_per_capita_broadcast": q_income_crime_per_capita_broadcast,
