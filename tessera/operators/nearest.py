@@ -11,6 +11,8 @@ entry.  Then:
   in-row.  The answer is *certified* when the k-th distance is below the distance
   from the point to the edge of the block (anything outside is at least that far) and
   the block touches no dense cell -- or when the block holds every site.
+* **Second pass** at a 3x coarser grid, same rules, for the points the first could
+  not certify (sparse areas).
 * **Pyramid search** for the rest (far points, holes, points next to dense cells).
   Location counts are kept for a pyramid of cells (side ``s * 2**level``), with finer
   levels below 0 only where a level-0 cell is dense; a cell is a *leaf* at level 0 or
@@ -188,47 +190,55 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
     def cell_at(side: float):
         return F.floor(F.col("__sx") / F.lit(side)), F.floor(F.col("__sy") / F.lit(side))
 
-    c0x, c0y = cell_at(s0)
-    cnt0 = locs.groupBy(c0x.alias("cx"), c0y.alias("cy")).agg(F.count(F.lit(1)).alias("c"))
-    dense0 = cnt0.filter(F.col("c") > M).select("cx", "cy")
-    n_dense = dense0.count()
-
-    # --- fast path -----------------------------------------------------------------------
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _OFFSETS])
-    lc0 = locs.select(c0x.alias("cx"), c0y.alias("cy"), entry)
-    if n_dense:
-        lc0 = lc0.join(broadcast_if_bounded(dense0, 1_000_000), ["cx", "cy"], "left_anti")
-    nb = (lc0.select(F.explode(offsets).alias("o"), "cx", "cy", "__loc")
-          .select((F.col("cx") + F.col("o.dx")).alias("__ncx"), (F.col("cy") + F.col("o.dy")).alias("__ncy"), "__loc")
-          .groupBy("__ncx", "__ncy").agg(F.collect_list("__loc").alias("__cands"))
-          .withColumn("__dense", F.lit(False)))
-    if n_dense:
-        marks = (dense0.select(F.explode(offsets).alias("o"), "cx", "cy")
-                 .select((F.col("cx") + F.col("o.dx")).alias("__ncx"), (F.col("cy") + F.col("o.dy")).alias("__ncy"))
-                 .distinct().withColumn("__hot", F.lit(True)))
-        nb = nb.join(marks, ["__ncx", "__ncy"], "full_outer").select(
-            "__ncx", "__ncy", "__cands", F.coalesce("__hot", "__dense", F.lit(False)).alias("__dense"))
-    if 9 * n_locs * row_bytes <= max_broadcast_bytes:
-        nb = F.broadcast(nb)
-
-    px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    pts = points.filter(valid(x) & valid(y)).withColumns({"__pcx": F.floor(px / F.lit(s0)),
-                                                          "__pcy": F.floor(py / F.lit(s0))})
-    j = pts.join(nb, (F.col("__pcx") == F.col("__ncx")) & (F.col("__pcy") == F.col("__ncy")), "left")
     cands_type = f"array<{locs.select(entry).schema[0].dataType.simpleString()}>"
-    j = j.withColumn("__c", F.coalesce(F.col("__cands"), F.array().cast(cands_type)))
-    j = _select(j, "__c", px, py, k_eff, ties)
-    bdist = F.least(px - (F.col("__pcx") - 1) * F.lit(s0), (F.col("__pcx") + 2) * F.lit(s0) - px,
-                    py - (F.col("__pcy") - 1) * F.lit(s0), (F.col("__pcy") + 2) * F.lit(s0) - py)
-    ok = ((F.col("__tot") == n_sites)
-          | (~F.coalesce(F.col("__dense"), F.lit(False)) & (F.col("__tot") >= k_eff)
-             & (F.col("__kth") < bdist - F.lit(1e-9 * s0))))
-    res = j.select(*point_cols, F.coalesce(ok, F.lit(False)).alias("__ok"), "__pick").checkpoint(eager=True)
-    parts = [res.filter("__ok").select(*point_cols, "__pick")]
-    left = res.filter(~F.col("__ok")).select(*point_cols)
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+
+    def grid_round(pts: DataFrame, side: float):
+        """One fast pass at cell side ``side``: certified picks, the rest, dense cells."""
+        gx, gy = cell_at(side)
+        dense = (locs.groupBy(gx.alias("cx"), gy.alias("cy")).agg(F.count(F.lit(1)).alias("c"))
+                 .filter(F.col("c") > M).select("cx", "cy"))
+        n_dense = dense.count()
+        offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _OFFSETS])
+        lc = locs.select(gx.alias("cx"), gy.alias("cy"), entry)
+        if n_dense:
+            lc = lc.join(broadcast_if_bounded(dense, 1_000_000), ["cx", "cy"], "left_anti")
+        nb = (lc.select(F.explode(offsets).alias("o"), "cx", "cy", "__loc")
+              .select((F.col("cx") + F.col("o.dx")).alias("__ncx"), (F.col("cy") + F.col("o.dy")).alias("__ncy"),
+                      "__loc")
+              .groupBy("__ncx", "__ncy").agg(F.collect_list("__loc").alias("__cands"))
+              .withColumn("__dense", F.lit(False)))
+        if n_dense:
+            marks = (dense.select(F.explode(offsets).alias("o"), "cx", "cy")
+                     .select((F.col("cx") + F.col("o.dx")).alias("__ncx"),
+                             (F.col("cy") + F.col("o.dy")).alias("__ncy"))
+                     .distinct().withColumn("__hot", F.lit(True)))
+            nb = nb.join(marks, ["__ncx", "__ncy"], "full_outer").select(
+                "__ncx", "__ncy", "__cands", F.coalesce("__hot", "__dense", F.lit(False)).alias("__dense"))
+        if 9 * n_locs * row_bytes <= max_broadcast_bytes:
+            nb = F.broadcast(nb)
+        p = pts.withColumns({"__pcx": F.floor(px / F.lit(side)), "__pcy": F.floor(py / F.lit(side))})
+        j = p.join(nb, (F.col("__pcx") == F.col("__ncx")) & (F.col("__pcy") == F.col("__ncy")), "left")
+        j = j.withColumn("__c", F.coalesce(F.col("__cands"), F.array().cast(cands_type)))
+        j = _select(j, "__c", px, py, k_eff, ties)
+        bdist = F.least(px - (F.col("__pcx") - 1) * F.lit(side), (F.col("__pcx") + 2) * F.lit(side) - px,
+                        py - (F.col("__pcy") - 1) * F.lit(side), (F.col("__pcy") + 2) * F.lit(side) - py)
+        ok = ((F.col("__tot") == n_sites)
+              | (~F.coalesce(F.col("__dense"), F.lit(False)) & (F.col("__tot") >= k_eff)
+                 & (F.col("__kth") < bdist - F.lit(1e-9 * side))))
+        res = j.select(*point_cols, F.coalesce(ok, F.lit(False)).alias("__ok"), "__pick").checkpoint(eager=True)
+        return res.filter("__ok").select(*point_cols, "__pick"), res.filter(~F.col("__ok")).select(*point_cols), \
+            dense, n_dense
+
+    # --- fast path at side s, then once more at 3s for the points it could not certify ---
+    done0, left, dense0, n_dense = grid_round(points.filter(valid(x) & valid(y)), s0)
+    parts = [done0]
     if not left.isEmpty():
-        parts.append(_pyramid_search(left, locs, x, y, s0, st, k_eff, ties, M, n_dense, dense0, cell_at,
-                                     entry, cands_type, point_cols, max_broadcast_bytes))
+        done1, left, _, _ = grid_round(left, 3.0 * s0)
+        parts.append(done1)
+        if not left.isEmpty():
+            parts.append(_pyramid_search(left, locs, x, y, s0, st, k_eff, ties, M, n_dense, dense0, cell_at,
+                                         entry, cands_type, point_cols, max_broadcast_bytes))
     picked = reduce(lambda a, b: a.unionByName(b), parts)
     out = _expand(picked, S, point_cols, site_cols, ties, distance_col, rank_col, n_sites, max_broadcast_bytes)
     if compete_by:
