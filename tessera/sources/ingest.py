@@ -50,8 +50,8 @@ def read_geojson(spark: SparkSession, path: str, properties: StructType, multi_l
     columns plus ``geometry`` as MultiPolygon coordinates and ``geometry_type``.
 
     ``multi_line=True`` reads one whole document per file (the usual layout);
-    ``multi_line=False`` reads one FeatureCollection or Feature per line, which splits
-    across tasks and is the layout to use at scale.
+    ``multi_line=False`` reads one FeatureCollection or one bare Feature per line (a
+    GeoJSON text sequence), which splits across tasks and is the layout to use at scale.
 
     Coordinates are read as raw JSON text and parsed by geometry type, because schema
     inference over a mix of Polygon and MultiPolygon degrades both to strings.
@@ -64,9 +64,13 @@ def read_geojson(spark: SparkSession, path: str, properties: StructType, multi_l
             StructField("coordinates", StringType()),
         ])),
     ])
-    doc = StructType([StructField("type", StringType()), StructField("features", ArrayType(feature))])
+    # A document is a FeatureCollection or a bare Feature (one per line in a GeoJSON
+    # text sequence); both shapes are read with one schema.
+    doc = StructType([StructField("type", StringType()), StructField("features", ArrayType(feature)),
+                      StructField("properties", properties), feature["geometry"]])
     raw = spark.read.schema(doc).option("multiLine", multi_line).json(path)
-    feats = raw.select(F.explode("features").alias("f"))
+    bare = F.array(F.struct(F.col("type"), F.col("properties"), F.col("geometry")))
+    feats = raw.select(F.explode(F.when(F.col("type") == "Feature", bare).otherwise(F.col("features"))).alias("f"))
     return flatten_features(feats.select("f.*"))
 
 

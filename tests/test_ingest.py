@@ -86,6 +86,12 @@ def test_geojson_polygon_and_multipolygon(spark, tmp_dir):
     with open(lp, "w") as f:
         f.write(json.dumps(_fc(feats[:1])) + "\n" + json.dumps(_fc(feats[1:])) + "\n")
     assert ingest.read_geojson(spark, lp, props, multi_line=False).count() == 3
+    # a GeoJSON text sequence: one bare Feature per line
+    sp = os.path.join(tmp_dir, "seq.geojson")
+    with open(sp, "w") as f:
+        f.write("\n".join(json.dumps(ft) for ft in feats) + "\n")
+    seq = {r["COMM"]: r for r in ingest.read_geojson(spark, sp, props, multi_line=False).collect()}
+    assert seq["B"]["geometry_type"] == "MultiPolygon" and len(seq["B"]["geometry"]) == 2 and len(seq) == 3
 
 
 def test_drop_missing_coordinates_keeps_zero(spark):

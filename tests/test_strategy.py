@@ -45,3 +45,12 @@ def test_incident_scan_is_pruned(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "struct<o_orderkey:bigint>" in plan  # only the key column is read from orders
+
+
+def test_sql_hint_selects_shuffled_hash_join(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = registry.q_top_k_in_group_sql(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
