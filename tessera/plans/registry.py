@@ -100,7 +100,7 @@ _BLOCK_PROPS = "block_id long, COMM string, CITY string, ZCTA10 string, HOUSING1
 
 
 def _blocks_via_geojson(spark, d):
-    """Census blocks written as GeoJSON (one FeatureCollection per line) and read back."""
+    """Census blocks written as GeoJSON (one Feature per line) and read back."""
     blocks = cm.census_blocks(spark, d)
     # Triangles t=0 are written as Polygon, t=1 as a one-part MultiPolygon.
     is_poly = (F.col("block_id") % 2) == 0
@@ -109,8 +109,8 @@ def _blocks_via_geojson(spark, d):
     feature = F.format_string('{"type":"Feature","properties":%s,"geometry":{"type":"%s","coordinates":%s}}',
                               F.to_json(F.struct("block_id", "COMM", "CITY", "ZCTA10", "HOUSING10", "POP_2010")),
                               geom["type"], geom["c"])
-    # One FeatureCollection per line (one feature each): splittable, and nothing is grouped.
-    lines = blocks.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), feature, F.lit("]}")).alias("value"))
+    # A GeoJSON text sequence, one Feature per line: splittable, and nothing is grouped.
+    lines = blocks.select(feature.alias("value"))
     path = scratch_path(spark, "blocks-geojson")
     lines.write.mode("overwrite").text(path)
     props = spark.createDataFrame([], _BLOCK_PROPS).schema
