@@ -32,7 +32,7 @@ def _norm_value(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if os.environ.get("ORACLE_EXACT") else round(v, 6)
     if hasattr(v, "isoformat"):
         return pd.Timestamp(v).isoformat()
     return v
