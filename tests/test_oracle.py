@@ -1,11 +1,14 @@
 """Every registered query against its DuckDB oracle at sf0.01 (the driver's gate)."""
 
+import os
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.01"
+os.environ.setdefault("ORACLE_EXACT", "1")   # every query matches DuckDB bit for bit; keep it so
 
 
 @pytest.fixture(scope="module")
