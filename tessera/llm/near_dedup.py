@@ -81,7 +81,8 @@ def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
 def _listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
     """value, block_a, block_b, class_id, n, values, ranks: the rows of the inverted lists."""
     values = classes.select("class_id", "n", F.posexplode("sketch").alias("rank", "value"))
-    often = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # written, so that the join has an exchange on either side and a hot value's rows can be split
+    often = written(values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     spark = classes.sparkSession
     least = spark.createDataFrame([(n, needed(n, k, percent)) for n in range(1, k + 2)], "size int, needed int")
     held = (values.join(often, "value").groupBy("class_id", "n")

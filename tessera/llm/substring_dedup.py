@@ -110,7 +110,8 @@ def factors(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
                                    F.col("first").alias("source"))).cast(FACTOR).alias("factors"))
     first = classes.select(F.col("first").alias("doc_id"), "n", "f1", "f2").join(base, ["doc_id", "n", "f1", "f2"])
     rows = first.select("doc_id", F.explode("anchors").alias("a")).select("doc_id", "a.hash", "a.at")
-    often = rows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    # written, so that the join has an exchange on either side and a hot anchor's rows can be split
+    often = written(rows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("hash"))
     wanted = written(rows.join(often, "hash").groupBy("doc_id").agg(F.collect_list("at").alias("ats")))
     windows = _windows(docs, wanted, window, seed)
     index = (windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("high"))
