@@ -16,7 +16,7 @@ from ..session import ensure_checkpoint_dir
 BROADCAST_BYTES = 16 << 20
 
 #: Entries a worker's word cache may hold before it starts again.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
 
 WORD = r"[^\x20\x09-\x0D]+"
 

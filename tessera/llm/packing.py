@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import written
-from .tokens import WordTokens, vocabulary
+from .tokens import word_tokens
 
 SIZE = 4096
 END = 1
@@ -35,7 +35,7 @@ def pieces(docs: DataFrame, size: int = SIZE, vocabulary_file: str = "word_bpe_4
     """doc_id, piece, start, length, ids_crc32 (and ids as bytes) of every piece of every row."""
 
     def run(batches):
-        tokens = WordTokens(vocabulary(vocabulary_file))
+        tokens = word_tokens(vocabulary_file)
         last = np.array([end], "<u4").tobytes()
         step = 4 * size
         for b in batches:

@@ -24,8 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import CACHE_WORDS, WordHashes, bounded, grams, written
-from .tokens import vocabulary
+from .common import WordHashes, bounded, grams, written
+from .tokens import Remembered, process_wide, vocabulary
 
 SYMBOLS = b"#*$%&|<>"
 LETTERS = {"latin": (0x41, 0x24F), "greek": (0x370, 0x3FF), "cyrillic": (0x400, 0x52F), "hebrew": (0x590, 0x5FF),
@@ -41,7 +41,7 @@ ENOUGH = 200
 GRID = 1000
 
 
-class Fertility(dict):
+class Fertility(Remembered):
     """word (bytes) -> (ids of the piece vocabulary as uint16 bytes, tokens of the byte-level vocabulary)."""
 
     def __init__(self, piece_file: str, byte_file: str):
@@ -57,9 +57,7 @@ class Fertility(dict):
         self.fallback = [self.piece.is_byte(i) for i in range(self.piece.get_piece_size())]
 
     def of(self, words: list[bytes]):
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        new = list(set(words).difference(self))
+        new = self.unknown(words)
         if new:
             texts = [w.decode() for w in new]
             for w, t, ids in zip(new, texts, self.piece.encode(texts, num_threads=1)):
@@ -94,7 +92,10 @@ def measured(docs: DataFrame, language: str | None = "lang", piece_file: str = "
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), spark_lang.alias("lang"), F.xxhash64("text").alias("key"))
 
     def run(batches):
-        tokens, hashes = Fertility(piece_file, byte_file), WordHashes()
+        import sentencepiece
+
+        tokens = process_wide(sentencepiece, ("fertility", piece_file, byte_file), lambda: Fertility(piece_file, byte_file))
+        hashes = WordHashes()
         is_byte = np.array(tokens.fallback)
         names = ["group", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *WIDTH]
         for b in batches:

@@ -5,8 +5,44 @@ from __future__ import annotations
 from .common import CACHE_WORDS
 
 
-class WordTokens(dict):
-    """word (bytes) -> its ids as little-endian uint32 bytes, remembered for the words that come again."""
+class Remembered(dict):
+    """What was found out about words, in two generations: a word in use stays, others go after a while."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def unknown(self, words: list[bytes]) -> list[bytes]:
+        """The distinct ``words`` that neither generation holds; those of the older one come along."""
+        if len(self) > CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+        older, out = self.older, []
+        for w in set(words):
+            if w not in self:
+                if w in older:
+                    self[w] = older[w]
+                else:
+                    out.append(w)
+        return out
+
+
+def process_wide(library, key: tuple, make):
+    """``make()`` once in a worker process, which outlives its tasks; kept on the ``library`` module it serves."""
+    kept = vars(library).setdefault("_tessera_kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+class WordTokens(Remembered):
+    """word (bytes) -> its ids as little-endian uint32 bytes, remembered for the words that come again.
+
+    New words are encoded together, a lone digit between them: the vocabulary makes every digit a token of
+    its own, so that token marks the words' limits.  Words that hold the digit are encoded one by one.
+    """
+
+    MARK = "0"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -14,19 +50,33 @@ class WordTokens(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.mark, = self._ids(self.MARK)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, words: list[bytes]) -> bytes:
         import numpy as np
 
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        new = list(set(words).difference(self))
+        new, own = self.unknown(words), self.MARK.encode()
+        for w in [w for w in new if own in w]:
+            self[w] = np.array(self._ids(w.decode()), "<u4").tobytes()
+        new = [w for w in new if own not in w]
         if new:
-            for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+            ids = np.array(self._ids(f" {self.MARK} ".join([w.decode() for w in new])), "<u4")
+            at = (4 * np.flatnonzero(ids == self.mark)).tolist()
+            raw = ids.tobytes()
+            for w, i, j in zip(new, [0, *[x + 4 for x in at]], [*at, len(raw)]):
+                self[w] = raw[i:j]
         return b"".join(map(self.__getitem__, words))
 
 
+def word_tokens(name: str) -> WordTokens:
+    import tokenizers
+
+    return process_wide(tokenizers, ("words", name), lambda: WordTokens(vocabulary(name)))
+
+
 def vocabulary(name: str) -> str:
     """The place of a public vocabulary file, looked up where the task runs."""
     import public_tokenizers
