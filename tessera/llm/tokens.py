@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 from .common import CACHE_WORDS
 
 
@@ -39,7 +41,9 @@ class WordTokens(Remembered):
     """word (bytes) -> its ids as little-endian uint32 bytes, remembered for the words that come again.
 
     New words are encoded together, a lone digit between them: the vocabulary makes every digit a token of
-    its own, so that token marks the words' limits.  Words that hold the digit are encoded one by one.
+    its own, so that token marks the words' limits.  Words that hold the digit are encoded one by one.  The
+    vocabulary is lower-case and parts letters from signs, so a word is looked up in lower case and without
+    one sign after an ASCII letter.
     """
 
     MARK = "0"
@@ -51,6 +55,7 @@ class WordTokens(Remembered):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.mark, = self._ids(self.MARK)
+        self.tails = {c.encode(): struct.pack("<I", *self._ids(c)) for c in ".,;:!?"}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -58,7 +63,14 @@ class WordTokens(Remembered):
     def encode(self, words: list[bytes]) -> bytes:
         import numpy as np
 
-        new, own = self.unknown(words), self.MARK.encode()
+        waiting: dict[bytes, list] = {}
+        for w in self.unknown(words):
+            core, tail = w.lower(), b""
+            if core[-1:] in self.tails and core[-2:-1].isalpha():
+                core, tail = core[:-1], core[-1:]
+            waiting.setdefault(core, []).append((w, tail))
+        own = self.MARK.encode()
+        new = [w for w in waiting if w not in self]
         for w in [w for w in new if own in w]:
             self[w] = np.array(self._ids(w.decode()), "<u4").tobytes()
         new = [w for w in new if own not in w]
@@ -68,6 +80,9 @@ class WordTokens(Remembered):
             raw = ids.tobytes()
             for w, i, j in zip(new, [0, *[x + 4 for x in at]], [*at, len(raw)]):
                 self[w] = raw[i:j]
+        for core, uses in waiting.items():
+            for w, tail in uses:
+                self[w] = self[core] + self.tails.get(tail, b"")
         return b"".join(map(self.__getitem__, words))
 
 
