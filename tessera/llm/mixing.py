@@ -71,14 +71,14 @@ def solve(cells: DataFrame, aims: DataFrame, cap: int = CAP, steps: int = STEPS)
     whole = cells.groupBy("source").agg(F.sum("n").alias("docs"))
     state = whole.withColumnRenamed("source", "name").join(aims, F.col("source").eqNullSafe(F.col("name"))).select(
         "source", "target", (F.col("source_size") / F.col("docs")).alias("mean"),
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).alias("factor"))
+        F.try_divide("target", "source_size").alias("factor"))
     edge = 64.0
     state = written(state.select("*", F.lit(0.0).alias("l"), F.lit(-edge).alias("low"), F.lit(edge).alias("high"),
                                  (F.col("factor").isNull() | (F.col("factor") >= cap)).alias("done")))
     exact = "decimal(38,6)"
     sums = cells.where("size > 0").withColumnRenamed("source", "name")
     for step in range(steps):
-        x = F.col("size") / F.col("mean")
+        x = F.try_divide("size", "mean")
         r = F.least(F.lit(float(cap)), F.exp(F.col("l") * x))
         free = F.exp(F.col("l") * x) < cap
         words = F.col("n") * F.col("size")
@@ -88,7 +88,7 @@ def solve(cells: DataFrame, aims: DataFrame, cap: int = CAP, steps: int = STEPS)
         both = both.withColumnRenamed("source", "name")
         gap = F.col("g") - F.col("target")
         low, high = F.when(gap < 0, F.col("l")).otherwise(F.col("low")), F.when(gap < 0, F.col("high")).otherwise(F.col("l"))
-        newton = F.when(F.col("h") > 0, F.col("l") - gap / F.col("h"))
+        newton = F.col("l") - F.try_divide(gap, F.col("h"))
         inside = (newton > low) & (newton < high)
         moved = state.join(both, F.col("source").eqNullSafe(F.col("name")), "left").select(
             "source", "target", "mean", "factor", "l", low.alias("low2"), high.alias("high2"),
@@ -144,7 +144,7 @@ def plan(flat: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     aims = written(targets(cells, weights, cap))
     state = solve(cells, aims, cap).select(F.col("source").alias("name"), "l", "mean", "factor")
     rate = F.when(F.col("factor").isNull(), 1.0).when(F.col("factor") >= cap, float(cap)).otherwise(
-        F.least(F.lit(float(cap)), F.exp(F.col("l") * F.col("size") / F.col("mean"))))
+        F.least(F.lit(float(cap)), F.exp(F.col("l") * F.try_divide("size", "mean"))))
     rated = cells.join(state, F.col("source").eqNullSafe(F.col("name"))).select("source", "size", "n", rate.alias("rate"))
     cell = written(rated.groupBy("source").applyInPandas(lambda p: round_cells(p, cap)[["source", "size", "n", "base", "extra"]],
                                                          "source string, size long, n long, base long, extra long")

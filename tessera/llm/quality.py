@@ -155,7 +155,7 @@ def judged(rows: DataFrame) -> DataFrame:
     own = table.where("group is not null").select(F.col("group").alias("g"), F.col("bands").alias("own"))
     rest = table.where("group is null").select(F.col("bands").alias("rest"))  # one row at most
     j = rows.join(own, F.col("group") == F.col("g"), "left").join(F.broadcast(rest), how="left")
-    wider = F.sqrt(1 + F.lit(SHORT) / F.col("n_words"))
+    wider = F.sqrt(1 + F.lit(SHORT) / F.greatest(F.col("n_words"), F.lit(1)))
     verdict = ~F.col("base_failed")
     for m in WIDTH:
         b = F.coalesce("own", "rest")[m]
