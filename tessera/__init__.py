@@ -6,4 +6,4 @@ doubles, polygons as nested coordinate arrays or prepared edge lists), so every
 predicate stays inside Catalyst and no spatial extension is needed.
 """
 
-__all__ = ["functions", "operators", "sources", "plans", "streaming"]
+__all__ = ["functions", "operators", "sources", "plans"]

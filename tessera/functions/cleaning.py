@@ -40,4 +40,4 @@ def ratio(num: Column | str, den: Column | str) -> Column:
 
 def words(text: Column | str, delimiter: str = " ") -> Column:
     """Split text into lines, then lines into tokens on ``delimiter`` (empty tokens kept)."""
-    return F.split(_c(text), "[\n" + re.escape(delimiter) + "]", -1)
+    return F.split(_c(text), "\n|" + re.escape(delimiter) if delimiter else "\n", -1)

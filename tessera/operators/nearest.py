@@ -87,15 +87,16 @@ def _select(frame: DataFrame, cands: str, px: Column, py: Column, k: int, ties:
 
         frame = frame.withColumn("__res", F.aggregate(scored, init, step))
         return frame.withColumns({"__pick": F.col("__res.a"), "__kth": F.col("__res.kth")}).drop("__res")
-    # Row-number semantics.  Rank locations by compact (d, first tie key, index) keys; the
+    # Row-number semantics.  Rank locations by compact (d, first tie key with NULLs last, its site row) keys; the
     # global top k entries all come from the first k locations in that order, so only
     # those are expanded into their site rows and re-sorted (exact also when several
     # locations tie on distance).
     keys = F.sort_array(F.transform(c_, lambda c, i: F.struct(
-        _dist(px, py, c["__sx"], c["__sy"]).alias("d"), c["__firstk"][0]["t"].alias("t"), i.alias("ci"))))
+        _dist(px, py, c["__sx"], c["__sy"]).alias("d"), F.isnull(c["__firstk"][0]["t"]).alias("tn"),
+        c["__firstk"][0]["t"].alias("t"), c["__firstk"][0]["r"].alias("r"), i.alias("ci"))))
     expanded = F.sort_array(F.flatten(F.transform(F.slice(keys, 1, k), lambda e: F.transform(
         F.element_at(c_, e["ci"] + 1)["__firstk"],
-        lambda f: F.struct(e["d"].alias("d"), f["t"].alias("t"), f["r"].alias("r"))))))
+        lambda f: F.struct(e["d"].alias("d"), F.isnull(f["t"]).alias("tn"), f["t"].alias("t"), f["r"].alias("r"))))))
     frame = frame.withColumn("__exp", expanded)
     chosen = F.transform(F.slice("__exp", 1, k), lambda e, i: F.struct(
         e["d"].alias("d"), e["t"].alias("t"), e["r"].alias("r"), (i + 1).cast("long").alias("rk")))
@@ -244,9 +245,11 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
     if compete_by:
         # rows sharing the key keep the pairs at the key's smallest distance: a partial
         # aggregate per key, joined back (a hot key is split by AQE, never sorted whole)
-        best = out.groupBy(compete_by).agg(F.min(distance_col).alias("__best"))
-        out = (out.join(best, compete_by).filter(F.col(distance_col) == F.col("__best"))
-               .drop("__best").select(*out_cols))
+        keys = [compete_by] if isinstance(compete_by, str) else list(compete_by)
+        best = out.groupBy(*keys).agg(F.min(distance_col).alias("__best"))
+        best = best.select("__best", *[F.col(c).alias(f"__by{i}") for i, c in enumerate(keys)])
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__by{i}")) for i, c in enumerate(keys)])
+        out = out.join(best, same).filter(F.col(distance_col) == F.col("__best")).select(*out_cols)
     return out
 
 

@@ -1,7 +1,7 @@
 """Join-strategy control: checked broadcasts, hints and the strategy sweep.
 
-A side is broadcast only after an explicit bound check (a bounded ``limit().count()``
-job), never because it "looks small"; beyond the bound the join falls back to a
+A side is broadcast only after an explicit check of its rows and bytes (a partial
+aggregate, one row a task), never because it "looks small"; beyond the bound the join falls back to a
 shuffle, where AQE can still re-plan or split skewed partitions at run time.
 """
 
@@ -12,7 +12,7 @@ from itertools import product
 
 from pyspark.sql import DataFrame, functions as F
 
-# The join-strategy hint names Spark accepts, in the reference's order.
+# The join-strategy hint names Spark accepts.
 JOIN_STRATEGIES = ("BROADCAST", "MERGE", "SHUFFLE_HASH", "SHUFFLE_REPLICATE_NL")
 
 # Hints we apply.  SHUFFLE_REPLICATE_NL plans a cartesian product of the two sides, which
@@ -20,10 +20,11 @@ JOIN_STRATEGIES = ("BROADCAST", "MERGE", "SHUFFLE_HASH", "SHUFFLE_REPLICATE_NL")
 SUPPORTED_STRATEGIES = ("BROADCAST", "MERGE", "SHUFFLE_HASH")
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_bounded(df: DataFrame, max_rows: int, max_bytes: int = 32 << 20) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes as JSON, else ``df`` unchanged."""
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))
+    n, b = df.agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(df) if n <= max_rows and (b or 0) <= max_bytes else df
 
 
 def with_strategy(df: DataFrame, strategy: str | None) -> DataFrame:

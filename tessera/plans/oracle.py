@@ -82,8 +82,7 @@ _CLOSED = """WITH inc AS (
     SELECT o.o_orderdate AS occurred, n.n_name AS area_name, o.o_orderstatus AS status
     FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
 r AS (SELECT CAST(year(occurred) AS INTEGER) AS year, area_name AS precinct,
-             CAST(COUNT(CASE WHEN status NOT IN ('O', 'P') THEN 1 END) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE)
-                 AS closed_case_rate
+             CAST(COUNT(*) FILTER (status NOT IN ('O', 'P')) AS DOUBLE) / COUNT(*) AS closed_case_rate
       FROM inc GROUP BY 1, 2)
 SELECT year, precinct, closed_case_rate,
        RANK() OVER (PARTITION BY year ORDER BY closed_case_rate DESC) AS case_rank

@@ -33,7 +33,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 def read_csv_no_header(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Header-less CSV with fields cast by position to ``schema``."""
-    return spark.read.format("csv").options(header="false").schema(schema).load(path)
+    return spark.read.schema(schema).csv(path, header=False)
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -76,7 +76,6 @@ def read_geojson(spark: SparkSession, path: str, properties: StructType, multi_l
 
 def flatten_features(features: DataFrame) -> DataFrame:
     """``type, properties, geometry`` rows -> property columns + parsed geometry."""
-    prop_names = features.schema["properties"].dataType.fieldNames()
     gtype = F.col("geometry.type")
     coords = F.col("geometry.coordinates")
     geom = (
@@ -84,7 +83,7 @@ def flatten_features(features: DataFrame) -> DataFrame:
         .when(gtype == "MultiPolygon", F.from_json(coords, MULTIPOLYGON_TYPE))
     )
     return features.select(
-        *[F.col(f"properties.{n}").alias(n) for n in prop_names],
+        "properties.*",
         gtype.alias("geometry_type"),
         geom.alias("geometry"),
     )

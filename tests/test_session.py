@@ -1,4 +1,6 @@
-from tessera.session import ensure_checkpoint_dir, local_path, scratch_path
+import pytest
+
+from tessera.session import ensure_checkpoint_dir, scratch_path
 
 
 def test_scratch_lives_under_the_checkpoint_folder(spark):
@@ -8,6 +10,22 @@ def test_scratch_lives_under_the_checkpoint_folder(spark):
     assert a.startswith(base.rstrip("/") + "/tessera-scratch/") and a != b   # fresh path per call
 
 
-def test_local_path_strips_scheme():
-    assert local_path("file:/tmp/a") == "/tmp/a"
-    assert local_path("file:///tmp/a") == "/tmp/a"
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import broadcast_if_bounded, physical_join_nodes, strategy_sweep, with_strategy
-from tessera.plans import city_model as cm, registry
+from tessera.plans import city_model as cm, registry, reports
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,7 +50,8 @@ def test_incident_scan_is_pruned(spark):
 def test_sql_hint_selects_shuffled_hash_join(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = registry.q_top_k_in_group_sql(spark, SF)._jdf.queryExecution().executedPlan().toString()
-        assert "ShuffledHashJoin" in plan
+        registry.q_top_k_in_group_sql(spark, SF)  # registers the views
+        hinted = reports.top_paid_in_department_sql(spark, "tessera_employees", "tessera_departments", registry.DEPARTMENT, 3, "SHUFFLE_HASH")
+        assert "ShuffledHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
