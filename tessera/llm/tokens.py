@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 
 from .common import CACHE_WORDS
@@ -40,13 +41,17 @@ def process_wide(library, key: tuple, make):
 class WordTokens(Remembered):
     """word (bytes) -> its ids as little-endian uint32 bytes, remembered for the words that come again.
 
-    New words are encoded together, a lone digit between them: the vocabulary makes every digit a token of
-    its own, so that token marks the words' limits.  Words that hold the digit are encoded one by one.  The
-    vocabulary is lower-case and parts letters from signs, so a word is looked up in lower case and without
-    one sign after an ASCII letter.
+    The vocabulary is lower-case and parts letters from signs, so a word is looked up in lower case and
+    without one sign after an ASCII letter.  A new word of printable ASCII and Latin-1 letters needs no
+    normalising: it is parted as the vocabulary parts words, and the parts' bytes go straight to its merges.
+    Other new words are encoded together, a lone digit between them: every digit is a token of its own, so that token marks the words'
+    limits.  Those that hold the digit are encoded one by one.
     """
 
     MARK = "0"
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")  # as the vocabulary's, for lower-case PLAIN
+    SIGNS = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}  # byte-level stand-ins of unprintable bytes
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -54,6 +59,7 @@ class WordTokens(Remembered):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merged = self.tokenizer.model.tokenize
         self.mark, = self._ids(self.MARK)
         self.tails = {c.encode(): struct.pack("<I", *self._ids(c)) for c in ".,;:!?"}
 
@@ -70,7 +76,19 @@ class WordTokens(Remembered):
                 core, tail = core[:-1], core[-1:]
             waiting.setdefault(core, []).append((w, tail))
         own = self.MARK.encode()
-        new = [w for w in waiting if w not in self]
+        new = []
+        for w in waiting:
+            if w not in self:
+                t = w.decode()
+                if self.PLAIN.fullmatch(t):
+                    t = t.lower()
+                    parts = (t,) if t.isalpha() else self.PARTS.findall(t)
+                    if not t.isascii():
+                        parts = [p.encode().decode("latin-1").translate(self.SIGNS) for p in parts]
+                    ids = [x.id for p in parts for x in self.merged(p)]
+                    self[w] = struct.pack(f"<{len(ids)}I", *ids)
+                else:
+                    new.append(w)
         for w in [w for w in new if own in w]:
             self[w] = np.array(self._ids(w.decode()), "<u4").tobytes()
         new = [w for w in new if own not in w]
