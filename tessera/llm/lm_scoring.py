@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import written
-from .tokens import vocabulary
+from .tokens import process_wide, vocabulary
 
 CLASSES = 7
 DISCOUNT = 0.7
@@ -50,83 +50,115 @@ def piece_table(path: str):
 
 
 class Lattice:
-    """Forward recursion over all segmentations, for many words at once."""
+    """Forward recursion over all segmentations, for many words and all classes at once.
+
+    The vocabulary's prefixes are hashed character by character, so a search from a position ends where no
+    piece goes on.  A prefix lies in the first of the tables where its slot was free.
+    """
 
     BASE = np.uint64(0x9E3779B97F4A7C15)
-    TURN = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93))
-    SHIFT = np.uint64(43)
+    TURN = 0xBF58476D1CE4E5B9
+    BITS = 19
+    CHARACTERS = 400_000
 
-    def __init__(self, path: str, logp: np.ndarray):
+    def __init__(self, path: str):
         self.sp, plain, self.bytes = piece_table(path)
-        self.logp = logp  # class x piece
-        keys = [(self._hash(np.frombuffer(p.encode("utf-32-le"), "<u4")), i) for i, p in enumerate(plain) if p]
-        self.longest = max(len(p) for p in plain if p)
-        self.key = np.zeros(len(plain), np.uint64)
-        self.tables = []
-        for turn in self.TURN:  # what collides in one table goes to the next
-            table, left = np.full(1 << 21, -1, np.int32), []
-            for h, i in keys:
-                self.key[i] = h
-                at = int((np.uint64(h) * turn) >> self.SHIFT)
-                if table[at] < 0:
-                    table[at] = i
-                else:
-                    left.append((h, i))
-            self.tables.append(table)
-            keys = left
-            if not keys:
-                break
-        assert not keys
-
-    def _hash(self, codes) -> np.uint64:
-        h = np.zeros(1, np.uint64)
-        for c in codes:
-            h = h * self.BASE + np.uint64(int(c) + 1)
-        return h[0]
+        self.size = len(plain)
+        own = np.array([i for i, p in enumerate(plain) if p])
+        texts = [plain[i] for i in own]
+        longest = max(map(len, texts))
+        codes = np.zeros((len(texts), longest), np.uint64)
+        for row, t in zip(codes, texts):
+            row[:len(t)] = [ord(c) + 1 for c in t]
+        sizes = np.array([len(t) for t in texts])
+        h, whole, prefixes = np.zeros(len(texts), np.uint64), np.zeros(len(texts), np.uint64), []
+        for k in range(longest):
+            h = h * self.BASE + codes[:, k]
+            prefixes.append(h[sizes > k])
+            whole[sizes == k + 1] = h[sizes == k + 1]
+        self.key = np.unique(np.concatenate(prefixes))
+        self.piece = np.full(len(self.key), -1)
+        self.piece[np.searchsorted(self.key, whole)] = own
+        self.tables, left = [], np.arange(len(self.key))
+        while len(left):
+            turn = np.uint64((self.TURN * (2 * len(self.tables) + 1)) % (1 << 64))
+            at = (self.key[left] * turn) >> np.uint64(64 - self.BITS)
+            table = np.full(1 << self.BITS, -1, np.int32)
+            table[at[::-1]] = left[::-1]
+            self.tables.append((turn, table))
+            left = left[table[at] != left]
 
     def _find(self, h: np.ndarray) -> np.ndarray:
-        out = np.full(h.shape, -1, np.int32)
-        for turn, table in zip(self.TURN, self.tables):
-            at = table[(h * turn) >> self.SHIFT]
-            out = np.where((at >= 0) & (self.key[at] == h), at, out)
+        """The prefix of each hash, or -1."""
+        out, open_ = np.full(len(h), -1, np.int64), np.arange(len(h))
+        for turn, table in self.tables:
+            found = table[(h[open_] * turn) >> np.uint64(64 - self.BITS)]
+            same = (found >= 0) & (self.key[found] == h[open_])
+            out[open_[same]] = found[same]
+            open_ = open_[(found >= 0) & ~same]  # a free slot: in no table
+            if not len(open_):
+                break
         return out
 
-    def marginals(self, words: list[str], classes: np.ndarray) -> np.ndarray:
-        """Natural log of each word's marginal probability under its class."""
-        out = np.empty(len(words))
-        texts = ["▁" + w for w in words]
-        sizes = np.array([len(t) for t in texts])
-        order = np.argsort(sizes, kind="stable")
-        at = 0
-        while at < len(order):
-            n = sizes[order[at]]
-            most = at + max(1, 1_000_000 // n)
-            rows = order[at:min(most, np.searchsorted(sizes[order], n, "right"))]
-            out[rows] = self._forward("".join([texts[i] for i in rows]), len(rows), int(n), classes[rows])
-            at += len(rows)
+    def marginals(self, words: list[str], logp: np.ndarray) -> np.ndarray:
+        """word x class: natural log of each word's marginal probability, from ``logp`` (class x piece)."""
+        out = np.empty((len(words), len(logp)))
+        sizes = np.array([len(w) + 1 for w in words], np.int64)
+        part = np.cumsum(sizes) // self.CHARACTERS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(words)]
+        for i, j in zip(cuts, cuts[1:]):
+            if i < j:
+                out[i:j] = self._forward(words[i:j], sizes[i:j], logp)
         return out
 
-    def _forward(self, joined: str, m: int, n: int, classes: np.ndarray) -> np.ndarray:
-        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").reshape(m, n)
+    def _forward(self, words: list[str], sizes: np.ndarray, logp: np.ndarray) -> np.ndarray:
+        codes = np.frombuffer("".join(["▁" + w for w in words]).encode("utf-32-le", "surrogatepass"), "<u4")
+        word = np.repeat(np.arange(len(words)), sizes)
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(len(codes)) - first[word]  # in the word
+        rest = sizes[word] - place
         wide = codes.astype(np.uint64) + np.uint64(1)
-        arcs, h = [], np.zeros((m, n + 1), np.uint64)
-        for size in range(1, min(self.longest, n) + 1):
-            h = h[:, :n - size + 1] * self.BASE + wide[:, size - 1:]
-            found = self._find(h)
-            w = np.where(found >= 0, self.logp[classes[:, None], np.maximum(found, 0)], -np.inf)
-            if size == 1 and (found < 0).any():
-                for c in np.unique(codes[found < 0]).tolist():
-                    ids = [self.bytes[b] for b in chr(c).encode("utf-8", "surrogatepass")]
-                    here = (codes == c) & (found < 0)
-                    w = np.where(here, self.logp[:, ids].sum(axis=1)[classes][:, None], w)
-            arcs.append(w)
-        alpha = np.full((n + 1, m), -np.inf)
-        alpha[0] = 0.0
-        for j in range(1, n + 1):
-            terms = np.array([alpha[j - size] + arcs[size - 1][:, j - size] for size in range(1, min(self.longest, j) + 1)])
-            top = terms.max(axis=0)
-            alpha[j] = top + np.log(np.exp(terms - np.where(np.isfinite(top), top, 0.0)).sum(axis=0))
-        return alpha[n]
+        at, h, starts, lengths, pieces = np.arange(len(codes)), np.zeros(len(codes), np.uint64), [], [], []
+        size = 0
+        while len(at):
+            h = h * self.BASE + wide[at + size]
+            size += 1
+            node = self._find(h)
+            piece = np.where(node >= 0, self.piece[node], -1)
+            if size == 1:  # characters that are no piece: their bytes, as one arc
+                lone = np.flatnonzero(piece < 0)
+                kinds, which = np.unique(codes[lone], return_inverse=True)
+                spelled = [[self.bytes[b] for b in chr(c).encode("utf-8", "surrogatepass")] for c in kinds.tolist()]
+                extra = [logp[:, ids].sum(axis=1)[:, None] for ids in spelled]
+                logp = np.concatenate([logp, *extra], axis=1)
+                piece[lone] = self.size + which
+            hit = piece >= 0
+            starts.append(at[hit])
+            lengths.append(np.full(int(hit.sum()), size))
+            pieces.append(piece[hit])
+            on = (node >= 0) & (rest[at] > size)
+            at, h = at[on], h[on]
+        start, length, piece = map(np.concatenate, (starts, lengths, pieces))
+        end = place[start] + length
+        target = start + length + word[start]  # a word of n characters has n + 1 nodes
+        order = np.lexsort((target, end))
+        start, piece, end, target = start[order], piece[order], end[order], target[order]
+        alpha = np.empty((len(logp), len(codes) + len(words)))
+        alpha[:, first + np.arange(len(words))] = 0.0
+        source = start + word[start]
+        cuts = np.searchsorted(end, np.arange(1, int(sizes.max()) + 2)).tolist()
+        new = np.concatenate([[True], target[1:] != target[:-1]])
+        for i, j in zip(cuts, cuts[1:]):
+            heads = np.flatnonzero(new[i:j])
+            terms = alpha[:, source[i:j]] + logp[:, piece[i:j]]
+            alpha[:, target[i:j][heads]] = np.logaddexp.reduceat(terms, heads, axis=1)
+        return alpha[:, first + sizes + np.arange(len(words))].T
+
+
+def lattice_of(piece_file: str) -> Lattice:
+    import sentencepiece
+
+    return process_wide(sentencepiece, ("lattice", piece_file), lambda: Lattice(vocabulary(piece_file)))
 
 
 def _prepared(docs: DataFrame, names: list[str]) -> DataFrame:
@@ -241,9 +273,7 @@ def scores(docs: DataFrame, piece_file: str = "piece_bpe_32k.model") -> DataFram
     whole = F.aggregate("c", F.lit(0).cast("long"), lambda a, x: a + x)
     hot = counts.where((F.col("word") != end) & (whole > 0) & (whole * HOT >= total)).collect()  # at most HOT words
     c = np.array([r["c"] for r in hot], float).reshape(-1, k)
-    lattice = Lattice(vocabulary(piece_file), logp)
-    texts = [bytes(r["word"]).decode() for r in hot]
-    marginal = np.array([lattice.marginals(texts, np.full(len(texts), z)) for z in range(k)]).T.reshape(-1, k)
+    marginal = lattice_of(piece_file).marginals([bytes(r["word"]).decode() for r in hot], logp)
     hot_score = log_word(c, tokens, distinct, marginal)
     hot_base = np.log10((c.sum(axis=1) + 0.5) / below)
     prior = np.log((ends + 0.5) / (ends.sum() + 0.5 * k)) + np.log((ends + 0.5) / (tokens + 1))
@@ -252,50 +282,52 @@ def scores(docs: DataFrame, piece_file: str = "piece_bpe_32k.model") -> DataFram
     kind = ("doc_id long, key long, held boolean, z int, word binary, n long, rows long, tokens long, known long, base double, score double")
 
     def read(batches):
+        """A row for each document, with what its frequent words give, and one for each of its rare words."""
         place, score, base, _ = shared.value
+        names = [x.split()[0] for x in kind.split(", ")]
         for b in batches:
-            for i, key, held, t in zip(*(b.column(x).to_pylist() for x in ("doc_id", "key", "held", "text"))):
+            words, times, sizes, heads = [], [], [], []
+            for i, key, t in zip(*(b.column(x).to_pylist() for x in ("doc_id", "key", "text"))):
                 count = Counter(t.encode().lower().split())
                 near = [(place[w], n) for w, n in count.items() if w in place]
-                rare = [(w, n) for w, n in count.items() if w not in place]
-                at, n = (np.array([x[j] for x in near], np.int64) for j in (0, 1))
-                by = prior + (score[at] * n[:, None]).sum(axis=0)
+                at, n = np.array(near, np.int64).reshape(-1, 2).T
+                by = prior + n @ score[at]
                 z = int(by.argmax())
-                size = len(rare) + 1
-                head = [[i] * size, [key] * size, [held] * size, [z] * size, [b" %d %d" % (i or 0, key)] + [w for w, _ in rare],
-                        [0] + [x for _, x in rare], [1] + [0] * len(rare), [sum(count.values()) + 1] + [0] * len(rare),
-                        [int(n.sum()) + (ends.sum() > 0)] + [0] * len(rare),
-                        [float((base[at] * n).sum()) + end_base] + [0.0] * len(rare), [float(by[z])] + [0.0] * len(rare)]
-                types = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), *[pa.int64()] * 4, pa.float64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(head, types)],
-                                                 ["doc_id", "key", "held", "z", "word", "n", "rows", "tokens", "known", "base", "score"])
-
-    path_name = piece_file
-
-    def judge(batches):
-        own = Lattice(vocabulary(path_name), shared.value[3])
+                heads.append((z, sum(count.values()) + 1, int(n.sum()) + (ends.sum() > 0), float(base[at] @ n) + end_base, float(by[z])))
+                rare = [w for w in count if w not in place]
+                words += [b" %d %d" % (i or 0, key), *rare]  # a word of its own, that joins nothing
+                times += [0, *[count[w] for w in rare]]
+                sizes.append(len(rare) + 1)
+            if not sizes:
+                continue
+            own = np.repeat(np.arange(len(sizes)), sizes)
+            lead = np.concatenate([[True], own[1:] != own[:-1]])
+            z, tokens_of, known, base_of, score_of = (np.array(x) for x in zip(*heads))
+            ids = pa.array(own)
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(x).take(ids) for x in ("doc_id", "key", "held")), pa.array(z[own].astype(np.int32)), pa.array(words, pa.binary()),
+                 pa.array(np.array(times, np.int64)), *(pa.array(np.where(lead, x, 0).astype(np.int64)) for x in (1, tokens_of[own], known[own])),
+                 *(pa.array(np.where(lead, x, 0.0)) for x in (base_of[own], score_of[own]))], names)
+
+    def weigh(batches):
+        """Each rare word once: whether training knows it, its base score and its score in every class."""
+        weights = shared.value[3]
+        own = lattice_of(piece_file)
         for b in batches:
-            n = b.column("n").to_numpy()
-            known, base, score = (b.column(x).to_numpy().copy() for x in ("known", "base", "score"))
-            at = np.flatnonzero(n > 0)
-            if len(at):
-                z = b.column("z").to_numpy()[at]
-                words = b.column("word").take(pa.array(at)).to_pylist()
-                counts_of = np.array(b.column("c").take(pa.array(at)).to_pylist(), float).reshape(-1, k)
-                first: dict = {}
-                which = np.array([first.setdefault((w, y), len(first)) for w, y in zip(words, z.tolist())])
-                marginal = own.marginals([w.decode() for w, _ in first], np.array([y for _, y in first]))[which]
-                c = counts_of.sum(axis=1)
-                known[at] += n[at] * (c > 0)
-                base[at] += n[at] * np.log10((c + 0.5) / below)
-                score[at] += n[at] * log_word(counts_of[np.arange(len(at)), z], tokens[z], distinct[z], marginal)
-            yield pa.RecordBatch.from_arrays([b.column(x) for x in ("doc_id", "key", "held", "rows", "tokens")]
-                                             + [pa.array(known), pa.array(base), pa.array(score)],
-                                             ["doc_id", "key", "held", "rows", "tokens", "known", "base", "score"])
-
-    joined = rows.mapInArrow(read, kind).join(counts.withColumnRenamed("word", "word2"), F.col("word") == F.col("word2"), "left")
-    parts = joined.select("doc_id", "key", "held", "z", "word", "n", "rows", "tokens", "known", "base", "score", "c").mapInArrow(
-        judge, "doc_id long, key long, held boolean, rows long, tokens long, known long, base double, score double")
+            c = b.column("c").flatten().to_numpy().reshape(-1, k).astype(float)
+            s = log_word(c, tokens, distinct, own.marginals([w.decode() for w in b.column("word").to_pylist()], weights))
+            seen = c.sum(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("word"), pa.array((seen > 0).astype(np.int32)), pa.array(np.log10((seen + 0.5) / below)),
+                 pa.ListArray.from_arrays(np.arange(0, s.size + 1, k, dtype=np.int32), s.ravel())], ["word2", "seen", "base2", "score2"])
+
+    rare = counts.where((F.col("word") != end) & ((whole == 0) | (whole * HOT < total)))
+    rare = rare.mapInArrow(weigh, "word2 binary, seen int, base2 double, score2 array<double>")
+    joined = rows.mapInArrow(read, kind).join(rare, F.col("word") == F.col("word2"), "left")
+    n = F.col("n")
+    parts = joined.select("doc_id", "key", "held", "rows", "tokens", (F.col("known") + F.when(F.col("seen") > 0, n).otherwise(0)).alias("known"),
+                          (F.col("base") + F.coalesce(n * F.col("base2"), F.lit(0.0))).alias("base"),
+                          (F.col("score") + F.coalesce(n * F.get("score2", F.col("z")), F.lit(0.0))).alias("score"))
     out = parts.groupBy("doc_id", "key", "held").agg(*[F.sum(x).alias(x) for x in ("rows", "tokens", "known", "base", "score")])
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
     return out.select("doc_id", F.col("held").alias("held_out"), (F.col("tokens") / F.col("rows")).cast("long").alias("n_tokens"),

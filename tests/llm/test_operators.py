@@ -281,7 +281,7 @@ def test_lattice_sums_all_segmentations():
     sp, plain, byte_ids = lm_scoring.piece_table(vocabulary("piece_bpe_32k.model"))
     r = np.random.default_rng(1)
     logp = np.log(r.dirichlet(np.ones(len(plain)), 2))
-    lattice = lm_scoring.Lattice(vocabulary("piece_bpe_32k.model"), logp)
+    lattice = lm_scoring.Lattice(vocabulary("piece_bpe_32k.model"))
     ids = {p: i for i, p in enumerate(plain) if p}
 
     def brute(s, z):
@@ -293,9 +293,24 @@ def test_lattice_sums_all_segmentations():
         return out
 
     tests = ["then", "a", "élan", "straße", "ሴx", "😀"]
-    got = lattice.marginals(tests, np.array([0, 1, 0, 1, 0, 1]))
-    for w, z, g in zip(tests, [0, 1, 0, 1, 0, 1], got):
-        assert abs(g - math.log(brute("▁" + w, z))) < 1e-9
+    got = lattice.marginals(tests, logp)
+    for w, row in zip(tests, got):
+        for z in (0, 1):
+            assert abs(row[z] - math.log(brute("▁" + w, z))) < 1e-9
+    assert lattice.marginals([], logp).shape == (0, 2)
+
+
+def test_word_tokens_are_the_tokenizers():
+    from tessera.llm.tokens import WordTokens, vocabulary
+
+    r = np.random.default_rng(5)
+    signs = [chr(c) for c in range(33, 127)] + list("abcdefghijABC0123'.,éÉñßÿ×÷ª字Å\u0301\u212bİ\x1c\x7fﬁ")
+    words = ["".join(r.choice(signs, r.integers(1, 12)).tolist()) for _ in range(4000)] + ["don't", "Él's", "<|endoftext|>", "</w>", "ÀÖØÞ."]
+    words = [w.encode() for w in words if w.encode().split() == [w.encode()]]
+    tokens = WordTokens(vocabulary("word_bpe_49k.json"))
+    tokens.encode(words)
+    for w in words:
+        assert tokens[w] == np.array(tokens._ids(w.decode()), "<u4").tobytes()
 
 
 def test_lm_scores(docs, texts, empty):
