@@ -3,7 +3,9 @@
 For a tiling (polygons that do not overlap and share whole edges), an edge on the
 union's boundary belongs to exactly one member, and an interior edge to two.  So:
 explode every member's edges, snap their end points to a grid so that shared edges
-compare equal, make them undirected, count per (group, edge), keep odd counts.  The
+compare equal, make them undirected, count per (group, edge), keep odd counts.  A
+polygon that a group holds more than once (whatever its direction or first point) is
+taken once, so that copies don't cancel each other.  The
 result is the union's boundary as an edge list, which the even-odd ray cast queries
 directly.  Everything is a shuffle aggregate: linear and distributed; the only
 per-group collection is the union's *boundary*, whose size is set by the geometry,
@@ -30,21 +32,26 @@ def dissolve(df: DataFrame, by, geometry: str = "geometry", edges: str = "edges"
     keys = _cols(by)
     if edges not in df.columns:
         df = df.withColumn(edges, polygon_edges(F.col(geometry)))
-    e = df.select(*keys, F.explode(edges).alias("__e"))
 
     def snapped(xc: Column, yc: Column) -> Column:
         return F.struct(F.round(xc, snap_digits).alias("x"), F.round(yc, snap_digits).alias("y"))
 
-    a = snapped(F.col("__e.x1"), F.col("__e.y1"))
-    b = snapped(F.col("__e.x2"), F.col("__e.y2"))
-    und = e.select(*keys, F.least(a, b).alias("__p"), F.greatest(a, b).alias("__q")).filter(F.col("__p") != F.col("__q"))
+    def undirected(e: Column) -> Column:
+        a, b = snapped(e["x1"], e["y1"]), snapped(e["x2"], e["y2"])
+        return F.struct(F.least(a, b).alias("p"), F.greatest(a, b).alias("q"))
+
+    members = df.select(*keys, F.array_sort(F.transform(edges, undirected)).alias("__m")).distinct()
+    und = members.select(*keys, F.explode("__m").alias("__e")).select(*keys, F.col("__e.p").alias("__p"), F.col("__e.q").alias("__q"))
+    und = und.filter(F.col("__p") != F.col("__q"))
     odd = und.groupBy(*keys, "__p", "__q").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") % 2 == 1)
     edge = F.struct(F.col("__p.x").alias("x1"), F.col("__p.y").alias("y1"),
                     F.col("__q.x").alias("x2"), F.col("__q.y").alias("y2"))
     geom = odd.groupBy(*keys).agg(F.sort_array(F.collect_list(edge)).alias(edges))
     if aggs:
         attrs = df.groupBy(*keys).agg(*aggs)
-        out = attrs.join(geom, keys, "left")
+        geom = geom.select(*[geom[k].alias(f"__k{i}") for i, k in enumerate(keys)], edges)
+        same = [attrs[k].eqNullSafe(geom[f"__k{i}"]) for i, k in enumerate(keys)]  # a NULL key is a group too
+        out = attrs.join(geom, same, "left").drop(*[f"__k{i}" for i in range(len(keys))])
     else:
         out = geom
     if with_bbox:

@@ -78,7 +78,7 @@ def _level_expr(cell_size: float, max_cells: int, max_level: int) -> Column:
 
 def _side_sql(level: str, spec_size: float, levels) -> str:
     whens = " ".join(f"WHEN {lv} THEN {_dbl(spec_size * FAN ** lv)}" for lv in levels)
-    return f"(CASE {level} {whens} END)"
+    return f"(CASE {level} {whens} ELSE raise_error('a polygon needs a grid level that spec lacks: plan the grid for these polygons') END)"
 
 
 def plan_grid(prepared: DataFrame, cell_size: float | None = None, max_cells: int = 16,
