@@ -9,6 +9,7 @@ the column types line up with Spark's.
 
 from __future__ import annotations
 
+from ..operators.strategy import SUPPORTED_STRATEGIES
 from .city_model import PRIORITY_LABELS
 
 _PTS = """pts AS (
@@ -52,21 +53,23 @@ _STATIONS = """st AS (
     FROM supplier)"""
 
 
-def _q3_ctes(city: str) -> str:
-    return f"""WITH {_PTS}, {_LOC}, {_BLOCKS}, {_INCOME},
+def _q3_ctes(city: str, blocks: str = _BLOCKS, repeated: str = "false") -> str:
+    return f"""WITH {_PTS}, {_LOC}, {blocks}, {_INCOME},
+income AS (SELECT * FROM inc UNION ALL SELECT * FROM inc WHERE {repeated}),
 zips AS (SELECT zcta, comm, SUM(housing) AS housing, SUM(pop) AS population
          FROM blocks WHERE city = '{city}' GROUP BY zcta, comm),
-jz AS (SELECT zips.*, inc.median FROM zips JOIN inc ON TRY_CAST(zcta AS INTEGER) = inc.zip),
+jz AS (SELECT zips.*, income.median FROM zips JOIN income ON TRY_CAST(zcta AS INTEGER) = income.zip),
 ci AS (SELECT comm, CAST(SUM(population) AS BIGINT) AS comm_population,
               CAST(SUM(housing * median) AS BIGINT) AS comm_income FROM jz GROUP BY comm),
-cr AS (SELECT jz.comm, COUNT(*) AS crimes FROM loc
-       JOIN jz ON CAST(90000 + loc.n * 4 + loc.q AS VARCHAR) = jz.zcta GROUP BY jz.comm),
+area AS (SELECT DISTINCT zcta, comm FROM jz),
+cr AS (SELECT area.comm, COUNT(*) AS crimes FROM loc
+       JOIN area ON CAST(90000 + loc.n * 4 + loc.q AS VARCHAR) = area.zcta GROUP BY area.comm),
 q3 AS (SELECT ci.comm AS COMM,
               CASE WHEN comm_population = 0 THEN NULL ELSE CAST(crimes AS DOUBLE) / CAST(comm_population AS DOUBLE) END
                   AS crimes_per_capita,
               CASE WHEN comm_population = 0 THEN NULL ELSE CAST(comm_income AS DOUBLE) / CAST(comm_population AS DOUBLE) END
                   AS income_per_capita
-       FROM ci JOIN cr ON ci.comm = cr.comm)"""
+       FROM ci JOIN cr ON ci.comm IS NOT DISTINCT FROM cr.comm)"""
 
 
 def _age_sql(table: str, value: str, text: str, needle: str) -> str:
@@ -78,16 +81,22 @@ def _age_sql(table: str, value: str, text: str, needle: str) -> str:
     FROM {table} WHERE contains({text}, '{needle}') GROUP BY 1"""
 
 
-_CLOSED = """WITH inc AS (
-    SELECT o.o_orderdate AS occurred, n.n_name AS area_name, o.o_orderstatus AS status
+def _closed_sql(status: str = "o.o_orderstatus", closed: str = "status NOT IN ('O', 'P')") -> str:
+    return f"""WITH inc AS (
+    SELECT o.o_orderdate AS occurred, n.n_name AS area_name, {status} AS status
     FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
 r AS (SELECT CAST(year(occurred) AS INTEGER) AS year, area_name AS precinct,
-             CAST(COUNT(*) FILTER (status NOT IN ('O', 'P')) AS DOUBLE) / COUNT(*) AS closed_case_rate
+             CAST(COUNT(*) FILTER ({closed}) AS DOUBLE) / COUNT(*) AS closed_case_rate
       FROM inc GROUP BY 1, 2)
 SELECT year, precinct, closed_case_rate,
        RANK() OVER (PARTITION BY year ORDER BY closed_case_rate DESC) AS case_rank
 FROM r"""
 
+
+_CLOSED = _closed_sql()
+_NO_STATUS = "CASE WHEN day(o.o_orderdate) % 3 <> 0 THEN o.o_orderstatus END"
+_ROWWISE = "status IS NULL OR status NOT IN ('O', 'P')"
+
 _WORDS = """SELECT word, COUNT(*) AS word_count
 FROM (SELECT unnest(regexp_split_to_array(text, '[\\n ]')) AS word FROM documents)
 GROUP BY word"""
@@ -181,8 +190,7 @@ SELECT COUNT(DISTINCT comm) AS n_communities, CAST(SUM(pop) AS BIGINT) AS popula
 FROM blocks WHERE city = 'AMERICA'"""
 ORACLE_SQL["top_bottom_profile_two_pass"] = ORACLE_SQL["top_bottom_profile"]
 ORACLE_SQL["income_crime_per_capita_geojson"] = _Q3
-ORACLE_SQL["closed_rate_rank_rowwise"] = _CLOSED.replace(
-    "WHEN status NOT IN ('O', 'P')", "WHEN status IS NULL OR status NOT IN ('O', 'P')")
+ORACLE_SQL["closed_rate_rank_rowwise"] = _closed_sql(closed=_ROWWISE)
 ORACLE_SQL["top_bottom_incidents"] = _q3_ctes("AMERICA") + f""",
 {_CODES},
 top AS (SELECT COMM, 'top' AS side FROM q3 ORDER BY income_per_capita DESC NULLS LAST, COMM LIMIT 3),
@@ -198,3 +206,24 @@ r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY incident_id ORDER BY distance, s
 SELECT division, COUNT(*) AS crime_count, round(AVG(distance), 9) AS average_distance
 FROM r WHERE rn = 1 GROUP BY division"""
 ORACLE_SQL["yearly_income_udf"] = ORACLE_SQL["yearly_income"]
+ORACLE_SQL["null_status_rate"] = _closed_sql(_NO_STATUS)
+ORACLE_SQL["null_status_rate_rowwise"] = _closed_sql(_NO_STATUS, _ROWWISE)
+ORACLE_SQL["dirty_text_clean"] = """SELECT o_orderkey,
+       CASE WHEN o_orderkey % 4 = 0 THEN CAST(floor(o_totalprice) AS INTEGER) END AS price,
+       CASE WHEN o_orderkey % 3 = 1 THEN o_orderdate END AS occurred,
+       CASE WHEN o_orderkey % 2 = 1 THEN CAST(o_orderkey AS DOUBLE) END AS per_person
+FROM orders"""
+ORACLE_SQL["missing_coordinates"] = f"""WITH {_PTS}
+SELECT incident_id, x AS LON, y AS LAT FROM pts WHERE incident_id % 5 <> 0 AND incident_id % 11 <> 0"""
+ORACLE_SQL["code_table_csv"] = """SELECT CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN 'Label, ' || lower(o_orderpriority) END AS priority_label,
+       COUNT(*) AS crime_count FROM orders GROUP BY 1"""
+ORACLE_SQL["geojson_discovered"] = f"""WITH {_BLOCKS}
+SELECT block_id, comm AS COMM, city AS CITY, zcta AS ZCTA10, CAST(housing AS BIGINT) AS HOUSING10, CAST(pop AS BIGINT) AS POP_2010,
+       CASE WHEN block_id % 2 = 0 THEN 'Polygon' ELSE 'MultiPolygon' END AS geometry_type
+FROM blocks"""
+ORACLE_SQL["income_duplicate_zip"] = _q3_ctes("AMERICA", repeated="zip % 3 = 0") + "\nSELECT * FROM q3"
+ORACLE_SQL["null_community"] = _q3_ctes("AMERICA", _BLOCKS.replace(
+    "n.n_name AS comm", "CASE WHEN n.n_nationkey % 10 <> 1 THEN n.n_name END AS comm")) + "\nSELECT * FROM q3"
+ORACLE_SQL["nearest_ties"] = ORACLE_SQL["nearest_station"].replace("(s_suppkey *", "((s_suppkey % 21) *")
+ORACLE_SQL |= {f"income_crime_per_capita_{a}_then_{b}".lower(): _Q3
+               for a in SUPPORTED_STRATEGIES for b in SUPPORTED_STRATEGIES if a != b}

@@ -12,12 +12,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.cleaning import INCIDENT_TS_FORMAT, format_currency, parse_currency
+from ..functions.cleaning import INCIDENT_TS_FORMAT, format_currency, parse_currency, ratio
 from ..functions.geometry import planar_distance, sphere_distance, ring_area
 from ..operators.dissolve import dissolve
 from ..operators.relational import code_lookup, word_count
 from ..operators.spatial import spatial_join
-from ..operators.strategy import broadcast_if_bounded
+from ..operators.strategy import SUPPORTED_STRATEGIES, broadcast_if_bounded
 from ..session import scratch_path
 from ..sources import ingest
 from . import city_model as cm
@@ -66,6 +66,22 @@ def q_closed_rate_rank_rowwise(spark, d):
                                       rank="case_rank")
 
 
+def _with_missing_status(spark, d):
+    """The incidents with no status where the day of the month divides by three."""
+    known = F.day("occurred") % 3 != 0
+    return _precinct_incidents(spark, d).withColumn("status", F.when(known, F.col("status")))
+
+
+def q_null_status_rate(spark, d):
+    return reports.closed_case_report(_with_missing_status(spark, d), date_col="occurred", area_col="area_name",
+                                      status_col="status", open_values=_OPEN, rank="case_rank")
+
+
+def q_null_status_rate_rowwise(spark, d):
+    return reports.closed_case_report(_with_missing_status(spark, d), date_col="occurred", area_col="area_name",
+                                      status_col="status", open_values=_OPEN, null_is_closed=True, rank="case_rank")
+
+
 def q_closed_rate_rank_sql(spark, d):
     _precinct_incidents(spark, d).createOrReplaceTempView("tessera_incidents")
     return reports.closed_case_report_sql(spark, "tessera_incidents", date_col="occurred", area_col="area_name",
@@ -86,6 +102,37 @@ def q_currency_clean(spark, d):
     return txt.withColumn("price_int", parse_currency("price_text", "bigint"))
 
 
+def q_dirty_text_clean(spark, d):
+    # currency and timestamp text that does not parse, is empty or missing; a divisor of zero
+    key = F.col("o_orderkey")
+    price = (F.when(key % 4 == 0, format_currency(F.floor("o_totalprice"))).when(key % 4 == 1, F.lit("n/a"))
+             .when(key % 4 == 2, F.lit("")))
+    when = F.when(key % 3 == 0, F.lit("unknown")).when(key % 3 == 1, F.date_format("o_orderdate", INCIDENT_TS_FORMAT))
+    raw = cm.table(spark, d, "orders").select("o_orderkey", price.alias("price"), when.alias("DATE OCC"),
+                                              (key % 2).alias("people"))
+    cleaned = ingest.clean_incidents(ingest.clean_income(raw, "price"), ts_columns=("DATE OCC",))
+    return cleaned.select("o_orderkey", "price", F.col("`DATE OCC`").cast("timestamp_ntz").alias("occurred"),
+                          ratio("o_orderkey", "people").alias("per_person"))
+
+
+def q_missing_coordinates(spark, d):
+    inc = cm.incidents(spark, d)
+    key = F.col("incident_id")
+    holes = inc.select("incident_id", F.when(key % 5 != 0, F.col("lon")).alias("LON"), F.when(key % 11 != 0, F.col("lat")).alias("LAT"))
+    return ingest.drop_missing_coordinates(holes)
+
+
+def q_code_table_csv(spark, d):
+    # the code table as it ships: a CSV file that starts with a byte-order mark; one code is not in it
+    code = F.col("o_orderpriority")
+    codes = cm.table(spark, d, "orders").where(code != "4-NOT SPECIFIED").select(
+        code.alias("\ufeffcode"), F.concat(F.lit("Label, "), F.lower(code)).alias("label")).distinct()
+    path = scratch_path(spark, "codes-csv")
+    ingest.write_csv(codes, path)
+    out = code_lookup(cm.incidents(spark, d).select("code"), ingest.read_csv(spark, path), "code", "code", "label")
+    return out.groupBy(F.col("label").alias("priority_label")).agg(F.count(F.lit(1)).alias("crime_count"))
+
+
 def q_ts_parse(spark, d):
     o = cm.table(spark, d, "orders")
     raw = o.select("o_orderkey", F.date_format("o_orderdate", INCIDENT_TS_FORMAT).alias("DATE OCC"),
@@ -99,8 +146,8 @@ def q_ts_parse(spark, d):
 _BLOCK_PROPS = "block_id long, COMM string, CITY string, ZCTA10 string, HOUSING10 long, POP_2010 long"
 
 
-def _blocks_via_geojson(spark, d):
-    """Census blocks written as GeoJSON (one Feature per line) and read back."""
+def _write_blocks_geojson(spark, d):
+    """Census blocks as GeoJSON, one Feature per line; returns the path."""
     blocks = cm.census_blocks(spark, d)
     # Triangles t=0 are written as Polygon, t=1 as a one-part MultiPolygon.
     is_poly = (F.col("block_id") % 2) == 0
@@ -113,8 +160,12 @@ def _blocks_via_geojson(spark, d):
     lines = blocks.select(feature.alias("value"))
     path = scratch_path(spark, "blocks-geojson")
     lines.write.mode("overwrite").text(path)
+    return path
+
+
+def _blocks_via_geojson(spark, d):
     props = spark.createDataFrame([], _BLOCK_PROPS).schema
-    return ingest.read_geojson(spark, path, props, multi_line=False)
+    return ingest.read_geojson(spark, _write_blocks_geojson(spark, d), props, multi_line=False)
 
 
 def q_geojson_features(spark, d):
@@ -126,6 +177,12 @@ def q_geojson_features(spark, d):
                        F.array_min(F.transform(F.flatten(F.flatten("geometry")), lambda p: p[1])).alias("y_min"))
 
 
+def q_geojson_discovered(spark, d):
+    # the property names and types come from the file itself
+    back = ingest.read_geojson(spark, _write_blocks_geojson(spark, d), multi_line=False)
+    return back.select("block_id", "COMM", "CITY", "ZCTA10", "HOUSING10", "POP_2010", "geometry_type")
+
+
 def q_income_crime_per_capita_geojson(spark, d):
     blocks = _blocks_via_geojson(spark, d).drop("geometry_type")
     return reports.income_crime_report(blocks, cm.income(spark, d), cm.incidents(spark, d), CITY, x="lon", y="lat",
@@ -134,13 +191,14 @@ def q_income_crime_per_capita_geojson(spark, d):
 
 def q_closed_rate_rank_csv(spark, d):
     # the incident file as it ships: CSV with a header, 12-hour timestamp text and an
-    # "AREA " column whose name ends in a space; read with inferred types, then cleaned
+    # "AREA " column whose name ends in a space; read as declared, then cleaned
     raw = _precinct_incidents(spark, d).select(
         F.date_format("occurred", INCIDENT_TS_FORMAT).alias("DATE OCC"), F.col("area_name").alias("AREA "),
         F.col("status").alias("Status Desc"))
     path = scratch_path(spark, "incidents-csv")
     ingest.write_csv(raw, path, header=True)
-    crimes = ingest.clean_incidents(ingest.read_csv(spark, path), ts_columns=("DATE OCC", "Date Rptd"))
+    declared = "`DATE OCC` string, `AREA ` string, `Status Desc` string"
+    crimes = ingest.clean_incidents(ingest.read_csv(spark, path, declared), ts_columns=("DATE OCC", "Date Rptd"))
     return reports.closed_case_report(crimes, date_col="DATE OCC", area_col="AREA", status_col="Status Desc",
                                       open_values=_OPEN, rank="case_rank")
 
@@ -262,10 +320,27 @@ def q_dissolve_within(spark, d):
     return hits.groupBy("COMM").agg(F.count(F.lit(1)).alias("crime_count"))
 
 
-def _q3(spark, d, strategy=None):
-    return reports.income_crime_report(cm.census_blocks(spark, d), cm.income(spark, d), cm.incidents(spark, d),
-                                       CITY, x="lon", y="lat", income_strategy=strategy, spatial_strategy=strategy,
-                                       cell_size=2 * CELL)
+def _q3(spark, d, strategy=None, spatial=None, blocks=None, income=None):
+    return reports.income_crime_report(blocks or cm.census_blocks(spark, d), income or cm.income(spark, d),
+                                       cm.incidents(spark, d), CITY, x="lon", y="lat", income_strategy=strategy,
+                                       spatial_strategy=spatial or strategy, cell_size=2 * CELL)
+
+
+def q_income_duplicate_zip(spark, d):
+    # the income table holds every third zip twice: its income and people count twice, its incidents once
+    income = cm.income(spark, d)
+    return _q3(spark, d, income=income.unionByName(income.where(F.col("Zip Code") % 3 == 0)))
+
+
+def q_null_community(spark, d):
+    # blocks without a community are one community of their own
+    blocks = cm.census_blocks(spark, d)
+    named = F.floor(F.col("block_id") / 8) % 10 != 1
+    return _q3(spark, d, blocks=blocks.withColumn("COMM", F.when(named, F.col("COMM"))))
+
+
+def _q3_pair(first, second):
+    return lambda spark, d: _q3(spark, d, first, second)
 
 
 def q_income_crime_per_capita(spark, d):
@@ -314,6 +389,16 @@ def q_nearest_station(spark, d):
         .select("division", "crime_count", F.round("average_distance", 9).alias("average_distance"))
 
 
+def q_nearest_ties(spark, d):
+    # the stations share 21 spots; an incident keeps every station of its nearest spot
+    spot = F.col("station_id") % 21
+    st = cm.stations(spark, d).select("division", cm.hashed_coordinate(spot, cm.STATION_MULT_X, cm.STATION_OFF_X).alias("sx"),
+                                      cm.hashed_coordinate(spot, cm.STATION_MULT_Y, cm.STATION_OFF_Y).alias("sy"))
+    return reports.nearest_station_report(cm.incidents(spark, d), st, key="incident_id", x="lon", y="lat", station_x="sx",
+                                          station_y="sy", division="division") \
+        .select("division", "crime_count", F.round("average_distance", 9).alias("average_distance"))
+
+
 def q_nearest_station_knn(spark, d):
     return reports.knn_station_report(cm.incidents(spark, d), cm.stations(spark, d), key="incident_id", x="lon",
                                       y="lat", station_x="sx", station_y="sy", station_key="station_id",
@@ -367,4 +452,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_station": q_nearest_station,
     "nearest_station_knn": q_nearest_station_knn,
     "nearest_k": q_nearest_k,
+    "nearest_ties": q_nearest_ties,
+    "null_status_rate": q_null_status_rate,
+    "null_status_rate_rowwise": q_null_status_rate_rowwise,
+    "dirty_text_clean": q_dirty_text_clean,
+    "missing_coordinates": q_missing_coordinates,
+    "code_table_csv": q_code_table_csv,
+    "geojson_discovered": q_geojson_discovered,
+    "income_duplicate_zip": q_income_duplicate_zip,
+    "null_community": q_null_community,
 }
+
+# the pairs of different hints for Q3's two joins; the equal ones are registered above
+HINT_PAIRS = [(a, b) for a in SUPPORTED_STRATEGIES for b in SUPPORTED_STRATEGIES if a != b]
+QUERIES |= {f"income_crime_per_capita_{a}_then_{b}".lower(): _q3_pair(a, b) for a, b in HINT_PAIRS}

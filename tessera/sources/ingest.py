@@ -14,6 +14,17 @@ from ..functions.cleaning import INCIDENT_TS_FORMAT, parse_currency, parse_times
 from ..functions.geometry import MULTIPOLYGON_TYPE
 
 
+# The headers of the known files, with their types as text in the file allows.
+INCIDENTS = """DR_NO long, `Date Rptd` string, `DATE OCC` string, `TIME OCC` int, `AREA ` int, `AREA NAME` string,
+    `Rpt Dist No` int, `Part 1-2` int, `Crm Cd` int, `Crm Cd Desc` string, Mocodes string, `Vict Age` int, `Vict Sex` string,
+    `Vict Descent` string, `Premis Cd` int, `Premis Desc` string, `Weapon Used Cd` int, `Weapon Desc` string, Status string,
+    `Status Desc` string, `Crm Cd 1` int, `Crm Cd 2` int, `Crm Cd 3` int, `Crm Cd 4` int, LOCATION string,
+    `Cross Street` string, LAT double, LON double"""
+STATIONS = "X double, Y double, FID int, DIVISION string, LOCATION string, PREC int"
+INCOME = "`Zip Code` int, Community string, `Estimated Median Income` string"
+DESCENT_CODES = "`Vict Descent` string, `Vict Descent Full` string"
+
+
 # --- sources -----------------------------------------------------------------------
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
@@ -31,6 +42,23 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.options(**options).csv(path)
 
 
+def read_incidents(spark: SparkSession, path: str) -> DataFrame:
+    """The incident file, by its declared schema, with timestamps parsed and column names repaired."""
+    return clean_incidents(read_csv(spark, path, INCIDENTS))
+
+
+def read_income(spark: SparkSession, path: str) -> DataFrame:
+    return clean_income(read_csv(spark, path, INCOME))
+
+
+def read_stations(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, STATIONS)
+
+
+def read_descent_codes(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, DESCENT_CODES)
+
+
 def read_csv_no_header(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Header-less CSV with fields cast by position to ``schema``."""
     return spark.read.schema(schema).csv(path, header=False)
@@ -45,7 +73,18 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_geojson(spark: SparkSession, path: str, properties: StructType, multi_line: bool = True) -> DataFrame:
+def geojson_properties(spark: SparkSession, path: str, multi_line: bool = True) -> StructType:
+    """The properties (names, types) that the features of the files hold, found by one more pass over them."""
+    found = spark.read.option("multiLine", multi_line).json(path).schema
+    fields: dict[str, StructField] = {}
+    inner = found["features"].dataType.elementType if "features" in found.names else StructType()
+    for level in (inner, found):
+        if "properties" in level.names:
+            fields = {f.name: f for f in level["properties"].dataType} | fields
+    return StructType(list(fields.values()))
+
+
+def read_geojson(spark: SparkSession, path: str, properties: StructType | None = None, multi_line: bool = True) -> DataFrame:
     """GeoJSON FeatureCollection(s) -> one row per feature: properties promoted to
     columns plus ``geometry`` as MultiPolygon coordinates and ``geometry_type``.
 
@@ -53,9 +92,13 @@ def read_geojson(spark: SparkSession, path: str, properties: StructType, multi_l
     ``multi_line=False`` reads one FeatureCollection or one bare Feature per line (a
     GeoJSON text sequence), which splits across tasks and is the layout to use at scale.
 
+    Without declared ``properties`` their names and types are discovered (:func:`geojson_properties`).
+
     Coordinates are read as raw JSON text and parsed by geometry type, because schema
     inference over a mix of Polygon and MultiPolygon degrades both to strings.
     """
+    if properties is None:
+        properties = geojson_properties(spark, path, multi_line)
     feature = StructType([
         StructField("type", StringType()),
         StructField("properties", properties),

@@ -98,3 +98,30 @@ def test_drop_missing_coordinates_keeps_zero(spark):
     df = spark.createDataFrame([(0.0, 0.0), (None, 1.0), (1.0, None), (2.0, 3.0)], "LON double, LAT double")
     assert ingest.drop_missing_coordinates(df).count() == 2
     assert ingest.drop_missing_coordinates(df).filter(F.col("LON") == 0).count() == 1
+
+
+def test_geojson_properties_are_discovered(spark, tmp_dir):
+    path = f"{tmp_dir}/features.json"
+    with open(path, "w") as f:
+        f.write('{"type": "FeatureCollection", "features": [\n'
+                '{"type": "Feature", "properties": {"name": "a", "people": 3}, "geometry": {"type": "Polygon", '
+                '"coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}},\n'
+                '{"type": "Feature", "properties": {"name": "b", "area": 1.5}, "geometry": {"type": "MultiPolygon", '
+                '"coordinates": [[[[0, 0], [1, 0], [1, 1], [0, 0]]]]}}]}')
+    rows = ingest.read_geojson(spark, path)
+    assert dict(rows.drop("geometry").dtypes) == {"name": "string", "people": "bigint", "area": "double", "geometry_type": "string"}
+    assert {(r["name"], r["people"], r["area"], len(r["geometry"])) for r in rows.collect()} == {("a", 3, None, 1), ("b", None, 1.5, 1)}
+
+
+def test_known_files_have_declared_schemas(spark, tmp_dir):
+    with open(f"{tmp_dir}/income.csv", "w", encoding="utf-8-sig") as f:
+        f.write('Zip Code,Community,Estimated Median Income\n90001,"Los Angeles (South), Florence","$33,887"\n90002,,\n')
+    rows = {r["Zip Code"]: r for r in ingest.read_income(spark, f"{tmp_dir}/income.csv").collect()}
+    assert rows[90001]["Estimated Median Income"] == 33887 and rows[90002]["Estimated Median Income"] is None
+    names = [n.strip("`") for n in ("DR_NO", "Date Rptd", "DATE OCC", "TIME OCC", "AREA ", "AREA NAME")]
+    rest = spark.createDataFrame([], ingest.INCIDENTS).columns
+    assert rest[:6] == names and len(rest) == 28
+    with open(f"{tmp_dir}/incidents.csv", "w") as f:
+        f.write(",".join(rest) + "\n" + "1,01/02/2020 12:00:00 AM,01/01/2020 11:30:00 PM,2330,7,West" + "," * 20 + ",34.05,-118.25\n")
+    one, = ingest.read_incidents(spark, f"{tmp_dir}/incidents.csv").collect()
+    assert (one["AREA"], one["DATE OCC"].hour, one["LAT"], one["LON"]) == (7, 23, 34.05, -118.25)
