@@ -38,6 +38,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import ensure_checkpoint_dir
 from .strategy import broadcast_if_bounded
 
+# Halvings of the first cell side that are tried where sites lie much denser than their box suggests.
+HALVINGS = 24
 _OFFSETS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 _CHILDREN = [(dx, dy) for dx in (0, 1) for dy in (0, 1)]
 
@@ -117,6 +119,27 @@ def _far(px: Column, py: Column, x0: Column, y0: Column, side: Column) -> Column
     return F.sqrt(fx * fx + fy * fy)
 
 
+def _density_side(locs: DataFrame, side: float, want: float) -> float:
+    """``side``, or its largest halving at which at most half of the locations lie in crowded cells.
+
+    The box of all sites says nothing about where they are dense: one far site makes its side too large
+    for all the others.  A cell is crowded when it holds over twice the ``1 + want`` locations that a
+    location of evenly spread sites finds in its own cell.
+    """
+    def crowded(halvings: range) -> dict[int, float]:
+        level = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side / 2 ** i).alias("s")) for i in halvings]))
+        cells = (locs.select("__sx", "__sy", level.alias("lv"))
+                 .groupBy("lv.i", F.floor(F.col("__sx") / F.col("lv.s")), F.floor(F.col("__sy") / F.col("lv.s")))
+                 .agg(F.count(F.lit(1)).alias("c")))
+        share = F.sum(F.when(F.col("c") > 2 * (1 + want), F.col("c")).otherwise(0)) / F.sum("c")
+        return {r["i"]: r["share"] for r in cells.groupBy("i").agg(share.alias("share")).collect()}  # a row a level
+
+    if crowded(range(1))[0] <= 0.5:
+        return side
+    shares = crowded(range(1, HALVINGS + 1))
+    return side / 2 ** min((i for i, x in shares.items() if x <= 0.5), default=HALVINGS)
+
+
 def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, site_y: str, k: int = 1,
             ties: bool = True, site_order: str | None = None, distance_col: str = "distance",
             rank_col: str | None = None, cell_size: float | None = None, max_cell_sites: int = 1024,
@@ -185,7 +208,7 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
         # evenly spread points miss certification); k>1: ~k per cell, keeping the per-point
         # sort short while few points miss
         factor = 1.5 if k_eff == 1 else math.sqrt(k_eff)
-        cell_size = factor * per if per > 0 else 1.0
+        cell_size = _density_side(locs, factor * per if per > 0 else 1.0, factor * factor)
     s0 = float(cell_size)
 
     def cell_at(side: float):

@@ -96,3 +96,23 @@ def test_nearest_without_broadcast(spark):
                  nearest(p, s, "x", "y", "sx", "sy", k=2, ties=False, site_order="sid", cell_size=3.0,
                          max_broadcast_bytes=0).collect())
     assert got == brute(points, sites, 2, False)
+
+
+def test_one_far_site_does_not_change_the_path(spark, monkeypatch):
+    import numpy as np
+    import sys
+    module = sys.modules["tessera.operators.nearest"]
+
+    rng = np.random.default_rng(5)
+    spots = rng.random((600, 2)).tolist() + [[1000.0, 1000.0]]
+    sites = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(spots)], "sid long, sx double, sy double")
+    at = rng.random((500, 2))
+    points = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(at)], "pid long, x double, y double")
+
+    def pyramid(*args):
+        raise AssertionError("the points must be settled by the grid")
+
+    monkeypatch.setattr(module, "_pyramid_search", pyramid)
+    got = {r["pid"]: r["sid"] for r in module.nearest(points, sites, "x", "y", "sx", "sy", k=1, ties=False, site_order="sid").collect()}
+    want = ((at[:, None, :] - np.array(spots)[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert got == dict(enumerate(want.tolist()))
