@@ -91,12 +91,15 @@ def plan_grid(prepared: DataFrame, cell_size: float | None = None, max_cells: in
         if cell_size <= 0:
             cell_size = 1.0
     lvl = _level_expr(cell_size, max_cells, max_level)
-    sized = prepared.select(lvl.alias("lvl"), F.size("edges").alias("ne"), "x_min", "x_max", "y_min", "y_max")
+    others = [F.col(f"`{c}`") for c in prepared.columns if c not in ("edges", "x_min", "x_max", "y_min", "y_max")]
+    width = F.octet_length(F.to_json(F.struct(*others))) if others else F.lit(0)  # these go along into every cell
+    sized = prepared.select(lvl.alias("lvl"), F.size("edges").alias("ne"), width.cast("long").alias("width"),
+                            "x_min", "x_max", "y_min", "y_max")
     sized = sized.withColumn("nc", F.expr(_ncells_sql(_side_sql("lvl", cell_size, range(max_level + 1)))))
     row = sized.agg(
         F.sort_array(F.collect_set("lvl")).alias("levels"),
         F.sum("nc").alias("rows"),
-        F.sum(F.col("nc") * (F.col("ne") * 40 + 96)).alias("bytes"),
+        F.sum(F.col("nc") * (F.col("ne") * 40 + F.col("width") + 96)).alias("bytes"),
     ).first()
     used = tuple(row["levels"] or [0])
     rows = int(row["rows"] or 0)
@@ -138,8 +141,8 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x: str = "x", y: str =
     ``how="inner"`` keeps matches only; ``how="left"`` also keeps unmatched points
     with NULL polygon columns.  ``polygons`` may be raw (``geometry`` coordinates) or
     already prepared (``edges`` + bbox).  ``strategy`` forces a join hint on the
-    polygon-cell side (BROADCAST, MERGE, SHUFFLE_HASH); by default the broadcast is
-    size-checked.
+    polygon-cell side (BROADCAST, MERGE, SHUFFLE_HASH); a broadcast, asked for or by
+    default, is size-checked (edges and all other columns).
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -154,6 +157,8 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x: str = "x", y: str =
         prepared = prepared.checkpoint(eager=True)
         spec = plan_grid(prepared, cell_size, max_cells, max_broadcast_bytes=max_broadcast_bytes)
     cells = polygon_cells(prepared, spec, max_cells)
+    if strategy and strategy.upper() == "BROADCAST" and not spec.broadcast:
+        strategy = None  # the cells are beyond the limit: the optimizer chooses
     if strategy:
         cells = with_strategy(cells, strategy)
     elif spec.broadcast:

@@ -162,3 +162,16 @@ def test_shuffle_path_beyond_broadcast_limit(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan or "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     assert sorted((r["id"], r["pid"]) for r in joined.collect()) == expect
+
+
+def test_wide_polygon_columns_are_not_broadcast(spark):
+    from tessera.operators.spatial import plan_grid, prepare_polygons
+
+    square = [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0], [0.0, 0.0]]]]
+    kind = "gid long, note string, geometry array<array<array<array<double>>>>"
+    points = spark.createDataFrame([(1, 0.5, 0.5)], "pid long, x double, y double")
+    for note, fits in (("short", True), ("w" * 20_000, False)):
+        polygons = spark.createDataFrame([(1, note, square)], kind)
+        assert plan_grid(prepare_polygons(polygons), max_broadcast_bytes=10_000).broadcast == fits
+        joined = spatial_join(points, polygons, strategy="BROADCAST", max_broadcast_bytes=10_000)
+        assert joined.select("pid", "gid").collect() == [(1, 1)]
