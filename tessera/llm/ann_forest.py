@@ -3,8 +3,9 @@
 Trees are fitted on at most ``SAMPLE`` distinct vectors (those of the lowest hash; a bound, not a share) and
 split by the plane between two of them until a leaf holds ``LEAF``; every vector of the table is then put
 into its leaf of every tree.  A query walks all trees through one priority queue ordered by the margin to
-the planes passed on the wrong side, until the leaves it has opened hold ``SEARCH`` vectors.  Queries and
-vectors meet by (tree, leaf); each leaf's candidates are scored exactly, in double precision, and only a
+the planes passed on the wrong side, until the leaves it has opened hold as many vectors as the table asks
+for: ``TRIED`` of its queries are compared with every vector, and the number is the one at which their walks
+have met ``WANTED`` of their true neighbours, ``SEARCH`` at least.  Queries and vectors meet by (tree, leaf); each leaf's candidates are scored exactly, in double precision, and only a
 query's best few leave it.  Large leaves are worked on in parts of about ``PART`` vectors.
 
 Equal vectors are one point of the index, which names the smallest ids it needs for the ranks asked for, so
@@ -18,6 +19,8 @@ vec_id count once.  Extra columns are not looked at; an empty table gives an emp
 from __future__ import annotations
 
 import heapq
+import math
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,8 @@ TREES = 14
 LEAF = 128
 SAMPLE = 65_536
 SEARCH = 24_000
+TRIED = 256
+WANTED = 0.94
 PART = 8192
 
 
@@ -86,21 +91,25 @@ def leaf_of(t, points: np.ndarray) -> np.ndarray:
     return out
 
 
-def search(trees: list, counts: list[np.ndarray], query: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """(tree, leaf) of the leaves opened for a unit ``query``, by one queue over all trees."""
+def walk_of(trees: list, counts: list[np.ndarray], query: np.ndarray):
+    """(tree, leaf, vectors in the leaves before it) of the leaves in a unit ``query``'s order, by one queue over all trees."""
     margins = [t[0] @ query for t in trees]
     heap = [(0.0, k, t[2]) for k, t in enumerate(trees)]
     heapq.heapify(heap)
-    out, seen = [], 0
-    while heap and seen < most:
+    seen = 0
+    while heap:
         cost, k, node = heapq.heappop(heap)
         while node >= 0:
             m = margins[k][node]
             heapq.heappush(heap, (max(cost, abs(m)), k, trees[k][1][node][int(m <= 0)]))
             node = trees[k][1][node][int(m > 0)]
-        out.append((k, ~node))
+        yield k, ~node, seen
         seen += int(counts[k][~node])
-    return out
+
+
+def search(trees: list, counts: list[np.ndarray], query: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """(tree, leaf) of the leaves opened for a unit ``query``."""
+    return [(k, x) for k, x, _ in takewhile(lambda o: o[2] < most, walk_of(trees, counts, query))]
 
 
 def points_of(table: DataFrame, ranks: int) -> tuple[DataFrame, DataFrame]:
@@ -130,9 +139,57 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
+def enough(points: DataFrame, placed: DataFrame, queries: DataFrame, shared, counts, ranks: int) -> int:
+    """The vectors to open a query, so that ``TRIED`` of the ``queries`` meet ``WANTED`` of their true neighbours."""
+    spark = points.sparkSession
+    tried = queries.select("rep", "vector").orderBy(F.xxhash64("rep"), "rep").limit(TRIED).toArrow().combine_chunks()
+    if not tried.num_rows or sum(int(c.sum()) for c in counts.value) <= SEARCH:
+        return SEARCH
+    own = spark.sparkContext.broadcast((tried.column("rep").to_numpy(), _unit(_matrix(tried.column("vector").combine_chunks()))))
+
+    def compare(batches):
+        ids, asked = own.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            reps = b.column("rep").to_numpy()
+            near = asked @ _unit(_matrix(b.column("vector"))).T
+            near[ids[:, None] == reps[None, :]] = -np.inf
+            keep = min(ranks, b.num_rows)
+            best = np.argpartition(-near, keep - 1, axis=1)[:, :keep]
+            q = np.repeat(np.arange(len(ids)), keep)
+            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(reps[best.ravel()]), pa.array(near[q, best.ravel()])], ["q", "rep", "score"])
+
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "rep")
+    true = points.select("rep", "vector").mapInArrow(compare, "q long, rep long, score double").where(F.col("score") >= -2)
+    true = written(true.withColumn("at", F.row_number().over(order)).where(F.col("at") <= ranks).select("q", "rep"))  # at most TRIED x ranks
+    lies = placed.select("rep", "tree", "leaf").join(F.broadcast(true), "rep").groupBy("q").agg(F.collect_list(F.struct("rep", "tree", "leaf")).alias("lies"))
+
+    def follow(batches):
+        for b in batches:
+            for q, lies in zip(b.column("q").to_pylist(), b.column("lies").to_pylist()):
+                held: dict[tuple[int, int], list[int]] = {}
+                for x in lies:
+                    held.setdefault((x["tree"], x["leaf"]), []).append(x["rep"])
+                left, met = {x["rep"] for x in lies}, []
+                for k, leaf, seen in walk_of(shared.value, counts.value, own.value[1][q]):
+                    for rep in left.intersection(held.get((k, leaf), ())):
+                        left.remove(rep)
+                        met.append(seen)
+                    if not left:
+                        break
+                yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64())], ["seen"])
+
+    seen = sorted(r["seen"] for r in lies.mapInArrow(follow, "seen long").collect())
+    return max(SEARCH, seen[math.ceil(WANTED * len(seen)) - 1] + 1) if seen else SEARCH
+
+
 def nearest(table: DataFrame, is_query, ranks: int = 5, trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE,
-            most: int = SEARCH, seed: int = 7) -> DataFrame:
-    """query_id, rank, vec_id, score: for each row of ``table`` (vec_id, embedding) where ``is_query``."""
+            most: int | None = None, seed: int = 7) -> DataFrame:
+    """query_id, rank, vec_id, score: for each row of ``table`` (vec_id, embedding) where ``is_query``.
+
+    ``most`` vectors are opened a query; without it, what ``enough`` finds.
+    """
     spark = table.sparkSession
     rows, points = points_of(table, ranks)
     empty = "query_id long, rank int, vec_id long, score double"
@@ -162,6 +219,8 @@ def nearest(table: DataFrame, is_query, ranks: int = 5, trees: int = TREES, leaf
     named = points.select("rep", "vector")
     query_rows = written(asked.join(named, "vector").select(F.col("vec_id").alias("query_id"), "rep"))
     queries = query_rows.select("rep").distinct().join(points.select("rep", "vector"), "rep")
+    if most is None:
+        most = enough(points, placed, queries, shared, counts, ranks)
 
     def walk(batches):
         for b in batches:
