@@ -6,8 +6,12 @@ byte-fallback tokens, and the entropy (bits) of its own token distribution.  The
 language (``lang``; without one, the script most letters belong to) come from all of its documents that
 pass the base rules: exact quantiles of each measure over its histogram, and the band is the median give
 or take ``WIDTH`` robust deviations, never narrower than ``LEAST``.  A text of n words gets a band wider by
-sqrt(1 + ``SHORT`` / n), as its measures scatter more.  Groups under ``ENOUGH`` documents take the bands of
-all documents.
+sqrt(1 + ``SHORT`` / n), as its measures scatter more.
+
+A group of n documents counts for n / (n + ``PRIOR``) of its median; the rest comes from the script that most of
+its documents are in, and that one's in the same way from all documents.  Its band is wider by sqrt(1 + ``PRIOR``
+/ n) and by the way its median was moved, so it always holds the band around the group's own median: nothing is
+rejected for lying off the middle of another language, and no count of documents switches the bands.
 
 Base rules: ``base_failed`` if there are under 50 words, or more than half the words lie in 3-word windows
 that the text holds twice or more.
@@ -36,7 +40,7 @@ WIDTH = {"chars_per_piece": (6.0, 6.0), "chars_per_byte_token": (6.0, 6.0), "fal
 #: The least half-width of a band, in the measure's own unit.
 LEAST = {"chars_per_piece": 0.1, "chars_per_byte_token": 0.1, "fallback_share": 0.1, "entropy": 0.75}
 SHORT = 250
-ENOUGH = 200
+PRIOR = 50
 #: Histogram steps for one unit of a measure.
 GRID = 1000
 
@@ -78,16 +82,23 @@ def repeated_words(h: np.ndarray, n: int = 3) -> int:
     return int((np.cumsum(hit[:-1]) > 0).sum())
 
 
+SCRIPTS = np.zeros(max(b for _, b in LETTERS.values()) + 2, np.int8)
+for _k, (_a, _b) in enumerate(LETTERS.values()):
+    SCRIPTS[_a:_b + 1] = _k + 1
+
+
 def script_of(text: str) -> str:
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-    counts = {k: int(((points >= a) & (points <= b)).sum()) for k, (a, b) in LETTERS.items()}
-    best = max(counts, key=counts.get)
-    return best if counts[best] else "other"
+    try:  # one byte a character: no other script's letters
+        return "latin" if text.encode("latin-1").translate(None, bytes(range(0x41))) else "other"
+    except UnicodeEncodeError:
+        points = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+    counts = np.bincount(SCRIPTS[np.minimum(points, len(SCRIPTS) - 1)], minlength=len(LETTERS) + 1)[1:]
+    return list(LETTERS)[counts.argmax()] if counts.any() else "other"
 
 
 def measured(docs: DataFrame, language: str | None = "lang", piece_file: str = "piece_bpe_32k.model",
              byte_file: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
-    """doc_id, key (hash of the text), group, the base counts, base_failed and the four measures of every row."""
+    """doc_id, key (hash of the text), group, script, the base counts, base_failed and the four measures of every row."""
     spark_lang = F.col(language) if language and language in docs.columns else F.lit(None).cast("string")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), spark_lang.alias("lang"), F.xxhash64("text").alias("key"))
 
@@ -97,7 +108,7 @@ def measured(docs: DataFrame, language: str | None = "lang", piece_file: str = "
         tokens = process_wide(sentencepiece, ("fertility", piece_file, byte_file), lambda: Fertility(piece_file, byte_file))
         hashes = WordHashes()
         is_byte = np.array(tokens.fallback)
-        names = ["group", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *WIDTH]
+        names = ["group", "script", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *WIDTH]
         for b in batches:
             cols = {k: [] for k in names}
             for t, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
@@ -117,51 +128,65 @@ def measured(docs: DataFrame, language: str | None = "lang", piece_file: str = "
                     share = count[count > 0] / len(ids)
                     own = [chars / len(ids), chars / max(1, sum(s[1] for s in split)),
                            float(count[is_byte[:len(count)]].sum() / len(ids)), float(-(share * np.log2(share)).sum())]
-                for k, v in zip(names, (lang or script_of(t), n, chars, len(raw) - len(raw.translate(None, SYMBOLS)),
+                script = script_of(t)
+                for k, v in zip(names, (lang or script, script, n, chars, len(raw) - len(raw.translate(None, SYMBOLS)),
                                         len(lines) - len(set(lines)), repeat, failed, *own)):
                     cols[k].append(v)
-            kinds = [pa.string()] + [pa.int64()] * 5 + [pa.bool_()] + [pa.float64()] * 4
+            kinds = [pa.string()] * 2 + [pa.int64()] * 5 + [pa.bool_()] + [pa.float64()] * 4
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key")] + [pa.array(cols[k], t) for k, t in zip(names, kinds)],
                                              ["doc_id", "key", *names])
 
-    return rows.mapInArrow(run, "doc_id long, key long, group string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    return rows.mapInArrow(run, "doc_id long, key long, group string, script string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                                 "n_repeat_words long, base_failed boolean, " + ", ".join(f"{m} double" for m in WIDTH))
 
 
 def bands(rows: DataFrame) -> DataFrame:
-    """group, bands (middle, down, up of each measure); the row with a null group holds for small groups."""
-    good = rows.where("not base_failed").select("group", F.explode(F.array(*[
+    """group, bands (middle, down, up of each measure) of every group that has documents passing the base rules."""
+    good = rows.where("not base_failed").select("group", "script", F.explode(F.array(*[
         F.struct(F.lit(m).alias("measure"), F.round(F.col(m) * GRID).cast("long").alias("step")) for m in WIDTH])).alias("e"))
-    bins = good.groupBy("group", "e.measure", "e.step").agg(F.count(F.lit(1)).alias("n"))
-    whole = bins.groupBy("measure", "step").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("group"), "measure", "step", "n")
-    bins = written(bins.union(whole))
-    by = Window.partitionBy("group", "measure")
-    ranked = bins.withColumn("upto", F.sum("n").over(by.orderBy("step"))).withColumn("total", F.sum("n").over(by))
-    at = [F.min(F.when(F.col("upto") >= F.col("total") * q, F.col("step"))).alias(f"q{int(q * 100)}") for q in (0.25, 0.5, 0.75)]
-    q = ranked.groupBy("group", "measure", "total").agg(*at)
-    robust = (F.col("q75") - F.col("q25")) / F.lit(1.349 * GRID)
+    bins = written(good.groupBy("group", "script", "e.measure", "e.step").agg(F.count(F.lit(1)).alias("n")))
+
+    def middles(name, keys):
+        """The keys, measure, total, q50 and the robust deviation of each."""
+        by = Window.partitionBy(*keys, "measure")
+        ranked = bins.groupBy(*keys, "measure", "step").agg(F.sum("n").alias("n"))
+        ranked = ranked.withColumn("upto", F.sum("n").over(by.orderBy("step"))).withColumn("total", F.sum("n").over(by))
+        at = [F.min(F.when(F.col("upto") >= F.col("total") * q, F.col("step"))).alias(f"q{int(q * 100)}") for q in (0.25, 0.5, 0.75)]
+        q = ranked.groupBy(*keys, "measure", "total").agg(*at)
+        return q.select(*keys, "measure", (F.col("total") / (F.col("total") + F.lit(PRIOR))).alias(f"{name}_share"),
+                        (F.col("q50") / F.lit(GRID)).alias(f"{name}_middle"), ((F.col("q75") - F.col("q25")) / F.lit(1.349 * GRID)).alias(f"{name}_robust"))
+
+    def shrunk(own, rest_middle, rest_robust):
+        share, middle, robust = (F.col(f"{own}_{x}") for x in ("share", "middle", "robust"))
+        return share * middle + (1 - share) * rest_middle, share * robust + (1 - share) * F.greatest(robust, rest_robust)
+
+    # the whole and the scripts are a few rows
+    scripts = middles("script", ["script"]).join(F.broadcast(middles("whole", [])), "measure")
+    middle, robust = shrunk("script", F.col("whole_middle"), F.col("whole_robust"))
+    scripts = scripts.select("script", "measure", middle.alias("rest_middle"), robust.alias("rest_robust"))
+    most = bins.groupBy("group", "script").agg(F.sum("n").alias("n")).groupBy("group").agg(F.max_by("script", F.struct("n", "script")).alias("script"))
+    q = middles("own", ["group"]).join(most, "group").join(F.broadcast(scripts), ["script", "measure"])
+    middle, robust = shrunk("own", F.col("rest_middle"), F.col("rest_robust"))
     table = F.create_map(*[x for m in WIDTH for x in (F.lit(m), F.struct(
         F.lit(WIDTH[m][0]).cast("double").alias("down"), F.lit(WIDTH[m][1]).cast("double").alias("up"), F.lit(LEAST[m]).alias("least")))])
     w = F.element_at(table, F.col("measure"))
-    half = lambda side: F.when(w[side].isNotNull(), F.greatest(w[side] * robust, w["least"])).alias(side)
-    q = q.where(F.col("group").isNull() | (F.col("total") >= ENOUGH)).select(
-        "group", "measure", F.struct((F.col("q50") / F.lit(GRID)).alias("middle"), half("down"), half("up")).alias("band"))
+    half = lambda side: F.when(w[side].isNotNull(), F.greatest(w[side] * robust, w["least"]) / F.sqrt("own_share")
+                               + F.abs(middle - F.col("own_middle"))).alias(side)
+    q = q.select("group", "measure", F.struct(middle.alias("middle"), half("down"), half("up")).alias("band"))
     return written(q.groupBy("group").agg(F.struct(*[F.max(F.when(F.col("measure") == m, F.col("band"))).alias(m) for m in WIDTH]).alias("bands")))
 
 
 def judged(rows: DataFrame) -> DataFrame:
     """``measured`` rows with ``kept``: base rules passed and every measure inside its group's band."""
-    table = bands(rows)
-    own = table.where("group is not null").select(F.col("group").alias("g"), F.col("bands").alias("own"))
-    rest = table.where("group is null").select(F.col("bands").alias("rest"))  # one row at most
-    j = rows.join(own, F.col("group") == F.col("g"), "left").join(F.broadcast(rest), how="left")
+    own = bands(rows).select(F.col("group").alias("g"), "bands")
+    j = rows.join(own, F.col("group") == F.col("g"), "left")
     wider = F.sqrt(1 + F.lit(SHORT) / F.greatest(F.col("n_words"), F.lit(1)))
     verdict = ~F.col("base_failed")
     for m in WIDTH:
-        b = F.coalesce("own", "rest")[m]
+        b = F.col("bands")[m]
         low, high = F.col(m) < b["middle"] - b["down"] * wider, F.col(m) > b["middle"] + b["up"] * wider
         verdict = verdict & ~F.coalesce(low, F.lit(False)) & ~F.coalesce(high, F.lit(False))
-    return j.withColumn("kept", verdict).select(*rows.columns, "kept")
+    return j.withColumn("kept", verdict).select(*[c for c in rows.columns if c != "script"], "kept")
 
 
 def keep_quality(docs: DataFrame, language: str | None = "lang") -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import ann_forest
+from tessera.llm import ann_forest, quality
 
 
 @pytest.mark.parametrize("n", [4_000, 60_000])
@@ -27,3 +27,16 @@ def test_forest_recall_as_the_query_runs(spark, tmp_dir, n):
         s[q] = -9
         met += len(got[q].intersection(np.argsort(-s)[:5].tolist()))
     assert met / (5 * len(range(0, n, 300))) >= 0.9
+
+
+def test_a_small_language_is_not_judged_by_the_others(spark):
+    r = np.random.default_rng(3)
+    latin = ["time", "house", "people", "water", "garden", "morning", "between", "another", "river", "letter", "window", "country"]
+    thai = ["".join(chr(c) for c in r.integers(0xE01, 0xE2E, 6)) for _ in range(40)]
+    rows = [(i, " ".join(f"{latin[a]}" for a in r.integers(0, 12, 120)), "en") for i in range(300)]
+    rows += [(1000 + i, " ".join(thai[a] for a in r.integers(0, 40, 120)), "th") for i in range(20)]
+    rows += [(2000, " ".join(thai[a] for a in r.integers(0, 40, 120)), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x["doc_id"]: (x["base_failed"], x["kept"]) for x in quality.judged(quality.measured(docs)).collect()}
+    assert not any(failed for failed, _ in got.values())
+    assert [i for i, (_, kept) in got.items() if not kept] == [2000]
