@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import ann_forest, quality
+from tessera.llm import ann_forest, html_text, quality
 
 
 @pytest.mark.parametrize("n", [4_000, 60_000])
@@ -40,3 +40,13 @@ def test_a_small_language_is_not_judged_by_the_others(spark):
     got = {x["doc_id"]: (x["base_failed"], x["kept"]) for x in quality.judged(quality.measured(docs)).collect()}
     assert not any(failed for failed, _ in got.values())
     assert [i for i, (_, kept) in got.items() if not kept] == [2000]
+
+
+@pytest.mark.parametrize("part_pages", [1, 3, 2000])
+def test_repeats_are_found_across_the_parts_of_a_host(spark, part_pages):
+    shared = [" ".join(f"s{k}x{j}" for j in range(9)) for k in range(12)]
+    rows = [(i, "http://h.org/x", [0, 0, 0], [f"own words of page {i}", shared[i // 2], f"end{i} of it"]) for i in range(24)]
+    rows += [(None, "http://h.org/y", [0], [f"page without id {shared[0]}"]), (50, "http://other.org/", [0], [shared[0]])]
+    table = spark.createDataFrame(rows, "page_id long, url string, roles array<tinyint>, texts array<string>")
+    got = {r["page_id"]: r["text"] for r in html_text.unique_runs(table, part_pages=part_pages).collect()}
+    assert got == {**{i: f"own words of page {i}\nend{i} of it" for i in range(24)}, None: "page without id", 50: shared[0]}
