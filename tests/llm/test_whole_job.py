@@ -50,3 +50,16 @@ def test_repeats_are_found_across_the_parts_of_a_host(spark, part_pages):
     table = spark.createDataFrame(rows, "page_id long, url string, roles array<tinyint>, texts array<string>")
     got = {r["page_id"]: r["text"] for r in html_text.unique_runs(table, part_pages=part_pages).collect()}
     assert got == {**{i: f"own words of page {i}\nend{i} of it" for i in range(24)}, None: "page without id", 50: shared[0]}
+
+
+@pytest.mark.parametrize("page,kept", [
+    ('<div class="content-sidebar-wrap"><main><p>real text</p></main><aside>x</aside></div>', ["real text"]),
+    ('<div class="no-sidebar"><div id="with-nav"><article><p>real text</p></article></div></div>', ["real text"]),
+    ('<div class="has-header"><p>about</p><article>real text<div class="share">tell</div></article></div>', ["real text"]),
+    ('<div class="sidebar"><article>real text</article></div>', ["real text"]),
+    ('<main>intro<div class="content-sidebar-wrap"><article>real text</article></div></main>', ["intro", "real text"]),
+    ('<main>real text<div class="related"><article>teaser</article></div></main>', ["real text"]),
+    ('<article>real text</article><div class="related posts"><article>teaser</article></div>', ["real text"]),
+    ('<nav><article>menu</article></nav><article>real text</article>', ["real text"])])
+def test_a_hint_does_not_drop_the_article_below_it(page, kept):
+    assert [t for role, t in html_text.blocks(f"<html><body>{page}</body></html>") if role == html_text.KEEP] == kept
