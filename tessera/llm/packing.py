@@ -6,7 +6,8 @@ free space finds the fullest one that still fits a piece in one shift, and when
 are taken the fullest one closes first.  Nothing but the fill of the open sequences is held, so a shard's
 memory doesn't grow with its rows, and a placement is final at once.  Pieces come in the order of a hash,
 which a rerun repeats.  The shards' number follows the tokens (``SHARD_TOKENS``); what the open sequences
-of all shards leave free at the end is repacked together, in fewer shards, until one is left over.
+of all shards leave free at the end is repacked together, in fewer shards, until one is left over or what is left
+(pieces that don't fill sequences) would be more than ``MERGED`` shards' tokens to a shard.
 
 Defined results.  A null or empty text is one piece that holds the end id alone.  Repeated rows (and rows
 without doc_id) are packed once each.  Extra columns are not looked at; an empty table packs into nothing.
@@ -28,6 +29,7 @@ END = 1
 OPEN_BINS = 4096
 SHARD_TOKENS = 16_000_000
 FULL = 0.97
+MERGED = 8
 
 
 def pieces(docs: DataFrame, size: int = SIZE, vocabulary_file: str = "word_bpe_49k.json", end: int = END,
@@ -121,7 +123,8 @@ def pack(rows: DataFrame, size: int = SIZE, shard_tokens: int = SHARD_TOKENS) ->
     """``rows`` (doc_id, piece, length, ids_crc32, ...) with sequence_id and offset.
 
     Sequences that end a round less than ``FULL`` full are taken apart and packed anew with those of the
-    other shards, in an eighth of the shards, down to one shard.
+    other shards, in an eighth of the shards (more, if that is over ``MERGED * shard_tokens`` each), down to one
+    shard or until they can't be halved.
     """
     total = rows.agg(F.sum("length")).first()[0] or 0
     shards, level, done = max(1, -(-total // shard_tokens)), 0, None
@@ -130,11 +133,16 @@ def pack(rows: DataFrame, size: int = SIZE, shard_tokens: int = SHARD_TOKENS) ->
         if shards == 1:
             return placed if done is None else done.unionByName(placed)
         fill = placed.groupBy("sequence_id").agg(F.sum("length").alias("fill"))
-        loose = written(fill.where(F.col("fill") < F.lit(int(FULL * size))).select("sequence_id"))
+        loose = written(fill.where(F.col("fill") < F.lit(int(FULL * size))))
+        left = loose.agg(F.sum("fill")).first()[0] or 0
+        fewer = max(-(-shards // MERGED), -(-left // (MERGED * shard_tokens)))
+        if fewer > -(-shards // 2):
+            return placed if done is None else done.unionByName(placed)
+        loose = loose.select("sequence_id")
         kept = placed.join(loose, "sequence_id", "left_anti").select(*placed.columns)
         done = kept if done is None else done.unionByName(kept)
         rows = placed.join(loose, "sequence_id", "left_semi").select(*rows.columns)
-        shards, level = -(-shards // 8), level + 1
+        shards, level = fewer, level + 1
 
 
 def packed_sequences(docs: DataFrame, size: int = SIZE) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import ann_forest, html_text, quality
+from tessera.llm import ann_forest, html_text, packing, quality
 
 
 @pytest.mark.parametrize("n", [4_000, 60_000])
@@ -63,3 +63,14 @@ def test_repeats_are_found_across_the_parts_of_a_host(spark, part_pages):
     ('<nav><article>menu</article></nav><article>real text</article>', ["real text"])])
 def test_a_hint_does_not_drop_the_article_below_it(page, kept):
     assert [t for role, t in html_text.blocks(f"<html><body>{page}</body></html>") if role == html_text.KEEP] == kept
+
+
+def test_pieces_that_fill_nothing_do_not_end_in_one_shard(spark):
+    rows = [(i, 0, 2100 + i * 37 % 1700, i) for i in range(640)]
+    table = spark.createDataFrame(rows, "doc_id long, piece int, length long, ids_crc32 long")
+    got = packing.pack(table, shard_tokens=30_000).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(640)) and len({r["sequence_id"] for r in got}) == 640
+    shards = defaultdict(int)
+    for r in got:
+        shards[r["sequence_id"] >> 34] += r["length"]
+    assert max(shards.values()) <= 2 * 8 * 30_000
