@@ -16,9 +16,10 @@ from .packing import op3_best_fit_packing
 from .periodic_runs import op11_periodic_runs
 from .quality import op9_quality
 from .substring_dedup import op10_substring_dedup
+from .vector_links import SQL as VECTOR_SQL, op12_vector_links
 
 QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_chat_trees, op3_best_fit_packing, op4_near_dedup, op5_language_id, op6_html_text,
-                                   op7_ann_forest, op8_mixing, op9_quality, op10_substring_dedup, op11_periodic_runs, op13_lexical_search)}
+                                   op7_ann_forest, op8_mixing, op9_quality, op10_substring_dedup, op11_periodic_runs, op12_vector_links, op13_lexical_search)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLE_SQL: dict[str, str] = {"op13_lexical_search": LEXICAL_SQL}
+ORACLE_SQL: dict[str, str] = {"op12_vector_links": VECTOR_SQL, "op13_lexical_search": LEXICAL_SQL}
