@@ -1,31 +1,21 @@
-"""Nearest and k-nearest site per point (planar), exact, with ties.
-
-Sites are first reduced to distinct *locations* carrying their multiplicity (and, for
-k-nearest, the k best site rows at that spot), so a pile of sites at one place is one
-entry.  Then:
-
-* **Fast path** (no shuffle of the points).  A grid of side ``s`` (about k locations
-  per cell) is laid over the locations; every cell gets the list of locations in the
-  3x3 block around it, built only from cells holding at most ``max_cell_sites``
-  locations.  A point joins the one row of its own cell and picks its best entries
-  in-row.  The answer is *certified* when the k-th distance is below the distance
-  from the point to the edge of the block (anything outside is at least that far) and
-  the block touches no dense cell -- or when the block holds every site.
-* **Second pass** at a 3x coarser grid, same rules, for the points the first could
-  not certify (sparse areas).
-* **Pyramid search** for the rest (far points, holes, points next to dense cells).
-  Location counts are kept for a pyramid of cells (side ``s * 2**level``), with finer
-  levels below 0 only where a level-0 cell is dense; a cell is a *leaf* at level 0 or
-  below once it holds at most ``max_cell_sites`` locations.  Each point starts from the
-  coarsest complete set of at most 64 cells and walks down: per round it bounds its
-  k-th distance by the cells it is sure about (largest distance to the nearest cells
-  holding k sites), drops every cell farther than that bound, and splits the remaining
-  non-leaf cells into their children.  When only leaves remain it fetches their
-  locations and picks exactly.  Every list a point holds is bounded by the geometry of
-  the pruned cells, and no cell list is larger than ``max_cell_sites``.
-
-The point side is never broadcast; site-side tables are broadcast only under a byte
-limit, and every round's state is written to the checkpoint folder.
+"""Nearest and k-nearest site per point, on the plane or on the sphere, exact, with ties.
+
+Sites are first reduced to distinct *locations* carrying their multiplicity (and, for k-nearest, the k best site rows at
+that spot), so a pile of sites at one place is one entry.  Then
+
+1. *Occupied cells.*  Points fall into the cells of a grid: on the plane its side follows the sites' spacing inside their
+   bounding box and grows with the distance from it, so there are about as many cells a ring as inside; on the sphere the cells
+   are those of the points' unit vectors, so poles and the date line are places like any other.  One aggregate over
+   the points' coordinates gives the cells that hold a point at all.
+2. *Candidates by cell.*  For each such cell a search over the packed tree of locations (:mod:`.site_index`) finds every
+   location that can be among the k nearest anywhere in it, and only those.  A cell with many of them (dense sites) is cut
+   into smaller ones in the same task until its list is short.  Work and size follow the sites and the cells, not the points.
+3. *One streaming join.*  A point meets the one row of its cell by an equi-join and picks its best entries in-row.  Nothing
+   of the point side is written, shuffled or searched again.
+
+Locations reach the tasks as one index of at most ``index_sites`` of them; more locations are dealt into several indexes, and
+a point concatenates its candidates from each before it picks.  Cell tables are broadcast under a byte limit, else
+both sides shuffle by cell.  The point side is never broadcast.
 """
 
 from __future__ import annotations
@@ -33,15 +23,17 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.geometry import EARTH_RADIUS_M, sphere_distance
 from ..session import ensure_checkpoint_dir
-from .strategy import broadcast_if_bounded
+from .site_index import SiteIndex, leaf_cells
 
-# Halvings of the first cell side that are tried where sites lie much denser than their box suggests.
-HALVINGS = 24
-_OFFSETS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
-_CHILDREN = [(dx, dy) for dx in (0, 1) for dy in (0, 1)]
+#: Parts a dimension that a crowded cell is cut into, and how often at most.
+FAN, DEEPEST = 4, 20
+RINGS = 24
 
 
 def _dist(px: Column, py: Column, qx: Column, qy: Column) -> Column:
@@ -50,19 +42,18 @@ def _dist(px: Column, py: Column, qx: Column, qy: Column) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
-def _select(frame: DataFrame, cands: str, px: Column, py: Column, k: int, ties: bool) -> DataFrame:
+def _select(frame: DataFrame, cands: str, distance, k: int, ties: bool) -> DataFrame:
     """Add ``__pick`` (chosen entries with rank), ``__kth`` (k-th distance, counting
-    multiplicity) and ``__tot`` (sites among the candidates) from a candidate list.
+    multiplicity) from a candidate list.  ``distance`` makes the distance column of a site's coordinates.
 
     Lambda bodies use only their own variables, literals and join-output columns, and
     every intermediate array used twice is its own column, so nothing is re-evaluated
     per element or per reference.
     """
     c_ = F.col(cands)
-    frame = frame.withColumn("__tot", F.aggregate(c_, F.lit(0).cast("long"), lambda a, c: a + c["__m"]))
     if ties and k == 1:
         # distances once, a native minimum, then the tied entries by a zipped filter
-        frame = frame.withColumn("__d", F.transform(c_, lambda c: _dist(px, py, c["__sx"], c["__sy"])))
+        frame = frame.withColumn("__d", F.transform(c_, lambda c: distance(c["__sx"], c["__sy"])))
         frame = frame.withColumn("__kth", F.array_min("__d"))
         zipped = F.arrays_zip(F.col("__d").alias("d"), c_.alias("c"),
                               F.array_repeat("__kth", F.size("__d")).alias("m"))
@@ -73,7 +64,7 @@ def _select(frame: DataFrame, cands: str, px: Column, py: Column, k: int, ties:
     if ties:
         # rank semantics: sorted by distance, rank = 1 + sites strictly closer
         scored = F.sort_array(F.transform(c_, lambda c: F.struct(
-            _dist(px, py, c["__sx"], c["__sy"]).alias("d"), c["__sx"].alias("sx"), c["__sy"].alias("sy"),
+            distance(c["__sx"], c["__sy"]).alias("d"), c["__sx"].alias("sx"), c["__sy"].alias("sy"),
             c["__m"].alias("m"))))
         init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("ld"),
                         F.lit(0).cast("long").alias("lr"), F.lit(None).cast("double").alias("kth"),
@@ -94,7 +85,7 @@ def _select(frame: DataFrame, cands: str, px: Column, py: Column, k: int, ties:
     # those are expanded into their site rows and re-sorted (exact also when several
     # locations tie on distance).
     keys = F.sort_array(F.transform(c_, lambda c, i: F.struct(
-        _dist(px, py, c["__sx"], c["__sy"]).alias("d"), F.isnull(c["__firstk"][0]["t"]).alias("tn"),
+        distance(c["__sx"], c["__sy"]).alias("d"), F.isnull(c["__firstk"][0]["t"]).alias("tn"),
         c["__firstk"][0]["t"].alias("t"), c["__firstk"][0]["r"].alias("r"), i.alias("ci"))))
     expanded = F.sort_array(F.flatten(F.transform(F.slice(keys, 1, k), lambda e: F.transform(
         F.element_at(c_, e["ci"] + 1)["__firstk"],
@@ -105,45 +96,52 @@ def _select(frame: DataFrame, cands: str, px: Column, py: Column, k: int, ties:
     return frame.withColumns({"__pick": chosen, "__kth": F.try_element_at("__exp", F.lit(k))["d"]}).drop("__exp")
 
 
-def _near(px: Column, py: Column, x0: Column, y0: Column, side: Column) -> Column:
-    """Smallest distance from a point to the square [x0, x0+side] x [y0, y0+side]."""
-    gx = F.greatest(x0 - px, F.lit(0.0), px - (x0 + side))
-    gy = F.greatest(y0 - py, F.lit(0.0), py - (y0 + side))
-    return F.sqrt(gx * gx + gy * gy)
+def _unit_vectors(lon: np.ndarray, lat: np.ndarray) -> np.ndarray:
+    lon, lat = np.radians(lon), np.radians(lat)
+    return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)], axis=1)
 
 
-def _far(px: Column, py: Column, x0: Column, y0: Column, side: Column) -> Column:
-    """Largest distance from a point to the same square."""
-    fx = F.greatest(F.abs(px - x0), F.abs(px - (x0 + side)))
-    fy = F.greatest(F.abs(py - y0), F.abs(py - (y0 + side)))
-    return F.sqrt(fx * fx + fy * fy)
+def _cell_columns(x: Column, y: Column, sphere: bool, side: float, box) -> tuple[Column, list[Column]]:
+    """(ring, coordinates to be divided by the cell side): ring r has cells of ``side * FAN**r``."""
+    if sphere:
+        lon, lat = F.radians(x), F.radians(y)
+        return F.lit(0), [F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)]
+    x0, x1, y0, y1 = box
+    reach = max((x1 - x0) / 2, (y1 - y0) / 2, side)
+    off = F.greatest(F.abs(x - (x0 + x1) / 2), F.abs(y - (y0 + y1) / 2)) / F.lit(reach)
+    steps = [F.when(off > float(FAN) ** r, 1).otherwise(0) for r in range(RINGS)]
+    return reduce(lambda a, b: a + b, steps), [x, y]
 
 
-def _density_side(locs: DataFrame, side: float, want: float) -> float:
-    """``side``, or its largest halving at which at most half of the locations lie in crowded cells.
+def _leaves(cells: DataFrame, index: SiteIndex, places: np.ndarray, side: float, k: int, most: int, sphere: bool, deepest: int) -> DataFrame:
+    """ring, depth, c0, c1 (, c2), cands (array of site coordinates and multiplicity): the cells' parts and their candidates."""
+    dims = 3 if sphere else 2
+    names = [f"c{d}" for d in range(dims)]
+    shared = cells.sparkSession.sparkContext.broadcast((index, places))
 
-    The box of all sites says nothing about where they are dense: one far site makes its side too large
-    for all the others.  A cell is crowded when it holds over twice the ``1 + want`` locations that a
-    location of evenly spread sites finds in its own cell.
-    """
-    def crowded(halvings: range) -> dict[int, float]:
-        level = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side / 2 ** i).alias("s")) for i in halvings]))
-        cells = (locs.select("__sx", "__sy", level.alias("lv"))
-                 .groupBy("lv.i", F.floor(F.col("__sx") / F.col("lv.s")), F.floor(F.col("__sy") / F.col("lv.s")))
-                 .agg(F.count(F.lit(1)).alias("c")))
-        share = F.sum(F.when(F.col("c") > 2 * (1 + want), F.col("c")).otherwise(0)) / F.sum("c")
-        return {r["i"]: r["share"] for r in cells.groupBy("i").agg(share.alias("share")).collect()}  # a row a level
+    def run(batches):
+        index_, places_ = shared.value
+        x, y, m = places_[index_.order, 0], places_[index_.order, 1], index_.weight
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ring, above = b.column("ring").to_numpy().astype(np.int64), b.column("depth").to_numpy().astype(np.int64)
+            own = np.stack([b.column(c).to_numpy() for c in names], axis=1)
+            for root, depth, cell, starts, sites in leaf_cells(index_, own, side * float(FAN) ** (ring - above), k, most, FAN, deepest, sphere):
+                entry = pa.StructArray.from_arrays([pa.array(x[sites]), pa.array(y[sites]), pa.array(m[sites])], ["__sx", "__sy", "__m"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ring[root].astype(np.int32)), pa.array((above[root] + depth).astype(np.int32))] + [pa.array(cell[:, d]) for d in range(dims)]
+                    + [pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), entry)], ["ring", "depth", *names, "cands"])
 
-    if crowded(range(1))[0] <= 0.5:
-        return side
-    shares = crowded(range(1, HALVINGS + 1))
-    return side / 2 ** min((i for i, x in shares.items() if x <= 0.5), default=HALVINGS)
+    kinds = ", ".join(f"{c} long" for c in names)
+    return cells.mapInArrow(run, f"ring int, depth int, {kinds}, cands array<struct<__sx:double,__sy:double,__m:long>>")
 
 
 def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, site_y: str, k: int = 1,
             ties: bool = True, site_order: str | None = None, distance_col: str = "distance",
-            rank_col: str | None = None, cell_size: float | None = None, max_cell_sites: int = 1024,
-            max_broadcast_bytes: int = 256 << 20, compete_by: str | None = None) -> DataFrame:
+            rank_col: str | None = None, cell_size: float | None = None, max_cell_sites: int | None = None,
+            max_broadcast_bytes: int = 256 << 20, compete_by: str | None = None, use_sphere: bool = False,
+            radius: float = EARTH_RADIUS_M, index_sites: int = 2_000_000) -> DataFrame:
     """Join every point with its ``k`` nearest sites.
 
     ``ties=True``: rank semantics -- every site whose rank (1 + number of strictly closer
@@ -151,9 +149,13 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
     ``ties=False``: exactly ``min(k, #sites)`` sites ordered by distance, then
     ``site_order``, then the site row (``ROW_NUMBER() <= k``).
 
-    Points or sites with a NULL or NaN coordinate are left out.  ``compete_by``
+    ``use_sphere=True`` takes x as longitude and y as latitude in degrees and measures great-circle
+    distances on a sphere of ``radius`` (metres by default); otherwise distances are planar, in the unit of the input.
+
+    Points or sites with a NULL, NaN or infinite coordinate are left out.  ``compete_by``
     reproduces a window partitioned by a non-unique point key: rows sharing the key keep
-    only the pairs at the key's smallest distance.
+    only the pairs at the key's smallest distance.  ``max_cell_sites`` is the number of candidates
+    from which a cell is cut into smaller ones.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -163,18 +165,19 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
     clash = set(point_cols) & set(site_cols)
     if clash:
         raise ValueError(f"points and sites share column names {sorted(clash)}; rename one side")
-    M = int(max_cell_sites)
 
     def valid(c: str) -> Column:
-        return F.col(c).isNotNull() & ~F.isnan(F.col(c))
+        return F.abs(F.col(c).cast("double")) < F.lit(float("inf"))  # NaN is above every number; NULL is not true
+
+    def place(c: str) -> Column:
+        return F.col(c).cast("double") + F.lit(0.0)  # one zero
 
     tie = F.col(site_order) if site_order else F.lit(None).cast("long")
     S = sites.filter(valid(site_x) & valid(site_y)).select(
-        F.col(site_x).cast("double").alias("__sx"), F.col(site_y).cast("double").alias("__sy"),
-        tie.alias("__tie"), F.struct(*[F.col(c) for c in site_cols]).alias("__row"))
-    st = S.agg(F.count(F.lit(1)).alias("n"), F.min("__sx").alias("x0"), F.max("__sx").alias("x1"),
-               F.min("__sy").alias("y0"), F.max("__sy").alias("y1")).first()
-    n_sites = int(st["n"])
+        place(site_x).alias("__sx"), place(site_y).alias("__sy"), tie.alias("__tie"), F.struct(*[F.col(c) for c in site_cols]).alias("__row"))
+    locs = S.groupBy("__sx", "__sy").agg(F.count(F.lit(1)).alias("__m")).checkpoint(eager=True)
+    st = locs.agg(F.sum("__m").alias("n"), F.count(F.lit(1)).alias("locs"), F.min("__sx"), F.max("__sx"), F.min("__sy"), F.max("__sy")).first()
+    n_sites, n_locs, box = int(st["n"] or 0), int(st["locs"]), tuple(st[2:])
     out_cols = point_cols + site_cols + [distance_col] + ([rank_col] if rank_col else [])
     if n_sites == 0:
         empty = points.join(sites, F.lit(False), "inner").withColumn(distance_col, F.lit(None).cast("double"))
@@ -182,100 +185,91 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
             empty = empty.withColumn(rank_col, F.lit(None).cast("int"))
         return empty.select(*out_cols)
     k_eff = min(k, n_sites)
+    side = float(cell_size) if cell_size else _cell_side(box, n_locs, use_sphere)
+    dims = [f"c{d}" for d in range(3 if use_sphere else 2)]
+    most = max_cell_sites or 16 + 4 * k_eff
 
-    # --- distinct locations -------------------------------------------------------------
-    locs = S.groupBy("__sx", "__sy").agg(F.count(F.lit(1)).alias("__m"))
-    if not ties:
-        # the k best rows per location; row_number <= k gets a partial group limit before
-        # the shuffle, so a location holding many sites never gathers them in one task
-        w = Window.partitionBy("__sx", "__sy").orderBy(F.col("__tie").asc_nulls_last(), F.col("__row"))
-        best = (S.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k_eff)
-                .groupBy("__sx", "__sy")
-                .agg(F.sort_array(F.collect_list(F.struct(F.col("__tie").alias("t"), F.col("__row").alias("r"))))
-                     .alias("__firstk")))
-        locs = locs.join(best, ["__sx", "__sy"])
-    locs = locs.checkpoint(eager=True)
-    n_locs = locs.count()
-    loc_fields = ["__sx", "__sy", "__m"] + ([] if ties else ["__firstk"])
-    entry = F.struct(*[F.col(c) for c in loc_fields]).alias("__loc")
-    row_bytes = 64 + (0 if ties else k_eff * (32 + 16 * len(site_cols)))
-
-    if cell_size is None:
-        w_, h_ = float(st["x1"] - st["x0"]), float(st["y1"] - st["y0"])
-        area = w_ * h_
-        per = math.sqrt(area / n_locs) if area > 0 else max(w_, h_, 1.0) / math.sqrt(n_locs)
-        # k=1: ~2.25 locations per cell (a single unsorted pass per point; under 0.1% of
-        # evenly spread points miss certification); k>1: ~k per cell, keeping the per-point
-        # sort short while few points miss
-        factor = 1.5 if k_eff == 1 else math.sqrt(k_eff)
-        cell_size = _density_side(locs, factor * per if per > 0 else 1.0, factor * factor)
-    s0 = float(cell_size)
-
-    def cell_at(side: float):
-        return F.floor(F.col("__sx") / F.lit(side)), F.floor(F.col("__sy") / F.lit(side))
-
-    cands_type = f"array<{locs.select(entry).schema[0].dataType.simpleString()}>"
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-
-    def grid_round(pts: DataFrame, side: float):
-        """One fast pass at cell side ``side``: certified picks, the rest, dense cells."""
-        gx, gy = cell_at(side)
-        dense = (locs.groupBy(gx.alias("cx"), gy.alias("cy")).agg(F.count(F.lit(1)).alias("c"))
-                 .filter(F.col("c") > M).select("cx", "cy"))
-        n_dense = dense.count()
-        offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _OFFSETS])
-        lc = locs.select(gx.alias("cx"), gy.alias("cy"), entry)
-        if n_dense:
-            lc = lc.join(broadcast_if_bounded(dense, 1_000_000), ["cx", "cy"], "left_anti")
-        nb = (lc.select(F.explode(offsets).alias("o"), "cx", "cy", "__loc")
-              .select((F.col("cx") + F.col("o.dx")).alias("__ncx"), (F.col("cy") + F.col("o.dy")).alias("__ncy"),
-                      "__loc")
-              .groupBy("__ncx", "__ncy").agg(F.collect_list("__loc").alias("__cands"))
-              .withColumn("__dense", F.lit(False)))
-        if n_dense:
-            marks = (dense.select(F.explode(offsets).alias("o"), "cx", "cy")
-                     .select((F.col("cx") + F.col("o.dx")).alias("__ncx"),
-                             (F.col("cy") + F.col("o.dy")).alias("__ncy"))
-                     .distinct().withColumn("__hot", F.lit(True)))
-            nb = nb.join(marks, ["__ncx", "__ncy"], "full_outer").select(
-                "__ncx", "__ncy", "__cands", F.coalesce("__hot", "__dense", F.lit(False)).alias("__dense"))
-        if 9 * n_locs * row_bytes <= max_broadcast_bytes:
-            nb = F.broadcast(nb)
-        p = pts.withColumns({"__pcx": F.floor(px / F.lit(side)), "__pcy": F.floor(py / F.lit(side))})
-        j = p.join(nb, (F.col("__pcx") == F.col("__ncx")) & (F.col("__pcy") == F.col("__ncy")), "left")
-        j = j.withColumn("__c", F.coalesce(F.col("__cands"), F.array().cast(cands_type)))
-        j = _select(j, "__c", px, py, k_eff, ties)
-        bdist = F.least(px - (F.col("__pcx") - 1) * F.lit(side), (F.col("__pcx") + 2) * F.lit(side) - px,
-                        py - (F.col("__pcy") - 1) * F.lit(side), (F.col("__pcy") + 2) * F.lit(side) - py)
-        ok = ((F.col("__tot") == n_sites)
-              | (~F.coalesce(F.col("__dense"), F.lit(False)) & (F.col("__tot") >= k_eff)
-                 & (F.col("__kth") < bdist - F.lit(1e-9 * side))))
-        res = j.select(*point_cols, F.coalesce(ok, F.lit(False)).alias("__ok"), "__pick").checkpoint(eager=True)
-        return res.filter("__ok").select(*point_cols, "__pick"), res.filter(~F.col("__ok")).select(*point_cols), \
-            dense, n_dense
-
-    # --- fast path at side s, then once more at 3s for the points it could not certify ---
-    done0, left, dense0, n_dense = grid_round(points.filter(valid(x) & valid(y)), s0)
-    parts = [done0]
-    if not left.isEmpty():
-        done1, left, _, _ = grid_round(left, 3.0 * s0)
-        parts.append(done1)
-        if not left.isEmpty():
-            parts.append(_pyramid_search(left, locs, x, y, s0, st, k_eff, ties, M, n_dense, dense0, cell_at,
-                                         entry, cands_type, point_cols, max_broadcast_bytes))
-    picked = reduce(lambda a, b: a.unionByName(b), parts)
+    pts = points.filter(valid(x) & valid(y))
+    ring, coords = _cell_columns(px, py, use_sphere, side, box)
+    ring_side = F.lit(side) if use_sphere else F.lit(side) * F.pow(F.lit(float(FAN)), F.col("ring"))
+    cells = (pts.select(ring.alias("ring"), *[c.alias(f"__u{d}") for d, c in enumerate(coords)])
+             .select("ring", F.lit(0).alias("depth"), *[F.floor(F.col(f"__u{d}") / ring_side).alias(n) for d, n in enumerate(dims)]).distinct().checkpoint(eager=True))
+
+    # --- candidates by cell, an index at a time ------------------------------------------
+    parts = -(-n_locs // index_sites)
+    tables, size = [], 0
+    for g in range(parts):
+        own = locs if parts == 1 else locs.filter(F.pmod(F.xxhash64("__sx", "__sy"), F.lit(parts)) == g)
+        got = own.toArrow()  # about ``index_sites`` locations
+        if not got.num_rows:
+            continue
+        places = np.stack([got.column(0).to_numpy(), got.column(1).to_numpy()], axis=1)
+        index = SiteIndex(_unit_vectors(places[:, 0], places[:, 1]) if use_sphere else places, got.column(2).to_numpy())
+        # the first index, an even share of the locations, says how the cells are cut; the others follow
+        of = tables[0].select("ring", "depth", *dims) if tables else cells
+        table = _leaves(of.repartition(_tasks(spark), "ring", "depth", *dims), index, places, side, k_eff, most, use_sphere, 0 if tables else DEEPEST)
+        if not ties:
+            table = _with_first_rows(table, S, k_eff, dims)
+        table = table.checkpoint(eager=True)
+        row = table.agg(F.sum(F.size("cands").cast("long")), F.count(F.lit(1))).first()
+        size += (row[0] or 0) * (64 + (0 if ties else k_eff * (32 + 16 * len(site_cols)))) + row[1] * 64
+        tables.append(table)
+    depths = sorted(r[0] for r in tables[0].select("depth").distinct().collect())  # ``DEEPEST`` + 1 at most
+
+    # --- one streaming join --------------------------------------------------------------
+    frame = pts.withColumns({"__ring": ring, **{f"__u{d}": c for d, c in enumerate(coords)}})
+    frame = frame.withColumn("__depth", F.explode(F.array(*[F.lit(d) for d in depths])) if len(depths) > 1 else F.lit(depths[0] if depths else 0))
+    own_side = F.lit(side) * F.pow(F.lit(float(FAN)), (F.col("__ring") - F.col("__depth")).cast("double"))
+    frame = frame.withColumns({f"__{n}": F.floor(F.col(f"__u{d}") / own_side) for d, n in enumerate(dims)})
+    keys = ["ring", "depth", *dims]
+    for g, table in enumerate(tables):
+        named = table.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)], F.col("cands").alias(f"__cands{g}"))
+        named = F.broadcast(named) if size <= max_broadcast_bytes else named
+        meet = reduce(lambda a, b: a & b, [F.col(f"__{c}") == F.col(f"__k{i}") for i, c in enumerate(keys)])
+        frame = frame.join(named, meet).drop(*[f"__k{i}" for i in range(len(keys))])
+    frame = frame.withColumn("__c", F.concat(*[F.col(f"__cands{g}") for g in range(len(tables))]))
+
+    def distance(sx: Column, sy: Column) -> Column:
+        return sphere_distance(px, py, sx, sy, radius) if use_sphere else _dist(px, py, sx, sy)
+
+    picked = _select(frame, "__c", distance, k_eff, ties).select(*point_cols, "__pick")
     out = _expand(picked, S, point_cols, site_cols, ties, distance_col, rank_col, n_sites, max_broadcast_bytes)
     if compete_by:
         # rows sharing the key keep the pairs at the key's smallest distance: a partial
         # aggregate per key, joined back (a hot key is split by AQE, never sorted whole)
-        keys = [compete_by] if isinstance(compete_by, str) else list(compete_by)
-        best = out.groupBy(*keys).agg(F.min(distance_col).alias("__best"))
-        best = best.select("__best", *[F.col(c).alias(f"__by{i}") for i, c in enumerate(keys)])
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__by{i}")) for i, c in enumerate(keys)])
+        by = [compete_by] if isinstance(compete_by, str) else list(compete_by)
+        best = out.groupBy(*by).agg(F.min(distance_col).alias("__best"))
+        best = best.select("__best", *[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)])
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__by{i}")) for i, c in enumerate(by)])
         out = out.join(best, same).filter(F.col(distance_col) == F.col("__best")).select(*out_cols)
     return out
 
 
+def _tasks(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _cell_side(box, n_locs: int, sphere: bool) -> float:
+    """Half the spacing of evenly spread locations; where they lie denser, cells are cut later."""
+    if sphere:
+        return math.sqrt(4 * math.pi / n_locs) / 2
+    w, h = float(box[1] - box[0]), float(box[3] - box[2])
+    spacing = math.sqrt(w * h / n_locs) if w * h > 0 else max(w, h) / n_locs
+    return spacing / 2 if spacing > 0 else 1.0
+
+
+def _with_first_rows(table: DataFrame, S: DataFrame, k: int, dims: list[str]) -> DataFrame:
+    """The cells' candidates with the ``k`` best site rows at each location (``__firstk``)."""
+    # row_number <= k gets a partial group limit before the shuffle, so a location holding many sites never gathers them in one task
+    w = Window.partitionBy("__sx", "__sy").orderBy(F.col("__tie").asc_nulls_last(), F.col("__row"))
+    best = (S.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k)
+            .groupBy("__sx", "__sy").agg(F.sort_array(F.collect_list(F.struct(F.col("__tie").alias("t"), F.col("__row").alias("r")))).alias("__firstk")))
+    each = table.select("ring", "depth", *dims, F.explode("cands").alias("c")).select("ring", "depth", *dims, "c.*")
+    entry = F.struct("__sx", "__sy", "__m", "__firstk")
+    return each.join(best, ["__sx", "__sy"]).groupBy("ring", "depth", *dims).agg(F.collect_list(entry).alias("cands"))
+
+
 def _expand(picked: DataFrame, S: DataFrame, point_cols, site_cols, ties, distance_col, rank_col, n_sites,
             max_broadcast_bytes) -> DataFrame:
     """(point, chosen entries) -> one row per (point, site)."""
@@ -296,119 +290,3 @@ def _expand(picked: DataFrame, S: DataFrame, point_cols, site_cols, ties, distan
     if rank_col:
         sel.append(F.col("__rk").alias(rank_col))
     return rows.select(*sel)
-
-
-def _pyramid_search(left: DataFrame, locs: DataFrame, x: str, y: str, s0: float, st, k: int, ties: bool,
-                    M: int, n_dense: int, dense0: DataFrame, cell_at, entry, cands_type: str, point_cols,
-                    max_broadcast_bytes: int) -> DataFrame:
-    """Exact answers for the points the fast path could not certify (see module doc)."""
-    extent = max(float(st["x1"] - st["x0"]), float(st["y1"] - st["y0"]), s0)
-    top = max(0, math.ceil(math.log2(extent / s0)) + 1)
-    # finest level: below 0 only inside dense level-0 cells, until no cell is dense there
-    lo = 0
-    dense_locs = None
-    if n_dense:
-        c0x, c0y = cell_at(s0)
-        dense_locs = (locs.withColumns({"cx": c0x, "cy": c0y})
-                      .join(broadcast_if_bounded(dense0, 1_000_000), ["cx", "cy"], "left_semi")
-                      .drop("cx", "cy").checkpoint(eager=True))
-        while lo > -60:
-            lo -= 1
-            sx_, sy_ = cell_at(s0 * 2.0 ** lo)
-            worst = dense_locs.groupBy(sx_.alias("a"), sy_.alias("b")).count().agg(F.max("count")).first()[0]
-            if worst is None or worst <= M:
-                break
-
-    def exploded(frame: DataFrame, levels) -> DataFrame:
-        keys = F.array(*[F.struct(F.lit(lv).alias("l"), cell_at(s0 * 2.0 ** lv)[0].alias("cx"),
-                                  cell_at(s0 * 2.0 ** lv)[1].alias("cy")) for lv in levels])
-        return frame.select(F.explode(keys).alias("__k"), entry).select(
-            F.col("__k.l").alias("lvl"), F.col("__k.cx").alias("cx"), F.col("__k.cy").alias("cy"), "__loc")
-
-    # Start level: the finest level >= 0 whose grid over the sites' bounding box has at
-    # most 64 cells, so the start set is bounded by construction and every site lies in
-    # it; only levels up to there are counted.
-    def grid_cells(level: int) -> int:
-        side = s0 * 2.0 ** level
-        return ((math.floor(st["x1"] / side) - math.floor(st["x0"] / side) + 1)
-                * (math.floor(st["y1"] / side) - math.floor(st["y0"] / side) + 1))
-
-    first = next(lv for lv in range(0, top + 64) if grid_cells(lv) <= 64)
-    counted = exploded(locs, list(range(0, first + 1)))
-    if lo < 0:
-        counted = counted.unionByName(exploded(dense_locs, list(range(lo, 0))))
-    pyramid = (counted.groupBy("lvl", "cx", "cy").agg(F.count(F.lit(1)).alias("cnt"))
-               .withColumn("leaf", ((F.col("lvl") <= 0) & (F.col("cnt") <= M)) | (F.col("lvl") == lo))
-               .checkpoint(eager=True))
-    n_cells = pyramid.count()
-    cell_type = "array<struct<lvl:int,cx:bigint,cy:bigint,cnt:bigint,leaf:boolean>>"
-    tops = pyramid.filter(F.col("lvl") == first).collect()   # at most 64 cells
-    start = F.array(*[F.struct(F.lit(r["lvl"]).cast("int").alias("lvl"), F.lit(r["cx"]).cast("long").alias("cx"),
-                               F.lit(r["cy"]).cast("long").alias("cy"), F.lit(r["cnt"]).cast("long").alias("cnt"),
-                               F.lit(r["leaf"]).alias("leaf")) for r in tops]).cast(cell_type)
-    px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    state = left.withColumn("__pk", F.monotonically_increasing_id()).withColumn("__cells", start)
-    state = state.checkpoint(eager=True)
-
-    def prune(frame: DataFrame) -> DataFrame:
-        # Bound: order cells by their farthest point; the first ones that hold >= k sites
-        # give an upper bound on the k-th distance; cells entirely beyond it cannot matter.
-        boxes = F.transform("__cells", lambda c: F.struct(
-            c.alias("c"), (F.pow(F.lit(2.0), c["lvl"]) * F.lit(s0)).alias("s")))
-        scored = F.sort_array(F.transform(boxes, lambda z: F.struct(
-            _far(px, py, z["c"]["cx"] * z["s"], z["c"]["cy"] * z["s"], z["s"]).alias("far"),
-            _near(px, py, z["c"]["cx"] * z["s"], z["c"]["cy"] * z["s"], z["s"]).alias("near"),
-            z["c"].alias("c"))))
-        frame = frame.withColumn("__sc", scored)
-        init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("u"))
-        bound = F.aggregate("__sc", init, lambda a, z: F.struct(
-            (a["cum"] + z["c"]["cnt"]).alias("cum"),
-            F.when(a["u"].isNull() & (a["cum"] + z["c"]["cnt"] >= k), z["far"]).otherwise(a["u"]).alias("u")))
-        frame = frame.withColumn("__u", bound["u"])
-        # the bound rides along in the array, so the lambda reads only its own variables
-        paired = F.arrays_zip(F.col("__sc").alias("z"), F.array_repeat("__u", F.size("__sc")).alias("u"))
-        kept = F.transform(F.filter(paired, lambda e: e["z"]["near"] <= e["u"]), lambda e: e["z"]["c"])
-        return frame.withColumn("__cells", kept).drop("__sc", "__u")
-
-    kids = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _CHILDREN])
-    pyr = F.broadcast(pyramid) if n_cells * 48 <= max_broadcast_bytes else pyramid
-
-    # One written step per round: prune, then split the surviving non-leaf cells.  The
-    # loop ends after a round in which no point had a non-leaf cell left.
-    for _ in range(first - lo + 2):
-        pruned = prune(state).withColumn("__open", F.exists("__cells", lambda c: ~c["leaf"]))
-        wanted = (pruned.filter("__open")
-                  .select("__pk", F.explode(F.filter("__cells", lambda c: ~c["leaf"])).alias("p"))
-                  .select("__pk", F.explode(kids).alias("o"), "p")
-                  .select("__pk", (F.col("p.lvl") - 1).alias("lvl"), (F.col("p.cx") * 2 + F.col("o.dx")).alias("cx"),
-                          (F.col("p.cy") * 2 + F.col("o.dy")).alias("cy")))
-        children = (wanted.join(pyr, ["lvl", "cx", "cy"])
-                    .groupBy("__pk").agg(F.collect_list(F.struct(
-                        F.col("lvl").cast("int").alias("lvl"), "cx", "cy", "cnt", "leaf")).alias("__kids")))
-        state = (pruned.join(children, "__pk", "left")
-                 .withColumn("__cells", F.concat(F.filter("__cells", lambda c: c["leaf"]),
-                                                 F.coalesce("__kids", F.array().cast(cell_type))))
-                 .drop("__kids").checkpoint(eager=True))
-        if state.filter("__open").isEmpty():
-            break
-        state = state.drop("__open")
-    state = state.drop("__open")
-
-    # fetch the locations of the remaining leaves and choose exactly
-    need = state.select("__pk", F.explode("__cells").alias("c")).select(
-        "__pk", F.col("c.lvl").alias("lvl"), F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy"))
-    need = need.checkpoint(eager=True)
-    used = sorted({r[0] for r in need.select("lvl").distinct().collect()})   # at most first - lo + 1 values
-    pos = [lv for lv in used if lv >= 0]
-    neg = [lv for lv in used if lv < 0]
-    src = exploded(locs, pos) if pos else None
-    if neg:
-        extra = exploded(dense_locs, neg)
-        src = extra if src is None else src.unionByName(extra)
-    cells_needed = broadcast_if_bounded(need.select("lvl", "cx", "cy").distinct(), max(1, max_broadcast_bytes // 64))
-    fetched = (src.join(cells_needed, ["lvl", "cx", "cy"], "left_semi")
-               .join(need, ["lvl", "cx", "cy"])
-               .groupBy("__pk").agg(F.collect_list("__loc").alias("__c")))
-    done = state.join(fetched, "__pk", "left").withColumn(
-        "__c", F.coalesce(F.col("__c"), F.array().cast(cands_type)))
-    return _select(done, "__c", px, py, k, ties).select(*point_cols, "__pick")

@@ -22,6 +22,7 @@ from ..session import scratch_path
 from ..sources import ingest
 from . import city_model as cm
 from . import reports
+from .geo_queries import GEO_QUERIES
 
 CITY = "AMERICA"          # region playing the city of the reports
 DEPARTMENT = "NATION_1"   # nation playing "Dep A" in the course exercises
@@ -466,3 +467,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # the pairs of different hints for Q3's two joins; the equal ones are registered above
 HINT_PAIRS = [(a, b) for a in SUPPORTED_STRATEGIES for b in SUPPORTED_STRATEGIES if a != b]
 QUERIES |= {f"income_crime_per_capita_{a}_then_{b}".lower(): _q3_pair(a, b) for a, b in HINT_PAIRS}
+QUERIES |= GEO_QUERIES

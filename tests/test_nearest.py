@@ -1,6 +1,9 @@
 import math
 import random
 
+import numpy as np
+import pytest
+
 from tessera.operators import nearest
 from tessera.plans import reports
 
@@ -23,10 +26,7 @@ def _frames(spark, points, sites):
     return p, s
 
 
-import pytest
-
-
-@pytest.mark.parametrize("cell", [None, 0.5])   # a small cell sends many points to the pyramid
+@pytest.mark.parametrize("cell", [None, 0.5, 400.0])
 def test_nearest_matches_brute_force_clustered_and_far(spark, cell):
     rng = random.Random(5)
     sites = [(i, rng.gauss(50, 3), rng.gauss(50, 3)) for i in range(40)] + [(100 + i, rng.uniform(0, 500), 0.0)
@@ -98,21 +98,90 @@ def test_nearest_without_broadcast(spark):
     assert got == brute(points, sites, 2, False)
 
 
-def test_one_far_site_does_not_change_the_path(spark, monkeypatch):
-    import numpy as np
-    import sys
-    module = sys.modules["tessera.operators.nearest"]
-
+def test_one_far_site_does_not_change_the_answer(spark):
     rng = np.random.default_rng(5)
     spots = rng.random((600, 2)).tolist() + [[1000.0, 1000.0]]
     sites = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(spots)], "sid long, sx double, sy double")
     at = rng.random((500, 2))
     points = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(at)], "pid long, x double, y double")
-
-    def pyramid(*args):
-        raise AssertionError("the points must be settled by the grid")
-
-    monkeypatch.setattr(module, "_pyramid_search", pyramid)
-    got = {r["pid"]: r["sid"] for r in module.nearest(points, sites, "x", "y", "sx", "sy", k=1, ties=False, site_order="sid").collect()}
+    got = {r["pid"]: r["sid"] for r in nearest(points, sites, "x", "y", "sx", "sy", k=1, ties=False, site_order="sid").collect()}
     want = ((at[:, None, :] - np.array(spots)[None]) ** 2).sum(axis=2).argmin(axis=1)
     assert got == dict(enumerate(want.tolist()))
+
+
+def great_circle(lon1, lat1, lon2, lat2, radius=6371008.0):
+    p1, p2 = np.radians(lat1), np.radians(lat2)
+    h = np.sin((p2 - p1) / 2) ** 2 + np.cos(p1) * np.cos(p2) * np.sin(np.radians(lon2 - lon1) / 2) ** 2
+    return 2 * radius * np.arcsin(np.sqrt(np.minimum(h, 1.0)))
+
+
+def globe(n, seed, dense=0):
+    """Places all over the sphere, poles and both sides of the date line among them, and a dense group."""
+    g = np.random.default_rng(seed)
+    lon, lat = g.uniform(-180, 180, n), np.degrees(np.arcsin(g.uniform(-1, 1, n)))
+    special = [(0.0, 90.0), (77.0, 90.0), (10.0, -90.0), (180.0, 12.0), (-180.0, 12.5), (179.999, -40.0), (-179.999, -40.1)]
+    near = [(179.9 + a, 60 + b) if 179.9 + a <= 180 else (a - 180.1, 60 + b) for a, b in g.uniform(0, .2, (dense, 2)).tolist()]
+    return list(zip(lon.tolist(), lat.tolist())) + special + near
+
+
+@pytest.mark.parametrize("k,ties,dense", [(1, True, 0), (1, False, 150), (4, False, 0), (3, True, 150)])
+def test_sphere_nearest_matches_brute_force(spark, k, ties, dense):
+    sites, points = globe(120, 3, dense), globe(700, 4, 40)
+    p, s = _frames(spark, [(i, *xy) for i, xy in enumerate(points)], [(i, *xy) for i, xy in enumerate(sites)])
+    got = nearest(p, s, "x", "y", "sx", "sy", k=k, ties=ties, site_order="sid", use_sphere=True).collect()
+    a, b = np.array(points), np.array(sites)
+    d = great_circle(a[:, None, 0], a[:, None, 1], b[None, :, 0], b[None, :, 1])
+    kth = np.sort(d, axis=1)[:, k - 1]
+    per = {}
+    for r in got:
+        assert abs(r["distance"] - d[r["pid"], r["sid"]]) < 1e-3
+        per.setdefault(r["pid"], set()).add(r["sid"])
+    for i in range(len(points)):
+        sure, possible = set(np.flatnonzero(d[i] < kth[i] - 1e-3)), set(np.flatnonzero(d[i] <= kth[i] + 1e-3))
+        assert sure <= per[i] <= possible and len(per[i]) >= k
+
+
+def test_sphere_ties_at_the_pole_and_unit_of_the_radius(spark):
+    sites = [(i, 45.0 * i, 0.0) for i in range(8)]
+    p, s = _frames(spark, [(1, 33.0, 90.0), (2, 1.0, 0.0)], sites)
+    got = nearest(p, s, "x", "y", "sx", "sy", use_sphere=True, radius=1.0).collect()
+    one = [r for r in got if r["pid"] == 2]
+    assert len(one) == 1 and abs(one[0]["distance"] - math.radians(1.0)) < 1e-12
+    pole = [r for r in got if r["pid"] == 1]
+    assert all(abs(r["distance"] - math.pi / 2) < 1e-12 for r in pole) and len(pole) >= 1
+
+
+def test_several_indexes_give_what_one_gives(spark):
+    rng = random.Random(12)
+    sites = [(i, rng.gauss(50, 3), rng.gauss(50, 3)) for i in range(150)] + [(200 + i, rng.uniform(0, 500), 7.0) for i in range(30)]
+    points = [(j, rng.uniform(-100, 600), rng.uniform(-100, 200)) for j in range(500)]
+    p, s = _frames(spark, points, sites)
+    for k, ties, limit in ((1, True, 256 << 20), (3, False, 0), (2, True, 0)):
+        got = nearest(p, s, "x", "y", "sx", "sy", k=k, ties=ties, site_order="sid", index_sites=50, max_cell_sites=6, max_broadcast_bytes=limit)
+        assert sorted((r["pid"], r["sid"]) for r in got.collect()) == brute(points, sites, k, ties)
+
+
+def test_points_are_not_written_or_shuffled(spark):
+    p, s = _frames(spark, [(i, float(i % 37), float(i % 11)) for i in range(400)], [(i, float(i), float(i * i % 17)) for i in range(40)])
+    plan = nearest(p, s, "x", "y", "sx", "sy", k=2, ties=False, site_order="sid")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_far_points_stay_cheap(spark):
+    """Points far from a dense cluster, a stack and scattered sites are settled by few, large cells."""
+    rng = random.Random(9)
+    sites = [(i, 50 + rng.uniform(-0.01, 0.01), 50 + rng.uniform(-0.01, 0.01)) for i in range(300)]
+    sites += [(1000 + i, 20.0, 80.0) for i in range(60)] + [(2000 + i, rng.uniform(0, 100), rng.uniform(0, 100)) for i in range(40)]
+    points = [(j, rng.uniform(-5000, 5000), rng.uniform(-5000, 5000)) for j in range(402)]
+    p, s = _frames(spark, points, sites)
+    got = sorted((r["pid"], r["sid"]) for r in nearest(p, s, "x", "y", "sx", "sy", k=2, ties=False, site_order="sid").collect())
+    assert got == brute(points, sites, 2, False)
+
+
+def test_coordinates_that_are_no_numbers_and_zero_of_either_sign(spark):
+    points = [(1, float("nan"), 0.0), (2, None, 0.0), (3, float("inf"), 1.0), (4, -0.0, 0.0)]
+    sites = [(1, 0.0, -0.0), (2, -0.0, 0.0), (3, float("nan"), 0.0), (4, None, None), (5, float("-inf"), 0.0)]
+    p, s = _frames(spark, points, sites)
+    assert sorted((r["pid"], r["sid"], r["distance"]) for r in nearest(p, s, "x", "y", "sx", "sy").collect()) == [(4, 1, 0.0), (4, 2, 0.0)]
+    assert nearest(p, s.where("sid > 2"), "x", "y", "sx", "sy").count() == 0
+    assert nearest(p.where("pid < 4"), s, "x", "y", "sx", "sy", use_sphere=True).count() == 0
