@@ -13,7 +13,8 @@ Model
   :mod:`tessera.operators.dissolve`) is queried the same way.
 
 Boundary rule: the ray cast is half-open, so a point exactly on an edge may count
-as inside or outside; :func:`on_boundary` tests that case explicitly.
+as inside or outside.  :func:`on_boundary` tests that case, without a tolerance exactly
+on coordinates of ``GRID_DIGITS`` decimals, and :func:`within` can count it either way.
 """
 
 from __future__ import annotations
@@ -25,6 +26,12 @@ EDGE_TYPE = StructType([StructField(n, DoubleType()) for n in ("x1", "y1", "x2",
 EDGES_TYPE = ArrayType(EDGE_TYPE)
 MULTIPOLYGON_TYPE = ArrayType(ArrayType(ArrayType(ArrayType(DoubleType()))))
 
+# Without a tolerance, places are compared as numbers of so many decimals.
+GRID_DIGITS = 9
+
+# How a point on a polygon's boundary counts: as the ray cast has it, not within (the OGC rule), or within.
+BOUNDARY_RULES = ("half_open", "outside", "inside")
+
 # Mean Earth radius in metres, the default sphere for great-circle distances.
 EARTH_RADIUS_M = 6371008.0
 
@@ -90,21 +97,47 @@ def crossings(edges: Column | str, x: Column | str, y: Column | str) -> Column:
     return F.aggregate(_c(edges), F.lit(0), lambda acc, e: acc + _crossing(px, py, e))
 
 
-def within(x: Column | str, y: Column | str, edges: Column | str) -> Column:
-    """``ST_Within(point, polygon)`` by the even-odd rule over a prepared edge list."""
-    return crossings(edges, x, y) % 2 == 1
+def within(x: Column | str, y: Column | str, edges: Column | str, boundary: str = "half_open") -> Column:
+    """``ST_Within(point, polygon)`` by the even-odd rule over a prepared edge list.
+
+    ``boundary`` says how a point on an edge or a vertex counts (:data:`BOUNDARY_RULES`).
+    """
+    if boundary not in BOUNDARY_RULES:
+        raise ValueError(f"unknown boundary rule {boundary!r}; expected one of {BOUNDARY_RULES}")
+    odd = crossings(edges, x, y) % 2 == 1
+    return odd if boundary == "half_open" else F.when(on_boundary(x, y, edges), F.lit(boundary == "inside")).otherwise(odd)
+
+
+def _turn_is_zero(px: Column, py: Column, e: Column) -> Column:
+    """Whether a point lies on the line of an edge, exactly on coordinates of ``GRID_DIGITS`` decimals.
+
+    Where the cross product in doubles is clearly off zero, that settles it; else it is taken in whole numbers.
+    """
+    def grid(c: Column) -> Column:
+        return F.round(c * 10.0 ** GRID_DIGITS).cast("decimal(18,0)")
+
+    dx, dy, ux, uy = e.x2 - e.x1, e.y2 - e.y1, px - e.x1, py - e.y1
+    rough = dx * uy - dy * ux
+    reach = (F.abs(dx) + F.abs(dy) + F.abs(ux) + F.abs(uy)) * 10.0 ** -GRID_DIGITS * 4 + 10.0 ** (-2 * GRID_DIGITS)
+    gx, gy = grid(e.x1), grid(e.y1)
+    exact = ((grid(e.x2) - gx).cast("decimal(18,0)") * (grid(py) - gy).cast("decimal(18,0)")
+             == (grid(e.y2) - gy).cast("decimal(18,0)") * (grid(px) - gx).cast("decimal(18,0)"))
+    return F.when(F.abs(rough) > reach, F.lit(False)).otherwise(exact)
 
 
 def on_boundary(x: Column | str, y: Column | str, edges: Column | str, tol: float = 0.0) -> Column:
-    """True when the point lies on some edge (within ``tol`` of the segment)."""
+    """True when the point lies on some edge: within ``tol`` of the segment, or exactly (see :data:`GRID_DIGITS`) without one."""
     px, py = _c(x), _c(y)
+    slack = tol or 0.5 * 10.0 ** -GRID_DIGITS
 
     def on_edge(e: Column) -> Column:
-        cross = (e.x2 - e.x1) * (py - e.y1) - (e.y2 - e.y1) * (px - e.x1)
         inside_box = (
-            (px >= F.least(e.x1, e.x2) - tol) & (px <= F.greatest(e.x1, e.x2) + tol)
-            & (py >= F.least(e.y1, e.y2) - tol) & (py <= F.greatest(e.y1, e.y2) + tol)
+            (px >= F.least(e.x1, e.x2) - slack) & (px <= F.greatest(e.x1, e.x2) + slack)
+            & (py >= F.least(e.y1, e.y2) - slack) & (py <= F.greatest(e.y1, e.y2) + slack)
         )
+        if not tol:
+            return F.when(inside_box, _turn_is_zero(px, py, e)).otherwise(False)
+        cross = (e.x2 - e.x1) * (py - e.y1) - (e.y2 - e.y1) * (px - e.x1)
         length = F.sqrt((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1))
         return inside_box & (F.abs(cross) <= F.lit(tol) * F.greatest(length, F.lit(1e-300)))
 
@@ -132,3 +165,8 @@ def ring_area(multipolygon: Column | str) -> Column:
     """Signed-area sum (shoelace) over all rings; absolute value per ring."""
     edges = polygon_edges(multipolygon)
     return F.abs(F.aggregate(edges, F.lit(0.0), lambda acc, e: acc + (e.x1 * e.y2 - e.x2 * e.y1))) / 2
+
+
+def signed_area(multipolygon: Column | str) -> Column:
+    """Area of MultiPolygon coordinates whose holes run against their outer rings (the shoelace sum over all rings, as it is)."""
+    return F.aggregate(polygon_edges(multipolygon), F.lit(0.0), lambda acc, e: acc + (e.x1 * e.y2 - e.x2 * e.y1)) / 2

@@ -9,14 +9,15 @@ Plan
    coarser levels instead of being replicated into many cells, and no polygon is
    ever dropped.  One small aggregate job over the (bounded) polygon side returns
    the used levels and the size of the cell table.
-3. The polygon side explodes to ``(level, gx, gy)`` rows; each point computes its
-   cell at every used level; the join is an equi-join on the cell key followed by a
-   bbox test and the ray cast.  A point meets each polygon at most once, so no
-   de-duplication is needed.
+3. The polygon side explodes to ``(level, gx, gy)`` rows that hold only the edges a ray
+   from the cell can meet; cells without an edge inside are whole or gone.  Each point
+   computes its cell at every used level; the join is an equi-join on the cell key
+   followed by a bbox test and the ray cast.  A point meets each polygon at most once,
+   so no de-duplication is needed.
 
 The cell table is broadcast only when its estimated size is under
-``max_broadcast_bytes``; otherwise both sides shuffle on the cell key and AQE's
-skew handling splits a hot cell.  The point side is never broadcast.
+``max_broadcast_bytes``; otherwise both sides shuffle on the cell key, and a cell with more
+than a task's share of the points is dealt over several salted keys.  The point side is never broadcast.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.geometry import edges_bbox, polygon_edges, within
+from ..functions.geometry import EDGES_TYPE, edges_bbox, polygon_edges, within
 from ..session import ensure_checkpoint_dir
 from .strategy import with_strategy
 
@@ -132,20 +133,51 @@ def _point_cells(points: DataFrame, x: str, y: str, spec: GridSpec) -> DataFrame
                             "__pgy": F.col("__pk3.gy")}).drop("__pk3")
 
 
-def spatial_join(points: DataFrame, polygons: DataFrame, x: str = "x", y: str = "y", how: str = "inner",
-                 cell_size: float | None = None, strategy: str | None = None, max_cells: int = 16,
-                 keep_edges: bool = False, spec: GridSpec | None = None,
-                 max_broadcast_bytes: int = 256 << 20) -> DataFrame:
-    """Pair each point with every polygon that contains it.
+def _cell_edges(cells: DataFrame, spec: GridSpec, edges: str = "edges") -> DataFrame:
+    """Each cell's row with the edges that matter to its places, ``edges``, and ``__whole``: the polygon covers the cell.
 
-    ``how="inner"`` keeps matches only; ``how="left"`` also keeps unmatched points
-    with NULL polygon columns.  ``polygons`` may be raw (``geometry`` coordinates) or
-    already prepared (``edges`` + bbox).  ``strategy`` forces a join hint on the
-    polygon-cell side (BROADCAST, MERGE, SHUFFLE_HASH); a broadcast, asked for or by
-    default, is size-checked (edges and all other columns).
+    A ray towards larger x from a place of the cell can only meet edges of the cell's rows that do not lie to its left.
+    A cell that no edge enters is covered wholly or not at all: its middle decides, and cells not covered go.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("how must be 'inner' or 'left'")
+    side = F.expr(_side_sql("__lvl", spec.cell_size, spec.levels))
+    slack = 1e-9  # of a side: a place on the line between two cells may round into either
+    cells = cells.withColumns({"__cx0": (F.col("__gx") - slack) * side, "__cx1": (F.col("__gx") + 1 + slack) * side,
+                               "__cy0": (F.col("__gy") - slack) * side, "__cy1": (F.col("__gy") + 1 + slack) * side})
+    x0, x1, y0, y1 = (F.col(c) for c in ("__cx0", "__cx1", "__cy0", "__cy1"))
+
+    def in_rows(e: Column) -> Column:
+        return (F.greatest(e.y1, e.y2) >= y0) & (F.least(e.y1, e.y2) <= y1) & (F.greatest(e.x1, e.x2) >= x0)
+
+    cells = cells.withColumn("__own", F.filter(edges, in_rows))
+    entered = F.exists("__own", lambda e: F.least(e.x1, e.x2) <= x1)
+    middle = within((x0 + x1) / 2, (y0 + y1) / 2, "__own")
+    cells = cells.withColumn("__whole", F.when(entered, F.lit(False)).when(middle, F.lit(True)))
+    return cells.where(F.col("__whole").isNotNull()).drop("__cx0", "__cx1", "__cy0", "__cy1").withColumn(
+        "__own", F.when(F.col("__whole"), F.array().cast(EDGES_TYPE)).otherwise(F.col("__own")))
+
+
+def _salted(points: DataFrame, cells: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``__salt``: a cell with over a task's share of the points is dealt over several keys.
+
+    The hot cells are found by one aggregate over the points' cells; there can't be more than ``tasks`` of them, so their
+    table is broadcast.
+    """
+    counts = points.groupBy("__plvl", "__pgx", "__pgy").agg(F.count(F.lit(1)).alias("__n")).checkpoint(eager=True)
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    share = max(1, -(-total // tasks))
+    hot = counts.where(F.col("__n") > share).select(F.col("__plvl").alias("__hl"), F.col("__pgx").alias("__hx"), F.col("__pgy").alias("__hy"),
+                                                    F.ceil(F.col("__n") * 2 / share).cast("int").alias("__salts"))
+    hot = F.broadcast(hot)
+    salts = F.coalesce("__salts", F.lit(1))
+    points = points.join(hot, (F.col("__plvl") == F.col("__hl")) & (F.col("__pgx") == F.col("__hx")) & (F.col("__pgy") == F.col("__hy")), "left")
+    points = points.withColumn("__psalt", F.pmod(F.monotonically_increasing_id(), salts).cast("int")).drop("__hl", "__hx", "__hy", "__salts")
+    cells = cells.join(hot, (F.col("__lvl") == F.col("__hl")) & (F.col("__gx") == F.col("__hx")) & (F.col("__gy") == F.col("__hy")), "left")
+    cells = cells.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__hl", "__hx", "__hy", "__salts")
+    return points, cells
+
+
+def _planned(points: DataFrame, polygons: DataFrame, spec: GridSpec | None, cell_size: float | None, max_cells: int,
+             max_broadcast_bytes: int) -> tuple[DataFrame, GridSpec]:
     prepared = polygons if {"edges", "x_min"}.issubset(polygons.columns) else prepare_polygons(polygons)
     clash = set(points.columns) & set(prepared.columns)
     if clash:
@@ -156,53 +188,83 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x: str = "x", y: str =
         ensure_checkpoint_dir(prepared.sparkSession)
         prepared = prepared.checkpoint(eager=True)
         spec = plan_grid(prepared, cell_size, max_cells, max_broadcast_bytes=max_broadcast_bytes)
-    cells = polygon_cells(prepared, spec, max_cells)
+    return prepared, spec
+
+
+def spatial_join(points: DataFrame, polygons: DataFrame, x: str = "x", y: str = "y", how: str = "inner",
+                 cell_size: float | None = None, strategy: str | None = None, max_cells: int = 16,
+                 keep_edges: bool = False, spec: GridSpec | None = None,
+                 max_broadcast_bytes: int = 256 << 20, boundary: str = "half_open") -> DataFrame:
+    """Pair each point with every polygon that contains it.
+
+    ``how="inner"`` keeps matches only; ``how="left"`` also keeps unmatched points
+    with NULL polygon columns.  ``polygons`` may be raw (``geometry`` coordinates) or
+    already prepared (``edges`` + bbox).  ``strategy`` forces a join hint on the
+    polygon-cell side (BROADCAST, MERGE, SHUFFLE_HASH); a broadcast, asked for or by
+    default, is size-checked (edges and all other columns).  Where the points are shuffled,
+    the keys of hot cells are salted by their counts.  ``boundary`` says how a point on an
+    edge counts (see :func:`~tessera.functions.geometry.within`).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    prepared, spec = _planned(points, polygons, spec, cell_size, max_cells, max_broadcast_bytes)
     if strategy and strategy.upper() == "BROADCAST" and not spec.broadcast:
         strategy = None  # the cells are beyond the limit: the optimizer chooses
+    drop = list(_INTERNAL) + ["__own", "__whole", "__psalt", "__salt", "x_min", "x_max", "y_min", "y_max"] + ([] if keep_edges else ["edges"])
+    shuffles = (strategy or "").upper() in ("MERGE", "SHUFFLE_HASH") or not (strategy or spec.broadcast)
+    if how == "left":
+        # a point with no match needs its row once: its matches are gathered in-row, then exploded
+        hit_type = [c for c in prepared.columns if c not in drop or (c == "edges" and keep_edges)]
+        out = tag_points(points, prepared, hit_type, x, y, strategy=strategy, max_cells=max_cells, spec=spec, boundary=boundary, hits="__hit")
+        out = out.withColumn("__hit", F.explode_outer("__hit"))
+        return out.select(*points.columns, *[F.col("__hit")[c].alias(c) for c in hit_type])
+    cells = _cell_edges(polygon_cells(prepared, spec, max_cells), spec)
+    if not keep_edges:
+        cells = cells.drop("edges")
+    pts = _point_cells(points, x, y, spec)
+    px, py = F.col(x), F.col(y)
+    keyed = (F.col("__pgx") == F.col("__gx")) & (F.col("__pgy") == F.col("__gy"))
+    if shuffles:
+        pts, cells = _salted(pts, cells, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        keyed = keyed & (F.col("__psalt") == F.col("__salt"))
     if strategy:
         cells = with_strategy(cells, strategy)
     elif spec.broadcast:
         cells = F.broadcast(cells)
-    drop = list(_INTERNAL) + ["x_min", "x_max", "y_min", "y_max"] + ([] if keep_edges else ["edges"])
-
-    def cond(pts: DataFrame) -> Column:
-        keyed = (F.col("__pgx") == F.col("__gx")) & (F.col("__pgy") == F.col("__gy"))
-        if len(spec.levels) > 1:
-            keyed = keyed & (F.col("__plvl") == F.col("__lvl"))
-        px, py = F.col(x), F.col(y)
-        box = (px >= F.col("x_min")) & (px <= F.col("x_max")) & (py >= F.col("y_min")) & (py <= F.col("y_max"))
-        return keyed & box & within(px, py, F.col("edges"))
-
-    if how == "inner" or len(spec.levels) == 1:
-        pts = _point_cells(points, x, y, spec)
-        return pts.join(cells, cond(pts), how).drop(*drop)
-
-    # Left join over several levels, without a point key: per level, each point meets the
-    # list of polygons of its one cell (a left join that keeps one row per point), keeps
-    # the ones that contain it, and the concatenation is exploded with explode_outer --
-    # one row per match, or one NULL row when nothing matched.
-    poly_cols = [c for c in prepared.columns if c not in ("x_min", "x_max", "y_min", "y_max")] + \
-        ["x_min", "x_max", "y_min", "y_max"]
-    out = points
-    hit_cols = []
+    if len(spec.levels) > 1:
+        keyed = keyed & (F.col("__plvl") == F.col("__lvl"))
+    box = (px >= F.col("x_min")) & (px <= F.col("x_max")) & (py >= F.col("y_min")) & (py <= F.col("y_max"))
+    return pts.join(cells, keyed & box & (F.col("__whole") | within(px, py, F.col("__own"), boundary)), "inner").drop(*drop)
+
+
+def tag_points(points: DataFrame, polygons: DataFrame, columns, x: str = "x", y: str = "y", cell_size: float | None = None,
+               strategy: str | None = None, max_cells: int = 16, spec: GridSpec | None = None,
+               max_broadcast_bytes: int = 256 << 20, boundary: str = "half_open", hits: str = "hits") -> DataFrame:
+    """``points`` with ``hits``: an array of the polygon ``columns`` of every polygon that holds the point, one row a point.
+
+    Per grid level a point meets the list of polygons of its one cell and keeps those that contain it, so
+    points need no key and are not grouped.
+    """
+    prepared, spec = _planned(points, polygons, spec, cell_size, max_cells, max_broadcast_bytes)
+    cells = _cell_edges(polygon_cells(prepared, spec, max_cells), spec)
     px, py = F.col(x), F.col(y)
+    out, found = points, []
+    entry = F.struct(F.struct(*[F.col(c) for c in columns]).alias("row"), F.col("__own").alias("own"), F.col("__whole").alias("whole"),
+                     "x_min", "x_max", "y_min", "y_max")
     for lv in spec.levels:
         side = spec.side(lv)
-        per_cell = (cells.filter(F.col("__lvl") == lv)
-                    .groupBy(F.col("__gx").alias(f"__gx{lv}"), F.col("__gy").alias(f"__gy{lv}"))
-                    .agg(F.collect_list(F.struct(*[F.col(c) for c in poly_cols])).alias(f"__pl{lv}")))
+        per_cell = (cells.filter(F.col("__lvl") == lv).groupBy(F.col("__gx").alias(f"__gx{lv}"), F.col("__gy").alias(f"__gy{lv}"))
+                    .agg(F.collect_list(entry).alias(f"__pl{lv}")))
         if strategy:
             per_cell = with_strategy(per_cell, strategy)
         elif spec.broadcast:
             per_cell = F.broadcast(per_cell)
         out = out.withColumns({f"__px{lv}": _floor_div(px, side), f"__py{lv}": _floor_div(py, side)})
-        out = out.join(per_cell, (F.col(f"__px{lv}") == F.col(f"__gx{lv}"))
-                       & (F.col(f"__py{lv}") == F.col(f"__gy{lv}")), "left")
-        hits = F.filter(F.coalesce(F.col(f"__pl{lv}"), F.array().cast(per_cell.schema[f"__pl{lv}"].dataType)),
-                        lambda p: (px >= p["x_min"]) & (px <= p["x_max"]) & (py >= p["y_min"]) & (py <= p["y_max"])
-                        & within(px, py, p["edges"]))
-        out = out.withColumn(f"__hit{lv}", hits).drop(f"__px{lv}", f"__py{lv}", f"__gx{lv}", f"__gy{lv}", f"__pl{lv}")
-        hit_cols.append(f"__hit{lv}")
-    out = out.withColumn("__hit", F.explode_outer(F.concat(*[F.col(c) for c in hit_cols]))).drop(*hit_cols)
-    keep = [c for c in poly_cols if c not in drop]
-    return out.select(*points.columns, *[F.col("__hit")[c].alias(c) for c in keep])
+        out = out.join(per_cell, (F.col(f"__px{lv}") == F.col(f"__gx{lv}")) & (F.col(f"__py{lv}") == F.col(f"__gy{lv}")), "left")
+        inside = F.filter(F.coalesce(F.col(f"__pl{lv}"), F.array().cast(per_cell.schema[f"__pl{lv}"].dataType)),
+                          lambda p: (px >= p["x_min"]) & (px <= p["x_max"]) & (py >= p["y_min"]) & (py <= p["y_max"])
+                          & (p["whole"] | within(px, py, p["own"], boundary)))
+        out = out.withColumn(f"__hit{lv}", F.transform(inside, lambda p: p["row"]))
+        out = out.drop(f"__px{lv}", f"__py{lv}", f"__gx{lv}", f"__gy{lv}", f"__pl{lv}")
+        found.append(f"__hit{lv}")
+    return out.withColumn(hits, F.concat(*[F.col(c) for c in found])).drop(*found)

@@ -8,9 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.geometry import planar_distance, polygon_edges, signed_area
+from ..operators.dissolve import dissolve
+from ..operators.spatial import spatial_join
+from ..operators.union import rings
+from ..session import scratch_path
+from ..sources import ingest
 from . import city_model as cm
 from . import reports
-from .oracle import _PTS, _STATIONS
+from .oracle import _BLOCKS, _CODES, _INCOME, _PTS, _STATIONS
 
 
 # --- nearest on the sphere ------------------------------------------------------------
@@ -44,10 +50,132 @@ d AS (SELECT incident_id, station_id, division, 2 * CAST(6371008 AS DOUBLE) * as
 r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY incident_id ORDER BY distance, station_id) AS rn FROM d)
 """
 
-GEO_QUERIES = {"nearest_k_sphere": q_nearest_k_sphere, "nearest_station_sphere": q_nearest_station_sphere}
+# --- unions ---------------------------------------------------------------------------
+
+REACH = 8.0  # half the side of a station's square
+
+
+def _station_squares(spark, d):
+    """A square around each station; those of a nation overlap at will."""
+    st = cm.stations(spark, d).join(cm.table(spark, d, "supplier").select(F.col("s_suppkey").alias("station_id"), F.col("s_nationkey").alias("nation")),
+                                    "station_id")
+    x0, x1, y0, y1 = F.col("sx") - REACH, F.col("sx") + REACH, F.col("sy") - REACH, F.col("sy") + REACH
+    corner = lambda x, y: F.array(F.round(x, 5), F.round(y, 5))
+    ring = F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1), corner(x0, y0))
+    return st.select("nation", F.array(F.array(ring)).alias("geometry"))
+
+
+def _measured(spark, shapes, key, name):
+    """Unions written as GeoJSON and read again: area, length of the boundary, outer rings less holes."""
+    path = scratch_path(spark, name)
+    ingest.write_geojson(rings(shapes), path)
+    back = ingest.read_geojson(spark, path, spark.createDataFrame([], f"{key.name} {key.dataType.simpleString()}").schema, multi_line=False)
+    edges = polygon_edges("geometry")
+    length = F.aggregate(edges, F.lit(0.0), lambda a, e: a + planar_distance(e.x1, e.y1, e.x2, e.y2))
+    n = F.aggregate("geometry", F.lit(0), lambda a, p: a + 2 - F.size(p))
+    return back.select(key.name, F.round(signed_area("geometry"), 4).alias("area"), F.round(length, 4).alias("boundary"), n.cast("long").alias("euler"))
+
+
+def q_dissolve_overlap(spark, d):
+    shapes = dissolve(_station_squares(spark, d), "nation", overlapping=True, with_bbox=False)
+    return _measured(spark, shapes, shapes.schema["nation"], "station-areas")
+
+
+def q_dissolve_overlap_within(spark, d):
+    # incidents inside any of a nation's overlapping squares, each once
+    shapes = dissolve(_station_squares(spark, d), "nation", overlapping=True)
+    pts = cm.incidents(spark, d).select("lon", "lat")
+    return spatial_join(pts, shapes, "lon", "lat").groupBy("nation").agg(F.count(F.lit(1)).alias("crime_count"))
+
+
+def q_dissolve_rings(spark, d):
+    blocks = cm.census_blocks(spark, d).select("CITY", "geometry")
+    shapes = dissolve(blocks, "CITY", overlapping=True, with_bbox=False)
+    return _measured(spark, shapes, shapes.schema["CITY"], "city-outlines")
+
+
+def _grown_blocks(spark, d):
+    """Census blocks as the square of their zip grown by half a unit: the blocks of a zip are equal, those of neighbours overlap."""
+    blocks = cm.census_blocks(spark, d)
+    corner = F.array_min(F.transform(F.flatten(F.flatten("geometry")), lambda p: p[0])) - 0.5, F.array_min(
+        F.transform(F.flatten(F.flatten("geometry")), lambda p: p[1])) - 0.5
+    at = lambda i, j: F.array(corner[0] + 11.0 * i, corner[1] + 11.0 * j)
+    return blocks.withColumn("geometry", F.array(F.array(F.array(at(0, 0), at(1, 0), at(1, 1), at(0, 1), at(0, 0)))))
+
+
+def q_income_crime_overlap(spark, d):
+    return reports.income_crime_report(_grown_blocks(spark, d), cm.income(spark, d), cm.incidents(spark, d), "AMERICA", x="lon", y="lat",
+                                       overlapping=True)
+
+
+def q_top_bottom_profile_overlap(spark, d):
+    return reports.descent_profile_one_pass(_grown_blocks(spark, d), cm.income(spark, d), cm.incidents(spark, d), cm.priority_codes(spark),
+                                            "AMERICA", 3, x="lon", y="lat", code_col="code", codes_key="code", label_col="label",
+                                            overlapping=True).withColumnRenamed("count", "crime_count")
+
+
+def q_top_bottom_profile_overlap_two_pass(spark, d):
+    return reports.descent_profile_report(q_income_crime_overlap(spark, d), cm.incidents(spark, d), _grown_blocks(spark, d), cm.priority_codes(spark),
+                                          3, x="lon", y="lat", code_col="code", codes_key="code", label_col="label") \
+        .withColumnRenamed("count", "crime_count")
+
+
+# Unions of axis-parallel squares by coordinate compression: cells between neighbouring coordinates, covered or not.
+# Outer rings less holes is cells less neighbouring pairs plus full blocks of four.
+def _compressed(squares: str, key: str) -> str:
+    return f"""WITH {squares},
+xs AS (SELECT {key}, x, lead(x) OVER (PARTITION BY {key} ORDER BY x) AS x2, row_number() OVER (PARTITION BY {key} ORDER BY x) AS i
+       FROM (SELECT {key}, x0 AS x FROM sq UNION SELECT {key}, x1 FROM sq)),
+ys AS (SELECT {key}, y, lead(y) OVER (PARTITION BY {key} ORDER BY y) AS y2, row_number() OVER (PARTITION BY {key} ORDER BY y) AS j
+       FROM (SELECT {key}, y0 AS y FROM sq UNION SELECT {key}, y1 FROM sq)),
+cell AS (SELECT DISTINCT xs.{key}, i, j, x, x2, y, y2 FROM xs JOIN ys ON xs.{key} = ys.{key} JOIN sq ON sq.{key} = xs.{key}
+         AND sq.x0 <= x AND x2 <= sq.x1 AND sq.y0 <= y AND y2 <= sq.y1),
+side AS (SELECT c.{key}, count(*) AS n, sum(CAST(c.x2 - c.x AS HUGEINT) * (c.y2 - c.y)) AS area,
+                sum((r.i IS NULL)::INT * (c.y2 - c.y) + (l.i IS NULL)::INT * (c.y2 - c.y)
+                    + (u.i IS NULL)::INT * (c.x2 - c.x) + (d.i IS NULL)::INT * (c.x2 - c.x)) AS boundary,
+                count(r.i) + count(u.i) AS pairs, count(CASE WHEN r.i IS NOT NULL AND u.i IS NOT NULL AND q.i IS NOT NULL THEN 1 END) AS blocks
+         FROM cell c LEFT JOIN cell r ON r.{key} = c.{key} AND r.i = c.i + 1 AND r.j = c.j LEFT JOIN cell l ON l.{key} = c.{key} AND l.i = c.i - 1 AND l.j = c.j
+         LEFT JOIN cell u ON u.{key} = c.{key} AND u.i = c.i AND u.j = c.j + 1 LEFT JOIN cell d ON d.{key} = c.{key} AND d.i = c.i AND d.j = c.j - 1
+         LEFT JOIN cell q ON q.{key} = c.{key} AND q.i = c.i + 1 AND q.j = c.j + 1 GROUP BY 1)
+SELECT {key}, round(CAST(area AS DOUBLE) / 1e10, 4) AS area, round(CAST(boundary AS DOUBLE) / 1e5, 4) AS boundary, n - pairs + blocks AS euler FROM side"""
+
+
+# in units of 1e-5, as whole numbers
+_SQUARES = """sq AS (SELECT s_nationkey AS nation, ((s_suppkey * 15485863) % 1000000) * 10 + 3 - 800000 AS x0, ((s_suppkey * 15485863) % 1000000) * 10 + 3 + 800000 AS x1,
+              ((s_suppkey * 32452843) % 1000000) * 10 + 1 - 800000 AS y0, ((s_suppkey * 32452843) % 1000000) * 10 + 1 + 800000 AS y1 FROM supplier)"""
+_NATIONS = """sq AS (SELECT r_name AS CITY, (n_nationkey % 5) * 2000000 AS x0, (n_nationkey % 5) * 2000000 + 2000000 AS x1,
+              (n_nationkey // 5) * 2000000 AS y0, (n_nationkey // 5) * 2000000 + 2000000 AS y1 FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+_GROWN = f"""WITH {_PTS}, {_BLOCKS}, {_INCOME},
+grown AS (SELECT *, (n % 5) * 20 + ((k // 2) % 2) * 10 - 0.5 AS x0, (n // 5) * 20 + (k // 4) * 10 - 0.5 AS y0 FROM blocks),
+hit AS (SELECT incident_id, code, block_id, comm, city, zcta FROM pts JOIN grown ON x > x0 AND x < x0 + 11 AND y > y0 AND y < y0 + 11),
+zips AS (SELECT zcta, comm, SUM(housing) AS housing, SUM(pop) AS population FROM blocks WHERE city = 'AMERICA' GROUP BY zcta, comm),
+z AS (SELECT zips.*, median FROM zips JOIN inc ON CAST(zcta AS INTEGER) = zip),
+c AS (SELECT comm, CAST(SUM(population) AS BIGINT) AS pop, CAST(SUM(housing * median) AS BIGINT) AS income FROM z GROUP BY comm),
+m AS (SELECT hit.comm, COUNT(DISTINCT incident_id) AS crimes FROM hit JOIN z ON hit.zcta = z.zcta AND hit.comm = z.comm GROUP BY hit.comm),
+q3 AS (SELECT c.comm AS COMM, CAST(crimes AS DOUBLE) / pop AS crimes_per_capita, CAST(income AS DOUBLE) / pop AS income_per_capita
+       FROM c JOIN m ON c.comm = m.comm)
+"""
+
+GEO_QUERIES = {"nearest_k_sphere": q_nearest_k_sphere, "nearest_station_sphere": q_nearest_station_sphere,
+               "dissolve_overlap": q_dissolve_overlap, "dissolve_overlap_within": q_dissolve_overlap_within, "dissolve_rings": q_dissolve_rings,
+               "income_crime_overlap": q_income_crime_overlap, "top_bottom_profile_overlap": q_top_bottom_profile_overlap,
+               "top_bottom_profile_overlap_two_pass": q_top_bottom_profile_overlap_two_pass}
 GEO_SQL = {
     "nearest_k_sphere": _GLOBE + """SELECT incident_id, CAST(rn AS INTEGER) AS neighbor_rank, station_id, round(distance, 3) AS distance_m
 FROM r WHERE rn <= 3""",
     "nearest_station_sphere": _GLOBE + """SELECT division, COUNT(*) AS crime_count, round(AVG(distance) / 1000, 5) AS average_km
 FROM r WHERE rn = 1 GROUP BY division""",
+    "dissolve_overlap": _compressed(_SQUARES, "nation"),
+    "dissolve_rings": _compressed(_NATIONS, "CITY"),
+    "dissolve_overlap_within": f"""WITH {_PTS}, {_STATIONS},
+h AS (SELECT DISTINCT s_nationkey AS nation, incident_id FROM pts JOIN st ON x > sx - 8 AND x < sx + 8 AND y > sy - 8 AND y < sy + 8
+      JOIN supplier ON s_suppkey = station_id)
+SELECT nation, COUNT(*) AS crime_count FROM h GROUP BY nation""",
+    "income_crime_overlap": _GROWN + "SELECT * FROM q3",
+    "top_bottom_profile_overlap": _GROWN.rstrip() + f""", {_CODES},
+chosen AS ((SELECT COMM, 'top' AS side FROM q3 ORDER BY income_per_capita DESC, COMM LIMIT 3)
+           UNION ALL (SELECT COMM, 'bottom' AS side FROM q3 ORDER BY income_per_capita, COMM LIMIT 3))
+SELECT side, label AS descent, COUNT(*) AS crime_count FROM hit JOIN chosen ON hit.comm = chosen.COMM LEFT JOIN codes ON codes.code = hit.code
+GROUP BY side, label""",
 }
+GEO_SQL["top_bottom_profile_overlap_two_pass"] = GEO_SQL["top_bottom_profile_overlap"]

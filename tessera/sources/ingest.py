@@ -174,6 +174,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     return path
 
 
+def write_geojson(df: DataFrame, path: str, geometry: str = "geometry", mode: str = "overwrite") -> str:
+    """GeoJSON sink: one Feature a line (a text sequence any number of tasks can read again), every other column a property.
+
+    Polygon if the geometry has one part, else MultiPolygon; a NULL geometry stays NULL.
+    """
+    properties = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != geometry]), {"ignoreNullFields": "false"})
+    g = F.col(geometry)
+    shape = F.when(F.size(g) == 1, F.concat(F.lit('{"type":"Polygon","coordinates":'), F.to_json(g[0]), F.lit("}"))).when(
+        g.isNotNull(), F.concat(F.lit('{"type":"MultiPolygon","coordinates":'), F.to_json(g), F.lit("}"))).otherwise(F.lit("null"))
+    line = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), shape, F.lit("}"))
+    df.select(line.alias("value")).write.mode(mode).text(path)
+    return path
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
     df.write.mode(mode).option("header", header).csv(path)
     return path
