@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import on_boundary, planar_distance, polygon_edges, sphere_distance, within
@@ -175,3 +176,63 @@ def test_wide_polygon_columns_are_not_broadcast(spark):
         assert plan_grid(prepare_polygons(polygons), max_broadcast_bytes=10_000).broadcast == fits
         joined = spatial_join(points, polygons, strategy="BROADCAST", max_broadcast_bytes=10_000)
         assert joined.select("pid", "gid").collect() == [(1, 1)]
+
+
+def test_clipped_cells_and_whole_cells_keep_every_match(spark):
+    """One large many-sided polygon with a hole over small cells: most cells are whole, the others hold few edges."""
+    ring = [[50 + 40 * math.cos(2 * math.pi * i / 400), 50 + 40 * math.sin(2 * math.pi * i / 400)] for i in range(400)]
+    hole = [[50 + 15 * math.cos(2 * math.pi * i / 90), 50 + 15 * math.sin(2 * math.pi * i / 90)] for i in range(90)]
+    g = [[ring + ring[:1], hole + hole[:1]]]
+    rng = random.Random(2)
+    pts = [(j, rng.uniform(0, 100), rng.uniform(0, 100)) for j in range(4000)]
+    pdf = spark.createDataFrame([(1, g)], "pid int, geometry array<array<array<array<double>>>>")
+    qdf = spark.createDataFrame(pts, "id int, x double, y double")
+    want = sorted(j for j, x, y in pts if py_inside(x, y, g))
+    for how in ("inner", "left"):
+        out = spatial_join(qdf, pdf, "x", "y", how=how, cell_size=2.0, max_cells=4096)
+        assert sorted(r["id"] for r in out.where("pid is not null").collect()) == want
+    from tessera.operators.spatial import _cell_edges, polygon_cells
+    prepared = prepare_polygons(pdf)
+    spec = plan_grid(prepared, 2.0, max_cells=4096)
+    cells = _cell_edges(polygon_cells(prepared, spec, 4096), spec)
+    assert cells.where("__whole").count() > 800 and cells.agg(F.max(F.size("__own"))).first()[0] < 60
+
+
+@pytest.mark.parametrize("strategy", ["MERGE", "SHUFFLE_HASH"])
+def test_hot_cell_is_dealt_over_tasks(spark, strategy):
+    rows = spark.range(40_000).select("id", (F.col("id") % 97 / 100 + 5).alias("x"), (F.col("id") % 89 / 100 + 5).alias("y"))
+    squares = spark.createDataFrame([(i, mp([(10 * i, 0), (10 * i + 10, 0), (10 * i + 10, 10), (10 * i, 10), (10 * i, 0)])) for i in range(9)],
+                                    "pid int, geometry array<array<array<array<double>>>>")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = spatial_join(rows, squares, "x", "y", cell_size=10.0, strategy=strategy)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert sum(sizes) == 40_000 and out.agg(F.min("pid"), F.max("pid")).first() == (0, 0)
+    assert "__psalt" in plan and len(sizes) > 4 and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_boundary_rules(spark):
+    square = mp([(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)], [(4, 4), (6, 4), (6, 6), (4, 6), (4, 4)])
+    slope = mp([(0.1, 0.1), (0.4, 0.7), (0.7, 0.1), (0.1, 0.1)])
+    cases = [(square, 0, 0, "edge"), (square, 10, 10, "edge"), (square, 5, 10, "edge"), (square, 4, 5, "edge"), (square, 5, 5, "out"), (square, 5, 3, "in"),
+             (square, 10.000001, 5, "out"), (square, 9.999999, 5, "in"), (slope, 0.2, 0.3, "edge"), (slope, 0.3, 0.5, "edge"), (slope, 0.2, 0.300001, "out"),
+             (slope, 0.4, 0.7, "edge"), (slope, 0.4, 0.1, "edge"), (slope, 0.4, 0.2, "in")]
+    df = spark.createDataFrame([(g, float(x), float(y), k) for g, x, y, k in cases], "g array<array<array<array<double>>>>, x double, y double, kind string")
+    e = polygon_edges("g")
+    for r in df.select("x", "y", "kind", on_boundary("x", "y", e).alias("b"), within("x", "y", e, "outside").alias("o"), within("x", "y", e, "inside").alias("i")).collect():
+        assert (r["b"], r["o"], r["i"]) == {"edge": (True, False, True), "in": (False, True, True), "out": (False, False, False)}[r["kind"]], r
+    with pytest.raises(ValueError):
+        within("x", "y", e, "sometimes")
+
+
+def test_boundary_rule_in_joins(spark):
+    squares = spark.createDataFrame([(1, mp([(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)])), (2, mp([(10, 0), (20, 0), (20, 10), (10, 10), (10, 0)]))],
+                                    "pid int, geometry array<array<array<array<double>>>>")
+    pts = spark.createDataFrame([(1, 10.0, 5.0), (2, 0.0, 0.0), (3, 20.0, 10.0), (4, 5.0, 5.0), (5, 10.0, 10.0)], "id int, x double, y double")
+    got = {rule: sorted((r["id"], r["pid"]) for r in spatial_join(pts, squares, "x", "y", boundary=rule, cell_size=c, how=how).where("pid is not null").collect())
+           for rule, c, how in (("outside", 10.0, "inner"), ("inside", 3.0, "left"))}
+    assert got == {"outside": [(4, 1)], "inside": [(1, 1), (1, 2), (2, 1), (3, 2), (4, 1), (5, 1), (5, 2)]}
