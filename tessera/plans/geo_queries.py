@@ -16,7 +16,7 @@ from ..session import scratch_path
 from ..sources import ingest
 from . import city_model as cm
 from . import reports
-from .oracle import _BLOCKS, _CODES, _INCOME, _PTS, _STATIONS
+from .oracle import _BLOCKS, _CODES, _INCOME, _PTS, _STATIONS, ORACLE_SQL
 
 
 # --- nearest on the sphere ------------------------------------------------------------
@@ -120,6 +120,45 @@ def q_top_bottom_profile_overlap_two_pass(spark, d):
         .withColumnRenamed("count", "crime_count")
 
 
+# --- geometry functions in SQL text, boundary rule, one large document ------------------
+
+def q_income_crime_sql(spark, d):
+    cm.census_blocks(spark, d).createOrReplaceTempView("tessera_blocks")
+    cm.income(spark, d).createOrReplaceTempView("tessera_income")
+    cm.incidents(spark, d).createOrReplaceTempView("tessera_places")
+    return reports.income_crime_report_sql(spark, "tessera_blocks", "tessera_income", "tessera_places", "AMERICA", x="lon", y="lat", cell_size=20.0)
+
+
+def q_nearest_station_sql(spark, d):
+    cm.incidents(spark, d).createOrReplaceTempView("tessera_places")
+    cm.stations(spark, d).createOrReplaceTempView("tessera_stations")
+    out = reports.nearest_station_report_sql(spark, "tessera_places", "tessera_stations", key="incident_id", x="lon", y="lat", station_x="sx",
+                                             station_y="sy", division="division", pairs_view="tessera_pairs")
+    return out.select("division", "crime_count", F.round("average_distance", 9).alias("average_distance"))
+
+
+def q_within_boundary(spark, d):
+    # incidents on a lattice of halves: many lie on edges and corners of the blocks, where two to eight meet
+    key = F.col("o_orderkey")
+    pts = cm.table(spark, d, "orders").select(((key * 7919) % 201 / 2).alias("lon"), ((key * 104729) % 201 / 2).alias("lat"))
+    blocks = cm.census_blocks(spark, d).select("block_id", "geometry")
+    counts = [spatial_join(pts, blocks, "lon", "lat", boundary=rule).groupBy("block_id").agg(F.count(F.lit(1)).alias(name))
+              for rule, name in (("outside", "within_count"), ("inside", "covered_count"))]
+    return counts[1].join(counts[0], "block_id", "left").select("block_id", F.coalesce("within_count", F.lit(0)).alias("within_count"), "covered_count")
+
+
+def q_geojson_one_document(spark, d):
+    # all incidents' customers as one FeatureCollection on one line, read again by several tasks
+    features = cm.table(spark, d, "orders").select(F.concat(
+        F.lit('{ "properties": '), F.to_json(F.struct(F.col("o_orderkey").alias("key"), F.concat(F.lit('a "q\\{" } '), "o_orderpriority").alias("note"))),
+        F.lit(', "type": "Feature", "geometry": {"type": "Polygon", "coordinates": [[['), F.col("o_orderkey"), F.lit(",0],["), F.col("o_orderkey"),
+        F.lit(",1],["), F.col("o_orderkey") + 1, F.lit(",1],["), F.col("o_orderkey"), F.lit(",0]]]} }")).alias("f"))
+    path = scratch_path(spark, "one-document")
+    ingest.write_document(features, path, "f")
+    back = ingest.read_geojson_document(spark, path, spark.createDataFrame([], "key long, note string").schema, split_bytes=1 << 18)
+    return back.select("key", "note", "geometry_type", signed_area("geometry").alias("area"))
+
+
 # Unions of axis-parallel squares by coordinate compression: cells between neighbouring coordinates, covered or not.
 # Outer rings less holes is cells less neighbouring pairs plus full blocks of four.
 def _compressed(squares: str, key: str) -> str:
@@ -159,7 +198,8 @@ q3 AS (SELECT c.comm AS COMM, CAST(crimes AS DOUBLE) / pop AS crimes_per_capita,
 GEO_QUERIES = {"nearest_k_sphere": q_nearest_k_sphere, "nearest_station_sphere": q_nearest_station_sphere,
                "dissolve_overlap": q_dissolve_overlap, "dissolve_overlap_within": q_dissolve_overlap_within, "dissolve_rings": q_dissolve_rings,
                "income_crime_overlap": q_income_crime_overlap, "top_bottom_profile_overlap": q_top_bottom_profile_overlap,
-               "top_bottom_profile_overlap_two_pass": q_top_bottom_profile_overlap_two_pass}
+               "top_bottom_profile_overlap_two_pass": q_top_bottom_profile_overlap_two_pass, "income_crime_sql": q_income_crime_sql,
+               "nearest_station_sql": q_nearest_station_sql, "within_boundary": q_within_boundary, "geojson_one_document": q_geojson_one_document}
 GEO_SQL = {
     "nearest_k_sphere": _GLOBE + """SELECT incident_id, CAST(rn AS INTEGER) AS neighbor_rank, station_id, round(distance, 3) AS distance_m
 FROM r WHERE rn <= 3""",
@@ -178,4 +218,14 @@ chosen AS ((SELECT COMM, 'top' AS side FROM q3 ORDER BY income_per_capita DESC,
 SELECT side, label AS descent, COUNT(*) AS crime_count FROM hit JOIN chosen ON hit.comm = chosen.COMM LEFT JOIN codes ON codes.code = hit.code
 GROUP BY side, label""",
 }
+GEO_SQL["income_crime_sql"] = ORACLE_SQL["income_crime_per_capita"]
+GEO_SQL["nearest_station_sql"] = ORACLE_SQL["nearest_station"]
+GEO_SQL["within_boundary"] = f"""WITH {_BLOCKS},
+p AS (SELECT CAST((o_orderkey * 7919) % 201 AS DOUBLE) / 2 AS x, CAST((o_orderkey * 104729) % 201 AS DOUBLE) / 2 AS y FROM orders),
+h AS (SELECT block_id, k % 2 AS t, x - ((n % 5) * 20 + ((k // 2) % 2) * 10) AS dx, y - ((n // 5) * 20 + (k // 4) * 10) AS dy FROM p CROSS JOIN blocks)
+SELECT block_id, COUNT(*) FILTER (WHERE CASE WHEN t = 0 THEN 0 < dy AND dy < dx AND dx < 10 ELSE 0 < dx AND dx < dy AND dy < 10 END) AS within_count,
+       COUNT(*) AS covered_count
+FROM h WHERE CASE WHEN t = 0 THEN 0 <= dy AND dy <= dx AND dx <= 10 ELSE 0 <= dx AND dx <= dy AND dy <= 10 END GROUP BY block_id"""
+GEO_SQL["geojson_one_document"] = """SELECT o_orderkey AS key, 'a "q\\{" } ' || o_orderpriority AS note, 'Polygon' AS geometry_type,
+       CAST(-0.5 AS DOUBLE) AS area FROM orders"""
 GEO_SQL["top_bottom_profile_overlap_two_pass"] = GEO_SQL["top_bottom_profile_overlap"]

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +62,52 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     fs.mkdirs(hadoop.getParent())
     fs.deleteOnExit(hadoop)
     return path
+
+
+class Intermediates:
+    """A folder under the shared checkpoint folder for what jobs write along the way, deleted when its last user lets go.
+
+    While it is open (see :func:`intermediates`), checkpoints and scratch tables go there.  A result that reads them later keeps the
+    folder with :meth:`retain` until its :meth:`release`.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{_root(spark)}/tessera-intermediates-{uuid.uuid4().hex[:12]}"
+        self.users = 1
+
+    def retain(self) -> "Intermediates":
+        if not self.users:
+            raise ValueError("the intermediates are deleted already")
+        self.users += 1
+        return self
+
+    def release(self) -> None:
+        if not self.users:
+            return
+        self.users -= 1
+        if not self.users:
+            hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+            hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def _root(spark: SparkSession) -> str:
+    """The checkpoint folder outside all open :class:`Intermediates`."""
+    return ensure_checkpoint_dir(spark).split("/tessera-intermediates-")[0].rstrip("/")
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[Intermediates]:
+    """Whatever jobs write inside the block is deleted at its end, unless a result still holds it (``retain``).
+
+    DataFrames made in the block read those files: act on them inside, or retain.  Blocks may be nested.
+    """
+    outer = ensure_checkpoint_dir(spark)
+    own = Intermediates(spark)
+    spark.sparkContext.setCheckpointDir(own.path)
+    try:
+        yield own
+    finally:
+        # Spark makes a new folder below the one that is set; the outer block's own is reused by its path
+        spark.sparkContext.setCheckpointDir(outer)
+        own.release()

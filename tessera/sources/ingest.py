@@ -7,11 +7,15 @@ inference pass over the files.
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.cleaning import INCIDENT_TS_FORMAT, parse_currency, parse_timestamp
 from ..functions.geometry import MULTIPOLYGON_TYPE
+from ..session import scratch_path
 
 
 # The headers of the known files, with their types as text in the file allows.
@@ -117,6 +121,118 @@ def read_geojson(spark: SparkSession, path: str, properties: StructType | None =
     return flatten_features(feats.select("f.*"))
 
 
+def read_geojson_document(spark: SparkSession, path: str, properties: StructType | None = None, split_bytes: int | None = None) -> DataFrame:
+    """One large FeatureCollection (or several), however it is laid out, read by many tasks: as :func:`read_geojson`.
+
+    The files are scanned in byte ranges with ``}`` as the end of a record.  A first pass gives each range's change of
+    brace depth and of the state inside or outside a string, for either state at its start; the ranges' states follow one from
+    the other.  The second pass cuts features where the depth says so and puts together those that lie in several
+    ranges.  They are written one a line, and read as a text sequence.  ``split_bytes`` is the size of a range (default: Spark's).
+    """
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        if split_bytes:
+            spark.conf.set(name, str(split_bytes))
+        features = document_features(spark, path)
+        target = scratch_path(spark, "geojson-features")
+        features.write.text(target)
+    finally:
+        spark.conf.set(name, before)
+    return read_geojson(spark, target, properties, multi_line=False)
+
+
+RANGE = ["file", "start"]
+
+
+def _outside(record: str, inside: bool) -> list[str]:
+    """The parts of a record that lie outside strings, and (last) whether it ends inside one."""
+    parts = re.sub(r"\\.", "", record, flags=re.S).split('"')
+    return parts[1 if inside else 0::2], inside != (len(parts) % 2 == 0)
+
+
+def document_features(spark: SparkSession, path: str) -> DataFrame:
+    """value: the features of GeoJSON documents, one a row, whatever their layout (see :func:`read_geojson_document`)."""
+    scan = spark.read.option("lineSep", "}").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+    def measure(batches):
+        """For each range and state at its start: the state at its end, its change of depth, and the lowest change on the way."""
+        now: dict[tuple, list] = {}
+        for b in batches:
+            for value, file, start in zip(*(b.column(c).to_pylist() for c in ("value", *RANGE))):
+                states = now.setdefault((file, start), [[False, 0, 0], [True, 0, 0]])
+                for s in states:
+                    parts, s[0] = _outside(value + "}", s[0])
+                    s[1] += sum(p.count("{") - p.count("}") for p in parts)
+                    s[2] = min(s[2], s[1])  # a record ends at its closing brace
+        rows = [(f, st, int(k), bool(s[0]), s[1], s[2]) for (f, st), states in now.items() for k, s in enumerate(states)]
+        columns = list(zip(*rows)) or [[]] * 6
+        kinds = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*RANGE, "inside", "after", "change", "lowest"])
+
+    measured = scan.mapInArrow(measure, "file string, start long, inside int, after boolean, change long, lowest long")
+    starts: dict[tuple, tuple] = {}
+    ranges: dict[tuple, dict] = {}
+    for r in measured.orderBy("file", "start").collect():  # two rows a range
+        ranges.setdefault((r["file"], r["start"]), {})[r["inside"]] = r
+    file = None
+    for (f, start), own in ranges.items():
+        if f != file:
+            file, inside, depth, owner = f, False, 0, None
+        starts[f, start] = inside, depth, owner
+        r = own[int(inside)]
+        if depth + r["lowest"] <= 1:
+            owner = start  # what is open at the end was opened here
+        inside, depth = r["after"], depth + r["change"]
+    shared = spark.sparkContext.broadcast(starts)
+
+    def cut(batches):
+        """file, owner, start, text: whole features (no owner), and parts of those that began in range ``owner``."""
+        at, inside, depth, owner, parts = None, False, 0, None, []
+        for b in batches:
+            out: list[tuple] = []
+            for value, *place in zip(*(b.column(c).to_pylist() for c in ("value", *RANGE))):
+                if place != at:
+                    if parts:
+                        out.append((at[0], at[1] if owner is None else owner, at[1], "".join(parts)))
+                    at, parts = place, []
+                    inside, depth, owner = shared.value[tuple(place)]
+                    owner = owner if depth >= 2 else None
+                record = value + "}"
+                if depth < 2:
+                    first = None
+                    for m in re.finditer(r'\\.|["{}]', record, re.S):
+                        if m.group() == '"':
+                            inside = not inside
+                        elif not inside and m.group() in "{}":
+                            depth += 1 if m.group() == "{" else -1
+                            first = m.start() if depth == 2 and m.group() == "{" else first
+                    parts = [] if first is None else [record[first:]]
+                else:
+                    outside, inside = _outside(record, inside)
+                    depth += sum(p.count("{") - p.count("}") for p in outside)
+                    parts.append(record)
+                if parts and depth < 2:
+                    out.append((place[0], owner, place[1], "".join(parts)))
+                    owner, parts = None, []
+            if out:
+                yield _parts_batch(out)
+        if parts:
+            yield _parts_batch([(at[0], at[1] if owner is None else owner, at[1], "".join(parts))])
+
+    pieces = scan.mapInArrow(cut, "file string, owner long, start long, text string").checkpoint(eager=True)
+    whole = pieces.where("owner is null").select("text")
+    joined = (pieces.where("owner is not null").groupBy("file", "owner").agg(F.array_sort(F.collect_list(F.struct("start", "text"))).alias("p"))
+              .select(F.array_join(F.col("p.text"), "").alias("text")))
+    return whole.unionByName(joined).select(F.regexp_replace("text", r"[\r\n]+", " ").alias("value"))
+
+
+def _parts_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["file", "owner", "start", "text"])
+
+
 def flatten_features(features: DataFrame) -> DataFrame:
     """``type, properties, geometry`` rows -> property columns + parsed geometry."""
     gtype = F.col("geometry.type")
@@ -188,6 +304,22 @@ def write_geojson(df: DataFrame, path: str, geometry: str = "geometry", mode: st
     return path
 
 
+def write_document(features: DataFrame, path: str, column: str) -> str:
+    """One FeatureCollection a task, on one line, of the feature texts in ``column``; what many tools write as one file."""
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(['{"type": "FeatureCollection", "crs": {"name": "x"}, "features": ['])], ["value"])
+        first = True
+        for b in batches:
+            texts = b.column(0).to_pylist()
+            if texts:
+                yield pa.RecordBatch.from_arrays([pa.array([("" if first else ", ") + ", ".join(texts)])], ["value"])
+                first = False
+        yield pa.RecordBatch.from_arrays([pa.array(["]}"])], ["value"])
+
+    features.select(column).mapInArrow(run, "value string").write.option("lineSep", " ").text(path)
+    return path
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
     df.write.mode(mode).option("header", header).csv(path)
     return path

@@ -1,6 +1,8 @@
 import json
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import parse_currency, parse_timestamp
@@ -125,3 +127,37 @@ def test_known_files_have_declared_schemas(spark, tmp_dir):
         f.write(",".join(rest) + "\n" + "1,01/02/2020 12:00:00 AM,01/01/2020 11:30:00 PM,2330,7,West" + "," * 20 + ",34.05,-118.25\n")
     one, = ingest.read_incidents(spark, f"{tmp_dir}/incidents.csv").collect()
     assert (one["AREA"], one["DATE OCC"].hour, one["LAT"], one["LON"]) == (7, 23, 34.05, -118.25)
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("split", [600, 7000, None])
+def test_one_document_is_read_by_many_tasks(spark, tmp_dir, indent, split):
+    """Braces, quotes, backslashes and line breaks in strings; objects beside the features; any layout and any cut."""
+    r = random.Random(1)
+    features = [{"properties": {"id": i, "s": "".join(r.choice('a{}"\\é\n x') for _ in range(r.randrange(40))), "o": {"k": [1, {"z": 2}]}},
+                 "type": "Feature", "geometry": {"type": "Polygon", "coordinates": [[[i, 0], [i, 1], [i + 1, 1], [i, 0]]]}} for i in range(300)]
+    document = {"crs": {"a": {"b": "}{"}}, "type": "FeatureCollection", "features": features, "tail": {"q": 1}}
+    os.makedirs(f"{tmp_dir}/in")
+    for name, own in (("a", document), ("b", {"type": "FeatureCollection", "features": []}), ("c", {**document, "features": features[:1]})):
+        with open(f"{tmp_dir}/in/{name}.geojson", "w", encoding="utf-8") as f:
+            f.write(json.dumps(own, indent=indent, ensure_ascii=False) + "\n")
+    schema = spark.createDataFrame([], "id int, s string").schema
+    back = ingest.read_geojson_document(spark, f"{tmp_dir}/in", schema, split_bytes=split)
+    got = sorted((x["id"], x["s"], x["geometry"][0][0][2][0]) for x in back.collect())
+    assert got == sorted((f["properties"]["id"], f["properties"]["s"], f["properties"]["id"] + 1.0) for f in [*features, features[0]])
+    whole = ingest.read_geojson(spark, f"{tmp_dir}/in", schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_a_document_is_scanned_in_ranges(spark, tmp_dir):
+    with open(f"{tmp_dir}/d.geojson", "w") as f:
+        json.dump({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"id": i}, "geometry": None} for i in range(2000)]}, f)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "20000")
+        assert spark.read.option("lineSep", "}").text(f"{tmp_dir}/d.geojson").rdd.getNumPartitions() > 4
+        assert ingest.document_features(spark, f"{tmp_dir}/d.geojson").count() == 2000
+    finally:
+        spark.conf.set(name, before)
+    assert spark.conf.get(name) == before
