@@ -16,7 +16,7 @@ from ..session import ensure_checkpoint_dir
 BROADCAST_BYTES = 16 << 20
 
 #: Entries a worker's word cache may hold before it starts again.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -91,6 +91,17 @@ def long_grams(h: np.ndarray, n: int, seed: int) -> np.ndarray:
     return mix((total[n:n + m] - total[:m]) * back)
 
 
+def text_key():
+    """A row's text as a number: with the doc_id it tells rows of one doc_id apart."""
+    return F.xxhash64("text")
+
+
+def values(column: pa.Array, step: int = 256) -> Iterator:
+    """The values of a column as Python objects, a few at a time."""
+    for s in range(0, len(column), step):
+        yield from column.slice(s, step).to_pylist()
+
+
 def long_column(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 

@@ -42,8 +42,8 @@ def pieces(docs: DataFrame, size: int = SIZE, vocabulary_file: str = "word_bpe_4
         step = 4 * size
         for b in batches:
             cols = [[], [], [], [], [], []]
-            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = tokens.encode((t or "").encode().split()) + last
+            for i, ids in zip(b.column("doc_id").to_pylist(), tokens.encode_texts(b.column("text"))):
+                ids += last
                 for k, s in enumerate(range(0, len(ids), step)):
                     part = ids[s:s + step]
                     for c, x in zip(cols, (i, k, s // 4, len(part) // 4, zlib.crc32(part), part)):

@@ -23,12 +23,14 @@ Repeated rows are judged alike, each.  Extra columns are not looked at; an empty
 from __future__ import annotations
 
 import base64
+import struct
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import WordHashes, bounded, grams, written
+from .common import WordHashes, bounded, grams, values, written
 from .tokens import Remembered, process_wide, vocabulary
 
 SYMBOLS = b"#*$%&|<>"
@@ -46,7 +48,7 @@ GRID = 1000
 
 
 class Fertility(Remembered):
-    """word (bytes) -> (ids of the piece vocabulary as uint16 bytes, tokens of the byte-level vocabulary)."""
+    """word (bytes) -> number of tokens of the byte-level vocabulary (uint32), then ids of the piece vocabulary (uint16 each), as bytes."""
 
     def __init__(self, piece_file: str, byte_file: str):
         import public_tokenizers
@@ -60,13 +62,20 @@ class Fertility(Remembered):
         self.byte = tiktoken.Encoding("byte", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.fallback = [self.piece.is_byte(i) for i in range(self.piece.get_piece_size())]
 
-    def of(self, words: list[bytes]):
-        new = self.unknown(words)
-        if new:
-            texts = [w.decode() for w in new]
-            for w, t, ids in zip(new, texts, self.piece.encode(texts, num_threads=1)):
-                self[w] = np.array(ids, np.uint16).tobytes(), len(self.byte.encode_ordinary(t))
-        return list(map(self.__getitem__, words))
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        texts = [w.decode() for w in words]
+        return {w: struct.pack("<I", len(self.byte.encode_ordinary(t))) + array("H", ids).tobytes()
+                for w, t, ids in zip(words, texts, self.piece.encode(texts, num_threads=1))}
+
+    def split(self, words: list[bytes]) -> tuple[np.ndarray, int]:
+        """The piece vocabulary's ids of ``words``, and the number of their tokens of the byte-level one."""
+        own = list(self.of(words))
+        flat = np.frombuffer(b"".join(own), "<u2")
+        size = np.fromiter(map(len, own), np.int64, len(own)) >> 1
+        first = np.cumsum(size) - size
+        ids = np.ones(len(flat), bool)
+        ids[first] = ids[first + 1] = False
+        return flat[ids], int(flat[first].sum(dtype=np.int64)) + (int(flat[first + 1].sum(dtype=np.int64)) << 16)
 
 
 def repeated_words(h: np.ndarray, n: int = 3) -> int:
@@ -103,15 +112,13 @@ def measured(docs: DataFrame, language: str | None = "lang", piece_file: str = "
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), spark_lang.alias("lang"), F.xxhash64("text").alias("key"))
 
     def run(batches):
-        import sentencepiece
-
-        tokens = process_wide(sentencepiece, ("fertility", piece_file, byte_file), lambda: Fertility(piece_file, byte_file))
+        tokens = process_wide(("fertility", piece_file, byte_file), lambda: Fertility(piece_file, byte_file))
         hashes = WordHashes()
         is_byte = np.array(tokens.fallback)
         names = ["group", "script", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *WIDTH]
         for b in batches:
             cols = {k: [] for k in names}
-            for t, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
+            for t, lang in zip(values(b.column("text")), b.column("lang").to_pylist()):
                 raw = t.encode()
                 words = raw.split()
                 n = len(words)
@@ -122,11 +129,10 @@ def measured(docs: DataFrame, language: str | None = "lang", piece_file: str = "
                 chars = len(t) - white
                 own = [None] * 4
                 if n:
-                    split = tokens.of(words)
-                    ids = np.frombuffer(b"".join([s[0] for s in split]), np.uint16)
+                    ids, byte_tokens = tokens.split(words)
                     count = np.bincount(ids)
                     share = count[count > 0] / len(ids)
-                    own = [chars / len(ids), chars / max(1, sum(s[1] for s in split)),
+                    own = [chars / len(ids), chars / max(1, byte_tokens),
                            float(count[is_byte[:len(count)]].sum() / len(ids)), float(-(share * np.log2(share)).sum())]
                 script = script_of(t)
                 for k, v in zip(names, (lang or script, script, n, chars, len(raw) - len(raw.translate(None, SYMBOLS)),

@@ -4,38 +4,57 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
+import types
+from array import array
+from collections.abc import Iterator
+from operator import attrgetter
 
-from .common import CACHE_WORDS
+#: Bytes that one generation of a word cache may take; a cache has two.
+CACHE_BYTES = 64 << 20
+#: Bytes of a cache entry besides those of the word and of what is kept for it (as measured: two objects, their place in the table, and slack).
+ENTRY_BYTES = 280
+#: Bytes of text whose words are parted together.
+CHUNK = 1 << 20
+ID = attrgetter("id")
 
 
-class Remembered(dict):
-    """What was found out about words, in two generations: a word in use stays, others go after a while."""
+class Remembered:
+    """What was found out about words, in two generations bounded by bytes: a word in use stays, others go after a while.
 
-    def __init__(self):
-        super().__init__()
-        self.older: dict = {}
+    A subclass's ``learn`` finds out about new words together.
+    """
 
-    def unknown(self, words: list[bytes]) -> list[bytes]:
-        """The distinct ``words`` that neither generation holds; those of the older one come along."""
-        if len(self) > CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        older, out = self.older, []
-        for w in set(words):
-            if w not in self:
-                if w in older:
-                    self[w] = older[w]
-                else:
-                    out.append(w)
-        return out
+    def __init__(self, limit: int = CACHE_BYTES):
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.limit = self.room = limit
+
+    def of(self, words: list[bytes]) -> Iterator[bytes]:
+        """What is known of each of ``words``, in order."""
+        if self.room < 0:
+            self.older, self.known, self.room = self.known, {}, self.limit
+        new = set(words).difference(self.known)
+        if new:
+            older = self.older
+            back = {w: older[w] for w in new if w in older} if older else {}
+            new.difference_update(back)
+            for found in (back, self.learn(new)):
+                self.known.update(found)
+                self.room -= ENTRY_BYTES * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
+        return map(self.known.__getitem__, words)
 
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        raise NotImplementedError
 
-def process_wide(library, key: tuple, make):
-    """``make()`` once in a worker process, which outlives its tasks; kept on the ``library`` module it serves."""
-    kept = vars(library).setdefault("_tessera_kept", {})
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+
+def process_wide(key: tuple, make):
+    """``make()`` once in a worker process, which outlives its tasks; what another operator kept there goes."""
+    kept = sys.modules.setdefault("_tessera_worker", types.ModuleType("_tessera_worker")).__dict__
+    if kept.get("key") != key:
+        kept["value"] = None  # freed before the next is made
+        kept["value"], kept["key"] = make(), key
+    return kept["value"]
 
 
 class WordTokens(Remembered):
@@ -45,7 +64,8 @@ class WordTokens(Remembered):
     without one sign after an ASCII letter.  A new word of printable ASCII and Latin-1 letters needs no
     normalising: it is parted as the vocabulary parts words, and the parts' bytes go straight to its merges.
     Other new words are encoded together, a lone digit between them: every digit is a token of its own, so that token marks the words'
-    limits.  Those that hold the digit are encoded one by one.
+    limits.  Those that hold the digit, or one of the vocabulary's control strings (which it takes as one id, as it stands), are
+    encoded one by one.
     """
 
     MARK = "0"
@@ -53,61 +73,94 @@ class WordTokens(Remembered):
     PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")  # as the vocabulary's, for lower-case PLAIN
     SIGNS = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}  # byte-level stand-ins of unprintable bytes
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 5 * CACHE_BYTES // 4):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(limit)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.merged = self.tokenizer.model.tokenize
         self.mark, = self._ids(self.MARK)
         self.tails = {c.encode(): struct.pack("<I", *self._ids(c)) for c in ".,;:!?"}
+        self.control = [x.content.lower().encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def encode(self, words: list[bytes]) -> bytes:
+    def _packed(self, text: str) -> bytes:
+        ids = self._ids(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         import numpy as np
 
-        waiting: dict[bytes, list] = {}
-        for w in self.unknown(words):
+        known, tails, merged, own, control = self.known, self.tails, self.merged, self.MARK.encode(), self.control
+        found: dict[bytes, bytes] = {}
+        waiting: dict[bytes, list[tuple[bytes, bytes]]] = {}  # cores left to the whole tokenizer, and the words they are of
+        for w in words:
             core, tail = w.lower(), b""
-            if core[-1:] in self.tails and core[-2:-1].isalpha():
-                core, tail = core[:-1], core[-1:]
-            waiting.setdefault(core, []).append((w, tail))
-        own = self.MARK.encode()
-        new = []
-        for w in waiting:
-            if w not in self:
-                t = w.decode()
-                if self.PLAIN.fullmatch(t):
+            if b"|" in core and any(c in core for c in control):
+                found[w] = self._packed(w.decode())
+                continue
+            if core[-1:] in tails and core[-2:-1].isalpha():
+                core, tail = core[:-1], tails[core[-1:]]
+            ids = known.get(core)
+            if ids is None:
+                t = core.decode()
+                if core.isalpha():  # ASCII letters
+                    got = map(ID, merged(t))
+                elif self.PLAIN.fullmatch(t):
                     t = t.lower()
                     parts = (t,) if t.isalpha() else self.PARTS.findall(t)
                     if not t.isascii():
                         parts = [p.encode().decode("latin-1").translate(self.SIGNS) for p in parts]
-                    ids = [x.id for p in parts for x in self.merged(p)]
-                    self[w] = struct.pack(f"<{len(ids)}I", *ids)
+                    got = [x.id for p in parts for x in merged(p)]
                 else:
-                    new.append(w)
-        for w in [w for w in new if own in w]:
-            self[w] = np.array(self._ids(w.decode()), "<u4").tobytes()
-        new = [w for w in new if own not in w]
-        if new:
-            ids = np.array(self._ids(f" {self.MARK} ".join([w.decode() for w in new])), "<u4")
+                    waiting.setdefault(core, []).append((w, tail))
+                    continue
+                ids = array("I", got).tobytes()
+                if tail:
+                    found[core] = ids
+            found[w] = ids + tail
+        for core in [c for c in waiting if own in c]:
+            found.update((w, self._packed(core.decode()) + tail) for w, tail in waiting.pop(core))
+        if waiting:
+            ids = np.array(self._ids(f" {self.MARK} ".join([c.decode() for c in waiting])), "<u4")
             at = (4 * np.flatnonzero(ids == self.mark)).tolist()
             raw = ids.tobytes()
-            for w, i, j in zip(new, [0, *[x + 4 for x in at]], [*at, len(raw)]):
-                self[w] = raw[i:j]
-        for core, uses in waiting.items():
-            for w, tail in uses:
-                self[w] = self[core] + self.tails.get(tail, b"")
-        return b"".join(map(self.__getitem__, words))
+            for uses, i, j in zip(waiting.values(), [0, *[x + 4 for x in at]], [*at, len(raw)]):
+                found.update((w, raw[i:j] + tail) for w, tail in uses)
+        return found
 
+    def encode(self, words: list[bytes]) -> bytes:
+        return b"".join(self.of(words))
+
+    def encode_texts(self, texts) -> Iterator[bytes]:
+        """The ids of every text of an Arrow column (null: none): the distinct words of about ``CHUNK`` bytes are looked up once."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < len(texts):
+            end = max(first + 1, int(np.searchsorted(size, (size[first - 1] if first else 0) + CHUNK, "right")))
+            words = pc.ascii_split_whitespace(texts.slice(first, end - first))
+            coded = words.flatten().dictionary_encode()
+            which = coded.indices.to_numpy()
+            ids = list(self.of(coded.dictionary.cast("binary").to_pylist()))
+            count = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+            flat = np.frombuffer(b"".join(ids), "<u4")
+            own = count[which]
+            upto = np.concatenate([[0], np.cumsum(own)])
+            flat = flat[np.repeat((np.cumsum(count) - count)[which] - upto[:-1], own) + np.arange(upto[-1])]
+            cuts = upto[words.offsets.to_numpy()].tolist()
+            for i, j in zip(cuts, cuts[1:]):
+                yield flat[i:j].tobytes()
+            first = end
 
-def word_tokens(name: str) -> WordTokens:
-    import tokenizers
 
-    return process_wide(tokenizers, ("words", name), lambda: WordTokens(vocabulary(name)))
+def word_tokens(name: str) -> WordTokens:
+    return process_wide(("words", name), lambda: WordTokens(vocabulary(name)))
 
 
 def vocabulary(name: str) -> str:
