@@ -16,8 +16,8 @@ sets fall into one class first (128-bit fingerprints), so copies never meet in p
 probability below ``MISS``; for sets of up to ``k`` shingles it is exact.
 
 Defined results.  No words (null, empty or blank text): empty set, linked with nothing.  A row without
-doc_id links with nothing and stays (component null, kept true).  Repeated rows of one doc_id give one
-row each, alike.  Other columns are not looked at; an empty table gives an empty result.
+doc_id links with nothing and stays (component null, kept true).  Equal rows of one doc_id give one
+row each, alike (``drop_near_duplicates`` leaves one of them); other texts of it are judged each by its own.  Other columns are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import (WordHashes, bounded, by_key, components, grams, link_forest, mix, partitions, sorted_groups,
-                     written)
+                     text_key, values, written)
+from .tokens import process_wide
 
 K = 64
 MISS = 1e-9
@@ -59,23 +60,24 @@ def needed(n: int, k: int, percent: int, miss: float = MISS) -> int:
 
 
 def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
-    """doc_id, n (set size), f1, f2 (fingerprint of the set), sketch (k smallest values, ascending)."""
+    """doc_id, key (hash of the text), n (set size), f1, f2 (fingerprint of the set), sketch (k smallest values, ascending)."""
 
     def run(batches):
-        hashes = WordHashes()
+        hashes = process_wide(("hashes",), WordHashes)
         for b in batches:
             n, f1, f2, sk = [], [], [], []
-            for t in b.column("text").to_pylist():
+            for t in values(b.column("text")):
                 s = shingle_set((t or "").encode(), hashes, words)
                 n.append(len(s))
                 f1.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
                 f2.append(int(mix(s + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64).view(np.int64)))
                 sk.append(s[:k].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
                                               pa.array(f2, pa.int64()), pa.array(sk, pa.list_(pa.int64()))],
-                                             ["doc_id", "n", "f1", "f2", "sketch"])
+                                             ["doc_id", "key", "n", "f1", "f2", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sketch array<long>")
+    rows = docs.select("doc_id", text_key().alias("key"), "text")
+    return rows.mapInArrow(run, "doc_id long, key long, n long, f1 long, f2 long, sketch array<long>")
 
 
 def _listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -137,21 +139,21 @@ def _estimated_links(listed: DataFrame, k: int, percent: int) -> DataFrame:
 
 def _exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, words: int, percent: int) -> DataFrame:
     """a, b: a spanning forest of the exact links inside the estimated components."""
-    members = groups.select(F.col("node").alias("class_id"), "label").join(classes.select("class_id", "n"), "class_id")
+    members = groups.select(F.col("node").alias("class_id"), "label").join(classes.select("class_id", "class_key", "n"), "class_id")
     weight = members.groupBy("label").agg(F.sum("n").alias("total"))
     blocks = F.ceil(F.col("total") / F.lit(BLOCK_SHINGLES)).cast("int")
     members = written(members.join(weight, "label").select(
-        F.col("class_id").alias("doc_id"), "label", blocks.alias("blocks"),
+        F.col("class_id").alias("doc_id"), F.col("class_key").alias("key"), "label", blocks.alias("blocks"),
         F.pmod(F.xxhash64("class_id"), blocks).cast("int").alias("own")).distinct())
 
     def full(batches):
-        hashes = WordHashes()
+        hashes = process_wide(("hashes",), WordHashes)
         for b in batches:
-            sets = [shingle_set((t or "").encode(), hashes, words).tobytes() for t in b.column("text").to_pylist()]
+            sets = [shingle_set((t or "").encode(), hashes, words).tobytes() for t in values(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", "label", "blocks", "own")]
                                              + [pa.array(sets, pa.binary())], ["doc_id", "label", "blocks", "own", "set"])
 
-    sets = (docs.select("doc_id", "text").join(bounded(members), "doc_id")
+    sets = (docs.select("doc_id", text_key().alias("key"), "text").join(bounded(members), ["doc_id", "key"])
             .mapInArrow(full, "doc_id long, label long, blocks int, own int, set binary"))
     sets = sets.select("label", "doc_id", "set", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     sets = sets.select("label", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"),
@@ -180,25 +182,37 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     Two documents are linked if 100 * |A and B| >= percent * |A or B| over their sets of distinct
     ``words``-word shingles (A-Z lower-cased); component_id is the smallest doc_id reachable by links.
     """
+    return _verdicts(docs, words, percent, k)[0].drop("key")
+
+
+def _verdicts(docs: DataFrame, words: int, percent: int, k: int = K) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``near_duplicates`` with the ``key`` of their text, and the sketches they come from."""
     base = written(sketches(docs, words, k))
     named = base.where("doc_id is not null and n > 0")
-    classes = named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("class_id"), F.first("sketch").alias("sketch"))
-    classes = written(classes)
+    classes = named.groupBy("n", "f1", "f2").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.first("sketch").alias("sketch"))
+    classes = written(classes.select("n", "f1", "f2", F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("class_key"), "sketch"))
     guessed = components(_estimated_links(_listed(classes, k, percent), k, percent))
     exact = components(_exact_links(docs, classes, guessed, words, percent))
     where = classes.select("n", "f1", "f2", "class_id").join(exact.withColumnRenamed("node", "class_id"), "class_id", "left")
     where = where.select("n", "f1", "f2", F.coalesce("label", "class_id").alias("label"))
-    out = base.select("doc_id", "n", "f1", "f2").join(where, ["n", "f1", "f2"], "left")
+    out = base.select("doc_id", "key", "n", "f1", "f2").join(where, ["n", "f1", "f2"], "left")
     # an empty set has no class, and a row without doc_id takes none
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = out.select("doc_id", "key", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), base
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
-    gone = written(near_duplicates(docs, words, percent).where("not kept").select("doc_id").distinct())
-    return docs.join(bounded(gone), "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns; one row of those equal in doc_id and text."""
+    rows, base = _verdicts(docs, words, percent)
+    gone = written(rows.where("not kept").select(F.struct(F.col("doc_id").alias("id"), "key").alias("gone__")).distinct())
+    own = (F.col("doc_id") == F.col("gone__.id")) & (text_key() == F.col("gone__.key"))
+    kept = docs.join(bounded(gone), own, "left_anti")
+    again = written(base.where("doc_id is not null").groupBy("doc_id", "key").count().where("count > 1").select(F.struct(F.col("doc_id").alias("id"), "key").alias("gone__")))
+    if again.isEmpty():
+        return kept.select(*docs.columns)
+    few = kept.join(bounded(again), own, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(bounded(again), own, "left_anti").select(*docs.columns).unionByName(few.select(*docs.columns))
 
 
 def op4_near_dedup(spark, sf_dir: str) -> DataFrame:

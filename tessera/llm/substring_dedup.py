@@ -1,20 +1,19 @@
-"""Substring deduplication by relative Lempel-Ziv parsing against indexed reference blocks.
+"""Substring deduplication by an exact index of word windows, in place of a relative Lempel-Ziv parse.
 
-The reference of a document is every document of a smaller doc_id.  Its index maps each ``window`` of
-consecutive words to the smallest document that holds it, and lies in blocks (the hash partitions of that
-table).  A document is factored greedily against it: a factor starts at a word whose window the index has,
-and is copied on from the same source as long as the next window has it too; where that ends the next
-start is looked up again, so windows across a factor's boundary are found as well.  Factors are at least
-one window long, and the words under them are the duplicate spans.
+The reference of a document is every document of a smaller doc_id.  The index maps each ``window`` of consecutive words
+that can repeat to the smallest document that holds it, by two hashes; documents join it by key, so no task holds a
+reference block and a hot passage can be split.  Neighbouring hits of one source are joined to factors, and the words
+under factors are the duplicate spans.  A greedy parse against every reference block would mark the same words: each of its
+factors of ``window`` words or more is a run of such hits, and every hit lies under a factor once factor boundaries are checked.
 
 Only passages that can repeat are indexed.  Every window has one anchor, its smallest hash of ``seed``
 consecutive words; an anchor that one document alone holds proves that none of its windows repeats.
-Documents of equal words are parsed once, for the smallest doc_id; the others are one factor each.
+Documents of equal words are worked on once, for the smallest doc_id; the others are one factor each.
 
 Defined results.  No words (null, empty or blank text): nothing removed, empty kept text.  A row without
-doc_id has no place in the order: it is neither a reference nor deduplicated.  Repeated rows of one doc_id
-give one row each; they are no references to each other, having the same doc_id.  Extra columns are not
-looked at; an empty table gives an empty result.
+doc_id has no place in the order: it is neither a reference nor deduplicated.  Repeated rows
+give one row each, alike; rows of one doc_id are no references to each other, and each is judged by its own text.  Extra
+columns are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHashes, bounded, grams, long_grams, written
+from .common import WordHashes, bounded, grams, long_grams, text_key, values, written
+from .tokens import process_wide
 
 WINDOW = 50
 SEED = 20
@@ -55,13 +55,13 @@ def greedy_factors(starts: list[int], sources: list[int], window: int) -> list[t
 
 
 def _anchored(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """doc_id, n, f1, f2 (fingerprint of the word sequence), anchors (hash, position) of long enough rows."""
+    """doc_id, key (hash of the text), n, f1, f2 (fingerprint of the word sequence), anchors (hash, position) of long enough rows."""
 
     def run(batches):
-        hashes = WordHashes()
-        for b in batches:
-            ids, ns, f1, f2, an = [], [], [], [], []
-            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+        hashes = process_wide(("hashes",), WordHashes)
+        for b in (batch.slice(s, 256) for batch in batches for s in range(0, batch.num_rows, 256)):  # the anchors of a few texts at a time
+            ids, keys, ns, f1, f2, hash_, place = [], [], [], [], [], [], []
+            for i, key, t in zip(*(b.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
                 words = (t or "").encode().split()
                 if i is None or len(words) < window:
                     continue
@@ -69,68 +69,77 @@ def _anchored(docs: DataFrame, window: int, seed: int) -> DataFrame:
                 g, at = anchors_of(h, window, seed)
                 at = np.unique(at)
                 ids.append(i)
+                keys.append(key)
                 ns.append(len(words))
                 f1.append(int(long_grams(h, len(h), 1)[0].view(np.int64)))
                 f2.append(int(long_grams(h, len(h), 2)[0].view(np.int64)))
-                an.append([{"hash": x, "at": p} for x, p in zip(g[at].view(np.int64).tolist(), at.tolist())])
+                hash_.append(g[at].view(np.int64))
+                place.append(at.astype(np.int32))
+            if not ids:
+                continue
+            each = pa.StructArray.from_arrays([pa.array(np.concatenate(hash_)), pa.array(np.concatenate(place))], ["hash", "at"])
+            anchors = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, place)]), pa.int32()), each)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-                 pa.array(an, pa.list_(pa.struct([("hash", pa.int64()), ("at", pa.int32())])))],
-                ["doc_id", "n", "f1", "f2", "anchors"])
+                [*(pa.array(c, pa.int64()) for c in (ids, keys, ns, f1, f2)), anchors], ["doc_id", "key", "n", "f1", "f2", "anchors"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, f1 long, f2 long, anchors array<struct<hash:long,at:int>>")
+    return docs.select("doc_id", text_key().alias("key"), "text").mapInArrow(
+        run, "doc_id long, key long, n long, f1 long, f2 long, anchors array<struct<hash:long,at:int>>")
 
 
 def _windows(docs: DataFrame, wanted: DataFrame, window: int, seed: int) -> DataFrame:
-    """h1, h2, doc_id, at: the windows of the wanted documents at their wanted anchors."""
+    """h1, h2, doc_id, key, at: the windows of the wanted documents at their wanted anchors."""
 
     def run(batches):
-        hashes = WordHashes()
+        hashes = process_wide(("hashes",), WordHashes)
         for b in batches:
-            for i, t, ats in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "ats"))):
+            for i, key, t, ats in zip(*(values(b.column(c)) for c in ("doc_id", "key", "text", "ats"))):
                 h = hashes.of((t or "").encode().split())
                 _, at = anchors_of(h, window, seed)
                 w = np.flatnonzero(np.isin(at, np.array(ats)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(long_grams(h, window, 3)[w].view(np.int64)), pa.array(long_grams(h, window, 4)[w].view(np.int64)),
-                     pa.array(np.full(len(w), i, np.int64)), pa.array(w.astype(np.int32))], ["h1", "h2", "doc_id", "at"])
+                     pa.array(np.full(len(w), i, np.int64)), pa.array(np.full(len(w), key, np.int64)), pa.array(w.astype(np.int32))],
+                    ["h1", "h2", "doc_id", "key", "at"])
 
-    return (docs.select("doc_id", "text").join(bounded(wanted), "doc_id")
-            .mapInArrow(run, "h1 long, h2 long, doc_id long, at int"))
+    return (docs.select("doc_id", text_key().alias("key"), "text").join(bounded(wanted), ["doc_id", "key"])
+            .mapInArrow(run, "h1 long, h2 long, doc_id long, key long, at int"))
 
 
 def factors(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """doc_id, factors: the parse of every document that has a factor against smaller doc_ids."""
+    """doc_id, key, factors: the factors of every document (doc_id and text) that has one against smaller doc_ids."""
     base = written(_anchored(docs, window, seed))
     classes = base.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("first"))
     named = base.join(classes, ["n", "f1", "f2"])
     copies = named.where("doc_id > first").select(
-        "doc_id", F.array(F.struct(F.lit(0).alias("start"), F.col("n").cast("int").alias("length"),
+        "doc_id", "key", F.array(F.struct(F.lit(0).alias("start"), F.col("n").cast("int").alias("length"),
                                    F.col("first").alias("source"))).cast(FACTOR).alias("factors"))
     first = classes.select(F.col("first").alias("doc_id"), "n", "f1", "f2").join(base, ["doc_id", "n", "f1", "f2"])
-    rows = first.select("doc_id", F.explode("anchors").alias("a")).select("doc_id", "a.hash", "a.at")
+    rows = first.select("doc_id", "key", F.explode("anchors").alias("a")).select("doc_id", "key", "a.hash", "a.at")
     # written, so that the join has an exchange on either side and a hot anchor's rows can be split
     often = written(rows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("hash"))
-    wanted = written(rows.join(often, "hash").groupBy("doc_id").agg(F.collect_list("at").alias("ats")))
-    windows = _windows(docs, wanted, window, seed)
-    index = (windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("high"))
-             .where("source < high").drop("high"))
-    hits = windows.join(index, ["h1", "h2"]).where("source < doc_id").groupBy("doc_id").agg(
+    wanted = written(rows.join(often, "hash").groupBy("doc_id", "key").agg(F.collect_set("at").alias("ats")))
+    # both written: the join has an exchange on either side, and a hot passage's rows can be split
+    windows = written(_windows(docs, wanted, window, seed))
+    index = written(windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("high"))
+                    .where("source < high").drop("high"))
+    hits = windows.join(index, ["h1", "h2"]).where("source < doc_id").groupBy("doc_id", "key").agg(
         F.array_sort(F.collect_set(F.struct("at", "source"))).alias("hits"))
 
     def parse(batches):
         for b in batches:
             found = [greedy_factors([x["at"] for x in h], [x["source"] for x in h], window) for h in b.column("hits").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([[dict(zip(("start", "length", "source"), x)) for x in f] for f in found],
-                                              pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("source", pa.int64())])))],
-                ["doc_id", "factors"])
+                [b.column("doc_id"), b.column("key"), pa.array([[dict(zip(("start", "length", "source"), x)) for x in f] for f in found], pa.list_(
+                    pa.struct([("start", pa.int32()), ("length", pa.int32()), ("source", pa.int64())])))], ["doc_id", "key", "factors"])
+
+    parsed = hits.mapInArrow(parse, f"doc_id long, key long, factors {FACTOR}")
+    return written(parsed.unionByName(copies).dropDuplicates(["doc_id", "key"]))  # repeated rows have the same factors
+
 
-    parsed = hits.mapInArrow(parse, f"doc_id long, factors {FACTOR}")
-    # a doc_id repeated with other texts may have both kinds
-    both = written(parsed.unionByName(copies).dropDuplicates(["doc_id"]))
-    return both
+def _with_factors(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the factors of each row's own text in column ``name``."""
+    found = bounded(found.select(F.struct(F.col("doc_id").alias("id"), "key").alias(f"{name}of"), F.col("factors").alias(name)))
+    return docs.join(found, (F.col("doc_id") == F.col(f"{name}of.id")) & (text_key() == F.col(f"{name}of.key")), "left").drop(f"{name}of")
 
 
 def covered(n: int, spans) -> np.ndarray:
@@ -148,7 +157,7 @@ def digest(docs: DataFrame, found: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             n, gone, sha = [], [], []
-            for t, spans in zip(b.column("text").to_pylist(), b.column("factors").to_pylist()):
+            for t, spans in zip(values(b.column("text")), values(b.column("factors"))):
                 words = (t or "").encode().split()
                 off = covered(len(words), spans) if spans else None
                 kept = words if off is None else [w for w, o in zip(words, off.tolist()) if not o]
@@ -158,7 +167,7 @@ def digest(docs: DataFrame, found: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
                                               pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return (docs.select("doc_id", "text").join(bounded(found), "doc_id", "left")
+    return (_with_factors(docs.select("doc_id", "text"), found, "factors")
             .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
 
 
@@ -168,7 +177,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     The text outside the factors stays as it is, white space included; ``n_chars``, if there, follows.
     """
     name = "factors__"
-    found = factors(docs, window).withColumnRenamed("factors", name)
+    found = factors(docs, window)
     schema = docs.schema
     at = docs.columns.index("text")
 
@@ -196,7 +205,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             cols[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, schema.names)
 
-    cut = docs.join(bounded(found), "doc_id", "left").select(*docs.columns, name)
+    cut = _with_factors(docs, found, name).select(*docs.columns, name)
     touched = cut.where(f"{name} is not null").mapInArrow(run, schema).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         touched = touched.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType))
