@@ -18,13 +18,13 @@ columns are kept by ``mix`` and not looked at; an empty table gives an empty res
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import WORD, bounded, written
 
 CAP = 3
 WEIGHTS = (1, 2, 3)
-STEPS = 40
 
 
 def numbered(names: DataFrame, column: str) -> DataFrame:
@@ -63,21 +63,22 @@ def targets(cells: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     return t.select("source", "source_size", F.least(F.col("source_size") * F.lit(float(cap)), F.col("w") * F.lit(level)).alias("target"))
 
 
-def solve(cells: DataFrame, aims: DataFrame, cap: int = CAP, steps: int = STEPS) -> DataFrame:
+def solve(cells: DataFrame, aims: DataFrame, cap: int = CAP) -> DataFrame:
     """source, rate multiplier ``l`` and mean size ``mean``: the dual's solution, by Newton's method.
 
+    A step that leaves the bracket halves it instead, so every source ends: at its target, or where no number lies between the limits.
     Words are summed as decimals, whose sums do not depend on their order, so reruns agree.
     """
     whole = cells.groupBy("source").agg(F.sum("n").alias("docs"))
     state = whole.withColumnRenamed("source", "name").join(aims, F.col("source").eqNullSafe(F.col("name"))).select(
         "source", "target", (F.col("source_size") / F.col("docs")).alias("mean"),
         F.try_divide("target", "source_size").alias("factor"))
-    edge = 64.0
+    edge = 1e6
     state = written(state.select("*", F.lit(0.0).alias("l"), F.lit(-edge).alias("low"), F.lit(edge).alias("high"),
                                  (F.col("factor").isNull() | (F.col("factor") >= cap)).alias("done")))
     exact = "decimal(38,6)"
     sums = cells.where("size > 0").withColumnRenamed("source", "name")
-    for step in range(steps):
+    while True:
         x = F.try_divide("size", "mean")
         r = F.least(F.lit(float(cap)), F.exp(F.col("l") * x))
         free = F.exp(F.col("l") * x) < cap
@@ -93,7 +94,8 @@ def solve(cells: DataFrame, aims: DataFrame, cap: int = CAP, steps: int = STEPS)
         moved = state.join(both, F.col("source").eqNullSafe(F.col("name")), "left").select(
             "source", "target", "mean", "factor", "l", low.alias("low2"), high.alias("high2"),
             F.when(inside, newton).otherwise((low + high) / 2).alias("l2"),
-            (F.col("done") | F.col("g").isNull() | (F.abs(gap) <= 1e-9 * F.col("target") + 1e-6)).alias("done2"), "low", "high")
+            (F.col("done") | F.col("g").isNull() | (F.abs(gap) <= 1e-9 * F.col("target") + 1e-6)
+             | (high - low <= 1e-15 * F.abs("l"))).alias("done2"), "low", "high")
         state = moved.select("source", "target", "mean", "factor", F.when(F.col("done2"), F.col("l")).otherwise(F.col("l2")).alias("l"),
                              F.when(F.col("done2"), F.col("low")).otherwise(F.col("low2")).alias("low"),
                              F.when(F.col("done2"), F.col("high")).otherwise(F.col("high2")).alias("high"),
@@ -125,10 +127,19 @@ def round_cells(rows: pd.DataFrame, cap: int = CAP) -> pd.DataFrame:
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    """``docs`` with the struct column ``mix__``: size, and key, a hash of the row of 0 to 2**63 - 1."""
+    """``docs`` with the struct column ``mix__``: size; key, a hash of the row, and tie, one of its place in its file (0 to 2**63 - 1).
+
+    The tie parts equal rows, which are alike: which of them takes a copy changes no result.  ``docs`` that is no table of files is written.
+    """
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = written(docs)
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    key = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(2 ** 63 - 1))
-    return docs.withColumn("mix__", F.struct(size.alias("size"), key.alias("key")))
+    low = F.lit(2 ** 63 - 1)
+    key = F.xxhash64("doc_id", "text").bitwiseAND(low)
+    tie = F.xxhash64("_metadata.file_name", "_metadata.row_index").bitwiseAND(low)
+    return docs.withColumn("mix__", F.struct(size.alias("size"), key.alias("key"), tie.alias("tie")))
 
 
 def _same(source: str, size: str):
@@ -136,9 +147,9 @@ def _same(source: str, size: str):
 
 
 def plan(flat: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
-    """name (a source), words (a size), source_size, target, base, until: the copies of the documents of a cell.
+    """name (a source), words (a size), source_size, target, base, until, until_tie: the copies of the documents of a cell.
 
-    ``flat`` has source, size and key.  A document takes ``base`` copies, and one more if key <= until.
+    ``flat`` has source, size, key and tie.  A document takes ``base`` copies, and one more if (key, tie) <= (until, until_tie).
     """
     cells = written(flat.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     aims = written(targets(cells, weights, cap))
@@ -149,38 +160,56 @@ def plan(flat: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     cell = written(rated.groupBy("source").applyInPandas(lambda p: round_cells(p, cap)[["source", "size", "n", "base", "extra"]],
                                                          "source string, size long, n long, base long, extra long")
                    .withColumnRenamed("source", "name").withColumnRenamed("size", "words"))
-    # the extra copies of a cell go by the order of the key: first the key's bucket, then the place inside it
-    bucket = F.shiftright("key", 51)
-    picky = flat.join(cell.where("extra > 0"), _same("name", "words")).select("source", "size", "key", "extra", bucket.alias("bucket"))
-    counts = picky.groupBy("source", "size", "extra", "bucket").agg(F.count(F.lit(1)).alias("rows"))
-    upto = F.sum("rows").over(Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    border = counts.withColumn("upto", upto).where("upto >= extra and upto - rows < extra").select(
-        F.col("source").alias("name"), F.col("size").alias("words"), F.col("bucket").alias("edge"),
-        (F.col("extra") - F.col("upto") + F.col("rows")).alias("need"))
-    inside = picky.join(border, _same("name", "words") & (F.col("bucket") == F.col("edge")))
-    row = F.row_number().over(Window.partitionBy("source", "size").orderBy("key"))
-    until = inside.withColumn("row", row).where("row = need").select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("key").alias("until"))
+    # the extra copies of a cell go by the order of the key, among rows of one key by that of the tie
+    picky = flat.join(cell.where("extra > 0"), _same("name", "words")).select("source", "size", "key", "tie", F.col("extra").alias("need"))
+    first = written(_border(picky, "key"))
+    some = first.where("rest < same").select("name", "words", "edge", "rest")
+    equal = picky.join(some, _same("name", "words") & (F.col("key") == F.col("edge"))).select("source", "size", "tie", F.col("rest").alias("need"))
+    second = _border(equal, "tie").select(F.col("name").alias("s"), F.col("words").alias("z"), F.col("edge").alias("until_tie"))
+    until = first.select(F.col("name").alias("s"), F.col("words").alias("z"), F.col("edge").alias("until")).join(
+        second.select(F.col("s").alias("s2"), F.col("z").alias("z2"), "until_tie"), F.col("s").eqNullSafe(F.col("s2")) & (F.col("z") == F.col("z2")), "left")
     out = cell.join(until, F.col("name").eqNullSafe(F.col("s")) & (F.col("words") == F.col("z")), "left")
     out = out.join(aims, F.col("name").eqNullSafe(F.col("source")))
-    return written(out.select("name", "words", "source_size", "target", "base", F.coalesce("until", F.lit(-1)).alias("until")))
+    return written(out.select("name", "words", "source_size", "target", "base", F.coalesce("until", F.lit(-1)).alias("until"),
+                              F.coalesce("until_tie", F.lit(2 ** 63 - 1)).alias("until_tie")))
+
+
+def _border(rows: DataFrame, value: str) -> DataFrame:
+    """name, words, edge, rest, same: the ``value`` up to which the first ``need`` rows of a cell go, how many of the ``same`` rows that
+    have just this value are among them.
+
+    First the value's bucket, then the place inside it; equal values are one row of the second step.
+    """
+    bucket = F.shiftright(value, 51)
+    counts = rows.groupBy("source", "size", "need", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
+    by = Window.partitionBy("source", "size").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("upto", F.sum("rows").over(by.orderBy("bucket"))).where("upto >= need and upto - rows < need").select(
+        F.col("source").alias("name"), F.col("size").alias("words"), F.col("bucket").alias("own"), (F.col("need") - F.col("upto") + F.col("rows")).alias("left"))
+    inside = rows.join(counts, _same("name", "words") & (bucket == F.col("own"))).groupBy("source", "size", "left", value).agg(F.count(F.lit(1)).alias("same"))
+    inside = inside.withColumn("upto", F.sum("same").over(by.orderBy(value))).where("upto >= left and upto - same < left")
+    return inside.select(F.col("source").alias("name"), F.col("size").alias("words"), F.col(value).alias("edge"),
+                         (F.col("left") - F.col("upto") + F.col("same")).alias("rest"), "same")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, source, ...), each as often as the mix takes it."""
     sized = _sized(docs)
-    cell = plan(written(sized.select("source", "mix__.size", "mix__.key")), weights, cap)
-    cell = cell.select(F.struct("name", "words", "base", "until").alias("cell__"))
+    cell = plan(written(sized.select("source", "mix__.size", "mix__.key", "mix__.tie")), weights, cap)
+    cell = cell.select(F.struct(*cell.columns).alias("cell__"))
     meet = F.col("source").eqNullSafe(F.col("cell__.name")) & (F.col("mix__.size") == F.col("cell__.words"))
-    times = F.col("cell__.base") + F.when(F.col("mix__.key") <= F.col("cell__.until"), 1).otherwise(0)
+    row, own = F.col("mix__"), F.col("cell__")
+    more = (row["key"] < own["until"]) | ((row["key"] == own["until"]) & (row["tie"] <= own["until_tie"]))
+    times = own["base"] + F.when(more, 1).otherwise(0)
     taken = sized.join(bounded(cell), meet).withColumn("mix__", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
     return taken.select(*docs.columns)
 
 
 def mixed_words(docs: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row of ``docs``."""
-    flat = written(_sized(docs.select("doc_id", "text", "source")).select("doc_id", "source", "mix__.size", "mix__.key"))
+    flat = written(_sized(docs.select("doc_id", "text", "source")).select("doc_id", "source", "mix__.size", "mix__.key", "mix__.tie"))
     cell = plan(flat, weights, cap)
-    times = F.col("base") + F.when(F.col("key") <= F.col("until"), 1).otherwise(0)
+    more = (F.col("key") < F.col("until")) | ((F.col("key") == F.col("until")) & (F.col("tie") <= F.col("until_tie")))
+    times = F.col("base") + F.when(more, 1).otherwise(0)
     return flat.join(cell, _same("name", "words")).select("doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
 
 
