@@ -124,8 +124,8 @@ def identify(pages: DataFrame, documents: DataFrame, sample: int = SAMPLE) -> Da
     for by in ("top", "domain", "host", "declared", "suffix"):
         table = counted(by)
         out = out.join(bounded(table), F.col(by) == F.col(f"{by}_key"), "left")
-    whole = rows.agg(*parts).select(share.alias("all_n"))
-    out = out.join(F.broadcast(whole))
+    whole = rows.agg(*parts).first()  # one number a language
+    out = out.withColumn("all_n", F.array(*[F.lit(float(x or 0.0)) for x in whole]))
     less = lambda a: F.transform(F.arrays_zip(F.col(a).alias("n"), F.col("soft").alias("s")), lambda x: F.greatest(x["n"] - x["s"], F.lit(0.0)))
     out = out.withColumn("prior", F.transform(less("all_n"), lambda x: (x + 1.0) / (add(less("all_n")) + float(k))))
     for by in ("top", "domain", "host"):  # each level leans on the one above
