@@ -6,7 +6,7 @@ On a page without an article or main element, the blocks that markup leaves open
 the token streams of its pages are concatenated, a suffix array finds the substrings of at least ``LONG``
 tokens that repeat across distinct pages, and the tokens they cover are boilerplate; unique runs stay.
 
-A class, id or role that names such a part drops an element, but not the page's text in it: a main element counts wherever
+A class, id or role that names such a part drops an element (within an article only if its whole name does), but not the page's text in it: a main element counts wherever
 no markup role drops it, an article also below a layout's name (``content-sidebar-wrap``, ``no-sidebar``), and below any other
 name if the page has no text in an article or main element elsewhere (else it is a teaser in a list of related ones).
 
@@ -33,8 +33,8 @@ from .common import bounded, by_key, long_grams, sorted_groups, written
 
 LONG = 8
 PART_PAGES = 2000
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|=\s*[^\s>\"'][^\s>]*|[^>])*)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 RAW = {"script", "style", "noscript", "template", "textarea", "svg", "math", "iframe", "object", "title"}
 DROPPED = RAW | {"nav", "header", "footer", "aside", "form", "menu", "select", "button", "dialog", "head"}
 MAIN = {"article", "main"}
@@ -43,6 +43,10 @@ HINTS = frozenset("ad ads advert adverts advertisement advertising banner breadc
                   "related share sharing sidebar social sponsor sponsored subscribe widget".split())
 #: Words that make a class name with a hint the name of a layout, not of a part.
 LAYOUT = frozenset("no has with without wrap wrapper container content layout".split())
+#: Words that make a hint's name the name of a part that holds it (``share-buttons``): within an article the whole name must be such words.
+PARTS = LAYOUT | frozenset("area bar block blocks body box button buttons card feed form group header heading inner item items label line link links "
+                           "list message outer panel post posts section signup slot stories story strip text title top bottom unit zone".split())
+ANCHORED = {"h1", "h2", "h3", "h4", "h5", "h6", "p"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd",
           "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
@@ -52,14 +56,26 @@ KEEP, OPEN, SPARE = 1, 0, 2
 BY_LAYOUT, BY_NAME, BY_ROLE = 1, 2, 3
 
 
-def hinted(attributes: str) -> int:
-    """Whether class, id or role names a part that isn't main text, and how: BY_NAME, BY_LAYOUT or 0."""
+def hinted(attributes: str, element: str, inside: bool) -> int:
+    """Whether class, id or role names a part that isn't main text, and how: BY_NAME, BY_LAYOUT or 0.
+
+    Within an article (``inside``) such a word alone says little (``related-work``, ``ad-hoc``): there a name counts if all its words
+    name a part, and neither inline elements nor the ids of headings and paragraphs, which are places to link to, count.
+    """
     found = 0
-    for _, v in ATTRIBUTE.findall(attributes):
-        for name in v.lower().split():
-            words = re.split(r"[^a-z]+", name)
-            if HINTS.intersection(words):
+    if inside and element in INLINE:
+        return found
+    for key, v in ATTRIBUTE.findall(attributes):
+        if key.lower() not in ("class", "id", "role") or inside and key.lower() == "id" and element in ANCHORED:
+            continue
+        for name in v.strip("\"'").lower().split():
+            words = [w for w in re.split(r"[^a-z]+", name) if w]
+            if not HINTS.intersection(words):
+                continue
+            if not inside:
                 found = max(found, BY_LAYOUT if LAYOUT.intersection(words) else BY_NAME)
+            elif all(w in HINTS or w in PARTS for w in words):
+                found = BY_NAME
     return found
 
 
@@ -104,7 +120,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 continue
             dropped, main = stack[-1][1:] if stack else (0, OPEN)
             if dropped < BY_NAME and m[3]:
-                dropped = max(dropped, hinted(m[3]))
+                dropped = max(dropped, hinted(m[3], name, main != OPEN))
             if not m[3].endswith("/"):
                 stack.append((name, dropped, main))
             continue
@@ -120,13 +136,15 @@ def blocks(page: str) -> list[tuple[int, str]]:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close.end() if close else end
             continue
-        if name in MAIN and dropped < BY_ROLE:
+        if name == "article" and main != OPEN and hinted(m[3], name, True):
+            dropped = BY_ROLE  # a reader's comment or a teaser, not an article of the page
+        elif name in MAIN and dropped < BY_ROLE:
             main = KEEP if name == "main" or dropped < BY_NAME and main != SPARE else SPARE
             dropped = 0
         elif name in DROPPED:
             dropped = BY_ROLE
         elif dropped < BY_NAME and name not in ("html", "body"):
-            dropped = max(dropped, hinted(m[3]))
+            dropped = max(dropped, hinted(m[3], name, main != OPEN))
         stack.append((name, dropped, main))
     flush()
     if any(role == KEEP for role, _ in out):
