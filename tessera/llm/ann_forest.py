@@ -260,11 +260,15 @@ def nearest(table: DataFrame, is_query, ranks: int = 5, trees: int = TREES, leaf
             q, v = m[:ask], m[ask:]
             for s in range(0, ask, 256):
                 rough = (q[s:s + 256] @ v.T) / norm[s:s + 256 if s + 256 < ask else ask, None] / norm[None, ask:]
-                keep = min(ranks + 3, rough.shape[1])
-                best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
-                a = np.repeat(np.arange(len(best)) + s, keep)
-                b = best.ravel()
+                keep = min(ranks + 1, rough.shape[1])
+                least = np.partition(rough, rough.shape[1] - keep, axis=1)[:, rough.shape[1] - keep]
+                a, b = np.nonzero(rough >= least[:, None] - 1e-9)  # with all that may tie once they are exact
+                a += s
                 exact = (q[a] * v[b]).sum(axis=1) / (norm[a] * norm[ask + b])
+                order = np.lexsort((reps[ask + b], -exact, a))
+                a, b, exact = a[order], b[order], exact[order]
+                first = np.arange(len(a)) - np.searchsorted(a, a) < keep
+                a, b, exact = a[first], b[first], exact[first]
                 yield pa.RecordBatch.from_arrays([pa.array(reps[a]), pa.array(reps[ask + b]), pa.array(exact)], ["rep", "other", "score"])
 
     hits = by_key(both, ["tree", "leaf", "part"], ["kind", "rep"]).mapInArrow(score, "rep long, other long, score double")
