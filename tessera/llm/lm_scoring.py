@@ -4,9 +4,9 @@ A word's probability sums over all its segmentations into pieces of a public voc
 characters it lacks), by the forward recursion in log space.  The pieces' weights are learned from the
 training documents' distinct words, for each document class (language) on its own, shrunk to all classes.
 A word that training has seen is one more arc of its lattice: absolute discounting takes ``DISCOUNT`` from
-its count, and what all words give up weighs the lattice of pieces.  So P(word) is a proper distribution
-over all strings, and a text's probability is that of its class, its words and one end.  The class is the
-one that explains the text's frequent words best.
+its count in the class; what a class's words give up weighs the lattice of pieces, but for a share ``BACK`` that goes to
+the counts of all classes (discounted the same way).  So P(word) is a proper distribution over all strings, and a text's probability is the
+sum over the classes of that of the class, its words and one end.
 
 Counting: every distinct word is counted and joined by word.  Words of at least 1 / 2**18 of all tokens (so
 at most 2**18 of them) are scored where the documents are read; the rest is joined by word, so no key of
@@ -14,7 +14,7 @@ the join holds more than that share of the tokens.
 
 Defined results.  A null, empty or blank text is one end.  A null doc_id counts as the empty text in the
 split.  Repeated rows are scored (and learned) each.  A class not among the ``CLASSES`` most frequent, or
-null, is "other".  Without training documents pieces weigh alike.  Extra columns are not looked at; an empty
+null, is "other".  Scores are sums of multiples of 2**-34, which any order of the rows gives alike.  Without training documents pieces weigh alike.  Extra columns are not looked at; an empty
 table gives an empty result.
 """
 
@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame, functions as F
 from .common import written
 from .tokens import process_wide, vocabulary
 
-CLASSES = 7
+CLASSES = 31
 DISCOUNT = 0.7
+BACK = 0.1
 HOT = 1 << 18
 PIECE_PRIOR = 0.05
 CLASS_PRIOR = 2000.0
@@ -156,9 +157,7 @@ class Lattice:
 
 
 def lattice_of(piece_file: str) -> Lattice:
-    import sentencepiece
-
-    return process_wide(sentencepiece, ("lattice", piece_file), lambda: Lattice(vocabulary(piece_file)))
+    return process_wide(("lattice", piece_file), lambda: Lattice(vocabulary(piece_file)))
 
 
 def _prepared(docs: DataFrame, names: list[str]) -> DataFrame:
@@ -241,11 +240,21 @@ def piece_weights(counts: DataFrame, classes: int, path_name: str) -> np.ndarray
         return np.log(weights)
 
 
-def log_word(c, tokens, distinct, marginal):
-    """Natural log P(word) from its count in the class, the class's tokens and distinct words, and the lattice."""
-    with np.errstate(divide="ignore"):
-        seen = np.log(np.maximum(c - DISCOUNT, 0.0) / (tokens + 1))
-    return np.logaddexp(seen, np.log((DISCOUNT * distinct + 0.5) / (tokens + 1)) + marginal)
+def log_word(c, tokens, distinct, kinds, marginal):
+    """Natural log P(word | class), word x class, from its counts in the classes, the classes' tokens and distinct words, the distinct
+    words of all classes, and the lattice."""
+    def backed(count, of, words, rest):
+        with np.errstate(divide="ignore"):
+            seen = np.log(np.maximum(count - DISCOUNT, 0.0) / (of + 1))
+        return np.logaddexp(seen, np.log((DISCOUNT * words + 0.5) / (of + 1)) + rest)
+
+    others = backed(c.sum(axis=1, keepdims=True), tokens.sum(), kinds, marginal)
+    return fine(backed(c, tokens, distinct, np.logaddexp(np.log(BACK) + others, np.log(1 - BACK) + marginal)))
+
+
+def fine(x):
+    """``x`` in multiples of 2**-34: sums of them are exact, whatever their order."""
+    return np.round(x * 2.0 ** 34) / 2.0 ** 34
 
 
 def scores(docs: DataFrame, piece_file: str = "piece_bpe_32k.model") -> DataFrame:
@@ -274,26 +283,25 @@ def scores(docs: DataFrame, piece_file: str = "piece_bpe_32k.model") -> DataFram
     hot = counts.where((F.col("word") != end) & (whole > 0) & (whole * HOT >= total)).collect()  # at most HOT words
     c = np.array([r["c"] for r in hot], float).reshape(-1, k)
     marginal = lattice_of(piece_file).marginals([bytes(r["word"]).decode() for r in hot], logp)
-    hot_score = log_word(c, tokens, distinct, marginal)
-    hot_base = np.log10((c.sum(axis=1) + 0.5) / below)
-    prior = np.log((ends + 0.5) / (ends.sum() + 0.5 * k)) + np.log((ends + 0.5) / (tokens + 1))
-    end_base = float(np.log10((ends.sum() + 0.5) / below))
+    hot_score = log_word(c, tokens, distinct, max(0, kinds - 1), marginal)
+    hot_base = fine(np.log10((c.sum(axis=1) + 0.5) / below))
+    prior = fine(np.log((ends + 0.5) / (ends.sum() + 0.5 * k)) + np.log((ends + 0.5) / (tokens + 1)))
+    end_base = float(fine(np.log10((ends.sum() + 0.5) / below)))
     shared = spark.sparkContext.broadcast(({bytes(r["word"]): i for i, r in enumerate(hot)}, hot_score, hot_base, logp))
-    kind = ("doc_id long, key long, held boolean, z int, word binary, n long, rows long, tokens long, known long, base double, score double")
+    kind = "doc_id long, key long, held boolean, word binary, n long, rows long, tokens long, known long, base double, score array<double>"
 
     def read(batches):
         """A row for each document, with what its frequent words give, and one for each of its rare words."""
         place, score, base, _ = shared.value
         names = [x.split()[0] for x in kind.split(", ")]
         for b in batches:
-            words, times, sizes, heads = [], [], [], []
+            words, times, sizes, heads, by = [], [], [], [], []
             for i, key, t in zip(*(b.column(x).to_pylist() for x in ("doc_id", "key", "text"))):
                 count = Counter(t.encode().lower().split())
                 near = [(place[w], n) for w, n in count.items() if w in place]
                 at, n = np.array(near, np.int64).reshape(-1, 2).T
-                by = prior + n @ score[at]
-                z = int(by.argmax())
-                heads.append((z, sum(count.values()) + 1, int(n.sum()) + (ends.sum() > 0), float(base[at] @ n) + end_base, float(by[z])))
+                heads.append((sum(count.values()) + 1, int(n.sum()) + (ends.sum() > 0), float(base[at] @ n) + end_base))
+                by.append(prior + n @ score[at])
                 rare = [w for w in count if w not in place]
                 words += [b" %d %d" % (i or 0, key), *rare]  # a word of its own, that joins nothing
                 times += [0, *[count[w] for w in rare]]
@@ -302,12 +310,13 @@ def scores(docs: DataFrame, piece_file: str = "piece_bpe_32k.model") -> DataFram
                 continue
             own = np.repeat(np.arange(len(sizes)), sizes)
             lead = np.concatenate([[True], own[1:] != own[:-1]])
-            z, tokens_of, known, base_of, score_of = (np.array(x) for x in zip(*heads))
+            tokens_of, known, base_of = (np.array(x) for x in zip(*heads))
             ids = pa.array(own)
+            by_class = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(lead, k, 0))]), pa.int32()), np.concatenate(by))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(x).take(ids) for x in ("doc_id", "key", "held")), pa.array(z[own].astype(np.int32)), pa.array(words, pa.binary()),
+                [*(b.column(x).take(ids) for x in ("doc_id", "key", "held")), pa.array(words, pa.binary()),
                  pa.array(np.array(times, np.int64)), *(pa.array(np.where(lead, x, 0).astype(np.int64)) for x in (1, tokens_of[own], known[own])),
-                 *(pa.array(np.where(lead, x, 0.0)) for x in (base_of[own], score_of[own]))], names)
+                 pa.array(np.where(lead, base_of[own], 0.0)), by_class], names)
 
     def weigh(batches):
         """Each rare word once: whether training knows it, its base score and its score in every class."""
@@ -315,10 +324,10 @@ def scores(docs: DataFrame, piece_file: str = "piece_bpe_32k.model") -> DataFram
         own = lattice_of(piece_file)
         for b in batches:
             c = b.column("c").flatten().to_numpy().reshape(-1, k).astype(float)
-            s = log_word(c, tokens, distinct, own.marginals([w.decode() for w in b.column("word").to_pylist()], weights))
+            s = log_word(c, tokens, distinct, max(0, kinds - 1), own.marginals([w.decode() for w in b.column("word").to_pylist()], weights))
             seen = c.sum(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [b.column("word"), pa.array((seen > 0).astype(np.int32)), pa.array(np.log10((seen + 0.5) / below)),
+                [b.column("word"), pa.array((seen > 0).astype(np.int32)), pa.array(fine(np.log10((seen + 0.5) / below))),
                  pa.ListArray.from_arrays(np.arange(0, s.size + 1, k, dtype=np.int32), s.ravel())], ["word2", "seen", "base2", "score2"])
 
     rare = counts.where((F.col("word") != end) & ((whole == 0) | (whole * HOT < total)))
@@ -327,12 +336,14 @@ def scores(docs: DataFrame, piece_file: str = "piece_bpe_32k.model") -> DataFram
     n = F.col("n")
     parts = joined.select("doc_id", "key", "held", "rows", "tokens", (F.col("known") + F.when(F.col("seen") > 0, n).otherwise(0)).alias("known"),
                           (F.col("base") + F.coalesce(n * F.col("base2"), F.lit(0.0))).alias("base"),
-                          (F.col("score") + F.coalesce(n * F.get("score2", F.col("z")), F.lit(0.0))).alias("score"))
-    out = parts.groupBy("doc_id", "key", "held").agg(*[F.sum(x).alias(x) for x in ("rows", "tokens", "known", "base", "score")])
+                          *[(F.coalesce(F.get("score", F.lit(z)), F.lit(0.0)) + F.coalesce(n * F.get("score2", F.lit(z)), F.lit(0.0))).alias(f"s{z}") for z in range(k)])
+    out = parts.groupBy("doc_id", "key", "held").agg(*[F.sum(x).alias(x) for x in ("rows", "tokens", "known", "base", *(f"s{z}" for z in range(k)))])
+    out = out.withColumn("by", F.array(*[F.col(f"s{z}") / F.col("rows") for z in range(k)])).withColumn("top", F.array_max("by"))
+    out = out.withColumn("score", F.col("top") + F.log(F.aggregate(F.transform("by", lambda s: F.exp(s - F.col("top"))), F.lit(0.0), lambda a, x: a + x)))
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
     return out.select("doc_id", F.col("held").alias("held_out"), (F.col("tokens") / F.col("rows")).cast("long").alias("n_tokens"),
                       (F.col("known") / F.col("rows")).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-                      (F.col("base") / F.col("rows")).alias("base_score"), (F.col("score") / F.col("rows") / F.lit(LN10)).alias("score"))
+                      (F.col("base") / F.col("rows")).alias("base_score"), (F.col("score") / F.lit(LN10)).alias("score"))
 
 
 def split_held(docs: DataFrame):
