@@ -28,7 +28,7 @@ def make_texts():
         texts.append("\n".join(c))
     texts += texts[:5]  # exact copies
     texts += [" ".join(b[:20] + passage + b[20:]) for b in base[20:26]]  # a shared passage
-    texts += [None, "", " \t\n", "one", "two words", "long " * 3000, "<|endoftext|> 007  z"]
+    texts += [None, "", " \t\n", "one", "two words", "long " * 9000, "<|endoftext|> 007  z"]
     return texts
 
 
@@ -131,6 +131,20 @@ def test_substring_dedup(docs, texts, empty):
     assert substring_dedup.factors(empty).count() == 0
 
 
+def test_two_texts_of_one_doc_id_are_judged_apart(spark):
+    w, u = " ".join(f"w{i}" for i in range(80)), " ".join(f"u{i}" for i in range(80))
+    rows_ = [(1, w), (1, w), (2, w), (2, u), (3, u + " x"), (None, w), (4, None), (4, None)]
+    docs = spark.createDataFrame([(i, t, *[None] * 6) for i, t in rows_], COLUMNS).repartition(2)
+    got = sorted((r["doc_id"], r["n_removed"]) for r in rows(substring_dedup.digest(docs, substring_dedup.factors(docs))) if r["doc_id"])
+    assert got == [(1, 0), (1, 0), (2, 0), (2, 80), (3, 80), (4, 0), (4, 0)]
+    left = sorted((r["doc_id"], " ".join((r["text"] or "").split())) for r in rows(substring_dedup.remove_repeats(docs)) if r["doc_id"] and r["text"])
+    assert left == [(1, w), (1, w), (2, u), (3, "x")]
+    assert sorted(((r["doc_id"] or 0, r["text"] or "") for r in rows(near_dedup.drop_near_duplicates(docs)))) == [
+        (0, w), (1, w), (2, u), (4, "")]
+    near = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in rows(near_dedup.near_duplicates(docs, 3, 85)) if r["doc_id"])
+    assert near == [(1, 1, True), (1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False), (4, 4, True), (4, 4, True)]
+
+
 def test_greedy_factors_meet_at_boundaries():
     assert substring_dedup.greedy_factors([3, 4, 5, 9], [1, 1, 2, 2], 50) == [(3, 51, 1), (5, 50, 2), (9, 50, 2)]
 
@@ -141,7 +155,6 @@ def test_packing(docs, texts, empty):
     from tessera.llm.tokens import vocabulary
 
     t = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     placed = rows(packing.pack(common.written(packing.pieces(docs)), shard_tokens=4000))
     expected, total = [], 0
     for i, x in enumerate(texts):
@@ -186,6 +199,19 @@ def test_mixing(docs, texts, empty):
     assert mixing.mix(docs).columns == docs.columns
 
 
+def test_mixing_of_repeated_rows_ends_near_the_targets(spark, tmp_dir):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j", s) for s in "xyz" for _ in range(100)], "doc_id long, text string, source string")
+    docs.repartition(4).write.parquet(f"{tmp_dir}/documents.parquet")
+    stored = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    for table in (stored, docs):
+        got = {}
+        for r in rows(mixing.mixed_words(table).withColumn("n", F.lit(1))):
+            got[r["target"]] = got.get(r["target"], 0) + r["taken"]
+        assert {round(t): n for t, n in got.items()} == {500: 500, 1000: 1000, 1500: 1500}
+    sizes = {r["source"]: r["count"] for r in rows(mixing.mix(stored).groupBy("source").count())}
+    assert sizes == {"x": 50, "y": 100, "z": 150}
+
+
 def test_quality_base_counts(docs, texts, empty):
     table = common.written(quality.measured(docs))
     got = {r["doc_id"]: r for r in rows(quality.judged(table))}
@@ -301,16 +327,29 @@ def test_lattice_sums_all_segmentations():
 
 
 def test_word_tokens_are_the_tokenizers():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from tessera.llm import tokens as module
     from tessera.llm.tokens import WordTokens, vocabulary
 
+    plain = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
     r = np.random.default_rng(5)
     signs = [chr(c) for c in range(33, 127)] + list("abcdefghijABC0123'.,éÉñßÿ×÷ª字Å\u0301\u212bİ\x1c\x7fﬁ")
-    words = ["".join(r.choice(signs, r.integers(1, 12)).tolist()) for _ in range(4000)] + ["don't", "Él's", "<|endoftext|>", "</w>", "ÀÖØÞ."]
+    words = ["".join(r.choice(signs, r.integers(1, 12)).tolist()) for _ in range(4000)] + ["don't", "Él's", "<|endoftext|>", "</w>", "ÀÖØÞ.", "x<|endoftext|>Y.", "<|ENDOFTEXT|>", "<|startoftext|>0<|endoftext|>", "<|endoftext"]
     words = [w.encode() for w in words if w.encode().split() == [w.encode()]]
     tokens = WordTokens(vocabulary("word_bpe_49k.json"))
     tokens.encode(words)
     for w in words:
-        assert tokens[w] == np.array(tokens._ids(w.decode()), "<u4").tobytes()
+        assert tokens.known[w] == np.array(plain.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+    texts = [" ".join(w.decode() for w in words[i:i + 70]) for i in range(0, len(words), 70)] + [None, "", " \t", "\n lead", "trail ", " ".join(w.decode() for w in words)]
+    want = [np.array(plain.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for limit, chunk in ((1 << 20, 1 << 20), (20_000, 500)):  # a small cache forgets, a small chunk parts often
+        module.CHUNK, old = chunk, module.CHUNK
+        try:
+            assert list(WordTokens(vocabulary("word_bpe_49k.json"), limit).encode_texts(pa.array(texts, pa.string()))) == want
+        finally:
+            module.CHUNK = old
 
 
 def test_lm_scores(docs, texts, empty):
@@ -324,6 +363,30 @@ def test_lm_scores(docs, texts, empty):
         base = sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in x)
         assert (g["held_out"], g["n_tokens"], g["n_known"], g["train_tokens"]) == (held[i], len(x), sum(c[w] > 0 for w in x), n)
         assert abs(base - g["base_score"]) < 1e-6 * abs(base) and -math.inf < g["score"] < 0
+    # the model: counts in the class, backed by those of all classes, backed by the lattice; summed over the classes
+    path = "piece_bpe_32k.model"
+    langs = [[None, "en", "fr"][i % 3] for i in range(len(texts))]
+    names = sorted({x for x, h in zip(langs, held) if x and not h}, key=lambda x: (-sum(y == x and not h for y, h in zip(langs, held)), x))
+    z_of = [names.index(x) if x in names else len(names) for x in langs]
+    k = len(names) + 1
+    per = [Counter(w for x, h, z in zip(lists, held, z_of) if not h and z == j for w in x) for j in range(k)]
+    frame = lm_scoring.word_counts(lm_scoring._prepared(docs, names), k)
+    every = sorted({w.decode() for x in lists for w in x[:-1]})
+    marginal = dict(zip(every, lm_scoring.lattice_of(path).marginals(every, lm_scoring.piece_weights(frame, k, path)).tolist()))
+    d, kinds = lm_scoring.DISCOUNT, v - 1
+
+    def log_p(w, j):
+        rest = math.exp(marginal[w.decode()][j])
+        rest = .9 * rest + .1 * (max(c[w] - d, 0) / (n + 1) + (d * kinds + .5) / (n + 1) * rest)
+        own, words_ = sum(per[j].values()), len([x for x in per[j] if x != b" "])
+        return math.log(max(per[j][w] - d, 0) / (own + 1) + (d * words_ + .5) / (own + 1) * rest)
+
+    ends = [per[j][b" "] for j in range(k)]
+    for i, x in enumerate(lists):
+        by = [math.log((ends[j] + .5) / (sum(ends) + .5 * k)) + math.log((ends[j] + .5) / (sum(per[j].values()) + 1)) + sum(log_p(w, j) for w in x[:-1])
+              for j in range(k)]
+        want = (max(by) + math.log(sum(math.exp(b - max(by)) for b in by))) / math.log(10)
+        assert abs(got[i]["score"] - want) < 1e-6 * abs(want), i
     twice = rows(lm_scoring.scores(docs.union(docs)))
     assert len(twice) == 2 * len(texts)
     assert lm_scoring.scores(empty).count() == 0
