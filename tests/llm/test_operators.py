@@ -1,8 +1,10 @@
 """Each operator against a brute-force version on a small table with nulls, empties, copies and clashing columns."""
 
+import functools
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -230,6 +232,79 @@ def test_quality_base_counts(docs, texts, empty):
     assert quality.judged(common.written(quality.measured(empty))).count() == 0
 
 
+def test_quality_verdicts_against_brute_force(spark, texts):
+    """Measures straight from the vocabularies, quantiles from sorted lists, bands group by group."""
+    import base64
+
+    import public_tokenizers
+    import sentencepiece
+    import tiktoken
+
+    r = random.Random(3)
+    plain = ["the", "house", "garden", "and", "little", "river", "mountain", "some", "people", "talking", "about", "weather"]
+    rows_ = [(i, " ".join(r.choice(plain) for _ in range(r.randrange(60, 300))), ["es", "fr"][i % 2]) for i in range(-540, 60)]
+    rows_ += [(100 + i, " ".join("".join(r.choice("абвгдеийклмнопрст") for _ in range(r.randrange(2, 8))) for _ in range(80)), "ru") for i in range(7)]
+    rows_ += [(200 + i, " ".join("".join(r.choice("qxzjkvw") for _ in range(9)) for _ in range(90)), "es") for i in range(3)]
+    rows_ += [(300, " ".join(["same"] * 90), "en"), (301, " ".join("\U0001F9EC\u2603" for _ in range(70)), None), (302, " ".join(plain * 9), None)]
+    rows_ += [(400 + i, t, [None, "en"][i % 2]) for i, t in enumerate(texts)] + [rows_[0], rows_[0]]
+    docs = spark.createDataFrame([(i, t, z, 1, "x") for i, t, z in rows_], "doc_id long, text string, lang string, script long, key string").repartition(3)
+    piece = sentencepiece.SentencePieceProcessor(model_file=quality.vocabulary("piece_bpe_32k.model"))
+    with open(quality.vocabulary("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    byte = tiktoken.Encoding("b", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    judged = []
+    for i, t, z in rows_:
+        w = [x.decode() for x in (t or "").encode().split()]
+        windows = Counter(zip(w, w[1:], w[2:]))
+        repeat = len({k + d for k in range(len(w) - 2) if windows[tuple(w[k:k + 3])] > 1 for d in range(3)})
+        m = None
+        if w:
+            ids = [x for y in w for x in piece.encode(y)]
+            chars, n = sum(map(len, w)), Counter(ids)
+            m = [chars / len(ids), chars / max(1, sum(len(byte.encode_ordinary(y)) for y in w)), sum(map(piece.is_byte, ids)) / len(ids),
+                 -sum(c / len(ids) * math.log2(c / len(ids)) for c in n.values())]
+        script = quality.script_of(t or "")
+        judged.append((i, z or script, script, len(w), len(w) < 50 or 100 * repeat > 50 * len(w), m))
+    good = [x for x in judged if not x[4]]
+
+    def middle(rows__, k):
+        steps = sorted(int(x[5][k] * quality.GRID + .5) for x in rows__)
+        n = len(steps)
+        q25, q50, q75 = (steps[max(0, math.ceil(n * p) - 1)] for p in (.25, .5, .75))
+        return n / (n + quality.PRIOR), q50 / quality.GRID, (q75 - q25) / (1.349 * quality.GRID)
+
+    def shrunk(own, rest_middle, rest_robust):
+        share, mid, robust = own
+        return share * mid + (1 - share) * rest_middle, share * robust + (1 - share) * max(robust, rest_robust)
+
+    @functools.cache
+    def bands_of(group):
+        mine, out = [x for x in good if x[1] == group], []
+        most = max(Counter(x[2] for x in mine).items(), key=lambda x: (x[1], x[0]))[0]
+        for k, (name, sides) in enumerate(quality.WIDTH.items()):
+            _, a, b = middle(good, k)
+            a, b = shrunk(middle([x for x in good if x[2] == most], k), a, b)
+            own = middle(mine, k)
+            mid, robust = shrunk(own, a, b)
+            half = [w and max(w * robust, quality.LEAST[name]) / math.sqrt(own[0]) + abs(mid - own[1]) for w in sides]
+            out.append((*half, mid))
+        return out
+
+    want = {}
+    for i, group, script, n, failed, m in judged:
+        kept = not failed
+        mine = [x for x in good if x[1] == group]
+        if kept and mine:
+            for k, (low, high, scale) in enumerate(bands_of(group)):
+                wide = math.sqrt(1 + quality.SHORT / n)
+                kept &= not (low is not None and m[k] < scale - low * wide) and not (high is not None and m[k] > scale + high * wide)
+        want.setdefault(i, set()).add(kept)
+    got = {}
+    for x in rows(quality.judged(common.written(quality.measured(docs)))):
+        got.setdefault(x["doc_id"], set()).add(x["kept"])
+    assert got == want and all(got[200 + i] == {False} for i in range(3)) and all(got[100 + i] == {True} for i in range(7))
+
+
 def test_reply_trees(spark):
     rows_in = [(1, 0, "user", "hi </turn> \\<turn x"), (1, 1, "assistant", "tail\\\n</turn>\n"), (1, 1, "assistant", None),
                (None, 3, None, "é"), (2, None, "assistant", "ü€")]
@@ -301,6 +376,59 @@ def test_language_fusion(spark):
     assert language_id.identify(pages, docs.limit(0)).where("lang is null").count() == 4
 
 
+def brute_posteriors(pages, names, model, hosts):
+    """The fusion for every page by plain sums over all the other rows."""
+    k = len(names)
+    soften = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    own = []
+    for _, url, page in pages:
+        n = language_id.trigrams(language_id.plain(page or ""))
+        ll = (n @ model.T) * min(1.0, language_id.TRIGRAMS / max(1, n.sum()))
+        declared = re.search(r"<html[^>]*\slang=['\"]?([a-zA-Z]{2,3})", page or "")
+        first = re.match(r"[a-z]+://[^/?#]*/([a-zA-Z]{2,3})(?:[/?#]|$)", url or "")
+        host = hosts[url]
+        own.append((ll, soften(ll), {"host": host, "domain": ".".join(host.split(".")[-2:]), "top": host.split(".")[-1],
+                                     "declared": declared and declared[1].lower(), "suffix": first and first[1].lower()}))
+    every = sum((s for _, s, _ in own), np.zeros(k))
+    out = []
+    for j, (ll, soft, keys) in enumerate(own):
+        rest = {by: sum((s for i, (_, s, o) in enumerate(own) if i != j and o[by] == keys[by]), np.zeros(k)) for by in keys}
+        others = every - soft
+        prior = (others + 1) / (others.sum() + k)
+        for by, a in (("top", 20), ("domain", 10), ("host", 5)):
+            prior = (rest[by] + a * prior) / (rest[by].sum() + a)
+        total = ll + np.log(prior)
+        for by in ("declared", "suffix"):
+            if keys[by] is not None:
+                total = total + np.log((rest[by] + .5) / (every + 1))
+        out.append(soften(total))
+    return out
+
+
+def test_language_posteriors_against_brute_force(spark):
+    r = random.Random(7)
+    vocab = {"en": "the house and garden of a king with many words", "fr": "la maison et le jardin du roi avec des mots", "de": "das haus und der garten vom mann mit worten"}
+    docs = [(i, " ".join(r.choice(vocab[z].split()) for _ in range(20)), z) for i, z in enumerate(["en", "fr", "de"] * 8)]
+    docs = spark.createDataFrame([(i, t, z, 1.0) for i, t, z in docs], "doc_id long, text string, lang string, prior double")
+    pages = []
+    for i in range(60):
+        z = r.choice(list(vocab))
+        host = r.choice([f"{z}.site.org", f"a.{z}", "www.mixed.com", f"{z}.mixed.com"])
+        lang = r.choice(["", f" lang='{z}'", ' class="x" lang=EN'])
+        words_ = " ".join(r.choice(vocab[z].split()) for _ in range(r.choice([0, 1, 3, 60])))
+        pages.append((i, f"http://{host}/{r.choice([z, z.upper() + '/x', 'page', ''])}", f"<html{lang}><p>{words_}</p>"))
+    pages += [pages[3], pages[3], (100, None, None), (101, None, "<p>das haus"), (102, "http://h.fr", ""), (103, "", "<html lang=zz>"), (None, "http://h.fr", "<p>le roi")]
+    table = spark.createDataFrame([(*p, "x", 0.5, "h") for p in pages], "page_id long, url string, html string, lang string, prior double, host string").repartition(3)
+    names, model = language_id.fit(docs)
+    hosts = {x["url"]: x["h"] for x in rows(table.select("url", html_text.host_of(F.col("url")).alias("h")).distinct())}
+    assert names == ["de", "en", "fr"]
+    want = sorted((str(p[:2]), [round(float(x), 6) for x in w]) for p, w in zip(pages, brute_posteriors(pages, names, model, hosts)))
+    got = rows(language_id.identify(table, docs))
+    assert sorted((str((g["page_id"], g["url"])), [round(x, 6) for x in g["posterior"]]) for g in got) == want
+    for g in got:
+        assert g["lang"] == names[int(np.argmax(g["posterior"]))] and g["confidence"] == max(g["posterior"])
+
+
 def test_lattice_sums_all_segmentations():
     from tessera.llm.tokens import vocabulary
 
