@@ -91,9 +91,14 @@ class Intermediates:
             hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def _set_folder(spark: SparkSession) -> str:
+    """The checkpoint folder as it was set: Spark makes one of its own below it."""
+    return ensure_checkpoint_dir(spark).rstrip("/").rpartition("/")[0]
+
+
 def _root(spark: SparkSession) -> str:
     """The checkpoint folder outside all open :class:`Intermediates`."""
-    return ensure_checkpoint_dir(spark).split("/tessera-intermediates-")[0].rstrip("/")
+    return _set_folder(spark).split("/tessera-intermediates-")[0]
 
 
 @contextmanager
@@ -102,12 +107,11 @@ def intermediates(spark: SparkSession) -> Iterator[Intermediates]:
 
     DataFrames made in the block read those files: act on them inside, or retain.  Blocks may be nested.
     """
-    outer = ensure_checkpoint_dir(spark)
+    outer = _set_folder(spark)
     own = Intermediates(spark)
     spark.sparkContext.setCheckpointDir(own.path)
     try:
         yield own
     finally:
-        # Spark makes a new folder below the one that is set; the outer block's own is reused by its path
         spark.sparkContext.setCheckpointDir(outer)
         own.release()
