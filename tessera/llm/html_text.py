@@ -70,12 +70,8 @@ def hinted(attributes: str, element: str, inside: bool) -> int:
             continue
         for name in v.strip("\"'").lower().split():
             words = [w for w in re.split(r"[^a-z]+", name) if w]
-            if not HINTS.intersection(words):
-                continue
-            if not inside:
+            if HINTS.intersection(words) and (not inside or all(w in HINTS or w in PARTS for w in words)):
                 found = max(found, BY_LAYOUT if LAYOUT.intersection(words) else BY_NAME)
-            elif all(w in HINTS or w in PARTS for w in words):
-                found = BY_NAME
     return found
 
 
@@ -136,7 +132,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = close.end() if close else end
             continue
-        if name == "article" and main != OPEN and hinted(m[3], name, True):
+        if name == "article" and main != OPEN and hinted(m[3], name, True) == BY_NAME:
             dropped = BY_ROLE  # a reader's comment or a teaser, not an article of the page
         elif name in MAIN and dropped < BY_ROLE:
             main = KEEP if name == "main" or dropped < BY_NAME and main != SPARE else SPARE
