@@ -117,10 +117,11 @@ def _leaves(cells: DataFrame, index: SiteIndex, places: np.ndarray, side: float,
     """ring, depth, c0, c1 (, c2), cands (array of site coordinates and multiplicity): the cells' parts and their candidates."""
     dims = 3 if sphere else 2
     names = [f"c{d}" for d in range(dims)]
-    shared = cells.sparkSession.sparkContext.broadcast((index, places))
+    shared = cells.sparkSession.sparkContext.broadcast((vars(index), places))  # plain arrays: tasks need no package to read them
 
     def run(batches):
-        index_, places_ = shared.value
+        index_, places_ = SiteIndex.__new__(SiteIndex), shared.value[1]
+        vars(index_).update(shared.value[0])
         x, y, m = places_[index_.order, 0], places_[index_.order, 1], index_.weight
         for b in batches:
             if not b.num_rows:
@@ -175,9 +176,16 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
     tie = F.col(site_order) if site_order else F.lit(None).cast("long")
     S = sites.filter(valid(site_x) & valid(site_y)).select(
         place(site_x).alias("__sx"), place(site_y).alias("__sy"), tie.alias("__tie"), F.struct(*[F.col(c) for c in site_cols]).alias("__row"))
-    locs = S.groupBy("__sx", "__sy").agg(F.count(F.lit(1)).alias("__m")).checkpoint(eager=True)
-    st = locs.agg(F.sum("__m").alias("n"), F.count(F.lit(1)).alias("locs"), F.min("__sx"), F.max("__sx"), F.min("__sy"), F.max("__sy")).first()
-    n_sites, n_locs, box = int(st["n"] or 0), int(st["locs"]), tuple(st[2:])
+    locs = S.groupBy("__sx", "__sy").agg(F.count(F.lit(1)).alias("__m"))
+    few = locs.limit(index_sites + 1).toArrow()
+    if few.num_rows <= index_sites:  # all of them
+        own = [few.column(c).to_numpy() for c in range(3)]
+        n_sites, n_locs = int(own[2].sum()), few.num_rows
+        box = tuple(float(v) for c in own[:2] for v in (c.min(), c.max())) if n_locs else None
+    else:
+        few, locs = None, locs.checkpoint(eager=True)
+        st = locs.agg(F.sum("__m").alias("n"), F.count(F.lit(1)).alias("locs"), F.min("__sx"), F.max("__sx"), F.min("__sy"), F.max("__sy")).first()
+        n_sites, n_locs, box = int(st["n"]), int(st["locs"]), tuple(st[2:])
     out_cols = point_cols + site_cols + [distance_col] + ([rank_col] if rank_col else [])
     if n_sites == 0:
         empty = points.join(sites, F.lit(False), "inner").withColumn(distance_col, F.lit(None).cast("double"))
@@ -194,28 +202,29 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
     ring, coords = _cell_columns(px, py, use_sphere, side, box)
     ring_side = F.lit(side) if use_sphere else F.lit(side) * F.pow(F.lit(float(FAN)), F.col("ring"))
     cells = (pts.select(ring.alias("ring"), *[c.alias(f"__u{d}") for d, c in enumerate(coords)])
-             .select("ring", F.lit(0).alias("depth"), *[F.floor(F.col(f"__u{d}") / ring_side).alias(n) for d, n in enumerate(dims)]).distinct().checkpoint(eager=True))
+             .select("ring", F.lit(0).alias("depth"), *[F.floor(F.col(f"__u{d}") / ring_side).alias(n) for d, n in enumerate(dims)]).distinct())
 
     # --- candidates by cell, an index at a time ------------------------------------------
     parts = -(-n_locs // index_sites)
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_locs // 2048 + 1)  # there are a few cells a location
     tables, size = [], 0
     for g in range(parts):
-        own = locs if parts == 1 else locs.filter(F.pmod(F.xxhash64("__sx", "__sy"), F.lit(parts)) == g)
-        got = own.toArrow()  # about ``index_sites`` locations
+        got = few if few is not None else locs.filter(F.pmod(F.xxhash64("__sx", "__sy"), F.lit(parts)) == g).toArrow()  # about ``index_sites`` locations
         if not got.num_rows:
             continue
         places = np.stack([got.column(0).to_numpy(), got.column(1).to_numpy()], axis=1)
         index = SiteIndex(_unit_vectors(places[:, 0], places[:, 1]) if use_sphere else places, got.column(2).to_numpy())
         # the first index, an even share of the locations, says how the cells are cut; the others follow
         of = tables[0].select("ring", "depth", *dims) if tables else cells
-        table = _leaves(of.repartition(_tasks(spark), "ring", "depth", *dims), index, places, side, k_eff, most, use_sphere, 0 if tables else DEEPEST)
+        table = _leaves(of.repartition(tasks, "ring", "depth", *dims), index, places, side, k_eff, most, use_sphere, 0 if tables else DEEPEST)
         if not ties:
             table = _with_first_rows(table, S, k_eff, dims)
         table = table.checkpoint(eager=True)
-        row = table.agg(F.sum(F.size("cands").cast("long")), F.count(F.lit(1))).first()
+        row = table.agg(F.sum(F.size("cands").cast("long")), F.count(F.lit(1)), F.collect_set("depth")).first()
         size += (row[0] or 0) * (64 + (0 if ties else k_eff * (32 + 16 * len(site_cols)))) + row[1] * 64
+        if not tables:
+            depths = sorted(row[2])  # ``DEEPEST`` + 1 at most
         tables.append(table)
-    depths = sorted(r[0] for r in tables[0].select("depth").distinct().collect())  # ``DEEPEST`` + 1 at most
 
     # --- one streaming join --------------------------------------------------------------
     frame = pts.withColumns({"__ring": ring, **{f"__u{d}": c for d, c in enumerate(coords)}})
@@ -246,10 +255,6 @@ def nearest(points: DataFrame, sites: DataFrame, x: str, y: str, site_x: str, si
     return out
 
 
-def _tasks(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _cell_side(box, n_locs: int, sphere: bool) -> float:
     """Half the spacing of evenly spread locations; where they lie denser, cells are cut later."""
     if sphere:

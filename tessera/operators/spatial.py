@@ -31,6 +31,7 @@ from ..session import ensure_checkpoint_dir
 from .strategy import with_strategy
 
 FAN = 4
+FEW_EDGES = 24
 _INTERNAL = ("__lvl", "__gx", "__gy", "__plvl", "__pgx", "__pgy")
 
 
@@ -40,6 +41,7 @@ class GridSpec:
     levels: tuple[int, ...]
     broadcast: bool
     cell_rows: int
+    most_edges: int = 1 << 30
 
     def side(self, level: int) -> float:
         return self.cell_size * (FAN ** level)
@@ -100,12 +102,12 @@ def plan_grid(prepared: DataFrame, cell_size: float | None = None, max_cells: in
     row = sized.agg(
         F.sort_array(F.collect_set("lvl")).alias("levels"),
         F.sum("nc").alias("rows"),
-        F.sum(F.col("nc") * (F.col("ne") * 40 + F.col("width") + 96)).alias("bytes"),
+        F.sum(F.col("nc") * (F.col("ne") * 40 + F.col("width") + 96)).alias("bytes"), F.max("ne").alias("most"),
     ).first()
     used = tuple(row["levels"] or [0])
     rows = int(row["rows"] or 0)
     est = int(row["bytes"] or 0)
-    return GridSpec(float(cell_size), used, est <= max_broadcast_bytes, rows)
+    return GridSpec(float(cell_size), used, est <= max_broadcast_bytes, rows, int(row["most"] or 0))
 
 
 def polygon_cells(prepared: DataFrame, spec: GridSpec, max_cells: int = 16, max_level: int = 16) -> DataFrame:
@@ -137,8 +139,11 @@ def _cell_edges(cells: DataFrame, spec: GridSpec, edges: str = "edges") -> DataF
     """Each cell's row with the edges that matter to its places, ``edges``, and ``__whole``: the polygon covers the cell.
 
     A ray towards larger x from a place of the cell can only meet edges of the cell's rows that do not lie to its left.
-    A cell that no edge enters is covered wholly or not at all: its middle decides, and cells not covered go.
+    A cell that no edge enters is covered wholly or not at all: its middle decides, and cells not covered go.  Polygons of
+    a few edges (``FEW_EDGES``) are taken as they are: there is nothing to save.
     """
+    if spec.most_edges <= FEW_EDGES:
+        return cells.withColumns({"__own": F.col(edges), "__whole": F.lit(False)})
     side = F.expr(_side_sql("__lvl", spec.cell_size, spec.levels))
     slack = 1e-9  # of a side: a place on the line between two cells may round into either
     cells = cells.withColumns({"__cx0": (F.col("__gx") - slack) * side, "__cx1": (F.col("__gx") + 1 + slack) * side,
