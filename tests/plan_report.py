@@ -16,7 +16,7 @@ JOINS = r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJ
 
 def main(argv):
     from tessera.session import build_session
-    from __spark_entry__ import queries
+    from tessera.plans.registry import QUERIES
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
@@ -25,7 +25,7 @@ def main(argv):
     print("query is built (polygon-side checkpoints, nearest rounds) are not part of the final plan shown.\n")
     print("| query | joins | exchanges | parquet columns read |")
     print("|---|---|---|---|")
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         joins = re.findall(JOINS, plan)
         joins_s = ", ".join(f"{j}×{joins.count(j)}" for j in sorted(set(joins))) or "-"
