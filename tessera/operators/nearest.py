@@ -109,8 +109,8 @@ def _cell_columns(x: Column, y: Column, sphere: bool, side: float, box) -> tuple
     x0, x1, y0, y1 = box
     reach = max((x1 - x0) / 2, (y1 - y0) / 2, side)
     off = F.greatest(F.abs(x - (x0 + x1) / 2), F.abs(y - (y0 + y1) / 2)) / F.lit(reach)
-    steps = [F.when(off > float(FAN) ** r, 1).otherwise(0) for r in range(RINGS)]
-    return reduce(lambda a, b: a + b, steps), [x, y]
+    # one logarithm: a sum of a step for each ring grows past what the JVM compiles
+    return F.when(off > 1.0, F.least(F.lit(RINGS), F.ceil(F.log(float(FAN), off)).cast("int"))).otherwise(0), [x, y]
 
 
 def _leaves(cells: DataFrame, index: SiteIndex, places: np.ndarray, side: float, k: int, most: int, sphere: bool, deepest: int) -> DataFrame:

@@ -202,3 +202,15 @@ def test_report_sums_the_incidents_of_a_place_once_for_all_its_stations(spark, m
                 if (y <= 5 and i % 2 == 0) or (y >= 5 and i % 2)]
         assert got[f"d{d}"][0] == sum(key is not None for key, _ in near)
         assert got[f"d{d}"][1] == pytest.approx(sum(v for _, v in near) / len(near))
+
+
+def test_ring_of_a_far_point_is_one_short_expression(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.nearest import _cell_columns
+
+    ring, _ = _cell_columns(F.col("x"), F.col("y"), False, 1.0, (-1.0, 1.0, -1.0, 1.0))
+    xs = [0.0, 0.5, 1.0, 1.5, 4.0001, 15.9, 16.1, 300.0, 1e6, 1e40]
+    frame = spark.createDataFrame([(x, -x / 2) for x in xs], "x double, y double").select("x", ring.alias("r"))
+    assert [r["r"] for r in frame.orderBy("x").collect()] == [min(24, math.ceil(math.log(x, 4))) if x > 1 else 0 for x in xs]
+    assert frame._jdf.queryExecution().analyzed().toString().count("abs(") <= 4  # evaluated for every point
