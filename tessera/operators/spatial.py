@@ -4,8 +4,8 @@ Plan
 ----
 1. ``prepare_polygons``: coordinates -> edge list + bounding box (once per polygon set).
 2. ``plan_grid``: pick a cell side (median bbox side unless given) and, per polygon,
-   the finest level whose cells its bbox touches at most ``max_cells`` times
-   (level ``L`` has side ``cell_size * FAN**L``).  Large polygons therefore move to
+   the finest level whose cells its bbox touches at most ``max_cells`` times, or as often
+   as it has edges if those are many (level ``L`` has side ``cell_size * FAN**L``).  Large polygons therefore move to
    coarser levels instead of being replicated into many cells, and no polygon is
    ever dropped.  One small aggregate job over the (bounded) polygon side returns
    the used levels and the size of the cell table.
@@ -74,7 +74,8 @@ def _ncells_sql(side: str) -> str:
 
 def _level_expr(cell_size: float, max_cells: int, max_level: int) -> Column:
     # Built as one SQL expression: a single call instead of hundreds of column builders.
-    opts = [f"CASE WHEN {_ncells_sql(_dbl(cell_size * FAN ** lv))} <= {int(max_cells)} THEN {lv} END"
+    limit = f"(CASE WHEN size(edges) > {FEW_EDGES} THEN greatest({int(max_cells)}, size(edges)) ELSE {int(max_cells)} END)"
+    opts = [f"CASE WHEN {_ncells_sql(_dbl(cell_size * FAN ** lv))} <= {limit} THEN {lv} END"
             for lv in range(max_level)]
     return F.expr(f"coalesce({', '.join(opts)}, {int(max_level)})")
 
@@ -89,6 +90,8 @@ def plan_grid(prepared: DataFrame, cell_size: float | None = None, max_cells: in
     """Grid parameters from one or two small aggregates over the polygon side."""
     if cell_size is None:
         side = F.greatest(F.col("x_max") - F.col("x_min"), F.col("y_max") - F.col("y_min"))
+        # a polygon of many edges is cut into about as many cells, so that a place meets few of them
+        side = side / F.when(F.size("edges") > FEW_EDGES, F.greatest(F.lit(1.0), F.sqrt(F.size("edges")) - 1)).otherwise(1.0)
         row = prepared.agg(F.percentile_approx(side, 0.5).alias("s"), F.max(side).alias("m")).first()
         cell_size = row["s"] if row and row["s"] else (row["m"] if row and row["m"] else 1.0)
         if cell_size <= 0:
@@ -97,12 +100,18 @@ def plan_grid(prepared: DataFrame, cell_size: float | None = None, max_cells: in
     others = [F.col(f"`{c}`") for c in prepared.columns if c not in ("edges", "x_min", "x_max", "y_min", "y_max")]
     width = F.octet_length(F.to_json(F.struct(*others))) if others else F.lit(0)  # these go along into every cell
     sized = prepared.select(lvl.alias("lvl"), F.size("edges").alias("ne"), width.cast("long").alias("width"),
-                            "x_min", "x_max", "y_min", "y_max")
-    sized = sized.withColumn("nc", F.expr(_ncells_sql(_side_sql("lvl", cell_size, range(max_level + 1)))))
+                            "x_min", "x_max", "y_min", "y_max", "edges")
+    sized = sized.withColumn("side", F.expr(_side_sql("lvl", cell_size, range(max_level + 1))))
+    sized = sized.withColumn("nc", F.expr(_ncells_sql("side")))
+    # clipped edges go into the cells of their rows (see ``_cell_edges``)
+    rows_met = F.aggregate("edges", F.lit(0.0), lambda a, e: a + F.abs(e["y2"] - e["y1"])) / F.col("side") + 2 * F.col("ne")
+    copies = F.col("nc") * F.col("ne")
+    clipped = rows_met * ((F.col("x_max") - F.col("x_min")) / F.col("side") + 2)
+    copies = F.when(F.col("ne") > FEW_EDGES, F.least(copies.cast("double"), clipped)).otherwise(copies)
     row = sized.agg(
         F.sort_array(F.collect_set("lvl")).alias("levels"),
         F.sum("nc").alias("rows"),
-        F.sum(F.col("nc") * (F.col("ne") * 40 + F.col("width") + 96)).alias("bytes"), F.max("ne").alias("most"),
+        F.sum(copies * 40 + F.col("nc") * (F.col("width") + 96)).alias("bytes"), F.max("ne").alias("most"),
     ).first()
     used = tuple(row["levels"] or [0])
     rows = int(row["rows"] or 0)

@@ -137,3 +137,27 @@ def test_one_pass_profile_equals_two_pass_on_overlapping_blocks(spark):
     two = reports.descent_profile_report(ranking, crimes, blocks, codes, 1)
     one = reports.descent_profile_one_pass(blocks, income, crimes, codes, "LA", 1, overlapping=True)
     assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())) and one.count() > 2
+
+
+def test_work_follows_the_outline_not_the_overlaps(spark, monkeypatch):
+    from tessera.operators import union
+
+    r = random.Random(3)
+    at = [(r.randint(0, 400), r.randint(0, 400)) for _ in range(400)]
+    seen = []
+    pieces = union._pieces
+    monkeypatch.setattr(union, "_pieces", lambda *a: seen.append(pieces(*a).count()) or pieces(*a))
+    got = made(spark, [("a", box(x / 20, y / 20, 10, 10)) for x, y in at])["a"]
+    covered = {(i, j) for x, y in at for i in range(x, x + 200) for j in range(y, y + 200)}
+    assert area(got) == pytest.approx(len(covered) / 400)
+    assert seen[0] < 6000  # each square crosses about 190 others: some 150,000 pieces if all are cut
+
+
+def test_polygons_of_many_edges_are_cut_into_cells_of_few(spark):
+    from tessera.operators.spatial import _cell_edges, plan_grid, polygon_cells, prepare_polygons
+
+    ring = [[50 + 40 * math.cos(2 * math.pi * k / 900), 50 + 40 * math.sin(2 * math.pi * k / 900)] for k in range(900)]
+    prepared = prepare_polygons(shapes(spark, [("c", [[ring + ring[:1]]])]))
+    spec = plan_grid(prepared)
+    cells = _cell_edges(polygon_cells(prepared, spec), spec).select(F.size("__own").alias("n"), "__whole").collect()
+    assert spec.broadcast and max(c["n"] for c in cells) < 200 and sum(c["__whole"] for c in cells) > 300
