@@ -147,10 +147,15 @@ RANGE = ["file", "start"]
 
 def _outside(record: str, inside: bool) -> list[str]:
     """The parts of a record that lie outside strings, and (last) whether it ends inside one."""
-    parts = re.sub(r"\\.", "", record, flags=re.S).split('"')
+    parts = _parts(record)
     return parts[1 if inside else 0::2], inside != (len(parts) % 2 == 0)
 
 
+def _parts(record: str) -> list[str]:
+    """``record`` cut at its quotes; escaped quotes and backslashes, which don't count, are left out."""
+    return (record.replace("\\\\", "").replace('\\"', "") if "\\" in record else record).split('"')
+
+
 def document_features(spark: SparkSession, path: str) -> DataFrame:
     """value: the features of GeoJSON documents, one a row, whatever their layout (see :func:`read_geojson_document`)."""
     scan = spark.read.option("lineSep", "}").text(path).select(
@@ -162,9 +167,11 @@ def document_features(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for value, file, start in zip(*(b.column(c).to_pylist() for c in ("value", *RANGE))):
                 states = now.setdefault((file, start), [[False, 0, 0], [True, 0, 0]])
+                parts = _parts(value + "}")  # once for either state
+                change = [p.count("{") - p.count("}") for p in ("".join(parts[0::2]), "".join(parts[1::2]))]
                 for s in states:
-                    parts, s[0] = _outside(value + "}", s[0])
-                    s[1] += sum(p.count("{") - p.count("}") for p in parts)
+                    s[1] += change[s[0]]
+                    s[0] ^= len(parts) % 2 == 0
                     s[2] = min(s[2], s[1])  # a record ends at its closing brace
         rows = [(f, st, int(k), bool(s[0]), s[1], s[2]) for (f, st), states in now.items() for k, s in enumerate(states)]
         columns = list(zip(*rows)) or [[]] * 6
@@ -174,7 +181,8 @@ def document_features(spark: SparkSession, path: str) -> DataFrame:
     measured = scan.mapInArrow(measure, "file string, start long, inside int, after boolean, change long, lowest long")
     starts: dict[tuple, tuple] = {}
     ranges: dict[tuple, dict] = {}
-    for r in measured.orderBy("file", "start").collect():  # two rows a range
+    # two rows a range; sorted here, as a distributed sort would read the files once more to find its limits
+    for r in sorted(measured.collect(), key=lambda r: (r["file"], r["start"])):
         ranges.setdefault((r["file"], r["start"]), {})[r["inside"]] = r
     file = None
     for (f, start), own in ranges.items():

@@ -161,3 +161,16 @@ def test_a_document_is_scanned_in_ranges(spark, tmp_dir):
     finally:
         spark.conf.set(name, before)
     assert spark.conf.get(name) == before
+
+
+def test_a_document_is_measured_in_one_pass(spark, tmp_dir, monkeypatch):
+    sorts = []
+    order = type(spark.range(1)).orderBy
+    monkeypatch.setattr(type(spark.range(1)), "orderBy", lambda self, *a, **kw: sorts.append(a) or order(self, *a, **kw))
+    text = json.dumps({"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"note": note}, "geometry": None} for note in ('a "q\\{" }', "\\", '\\"}{', "", "\\\\")] * 40})
+    with open(f"{tmp_dir}/d.json", "w") as f:
+        f.write(text)
+    back = ingest.read_geojson_document(spark, f"{tmp_dir}/d.json", spark.createDataFrame([], "note string").schema, split_bytes=700)
+    assert sorted(r["note"] for r in back.collect()) == sorted(['a "q\\{" }', "\\", '\\"}{', "", "\\\\"] * 40)
+    assert not sorts  # a sort of the ranges reads the document once more
