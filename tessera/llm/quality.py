@@ -83,11 +83,14 @@ def repeated_words(h: np.ndarray, n: int = 3) -> int:
     g = grams(h, n)
     if not len(g):
         return 0
-    _, at, count = np.unique(g, return_inverse=True, return_counts=True)
+    order = np.sort(g)  # few windows repeat: the values alone are sorted, not the places
+    twice = order[1:][order[1:] == order[:-1]]
+    if not len(twice):
+        return 0
+    w = np.flatnonzero(np.isin(g, twice))
     hit = np.zeros(len(h) + 1, np.int64)
-    w = np.flatnonzero(count[at] > 1)
-    np.add.at(hit, w, 1)
-    np.add.at(hit, w + n, -1)
+    hit[:-n] += np.bincount(w, minlength=len(h) + 1 - n)
+    hit[n:] -= np.bincount(w, minlength=len(h) + 1 - n)
     return int((np.cumsum(hit[:-1]) > 0).sum())
 
 
