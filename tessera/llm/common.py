@@ -64,6 +64,11 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def hashed(words: list[bytes]) -> np.ndarray:
+    """The hashes that ``WordHashes`` gives ``words``, for distinct words."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 def grams(h: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     """Hash of every run of ``n`` word hashes, in order; empty if there are fewer words."""
     m = len(h) - n + 1

@@ -30,8 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import WordHashes, bounded, grams, values, written
-from .tokens import Remembered, process_wide, vocabulary
+from .common import bounded, grams, hashed, written
+from .tokens import CACHE_BYTES, Remembered, parted, process_wide, vocabulary
 
 SYMBOLS = b"#*$%&|<>"
 LETTERS = {"latin": (0x41, 0x24F), "greek": (0x370, 0x3FF), "cyrillic": (0x400, 0x52F), "hebrew": (0x590, 0x5FF),
@@ -50,12 +50,12 @@ GRID = 1000
 class Fertility(Remembered):
     """word (bytes) -> number of tokens of the byte-level vocabulary (uint32), then ids of the piece vocabulary (uint16 each), as bytes."""
 
-    def __init__(self, piece_file: str, byte_file: str):
+    def __init__(self, piece_file: str, byte_file: str, limit: int = CACHE_BYTES // 2):
         import public_tokenizers
         import sentencepiece
         import tiktoken
 
-        super().__init__()
+        super().__init__(limit)
         self.piece = sentencepiece.SentencePieceProcessor(model_file=vocabulary(piece_file))
         with open(vocabulary(byte_file), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -67,15 +67,25 @@ class Fertility(Remembered):
         return {w: struct.pack("<I", len(self.byte.encode_ordinary(t))) + array("H", ids).tobytes()
                 for w, t, ids in zip(words, texts, self.piece.encode(texts, num_threads=1))}
 
-    def split(self, words: list[bytes]) -> tuple[np.ndarray, int]:
-        """The piece vocabulary's ids of ``words``, and the number of their tokens of the byte-level one."""
+    def split(self, words: list[bytes], which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of a text whose words are at the places ``which`` of ``words``: the piece vocabulary's ids, up to where they go before each word
+        (and in all), and as far the number of tokens of the byte-level vocabulary."""
         own = list(self.of(words))
         flat = np.frombuffer(b"".join(own), "<u2")
         size = np.fromiter(map(len, own), np.int64, len(own)) >> 1
         first = np.cumsum(size) - size
-        ids = np.ones(len(flat), bool)
-        ids[first] = ids[first + 1] = False
-        return flat[ids], int(flat[first].sum(dtype=np.int64)) + (int(flat[first + 1].sum(dtype=np.int64)) << 16)
+        byte = flat[first] + (flat[first + 1].astype(np.int64) << 16)
+        count = (size - 2)[which]
+        upto = np.concatenate([[0], np.cumsum(count)])
+        ids = flat[np.repeat((first + 2)[which] - upto[:-1], count) + np.arange(upto[-1])]
+        return ids, upto, np.concatenate([[0], np.cumsum(byte[which])])
+
+
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, ascending, and how often each comes."""
+    order = np.sort(ids)
+    first = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]]))
+    return order[first], np.diff(first, append=len(order))
 
 
 def repeated_words(h: np.ndarray, n: int = 3) -> int:
@@ -116,31 +126,34 @@ def measured(docs: DataFrame, language: str | None = "lang", piece_file: str = "
 
     def run(batches):
         tokens = process_wide(("fertility", piece_file, byte_file), lambda: Fertility(piece_file, byte_file))
-        hashes = WordHashes()
         is_byte = np.array(tokens.fallback)
         names = ["group", "script", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *WIDTH]
         for b in batches:
             cols = {k: [] for k in names}
-            for t, lang in zip(values(b.column("text")), b.column("lang").to_pylist()):
-                raw = t.encode()
-                words = raw.split()
-                n = len(words)
-                repeat = repeated_words(hashes.of(words))
-                lines = [x for x in raw.split(b"\n") if x.strip()]
-                failed = n < 50 or 100 * repeat > 50 * n
-                white = sum(map(raw.count, (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")))
-                chars = len(t) - white
-                own = [None] * 4
-                if n:
-                    ids, byte_tokens = tokens.split(words)
-                    count = np.bincount(ids)
-                    share = count[count > 0] / len(ids)
-                    own = [chars / len(ids), chars / max(1, byte_tokens),
-                           float(count[is_byte[:len(count)]].sum() / len(ids)), float(-(share * np.log2(share)).sum())]
-                script = script_of(t)
-                for k, v in zip(names, (lang or script, script, n, chars, len(raw) - len(raw.translate(None, SYMBOLS)),
-                                        len(lines) - len(set(lines)), repeat, failed, *own)):
-                    cols[k].append(v)
+            langs = iter(b.column("lang").to_pylist())
+            for texts, words, which, cuts in parted(b.column("text")):
+                hashes = hashed(words)[which]
+                ids, upto, byte_upto = tokens.split(words, which)
+                for t, i, j in zip(texts, cuts, cuts[1:]):
+                    raw = t.encode()
+                    n = j - i
+                    repeat = repeated_words(hashes[i:j])
+                    lines = [x for x in raw.split(b"\n") if x.strip()]
+                    failed = n < 50 or 100 * repeat > 50 * n
+                    white = sum(map(raw.count, (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")))
+                    chars = len(t) - white
+                    own = [None] * 4
+                    if n:
+                        kinds, count = counted(ids[upto[i]:upto[j]])
+                        total = int(upto[j] - upto[i])
+                        share = count / total
+                        own = [chars / total, chars / max(1, int(byte_upto[j] - byte_upto[i])),
+                               float(count[is_byte[kinds]].sum() / total), float(-(share * np.log2(share)).sum())]
+                    script = script_of(t)
+                    lang = next(langs)
+                    for k, v in zip(names, (lang or script, script, n, chars, len(raw) - len(raw.translate(None, SYMBOLS)),
+                                            len(lines) - len(set(lines)), repeat, failed, *own)):
+                        cols[k].append(v)
             kinds = [pa.string()] * 2 + [pa.int64()] * 5 + [pa.bool_()] + [pa.float64()] * 4
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key")] + [pa.array(cols[k], t) for k, t in zip(names, kinds)],
                                              ["doc_id", "key", *names])

@@ -9,6 +9,10 @@ import types
 from array import array
 from collections.abc import Iterator
 from operator import attrgetter
+from typing import TYPE_CHECKING
+
+if TYPE_CHECKING:
+    import numpy as np
 
 #: Bytes that one generation of a word cache may take; a cache has two.
 CACHE_BYTES = 64 << 20
@@ -159,6 +163,27 @@ class WordTokens(Remembered):
             first = end
 
 
+def parted(texts, size: int = CHUNK) -> Iterator[tuple[list[str], list[bytes], "np.ndarray", list[int]]]:
+    """Some texts (about ``size`` bytes) of an Arrow column without nulls at a time: the texts, their distinct words, the place there of each
+    word in order, and the first word of every text, with the end."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        end = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + size, "right")))
+        some = texts.slice(first, end - first)
+        words = pc.ascii_split_whitespace(some)
+        cuts, flat = words.offsets.to_numpy(), words.flatten()
+        real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)  # white space at a text's ends leaves empty words
+        if not real.all():
+            cuts, flat = np.concatenate([[0], np.cumsum(real)])[cuts], flat.filter(real)
+        coded = flat.dictionary_encode()
+        yield some.to_pylist(), coded.dictionary.cast("binary").to_pylist(), coded.indices.to_numpy(), cuts.tolist()
+        first = end
+
+
 def word_tokens(name: str) -> WordTokens:
     return process_wide(("words", name), lambda: WordTokens(vocabulary(name)))
 

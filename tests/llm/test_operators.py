@@ -9,11 +9,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import (ann_forest, chat_trees, common, html_text, language_id, lm_scoring, mixing, near_dedup, packing, quality,
-                         substring_dedup)
+                         substring_dedup, tokens)
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, size long, label string, value long"
 
@@ -541,3 +542,22 @@ def test_pipeline_stages_take_effect(spark, docs, texts):
     assert cut.columns == mixed.columns == docs.columns
     packed = cp.packing(spark, mixed, "")
     assert packed.where("piece = 0").count() == mixed.count()
+
+
+def test_quality_words_of_many_texts_are_looked_up_once(monkeypatch):
+    texts = ["", " ", "  b a \n", "\n\n", "\x1c x", "é", "a b c a b c\na b c\na b c\n", "x" * 9] * 300
+    parts = list(tokens.parted(pa.array(texts), 4000))
+    assert [t for part in parts for t in part[0]] == texts and len(parts) > 2
+    learned = []
+    fertility = quality.Fertility("piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken")
+    monkeypatch.setattr(fertility, "of", lambda words, of=fertility.of: learned.extend(words) or of(words))
+    for some, words, which, cuts in parts:
+        assert len(set(words)) == len(words)
+        assert [[words[k] for k in which[i:j]] for i, j in zip(cuts, cuts[1:])] == [t.encode().split() for t in some]
+        learned.clear()
+        ids, upto, byte_upto = fertility.split(words, which)
+        assert learned == words  # each distinct word once, not each word of each text
+        for t, i, j in zip(some, cuts, cuts[1:]):
+            own = t.encode().split()
+            assert ids[upto[i]:upto[j]].tolist() == [x for w in own for x in fertility.piece.encode(w.decode())]
+            assert byte_upto[j] - byte_upto[i] == sum(len(fertility.byte.encode_ordinary(w.decode())) for w in own)
