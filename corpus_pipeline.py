@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm.common import written
+from tessera.llm.common import small_batches, written
 from tessera.llm.mixing import mix
 from tessera.llm.near_dedup import drop_near_duplicates
 from tessera.llm.packing import pack, pieces
@@ -40,7 +40,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every copy with its sequence and place in it."""
-    return pack(written(pieces(docs)))
+    with small_batches(spark):
+        rows = written(pieces(docs))
+    return pack(rows)
 
 
 STAGES = [("quality rules", quality), ("near-duplicates", near_dedup), ("substring dedup", substring_dedup), ("mixing", mixing),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +17,29 @@ from ..session import ensure_checkpoint_dir
 BROADCAST_BYTES = 16 << 20
 
 #: Entries a worker's word cache may hold before it starts again.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
+
+#: Rows of an Arrow batch inside ``small_batches``.
+BATCH_ROWS = 500
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+@contextmanager
+def small_batches(spark, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Jobs that run inside the block send Python at most ``rows`` rows at a time.
+
+    A task and its worker each hold a batch whole, and the buffers grow by doubling: of long texts or sets Spark's 10,000 rows are too many.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder: lineage is cut, executors can be lost.
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import (WordHashes, bounded, by_key, components, grams, link_forest, mix, partitions, sorted_groups,
-                     text_key, values, written)
+                     small_batches, text_key, values, written)
 from .tokens import process_wide
 
 K = 64
@@ -187,12 +187,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
 
 def _verdicts(docs: DataFrame, words: int, percent: int, k: int = K) -> tuple[DataFrame, DataFrame]:
     """The rows of ``near_duplicates`` with the ``key`` of their text, and the sketches they come from."""
-    base = written(sketches(docs, words, k))
+    with small_batches(docs.sparkSession):
+        base = written(sketches(docs, words, k))
     named = base.where("doc_id is not null and n > 0")
     classes = named.groupBy("n", "f1", "f2").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.first("sketch").alias("sketch"))
     classes = written(classes.select("n", "f1", "f2", F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("class_key"), "sketch"))
     guessed = components(_estimated_links(_listed(classes, k, percent), k, percent))
-    exact = components(_exact_links(docs, classes, guessed, words, percent))
+    with small_batches(docs.sparkSession):  # of texts and of whole sets
+        exact = components(_exact_links(docs, classes, guessed, words, percent))
     where = classes.select("n", "f1", "f2", "class_id").join(exact.withColumnRenamed("node", "class_id"), "class_id", "left")
     where = where.select("n", "f1", "f2", F.coalesce("label", "class_id").alias("label"))
     out = base.select("doc_id", "key", "n", "f1", "f2").join(where, ["n", "f1", "f2"], "left")

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHashes, bounded, grams, long_grams, text_key, values, written
+from .common import WordHashes, bounded, grams, long_grams, small_batches, text_key, values, written
 from .tokens import process_wide
 
 WINDOW = 50
@@ -107,7 +107,8 @@ def _windows(docs: DataFrame, wanted: DataFrame, window: int, seed: int) -> Data
 
 def factors(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """doc_id, key, factors: the factors of every document (doc_id and text) that has one against smaller doc_ids."""
-    base = written(_anchored(docs, window, seed))
+    with small_batches(docs.sparkSession):
+        base = written(_anchored(docs, window, seed))
     classes = base.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("first"))
     named = base.join(classes, ["n", "f1", "f2"])
     copies = named.where("doc_id > first").select(
@@ -119,7 +120,8 @@ def factors(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     often = written(rows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("hash"))
     wanted = written(rows.join(often, "hash").groupBy("doc_id", "key").agg(F.collect_set("at").alias("ats")))
     # both written: the join has an exchange on either side, and a hot passage's rows can be split
-    windows = written(_windows(docs, wanted, window, seed))
+    with small_batches(docs.sparkSession):
+        windows = written(_windows(docs, wanted, window, seed))
     index = written(windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("high"))
                     .where("source < high").drop("high"))
     hits = windows.join(index, ["h1", "h2"]).where("source < doc_id").groupBy("doc_id", "key").agg(
@@ -133,7 +135,8 @@ def factors(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
                     pa.struct([("start", pa.int32()), ("length", pa.int32()), ("source", pa.int64())])))], ["doc_id", "key", "factors"])
 
     parsed = hits.mapInArrow(parse, f"doc_id long, key long, factors {FACTOR}")
-    return written(parsed.unionByName(copies).dropDuplicates(["doc_id", "key"]))  # repeated rows have the same factors
+    with small_batches(docs.sparkSession):
+        return written(parsed.unionByName(copies).dropDuplicates(["doc_id", "key"]))  # repeated rows have the same factors
 
 
 def _with_factors(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
@@ -185,7 +188,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         import re
 
         word = re.compile(rb"[^\x20\x09-\x0D]+")
-        for b in batches:
+        for b in (batch.slice(s, 256) for batch in batches for s in range(0, batch.num_rows, 256)):  # a few texts at a time
             texts = b.column("text").to_pylist()
             for k, spans in enumerate(b.column(name).to_pylist()):
                 if spans:
@@ -209,6 +212,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     touched = cut.where(f"{name} is not null").mapInArrow(run, schema).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         touched = touched.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType))
+    with small_batches(docs.sparkSession):
+        touched = written(touched)
     return cut.where(f"{name} is null").select(*docs.columns).union(touched)
 
 

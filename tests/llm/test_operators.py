@@ -561,3 +561,31 @@ def test_quality_words_of_many_texts_are_looked_up_once(monkeypatch):
             own = t.encode().split()
             assert ids[upto[i]:upto[j]].tolist() == [x for w in own for x in fertility.piece.encode(w.decode())]
             assert byte_upto[j] - byte_upto[i] == sum(len(fertility.byte.encode_ordinary(w.decode())) for w in own)
+
+
+def test_long_rows_go_to_python_in_small_batches(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(i, f"a{i % 7} " * 60) for i in range(4000)], "doc_id long, text string").coalesce(1)
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+    with common.small_batches(spark):
+        own = [r["n"] for r in common.written(sizes).collect()]
+    assert sum(own) == 4000 and max(own) <= common.BATCH_ROWS
+    with pytest.raises(ZeroDivisionError), common.small_batches(spark):
+        1 / 0
+    assert spark.conf.get(name) == before
+
+    seen = []
+
+    def spy(df):
+        if "mapInArrow" in (plan := df._jdf.queryExecution().optimizedPlan().toString()) or "MapInArrow" in plan:
+            seen.append(int(spark.conf.get(name)))
+        return common.written(df)
+
+    for module in (near_dedup, quality, substring_dedup):
+        monkeypatch.setattr(module, "written", spy)
+    quality.keep_quality(docs.withColumn("lang", F.lit("x"))).count()
+    near_dedup.near_duplicates(docs).count()
+    substring_dedup.remove_repeats(docs).count()
+    assert len(seen) >= 6 and max(seen) <= common.BATCH_ROWS  # texts, sets and windows
+    assert spark.conf.get(name) == before
